@@ -5,17 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eraloom.llm import minhash_dedup, sentencepiece_codec
+from eraloom.llm import decontaminate, minhash_dedup, secret_scan, sentencepiece_codec, toxicity
 from eraloom.llm.queries import tokenizer_model
 from eraloom.plans.scratch import materialize
 
 
+def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id, null included, is among ``ids``."""
+    kept = ids.select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity machine rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _keep(docs, toxicity.score(docs, labels).where("predicted = 0"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies (5-word shingles, Jaccard 0.8)."""
-    verdict = minhash_dedup.near_duplicates(docs, shingle=5, percent=80)
-    kept = verdict.where("kept").select("doc_id").distinct().withColumnRenamed("doc_id", "kept_id")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    return _keep(docs, minhash_dedup.near_duplicates(docs, shingle=5, percent=80).where("kept"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _keep(docs, decontaminate.contamination(docs, benchmark).where("not contaminated"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every found secret is replaced by a mark; all documents stay."""
+    return secret_scan.redact(docs, secret_scan.find_secrets(docs))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +46,10 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("drop_toxic", drop_toxic),
     ("near_dedup", near_dedup),
+    ("drop_contaminated", drop_contaminated),
+    ("redact_secrets", redact_secrets),
     ("tokenize", tokenize),
 ]
 

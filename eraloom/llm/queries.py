@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eraloom.llm import minhash_dedup, quality_rules, sentencepiece_codec
+from eraloom.llm import chat_format, decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +20,19 @@ def tokenizer_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return secret_scan.summarize(docs, secret_scan.find_secrets(docs))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
 
@@ -32,8 +41,35 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip_digests(_table(spark, sf_dir, "documents"), tokenizer_model())
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(_table(spark, sf_dir, "conversations"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_index(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minhash_dedup, op4_quality_rules, op6_sentencepiece)
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_minhash_dedup,
+        op3_decontaminate,
+        op4_quality_rules,
+        op6_sentencepiece,
+        op7_chat_format,
+        op8_toxicity,
+        op9_language_id,
+        op10_warc,
+    )
 }
 
 ORACLES: dict[str, str] = {}

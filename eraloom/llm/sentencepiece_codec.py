@@ -19,10 +19,12 @@ whatever its length; other columns pass through ``encode`` untouched by name.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
 from itertools import chain
+from operator import itemgetter
 
 import ahocorasick
 import pandas as pd
@@ -31,7 +33,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 MARK = "▁"
-MEMO = 300_000
+_NUMBERS, _WORDS = itemgetter(0), itemgetter(1)
+MEMO = 500_000
 #: Texts of one decode call hold at most so many ids.
 DECODE_IDS = 2_000_000
 
@@ -61,7 +64,8 @@ class Encoder:
         self.pairs: dict[tuple[str, str], bool] = {}
         known = "".join(sorted(map(re.escape, self.chars - {MARK})))
         self.units = re.compile(f"{MARK}+[{known}]*|[{known}]+|[^{known}{MARK}]+")
-        self.memo: dict[str, tuple[tuple[int, ...], str, int]] = {}
+        self.plain, self.marked = Memo(self, ""), Memo(self, MARK)
+        self.newline = self.plain["\n"]
 
     def merge(self, text: str) -> list[str]:
         """Merge by score, leftmost first: the definition, used on one or two pieces at a time."""
@@ -118,38 +122,74 @@ class Encoder:
                 at, left = steps.pop()
         return out
 
-    def unit(self, unit: str) -> tuple[tuple[int, ...], str, int]:
+    def unit(self, unit: str) -> tuple[int, ...]:
+        """Ids of one unit."""
         if unit[0] in self.chars:
-            ids = tuple(map(self.ids.__getitem__, self.pieces(unit)))
-        elif self.fallback:
-            ids = tuple(map(self.bytes.__getitem__, unit.encode()))
-        else:
-            ids = (self.sp.unk_id(),) * len(unit)
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        found = self.memo[unit] = (ids, " ".join(map(str, ids)), len(ids))
-        return found
+            return tuple(map(self.ids.__getitem__, self.pieces(unit)))
+        if self.fallback:
+            return tuple(map(self.bytes.__getitem__, unit.encode()))
+        return (self.sp.unk_id(),) * len(unit)
+
+    def parts(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+        """Ids of a text's parts, as numbers and as words, in order and without the end id.
 
-    def encode(self, text: str) -> list[tuple[tuple[int, ...], str, int]]:
-        """Unit encodings of a text in order, the end id not included."""
+        Parts are cut at single spaces and line ends; where spaces come in runs
+        they belong to one unit, and the text is cut into units instead.
+        """
         if not text:
             return []
-        memo = self.memo
-        return [memo.get(u) or self.unit(u) for u in self.units.findall(MARK + text.replace(" ", MARK))]
+        if text[0] == " " or "  " in text or MARK in text:
+            return [self.plain[u] for u in self.units.findall(MARK + text.replace(" ", MARK))]
+        lines = text.split("\n")
+        marked = self.marked.__getitem__
+        out = list(map(marked, lines[0].split(" ")))
+        for line in lines[1:]:
+            first, *rest = line.split(" ")
+            out.append(self.newline)
+            if first:
+                out.append(self.plain[first])
+            out += map(marked, rest)
+        return out
+
+    def encode(self, text: str | None) -> list[int]:
+        """Ids of a whole text, end id included."""
+        return [*chain.from_iterable(map(_NUMBERS, self.parts(text or ""))), self.end]
+
+
+class Memo(dict):
+    """Bounded memo from a part to its ids, as numbers and as words."""
+
+    def __init__(self, encoder: Encoder, prefix: str):
+        self.encoder, self.prefix = encoder, prefix
+
+    def __missing__(self, part: str) -> tuple[tuple[int, ...], str]:
+        if len(self) >= MEMO:
+            self.clear()
+        encoder = self.encoder
+        ids = tuple(chain.from_iterable(map(encoder.unit, encoder.units.findall(self.prefix + part))))
+        found = self[part] = (ids, " ".join(map(str, ids)))
+        return found
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder for a worker process, so that its memos serve all its tasks."""
+    with open(path, "rb") as f:
+        return Encoder(f.read())
 
 
 def _digests(name: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with open(SparkFiles.get(name), "rb") as f:
-            encoder = Encoder(f.read())
+        encoder = _encoder(SparkFiles.get(name))
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for pdf in batches:
             counts, hashes, decoded, waiting, held = [], [], [], [], 0
             for text in pdf["text"]:
-                found = encoder.encode(text or "")
-                counts.append(sum(u[2] for u in found) + 1)
-                hashes.append(sha(" ".join([u[1] for u in found] + [str(encoder.end)])))
-                waiting.append([*chain.from_iterable(u[0] for u in found), encoder.end])
+                found = encoder.parts(text or "")
+                ids = [*chain.from_iterable(map(_NUMBERS, found)), encoder.end]
+                counts.append(len(ids))
+                hashes.append(sha(" ".join([*map(_WORDS, found), str(encoder.end)])))
+                waiting.append(ids)
                 held += counts[-1]
                 if held >= DECODE_IDS:
                     decoded += map(sha, encoder.sp.decode(waiting, num_threads=1))
@@ -162,10 +202,9 @@ def _digests(name: str):
 
 def _ids(name: str, decode: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with open(SparkFiles.get(name), "rb") as f:
-            encoder = Encoder(f.read())
+        encoder = _encoder(SparkFiles.get(name))
         for pdf in batches:
-            rows = [[*chain.from_iterable(u[0] for u in encoder.encode(t or "")), encoder.end] for t in pdf["text"]]
+            rows = [encoder.encode(t) for t in pdf["text"]]
             out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": rows})
             if decode:
                 out["decoded"] = encoder.sp.decode(rows, num_threads=1) if rows else []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eraloom.llm import chat_format, decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, toxicity, warc
+from eraloom.llm import chat_format, decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip_digests(_table(spark, sf_dir, "documents"), tokenizer_model())
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_minhash_dedup,
         op3_decontaminate,
         op4_quality_rules,
+        op5_suffix_dedup,
         op6_sentencepiece,
         op7_chat_format,
         op8_toxicity,

@@ -182,17 +182,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     sizes = placed.groupBy("band", "key", "root").agg(F.count("*").alias("members"))
     open_ = sizes.groupBy("band", "key").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "key", "main")
     still = materialize(placed.join(open_, ["band", "key"]), "minhash-open")
-    # A set can reach the threshold with another only if that share of its own
-    # shingles occurs in some other set; most stragglers of a copied text fail this.
+    # Two sets share at most the shingles of either that occur in some other set at
+    # all, which bounds their similarity; most stragglers of a copied text fail this.
     sets = sets_of(still.select("cls").distinct(), "rest")
     items = sets.select("cls", F.explode("items").alias("item"))
     common = items.groupBy("item").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x <> y").select("item")
     able = items.join(common, "item", "left_semi").groupBy("cls").agg(F.count("*").alias("common")).join(classes, "cls").where(F.col("common") * 100 >= F.col("n") * percent)
-    still = materialize(still.join(able.select("cls", "n", "sig"), "cls"), "minhash-able")
-    x = still.where("root <> main").select("band", "key", "hub", F.col("root").alias("root_a"), *side("a"))
-    y = still.select("band", "key", F.col("root").alias("root_b"), F.col("main").alias("main_b"), *side("b"))
+    still = materialize(still.join(able.select("cls", "n", "sig", "common"), "cls"), "minhash-able")
+    x = still.where("root <> main").select("band", "key", "hub", F.col("root").alias("root_a"), F.col("common").alias("common_a"), *side("a"))
+    y = still.select("band", "key", F.col("root").alias("root_b"), F.col("main").alias("main_b"), F.col("common").alias("common_b"), *side("b"))
+    most_shared = F.least("common_a", "common_b")
+    near = (most_shared * 100 >= (F.col("n_a") + F.col("n_b") - most_shared) * percent) & near
     once = (F.col("root_a") != F.col("root_b")) & (F.col("a") != F.col("hub")) & (F.col("b") != F.col("hub")) & ((F.col("a") < F.col("b")) | (F.col("root_b") == F.col("main_b")))
     rest = x.join(y, ["band", "key"]).where(once & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = materialize(rest, "rest-pairs")
     more = confirm(rest, sets, "rest")
     if not more.isEmpty():
         roots = components(links.union(more), "all")

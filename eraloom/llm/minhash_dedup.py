@@ -13,11 +13,10 @@ Shape of the work at scale:
 * texts with equal shingle sets fall into one *class* first, so thousands of
   exact copies cost one node;
 * inside a bucket only star edges to the bucket's smallest class are tested
-  first. A second round tests what the star cannot decide: pairs of the bucket's
-  members in different components of which at least one lies outside the
-  bucket's largest component. A bucket of true near-copies is settled after the
-  star, so its pairs are never listed, yet no pair of a bucket is skipped unless
-  its two sides are already connected;
+  first. Buckets that still hold several components go to a second round: their
+  members' full sets are joined exactly by rarity-ordered prefixes and positions,
+  and only pairs of different components are tested. Near-copies that the star
+  has connected never form pairs again, yet no link between components is lost;
 * components come from min-label propagation with pointer jumping on tables in
   the shared folder; nothing is collected.
 
@@ -35,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eraloom.llm.text import WordHash, shingles
@@ -182,19 +181,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     sizes = placed.groupBy("band", "key", "root").agg(F.count("*").alias("members"))
     open_ = sizes.groupBy("band", "key").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "key", "main")
     still = materialize(placed.join(open_, ["band", "key"]), "minhash-open")
-    # Two sets share at most the shingles of either that occur in some other set at
-    # all, which bounds their similarity; most stragglers of a copied text fail this.
+    # Their members' sets are joined exactly, by prefix and position: with every set in
+    # order of rarity, two sets at the threshold share a token within both prefixes, and
+    # what follows their first common token is long enough to reach it.
     sets = sets_of(still.select("cls").distinct(), "rest")
-    items = sets.select("cls", F.explode("items").alias("item"))
-    common = items.groupBy("item").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x <> y").select("item")
-    able = items.join(common, "item", "left_semi").groupBy("cls").agg(F.count("*").alias("common")).join(classes, "cls").where(F.col("common") * 100 >= F.col("n") * percent)
-    still = materialize(still.join(able.select("cls", "n", "sig", "common"), "cls"), "minhash-able")
-    x = still.where("root <> main").select("band", "key", "hub", F.col("root").alias("root_a"), F.col("common").alias("common_a"), *side("a"))
-    y = still.select("band", "key", F.col("root").alias("root_b"), F.col("main").alias("main_b"), F.col("common").alias("common_b"), *side("b"))
-    most_shared = F.least("common_a", "common_b")
-    near = (most_shared * 100 >= (F.col("n_a") + F.col("n_b") - most_shared) * percent) & near
-    once = (F.col("root_a") != F.col("root_b")) & (F.col("a") != F.col("hub")) & (F.col("b") != F.col("hub")) & ((F.col("a") < F.col("b")) | (F.col("root_b") == F.col("main_b")))
-    rest = x.join(y, ["band", "key"]).where(once & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    items = sets.select("cls", F.size("items").alias("n"), F.explode("items").alias("item"))
+    counts = items.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
+    # Tokens of one set only come first; their number is what the others leave.
+    by_class = Window.partitionBy("cls")
+    ranked = items.join(counts, "item").withColumn("place", F.row_number().over(by_class.orderBy("df", "item")) + F.col("n") - F.count("*").over(by_class))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    tokens = ranked.where(F.col("place") <= prefix).select("cls", "item", "place").join(roots, "cls", "left").join(classes.select("cls", "n", "sig"), "cls")
+    tokens = materialize(tokens.withColumn("root", F.coalesce("root", "cls")), "rest-tokens")
+    sizes = tokens.groupBy("item", "root").agg(F.count("*").alias("members"))
+    mains = sizes.groupBy("item").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("item", "main")
+    tokens = tokens.join(mains, "item")
+    x = tokens.where("root <> main").select("item", F.col("root").alias("root_a"), F.col("place").alias("place_a"), *side("a"))
+    y = tokens.select("item", F.col("root").alias("root_b"), F.col("main").alias("main_b"), F.col("place").alias("place_b"), *side("b"))
+    once = (F.col("root_a") != F.col("root_b")) & ((F.col("a") < F.col("b")) | (F.col("root_b") == F.col("main_b")))
+    reach = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = reach * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    rest = x.join(y, "item").where(once & enough & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = materialize(rest, "rest-pairs")
     more = confirm(rest, sets, "rest")
     if not more.isEmpty():

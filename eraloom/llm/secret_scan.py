@@ -34,7 +34,6 @@ KINDS = [
     ("owned", r"([A-Za-z0-9+/_=-]{20,})", 1, 20),
 ]
 BASE = [k[0] for k in KINDS[:3]]
-_ORDER = F.array(*(F.lit(k[0]) for k in KINDS))
 
 
 def _matches(rows: DataFrame, kind: str, pattern: str, group: int, least: int) -> DataFrame:
@@ -87,7 +86,7 @@ def _listed(spans: Column) -> Column:
 
 def summarize(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Per document row: counts by kind, the digest of the base spans and all spans as text."""
-    item = F.struct("start", F.array_position(_ORDER, F.col("kind")).alias("order"), "stop", "kind")
+    item = F.struct("start", F.array_position(F.array(*(F.lit(k[0]) for k in KINDS)), F.col("kind")).alias("order"), "stop", "kind")
     counts = [F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in BASE]
     lists = spans.groupBy(F.col("doc_id").alias("id"), F.col("key").alias("k")).agg(
         *counts, F.array_sort(F.collect_list(item)).alias("all"), F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(~F.col("live"), 1)).alias("n_shared")

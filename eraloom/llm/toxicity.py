@@ -15,8 +15,8 @@ is a sparse dot product, memoized per word; scoring is one pass without a shuffl
 
 Only rows with crc32(doc_id) modulo 5 other than 0 are learned from, at most about
 ``sample_docs`` for each label. Defined cases: null or blank texts hold no word
-and get the curve's value for a text without any insult, as does every text when
-nothing is labelled (score 0 then); repeated rows repeat their result; texts are
+and score like the mildest document of the training sample; every text scores 0
+when nothing is labelled; repeated rows repeat their result; texts are
 read whole; a doc_id with several labels counts as toxic if any says so; extra
 columns are ignored.
 """
@@ -132,6 +132,7 @@ class Model:
 
     def __init__(self, weights: np.ndarray, bias: float, slope: float, offset: float):
         self.weights, self.bias, self.slope, self.offset = weights, bias, slope, offset
+        self.floor = bias  # value of a text without words; the mildest document seen in training
 
     def values(self, words: list[str]) -> np.ndarray:
         word, key, value = subsequences(words)
@@ -185,6 +186,7 @@ def fit(rows: list[tuple[str, int]], landmarks: int = 256, negatives: int = 40_0
     score = dict(zip(every, model.values(every), strict=True))
     worst = np.array([max(map(score.__getitem__, b)) for b in whole])
     model.slope, model.offset = _logistic(worst, y)
+    model.floor = float(worst.min())
     return model
 
 
@@ -202,7 +204,7 @@ def _scorer(model: Model | None):
                     memo.clear()
                 new = list(set().union(*bags).difference(memo))
                 memo.update(zip(new, model.values(new).tolist(), strict=True))
-                scores += [model.probability(max(map(memo.__getitem__, b), default=model.bias)) for b in bags]
+                scores += [model.probability(max(map(memo.__getitem__, b), default=model.floor)) for b in bags]
             out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "score": scores})
             out["predicted"] = (out["score"] >= 0.5).astype("int32")
             yield out

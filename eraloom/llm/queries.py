@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eraloom.llm import chat_format, decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, toxicity, warc
+from eraloom.llm.oracles import ORACLES as ORACLES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,5 +77,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_warc,
     )
 }
-
-ORACLES: dict[str, str] = {}

@@ -41,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eraloom.llm.text import mix
@@ -222,14 +222,14 @@ def _emit_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"key": key.view(np.int64), "anchor": np.concatenate([h[first], h[local]]).view(np.int64), "doc": np.concatenate([d[first], d[local]])})
 
 
-CONTEXT = "cid binary, anchor long, doc long, start int, size int, bytes binary, settled boolean"
+CONTEXT = "cid binary, anchor long, doc long, tk long, start int, size int, bytes binary, settled boolean"
 
 
 def _emit_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = [x.split()[0] for x in CONTEXT.split(", ")]
     for pdf in batches:
         rows, smallest = [], {}
-        for doc, text, shared in zip(pdf["doc_id"], pdf["text"], pdf["shared"], strict=True):
+        for doc, tk, text, shared in zip(pdf["doc_id"], pdf["tk"], pdf["text"], pdf["shared"], strict=True):
             data = _bytes(text)
             at, hashes, least = anchors(data)
             wanted = np.isin(hashes, np.asarray(shared, np.int64).view(np.uint64))
@@ -241,9 +241,20 @@ def _emit_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 part = data[a:b]
                 cid = xxhash.xxh3_128_digest(part)
                 smallest[cid] = min(smallest.get(cid, doc), doc)
-                rows.append((cid, h, doc, a, b - a, part, False))
-        # A context that a smaller document of the batch holds too is covered whole.
-        yield pd.DataFrame([r if r[2] == smallest[r[0]] else (None, None, *r[2:5], None, True) for r in rows], columns=names).astype({"anchor": "Int64"})
+                rows.append((cid, h, doc, tk, a, b - a, part, False))
+        # A context that a smaller document of the batch holds too is covered whole;
+        # such spans of a document that touch become one row.
+        out, last = [], None
+        for r in rows:
+            if r[2] == smallest[r[0]]:
+                out.append(r)
+                last = None
+            elif last is not None and last[2:4] == list(r[2:4]) and last[4] <= r[4] <= last[4] + last[5]:
+                last[5] = max(last[5], r[4] + r[5] - last[4])
+            else:
+                last = [None, None, *r[2:6], None, True]
+                out.append(last)
+        yield pd.DataFrame(out, columns=names).astype({"anchor": "Int64"})
 
 
 SPAN = "cid binary, lo int, hi int"
@@ -298,17 +309,24 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def removal_spans(docs: DataFrame, most: int = MOST) -> DataFrame:
-    """(doc, lo, hi): byte spans of each document to remove, not merged."""
-    named = docs.select("doc_id", "text").where("doc_id is not null")
-    # One exchange serves both the grouping and the join that follows it.
-    held = named.mapInPandas(_emit_anchors, "key long, anchor long, doc long").repartition("key")
-    shared = held.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.max("anchor").alias("a")).where("lo < hi and a is not null").select("key")
-    by_doc = held.join(shared, "key").groupBy("doc").agg(F.collect_set("anchor").alias("shared"))
-    found = named.join(by_doc, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "shared").mapInPandas(_emit_contexts, CONTEXT)
+    """(doc, tk, lo, hi), tk the hash of the text: byte spans of each document to remove, not merged."""
+    named = docs.select("doc_id", F.xxhash64("text").alias("tk"), "text").where("doc_id is not null")
+    held = named.select("doc_id", "text").mapInPandas(_emit_anchors, "key long, anchor long, doc long").repartition("key")
+    # Keys hold few rows (one per batch for a common anchor), so one sorted window
+    # decides them; a join would run the anchors twice.
+    same = Window.partitionBy("key")
+    shared = held.withColumn("lo", F.min("doc").over(same)).withColumn("hi", F.max("doc").over(same)).where("lo < hi")
+    by_doc = shared.groupBy("doc").agg(F.collect_set("anchor").alias("shared"))
+    # An exact copy of a smaller document falls whole; its contexts are not needed.
+    digest = named.select("doc_id", "tk", F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    least = digest.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    copies = materialize(digest.join(least, "digest").where(F.col("doc_id") > F.col("first")).select(F.col("doc_id").alias("doc"), "tk", F.col("size").cast("int").alias("size")).distinct(), "copies")
+    rest = named.join(copies.select(F.col("doc").alias("doc_id"), "tk"), ["doc_id", "tk"], "left_anti")
+    found = rest.join(by_doc, F.col("doc_id") == F.col("doc")).select("doc_id", "tk", "text", "shared").mapInPandas(_emit_contexts, CONTEXT)
     found = materialize(found, "contexts")
     each = found.where("not settled")
     firsts = materialize(each.groupBy("cid").agg(F.min("doc").alias("first"), F.first("anchor").alias("anchor")), "context-firsts")
-    whole = each.select("cid", "doc", "start", "size").join(firsts.select("cid", "first"), "cid")
+    whole = each.select("cid", "doc", "tk", "start", "size").join(firsts.select("cid", "first"), "cid")
     mixed = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     some = firsts.select("cid", "first", F.col("anchor").alias("a")).join(mixed, F.col("a") == F.col("anchor")).select("cid", "first", "n")
     parts = each.select("cid", "anchor", "doc", "bytes").join(some, "cid").where("doc = first").dropDuplicates(["cid"])
@@ -318,13 +336,15 @@ def removal_spans(docs: DataFrame, most: int = MOST) -> DataFrame:
     least = strings.groupBy("string").agg(F.min("doc").alias("first"))
     grouped = strings.join(least, "string").where("first < doc").select("cid", "lo", (F.col("lo") + LENGTH).alias("hi"))
     inside = sorted_.union(grouped)
-    full = whole.where("doc > first").select("doc", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
-    part = whole.where("doc = first").join(inside, "cid").select("doc", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
-    local = found.where("settled").select("doc", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
-    return full.union(part).union(local)
+    full = whole.where("doc > first").select("doc", "tk", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
+    part = whole.where("doc = first").join(inside, "cid").select("doc", "tk", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
+    local = found.where("settled").select("doc", "tk", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
+    twins = copies.where(F.col("size") >= LENGTH).select("doc", "tk", F.lit(0).alias("lo"), F.col("size").alias("hi"))
+    return full.union(part).union(local).union(twins)
 
 
 def remove_repeats(docs: DataFrame, most: int = MOST) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    spans = removal_spans(docs, most).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    return docs.select("doc_id", "text").join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans").mapInPandas(_cut, RESULT)
+    spans = removal_spans(docs, most).groupBy(F.col("doc").alias("doc_id"), "tk").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("tk"), "text")
+    return rows.join(spans, ["doc_id", "tk"], "left").select("doc_id", "text", "spans").mapInPandas(_cut, RESULT)

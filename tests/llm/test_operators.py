@@ -28,7 +28,7 @@ def texts():
     rows = [(k, prose(rng, rng.randint(1, 60))) for k in range(20)]
     rows += [(20, base), (21, base), (22, base.replace("w3 ", "zz ", 1)), (23, base + " tail"), (24, "x " * 5 + base), (25, other), (26, other.upper())]
     rows += [(30 + k, " ".join(w if rng.random() > 0.03 * (k % 4) else f"q{k}" for w in base.split())) for k in range(25)]
-    rows += [(60, None), (61, ""), (62, "  \n\t"), (63, "one"), (64, "one two"), (65, "one two"), (66, prose(rng, 4000)), (20, base), (None, base), (None, None), (67, "é😀 " * 40)]
+    rows += [(60, None), (61, ""), (62, "  \n\t"), (63, "one"), (64, "one two"), (65, "one two"), (66, prose(rng, 4000)), (20, base), (25, base), (None, base), (None, None), (67, "é😀 " * 40)]
     return rows
 
 

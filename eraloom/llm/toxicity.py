@@ -79,7 +79,7 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def kernel(left: list[str], right: list[str]) -> np.ndarray:
     """Normalized kernel values of two word lists."""
-    out = np.zeros((len(left), len(right)))
+    out = np.zeros((len(left), len(right)), np.float32)
     rw, rk, rv = subsequences(right)
     order = np.argsort(rk, kind="stable")
     rw, rk, rv = rw[order], rk[order], rv[order]
@@ -135,15 +135,20 @@ class Model:
         self.floor = bias  # value of a text without words; the mildest document seen in training
 
     def values(self, words: list[str]) -> np.ndarray:
-        word, key, value = subsequences(words)
-        return np.bincount(word, self.weights[key] * value, len(words)) + self.bias
+        out = []
+        for k in range(0, len(words), 10_000):
+            part = words[k : k + 10_000]
+            word, key, value = subsequences(part)
+            out.append(np.bincount(word, self.weights[key] * value, len(part)) + self.bias)
+        return np.concatenate(out) if out else np.empty(0)
 
     def probability(self, x: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * x + self.offset, -35, 35))))
 
 
-def fit(rows: list[tuple[str, int]], landmarks: int = 256, negatives: int = 40_000, rounds: int = 4, witnesses: int = 4) -> Model | None:
-    """Train on (text, toxic) pairs; None unless both labels occur."""
+def fit(rows: list[tuple[str, int]], landmarks: int = 192, negatives: int = 30_000, rounds: int = 4, witnesses: int = 4, prior: float | None = None) -> Model | None:
+    """Train on (text, toxic) pairs; None unless both labels occur. ``prior`` is the share
+    of toxic rows where texts are scored, if the pairs are drawn in other shares."""
     rows = [(t, y) for t, y in rows if tokens(t)]
     bags = [[s for s in map(tokens, _SENTENCE.split(t)) if s] for t, _ in rows]
     y = np.array([label for _, label in rows])
@@ -158,16 +163,20 @@ def fit(rows: list[tuple[str, int]], landmarks: int = 256, negatives: int = 40_0
     marks = sorted(gain, key=lambda w: (-gain[w], w))[: landmarks // 2]
     marks += [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(w) > 2][: landmarks - len(marks)]
     marks = list(dict.fromkeys(marks))
-    values, vectors = np.linalg.eigh(kernel(marks, marks))
+    values, vectors = np.linalg.eigh(kernel(marks, marks).astype(float))
     keep = values > 1e-3
-    root = vectors[:, keep] / np.sqrt(values[keep])
+    root = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
     common = [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0]))][:negatives]
     z0 = kernel(common, marks) @ root
-    vocabulary = sorted(set().union(*(b for b, label in zip(whole, y, strict=True) if label)))
+    # Witnesses are words that mark toxic documents and occur in two at least, if any do.
+    vocabulary = sorted(w for w, g in gain.items() if g > 0 and toxic[w] > 1) or sorted(gain)
     place = {w: k for k, w in enumerate(vocabulary)}
     z1 = kernel(vocabulary, marks) @ root
     worth = np.array([gain.get(w, -9.0) for w in vocabulary])
-    members = [[np.fromiter(map(place.__getitem__, s), int, len(s)) for s in b] for b, label in zip(bags, y, strict=True) if label]
+    members = [[np.array(k) for s in b if (k := [place[w] for w in s if w in place])] for b, label in zip(bags, y, strict=True) if label]
+    members = [b for b in members if b]
+    if not members:
+        return None
     for _ in range(rounds):
         # Worst sentences of each toxic document, by the words that make them so.
         best = np.array([max(worth[w].max() for w in b) for b in members])
@@ -186,6 +195,8 @@ def fit(rows: list[tuple[str, int]], landmarks: int = 256, negatives: int = 40_0
     score = dict(zip(every, model.values(every), strict=True))
     worst = np.array([max(map(score.__getitem__, b)) for b in whole])
     model.slope, model.offset = _logistic(worst, y)
+    if prior is not None and 0 < prior < 1:
+        model.offset += float(np.log(prior / (1 - prior)) - np.log(n1 / n0))
     model.floor = float(worst.min())
     return model
 
@@ -212,15 +223,16 @@ def _scorer(model: Model | None):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 2_500) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_500) -> Model | None:
     """Fit on at most about ``sample_docs`` labelled documents of each class outside fold 0."""
     marked = labels.where(F.col("toxic").isNotNull() & (fold() != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = per_class(marked, "toxic", sample_docs)
+    prior = marked.agg(F.avg((F.col("toxic") > 0).cast("double")).alias("p")).first()["p"]
     rows = docs.select("doc_id", "text").join(picked, "doc_id").collect()
-    return fit([(r["text"], int(r["toxic"] > 0)) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))])
+    return fit([(r["text"], int(r["toxic"] > 0)) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))], prior=prior)
 
 
-def score(docs: DataFrame, labels: DataFrame, sample_docs: int = 2_500) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_500) -> DataFrame:
     """doc_id, held_out, score in [0, 1] and predicted for every row."""
     model = train(docs, labels, sample_docs)
     rows = docs.select("doc_id", "text", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"))

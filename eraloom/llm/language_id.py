@@ -3,9 +3,10 @@
 A suffix automaton is built from labelled text of each language. A text is parsed
 against each automaton into longest matches, greedily from left to right; the
 language that needs the fewest phrases per character wins (all languages parse
-the same characters, so the counts compare directly). Phrases do not cross white
-space, so the counts of a word are the same wherever it stands, and a bounded
-memo of words makes the parse of a whole corpus one cheap pass without a shuffle.
+the same characters, so the counts compare directly). Only letters are parsed, and
+phrases do not cross words, so the counts of a word are the same wherever it
+stands, and a bounded memo of words makes the parse of a whole corpus one cheap
+pass without a shuffle.
 
 Defined cases: texts that are null or hold no letter are ``und`` with score 0;
 with no labelled row at all every text is; ties go to the language first in
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from eraloom.llm.sampling import fold, per_class
 
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]+")
 MEMO = 400_000
 BLOCK = 20_000
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -108,10 +109,11 @@ def _predictor(training: tuple[tuple[str, str], ...]):
         for pdf in batches:
             langs, scores = [], []
             for text in pdf["text"]:
-                if not text or not names or not _LETTER.search(text):
+                words = _WORD.findall(text.lower()) if text and names else []
+                if not words:
                     langs.append("und"), scores.append(0.0)
                     continue
-                counts = memo.total(text.lower().split())
+                counts = memo.total(words)
                 best = int(counts.argmin())
                 langs.append(names[best])
                 scores.append(float(1 / ((counts[best] / counts) ** 16).sum()))
@@ -128,7 +130,7 @@ def training_text(docs: DataFrame, docs_per_language: int = 80, chars_per_doc: i
     for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"])):
         sofar = found.get(r["lang"], "")
         if len(sofar) < chars_per_language:
-            found[r["lang"]] = f"{sofar} {' '.join(r['text'].lower().split())}"
+            found[r["lang"]] = f"{sofar} {' '.join(_WORD.findall(r['text'].lower()))}"
     return tuple((k, found[k][:chars_per_language]) for k in sorted(found))
 
 

@@ -223,7 +223,7 @@ def _scorer(model: Model | None):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_500) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_000) -> Model | None:
     """Fit on at most about ``sample_docs`` labelled documents of each class outside fold 0."""
     marked = labels.where(F.col("toxic").isNotNull() & (fold() != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = per_class(marked, "toxic", sample_docs)
@@ -232,7 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_500) -> Model
     return fit([(r["text"], int(r["toxic"] > 0)) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))], prior=prior)
 
 
-def score(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_500) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_000) -> DataFrame:
     """doc_id, held_out, score in [0, 1] and predicted for every row."""
     model = train(docs, labels, sample_docs)
     rows = docs.select("doc_id", "text", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"))

@@ -18,7 +18,7 @@ BATCH = 200
 class GateLimits:
     min_pred_std: float = 1e-6
     max_abs_exposure: float = 0.30
-    sample_rows: int = 200_000
+    sample_rows: int | None = None  # exposures over all rows unless a caller asks for a sample
     sample_seed: int = 0
 
 
@@ -60,7 +60,7 @@ def gate_report(df: DataFrame, features: list[str], limits: GateLimits = GateLim
         F.count_if((p < F.lit(1e-6).cast("float")) | (p > F.lit(1 - 1e-6).cast("float"))).cast("double").alias("outside"),
         F.stddev_pop(p).alias("std"),
     )
-    seen = df if df.count() <= limits.sample_rows else sample_rows(df, limits.sample_rows, limits.sample_seed, id_col)
+    seen = df if limits.sample_rows is None else sample_rows(df, limits.sample_rows, limits.sample_seed, id_col)
     exposed = exposures(seen, features, prediction)
     exposure = exposed.agg(F.max(F.abs(F.when(~F.isnan("exposure"), F.col("exposure")))).alias("exposure"))
     wide = one.crossJoin(exposure)  # one row each

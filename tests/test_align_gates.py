@@ -66,6 +66,13 @@ def test_gates(spark, preds, gate):
             gates.assert_gates(report)
 
 
+def test_exposure_is_over_all_rows(spark):
+    """More rows than the 200,000 that were once sampled."""
+    df = spark.range(200_500).select(F.col("id").cast("string").alias("id"), (F.col("id") % 97).cast("double").alias("f"), ((F.col("id") * 7919 % 1009 + F.col("id") % 97 + 1) / 1200).alias("prediction"))
+    report = {r["gate"]: r["value"] for r in gates.gate_report(df, ["f"], gates.GateLimits()).collect()}
+    assert report["exposure"] == pytest.approx(df.agg(F.abs(F.corr("f", "prediction"))).first()[0], abs=1e-12)
+
+
 def test_feature_shards(spark):
     catalog = spark.createDataFrame([(f"f{k}",) for k in range(50)], "feature string")
     one, two = (sorted(map(tuple, gates.feature_shards(catalog, [1, 2, 3], 12, 7).collect())) for _ in range(2))

@@ -8,6 +8,7 @@ from itertools import chain
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eraloom.llm import chat_format, decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, toxicity, warc
 from tests.llm import brute
@@ -175,6 +176,46 @@ def test_chat_rendering(spark, empty):
     assert chat_format.format_chats(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_chat_groups_are_bounded(spark, monkeypatch):
+    """Rows without conversation, without turn number or of one repeated turn are cut like others."""
+    sizes, plain = [], chat_format.materialize
+
+    def spy(df, name):
+        out = plain(df, name)
+        sizes.extend(r[0] for c in out.columns if c in ("turns", "blocks", "parts") for r in out.select(F.size(c)).collect())
+        return out
+
+    monkeypatch.setattr(chat_format, "materialize", spy)
+    rng = random.Random(8)
+    role = lambda: rng.choice(["system", "user", "assistant", None, "tool"])
+    rows = [(None, rng.choice([None, 0, 1]), role(), rng.choice([None, "same", f"t{k}"])) for k in range(5000)]
+    rows += [(7, None, role(), f"n{k}") for k in range(300)] + [(8, 3, "user", "again")] * 300 + [(9, k, role(), str(k)) for k in range(130)]
+    got = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)).collect()
+    assert max(sizes) <= chat_format.BLOCK
+    assert by((r["conv_id"], r["turn"], r["role"]) for r in got) == by(r[:3] for r in rows)
+    first = lambda x: (x is not None, x or 0)
+    for conv in (None, 7, 8, 9):
+        roles = [r[2] for r in sorted((r for r in rows if r[0] == conv), key=lambda r: (first(r[1]), (r[2] is not None, r[2] or "")))]
+        whole = chat_format.table(roles)
+        cheapest = min(whole[3 * chat_format.START + q] + chat_format.INSERT * len(chat_format.ENDING[q]) for q in range(3))
+        mine = [r for r in got if r["conv_id"] == conv]
+        spent = sum(chat_format.RELABEL * ("relabel" in r["action"]) + chat_format.MERGE * ("merge" in r["action"]) + chat_format.INSERT * r["inserted"] for r in mine)
+        assert spent == cheapest
+        assert sum(r["segment"].endswith("<|end|>\n") for r in mine) == 1
+
+
+def test_chat_tables_compose():
+    rng = random.Random(5)
+    tables = [chat_format.table([rng.choice(["system", "user", "assistant", None]) for _ in range(rng.randint(1, 5))]) for _ in range(9)]
+    parts = [tables[:4], tables[4:5], tables[5:]]
+    whole = [chat_format.compose(p) for p in parts]
+    assert chat_format.compose(whole) == chat_format.compose(tables)
+    down = list(chain.from_iterable(chat_format.join_tables(p, *e) for p, e in zip(parts, chat_format.join_tables(whole))))
+    spent = sum(t[3 * s + q] for t, (s, q) in zip(tables, down))
+    assert down[0][0] == chat_format.START and all(a[1] == b[0] for a, b in zip(down, down[1:]))
+    assert spent == chat_format.compose(tables)[3 * chat_format.START + down[-1][1]] and down[-1][1] == chat_format.best_leave(chat_format.compose(tables))
+
+
 def test_toxicity_learns_insults_and_their_variants(spark):
     rng = random.Random(1)
     rows, labels = [], []

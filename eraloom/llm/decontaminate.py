@@ -97,6 +97,11 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingl
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return judge(docs, benchmark, **options).drop("key")
+
+
+def judge(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
+    """``contamination`` with each row's ``key``, the hash of its text."""
     base, hits = find_windows(docs, benchmark, **options)
     hits = materialize(hits, "window-hits")
     order = Window.partitionBy("doc_id", "key").orderBy("start", "stop")
@@ -109,4 +114,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options: int) -> Data
     out = base.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k")), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "key")

@@ -81,7 +81,7 @@ def _signer(shingle: int, bands: int, rows: int):
                 ids.append(xxhash.xxh3_128_digest(s.tobytes()))
                 keys.append([xxhash.xxh3_64_intdigest(r.tobytes(), seed=k) - 2**63 for k, r in enumerate(m.reshape(bands, rows))])
                 packed.append(pack(m))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n_shingles": n, "cls": ids, "bands": keys, "sig": packed})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "key": pdf["key"], "n_shingles": n, "cls": ids, "bands": keys, "sig": packed})
 
     return sign
 
@@ -134,9 +134,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     distinct ``shingle``-word shingles; component_id is the smallest doc_id
     reachable over links.
     """
+    judged = judge(docs, shingle, percent, bands, rows).select("doc_id", "n_shingles", "component_id")
+    return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def judge(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
+    """One row per input row: doc_id, key (the hash of its text), n_shingles, root (the
+    component's own mark, null for an empty set) and component_id."""
     width, longs = bands * rows, -(-bands * rows // 16)
     signed = materialize(
-        docs.select("doc_id", "text").mapInPandas(_signer(shingle, bands, rows), "doc_id long, n_shingles long, cls binary, bands array<long>, sig array<long>"), "minhash"
+        docs.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInPandas(_signer(shingle, bands, rows), "doc_id long, key long, n_shingles long, cls binary, bands array<long>, sig array<long>"), "minhash"
     )
     classes = materialize(
         signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minhash-classes"
@@ -209,7 +216,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     named = classes.join(roots, "cls", "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
     ids = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_class = named.join(ids, "root").select("cls", "component_id")
-    out = signed.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
+    by_class = named.join(ids, "root").select("cls", "root", "component_id")
+    out = signed.select("doc_id", "key", "n_shingles", "cls").join(by_class, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "key", "n_shingles", "root", component.alias("component_id"))

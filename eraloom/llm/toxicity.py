@@ -218,6 +218,7 @@ def _scorer(model: Model | None):
                 scores += [model.probability(max(map(memo.__getitem__, b), default=model.floor)) for b in bags]
             out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "score": scores})
             out["predicted"] = (out["score"] >= 0.5).astype("int32")
+            out["key"] = pdf["key"]
             yield out
 
     return run
@@ -232,8 +233,13 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_000) -> Model
     return fit([(r["text"], int(r["toxic"] > 0)) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"] or ""))], prior=prior)
 
 
+def judge(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_000) -> DataFrame:
+    """``score`` with each row's ``key``, the hash of its text."""
+    model = train(docs, labels, sample_docs)
+    rows = docs.select("doc_id", "text", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), F.xxhash64("text").alias("key"))
+    return rows.mapInPandas(_scorer(model), f"{RESULT}, key long")
+
+
 def score(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_000) -> DataFrame:
     """doc_id, held_out, score in [0, 1] and predicted for every row."""
-    model = train(docs, labels, sample_docs)
-    rows = docs.select("doc_id", "text", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"))
-    return rows.mapInPandas(_scorer(model), RESULT)
+    return judge(docs, labels, sample_docs).drop("key")

@@ -44,3 +44,30 @@ def test_stages_take_effect(spark, folder):
     assert all(after[i]["text"] == t for i, t in before.items() if i != 304)
     assert kept("tokenize") == set(before)
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect()) == sorted(before)
+
+
+def test_rows_are_judged_each_by_its_own_text(spark, folder):
+    """Clean rows with a null or repeated doc_id shield no other row of that id."""
+    sf_dir, docs, items = folder
+    rng = random.Random(10)
+    fresh = lambda: " ".join(rng.choice("bcdfghjklm") + rng.choice(["ati", "ona", "eru"]) + rng.choice("nprst") for _ in range(60))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table = lambda rows: spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], schema).repartition(3)
+    seen = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=repr)
+
+    clean = docs[1][1]
+    toxic = [(None, docs[0][1] + " grobnik"), (1, docs[5][1])]
+    train = [d for d in docs[:200] if d[0] != 1]
+    got = seen(corpus_pipeline.drop_toxic(spark, table([*train, (None, clean), (1, clean), *toxic]), sf_dir))
+    assert got == sorted([d for d in train if "grobnik" not in d[1]] + [(None, clean), (1, clean)], key=repr)
+
+    held = [(None, f"{fresh()} {items[0][1]}"), (5, f"{fresh()} {items[0][1]} end")]
+    fine = [(None, fresh()), (5, fresh()), (None, None)]
+    assert seen(corpus_pipeline.drop_contaminated(spark, table(fine + held), sf_dir)) == sorted(fine, key=repr)
+
+    a, b, c, d, e = (fresh() for _ in range(5))
+    rows = [(None, a), (None, a), (None, a + " more"), (None, b), (4, b), (7, c), (7, c), (7, c + " more"), (7, d), (8, d), (None, e), (None, None), (9, ""), (9, "")]
+    left = seen(corpus_pipeline.near_dedup(spark, table(rows), sf_dir))
+    assert [r for r in left if not r[1]] == sorted([(None, None), (9, ""), (9, "")], key=repr)
+    assert sorted((r[0], r[1].removesuffix(" more")) for r in left if r[0] is not None and r[1]) == sorted([(4, b), (7, c), (7, d)])
+    assert sorted(r[1].removesuffix(" more") for r in left if r[0] is None and r[1]) == sorted([a, e])

@@ -99,9 +99,20 @@ def intra_round_rows(nested: DataFrame, w_corr: float = 0.75, w_bmc: float = 2.2
     """One history row per round from nested buckets (column ``rounds`` of type
     INTRA_ROUND, with fetched_at, source, model_name); the last bucket of a name wins,
     payouts are the settled sum if any, else the pending sum."""
+    return bucket_rows(explode_buckets(nested), w_corr, w_bmc, aliases)
+
+
+def explode_buckets(nested: DataFrame) -> DataFrame:
+    """Nested snapshots as one row per bucket: fetched_at, source, model_name, round_number,
+    rpos (the round's place in its snapshot), pos (the bucket's place in its round), b (the bucket)."""
     one = nested.select("fetched_at", "source", "model_name", F.posexplode("rounds").alias("rpos", "round"))
-    b = one.select("fetched_at", "source", "model_name", F.col("round.roundNumber").alias("round_number"), "rpos", F.posexplode("round.intraRoundSubmissionScores").alias("pos", "b"))
-    b = b.select("*", F.lower(F.trim("b.displayName")).alias("name"), to_double(F.col("b.value")).alias("v"))
+    return one.select("fetched_at", "source", "model_name", F.col("round.roundNumber").alias("round_number"), "rpos", F.posexplode("round.intraRoundSubmissionScores").alias("pos", "b"))
+
+
+def bucket_rows(buckets: DataFrame, w_corr: float = 0.75, w_bmc: float = 2.25, aliases: list[str] = INTRA_CORR) -> DataFrame:
+    """``intra_round_rows`` from flat buckets, in partial aggregates only; ``pos`` is of any
+    type with an order."""
+    b = buckets.select("*", F.lower(F.trim("b.displayName")).alias("name"), to_double(F.col("b.value")).alias("v"))
     keys = ["fetched_at", "source", "model_name", "round_number", "rpos"]
     names = {*aliases, *(a.lower() for k in ("mmc20", "bmc20", "fnc") for a in ALIASES[k])}
     last = {n: F.max_by(F.when(F.col("name") == n, F.col("v")), F.when(F.col("name") == n, F.col("pos"))).alias(f"s_{n}") for n in sorted(names)}

@@ -362,13 +362,13 @@ def q37_coverage_by_era(spark, d):
 
 
 def q38_intra_round(spark, d):
-    """Events as nested buckets: one list of named values per user and day."""
+    """Events as flat buckets: named values of each user and day in order of event_id."""
     e = _table(spark, d, "events")
     name = F.when(F.col("event_type") == "click", "V2_CORR20").when(F.col("event_type") == "view", "bmc20").otherwise("other")
     bucket = F.struct(name.alias("displayName"), F.round("value", 4).cast("string").alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("date"), F.lit(None).cast("string").alias("payoutPending"), F.when(F.col("event_id") % 2 == 0, F.lit("1.5")).alias("payoutSettled"))
-    lists = e.groupBy(F.col("user_id").cast("string").alias("model_name"), F.dayofyear("ts").alias("roundNumber")).agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", bucket.alias("b")))), lambda x: x["b"]).alias("intraRoundSubmissionScores"))
-    nested = lists.groupBy("model_name").agg(F.collect_list(F.struct("roundNumber", "intraRoundSubmissionScores")).alias("rounds")).select(F.lit("2024-02-01").alias("fetched_at"), F.lit("intra").alias("source"), "model_name", F.col("rounds").cast(history.INTRA_ROUND).alias("rounds"))
-    return history.intra_round_rows(nested).select("model_name", "round_number", *r6("corr20", "bmc20", "payout", "primary_score"), "resolved")
+    place = F.struct("event_id", bucket.alias("b"))
+    flat = e.select(F.lit("2024-02-01").alias("fetched_at"), F.lit("intra").alias("source"), F.col("user_id").cast("string").alias("model_name"), F.dayofyear("ts").alias("round_number"), F.lit(0).alias("rpos"), place.alias("pos"), bucket.alias("b"))
+    return history.bucket_rows(flat).select("model_name", "round_number", *r6("corr20", "bmc20", "payout", "primary_score"), "resolved")
 
 
 def _stats_sql(w_sql: str) -> str:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from eraloom.functions.scalars import to_bool
 from eraloom.operators import history, registry, resume
+from eraloom.plans import queries
 from eraloom.sources import sinks, splits
 from eraloom.streaming import history_stream
 
@@ -56,6 +57,19 @@ def test_intra_round_last_bucket_wins(spark):
     assert (r["corr20"], r["bmc20"], r["payout"]) == (0.2, 0.4, 5.0)
 
 
+def test_intra_round_query_gathers_no_lists(spark, tmp_path):
+    """Many events of one user and day stay rows; the last of a name wins."""
+    events = [(k, 1 + k // 900, ["click", "view", "error"][k % 3], k / 8) for k in range(1000)]
+    df = spark.createDataFrame(events, "event_id long, user_id long, event_type string, value double").select("*", F.lit("2024-01-05 10:00:00").cast("timestamp").alias("ts"))
+    df.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    rows = queries.q38_intra_round(spark, str(tmp_path))
+    assert "collect_list" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["model_name"]: (r["round_number"], r["corr20"], r["bmc20"], r["payout"], r["resolved"]) for r in rows.collect()}
+    last = lambda user, kind: max((k, round(v, 4)) for k, u, t, v in events if (u, t) == (user, kind))[1]
+    paid = lambda user: 1.5 * sum(1 for k, u, _, _ in events if u == user and k % 2 == 0)
+    assert got == {str(u): (5, last(u, "click"), last(u, "view"), paid(u), True) for u in (1, 2)}
+
+
 def test_csv_round_trip(spark, tmp_path):
     rows = scores(spark, [(1, "true", 0.5)])
     sinks.write_history(rows, str(tmp_path / "h"), "csv")

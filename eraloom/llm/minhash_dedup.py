@@ -13,10 +13,16 @@ Shape of the work at scale:
 * texts with equal shingle sets fall into one *class* first, so thousands of
   exact copies cost one node;
 * inside a bucket only star edges to the bucket's smallest class are tested
-  first. Buckets that still hold several components go to a second round: their
-  members' full sets are joined exactly by rarity-ordered prefixes and positions,
-  and only pairs of different components are tested. Near-copies that the star
-  has connected never form pairs again, yet no link between components is lost;
+  first. Members of buckets that still hold several components go to a second
+  round with ``WIDE_BANDS`` longer bands (as long as a pair at the threshold
+  escapes all of them with probability under 1e-5) and two bits of every minimum:
+  a much sharper estimate, tested inside the join, so that pairs just under the
+  threshold, of which a group of loose copies has very many, are not made at all.
+  A few more rounds of star edges, each with another hub out of a bucket's largest
+  component, join what links at all; then the pairs of components that still are
+  apart are tested, with a side outside the bucket's largest one. Near-copies that
+  are connected never form pairs again, yet no link between components is lost
+  beyond that probability;
 * components come from min-label propagation with pointer jumping on tables in
   the shared folder; nothing is collected.
 
@@ -29,19 +35,24 @@ doc_id has a null component and its rows are kept. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eraloom.llm.text import WordHash, shingles
 from eraloom.plans.scratch import materialize
 
 BITS = 4
-_FOLD = 0x1111111111111111
+WIDE_BANDS = 120
+WIDE_BITS = 2
+#: Standard errors below the threshold at which an estimate still is confirmed: missed with probability 3e-6.
+SLACK = 4.5
+#: Rounds of star edges between components before all remaining pairs of them are tested.
+HUB_ROUNDS = 2
 
 
 def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,16 +64,32 @@ def minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The minimum of each hash function over a set, in blocks that fit a cache."""
     out = np.full(len(a), 0xFFFFFFFF, np.uint32)
     x = (hashes >> np.uint64(32)).astype(np.uint32)
-    for k in range(0, len(x), 512):
-        np.minimum(out, (a[:, None] * x[None, k : k + 512] + b[:, None]).min(axis=1), out=out)
+    for f in range(0, len(a), 240):
+        part = slice(f, f + 240)
+        for k in range(0, len(x), 512):
+            np.minimum(out[part], (a[part, None] * x[None, k : k + 512] + b[part, None]).min(axis=1), out=out[part])
     return out
 
 
-def pack(mins: np.ndarray) -> np.ndarray:
-    """Low BITS bits of each minimum, 16 to a long."""
-    low = (mins & np.uint32(2**BITS - 1)).astype(np.uint64)
-    low = np.pad(low, (0, -len(low) % 16)).reshape(-1, 16)
-    return (low << (np.arange(16, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64).view(np.int64)
+def pack(mins: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Low ``bits`` bits of each minimum, 64 / bits to a long."""
+    held = 64 // bits
+    low = (mins & np.uint32(2**bits - 1)).astype(np.uint64)
+    low = np.pad(low, (0, -len(low) % held)).reshape(-1, held)
+    return (low << (np.arange(held, dtype=np.uint64) * np.uint64(bits))).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def band_keys(mins: np.ndarray, rows: int) -> list[int]:
+    """One key for each run of ``rows`` minima."""
+    return [xxhash.xxh3_64_intdigest(r.tobytes(), seed=k) - 2**63 for k, r in enumerate(mins.reshape(-1, rows))]
+
+
+def wide_rows(percent: int) -> int:
+    """Most rows of a band at which a pair at the threshold escapes WIDE_BANDS bands with probability under 1e-5."""
+    rows = 1
+    while (1 - (percent / 100) ** (rows + 1)) ** WIDE_BANDS < 1e-5 and rows < 64:
+        rows += 1
+    return rows
 
 
 def _signer(shingle: int, bands: int, rows: int):
@@ -79,34 +106,70 @@ def _signer(shingle: int, bands: int, rows: int):
                     continue
                 m = minima(s, a, b)
                 ids.append(xxhash.xxh3_128_digest(s.tobytes()))
-                keys.append([xxhash.xxh3_64_intdigest(r.tobytes(), seed=k) - 2**63 for k, r in enumerate(m.reshape(bands, rows))])
+                keys.append(band_keys(m, rows))
                 packed.append(pack(m))
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "key": pdf["key"], "n_shingles": n, "cls": ids, "bands": keys, "sig": packed})
 
     return sign
 
 
+def _wide_signer(shingle: int, rows: int):
+    """Like ``_signer``, with WIDE_BANDS bands of ``rows`` and WIDE_BITS bits, each class of a batch once."""
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a, b = _functions(WIDE_BANDS * rows)
+        memo = WordHash()
+        for pdf in batches:
+            found = {xxhash.xxh3_128_digest(s.tobytes()): s for s in (shingles(t, shingle, memo) for t in pdf["text"])}
+            mins = [minima(s, a, b) for s in found.values()]
+            yield pd.DataFrame({"cls": list(found), "bands": [band_keys(m, rows) for m in mins], "sig": [pack(m, WIDE_BITS) for m in mins]})
+
+    return sign
+
+
 def _set_reader(shingle: int):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = WordHash()
         for pdf in batches:
-            sets = [shingles(t, shingle, memo) for t in pdf["text"]]
-            yield pd.DataFrame({"cls": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "items": [s.view(np.int64) for s in sets]})
+            found = {xxhash.xxh3_128_digest(s.tobytes()): s.view(np.int64) for s in (shingles(t, shingle, memo) for t in pdf["text"])}
+            yield pd.DataFrame({"cls": list(found), "items": list(found.values())})
 
     return read
 
 
-def _mismatches(longs: int):
+def _mismatches(longs: int, bits: int = BITS) -> Column:
     """Number of unequal bit groups of two packed signatures, as a column expression."""
     total = F.lit(0)
+    ones = sum(1 << k for k in range(0, 64, bits))
     for k in range(longs):
         d = F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
-        total = total + F.bit_count(d.bitwiseAND(F.lit(_FOLD)))
+        if bits > 1:
+            d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
+            for step in range(2, bits, 2):
+                d = d.bitwiseOR(F.shiftrightunsigned(d, step))
+            d = d.bitwiseAND(F.lit(ones))
+        total = total + F.bit_count(d)
     return total
 
 
+def most_mismatches(width: int, percent: int, bits: int = BITS) -> int:
+    """Unequal groups out of ``width`` up to which a pair is worth confirming: the similarity
+    corrected for groups that are equal by accident lies within SLACK standard errors."""
+    j, c = percent / 100, 2.0**-bits
+    equal = j + (1 - j) * c
+    return width - int(width * (equal - SLACK * (equal * (1 - equal) / width) ** 0.5))
+
+
+def _side(mark: str, longs: int) -> list[Column]:
+    return [F.col("cls").alias(mark), F.col("n").alias(f"n_{mark}"), *(F.col("sig")[k].alias(f"{mark}{k}") for k in range(longs))]
+
+
+def _near(width: int, percent: int, bits: int = BITS) -> Column:
+    """Set sizes and signatures of a pair allow a link."""
+    sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    return sizes & (_mismatches(-(-width * bits // 64), bits) <= most_mismatches(width, percent, bits))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges(a, b)`` as (cls, root), for linked nodes only.
 
@@ -127,6 +190,45 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             return labels
 
 
+def _join_open(texts: DataFrame, members: DataFrame, shingle: int, percent: int, confirm: Callable[[DataFrame, str], DataFrame]) -> DataFrame | None:
+    """(root, top) for components that links of the second round join, None without any.
+    ``members(cls, root, n)`` are the classes of ``texts`` and their components so far."""
+    rows = wide_rows(percent)
+    width, longs = WIDE_BANDS * rows, -(-WIDE_BANDS * rows * WIDE_BITS // 64)
+    near = _near(width, percent, WIDE_BITS)
+    wide = texts.mapInPandas(_wide_signer(shingle, rows), "cls binary, bands array<long>, sig array<long>").dropDuplicates(["cls"])
+    wide = materialize(wide.join(members, "cls"), "wide")
+    slots = wide.select("cls", F.posexplode("bands").alias("band", "key"))
+    start, links, tops, turn = members.select("cls", "root"), None, None, 0
+    while True:
+        placed = start if tops is None else start.join(tops, "root", "left").select("cls", F.coalesce("top", "root").alias("root"))
+        slots = slots.join(placed, "cls")
+        hub = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), "cls"))["cls"].alias("hub")
+        sizes = slots.groupBy("band", "key", "root").agg(F.count("*").alias("members"), hub)
+        main = F.max_by(F.struct("root", "hub"), F.struct("members", "root"))
+        mains = sizes.groupBy("band", "key").agg(main.alias("m"), F.count("*").alias("parts")).where("parts > 1").select("band", "key", F.col("m")["root"].alias("main"), F.col("m")["hub"].alias("hub"))
+        mixed = materialize(slots.join(mains, ["band", "key"]), "wide-buckets")
+        if turn < HUB_ROUNDS:
+            star = mixed.where("root <> main").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+            pairs = star.join(wide.select(*_side("a", longs)), "a").join(wide.select(*_side("b", longs)), "b").where(near).select("a", "b")
+        else:
+            # A pair with a side in the main component is found from its other side, any other pair from its smaller class.
+            signed = mixed.join(wide.select("cls", "n", "sig"), "cls")
+            x = signed.where("root <> main").select("band", "key", F.col("root").alias("root_a"), *_side("a", longs))
+            y = signed.select("band", "key", F.col("root").alias("root_b"), F.col("main").alias("main_b"), *_side("b", longs))
+            once = (F.col("root_a") != F.col("root_b")) & ((F.col("a") < F.col("b")) | (F.col("root_b") == F.col("main_b")))
+            pairs = x.join(y, ["band", "key"]).where(once & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        new = confirm(materialize(pairs, "wide-pairs"), "wide")
+        none = new.isEmpty()
+        if not none:
+            links = new if links is None else links.union(new)
+            ends = links.join(start.select(F.col("cls").alias("a"), F.col("root").alias("u")), "a").join(start.select(F.col("cls").alias("b"), F.col("root").alias("v")), "b")
+            tops = components(ends.select(F.col("u").alias("a"), F.col("v").alias("b")).where("a <> b"), "wide").select(F.col("cls").alias("root"), F.col("root").alias("top"))
+        if turn >= HUB_ROUNDS:
+            return tops
+        slots, turn = mixed.select("cls", "band", "key"), HUB_ROUNDS if none else turn + 1
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -141,37 +243,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 def judge(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
     """One row per input row: doc_id, key (the hash of its text), n_shingles, root (the
     component's own mark, null for an empty set) and component_id."""
-    width, longs = bands * rows, -(-bands * rows // 16)
+    width, longs = bands * rows, -(-bands * rows * BITS // 64)
     signed = materialize(
         docs.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInPandas(_signer(shingle, bands, rows), "doc_id long, key long, n_shingles long, cls binary, bands array<long>, sig array<long>"), "minhash"
     )
+    # ``key`` names a text of the class, one of its smallest doc_id if it has any.
+    text_of = F.coalesce(F.min_by("key", "doc_id"), F.min("key")).alias("key")
     classes = materialize(
-        signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minhash-classes"
+        signed.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), text_of, F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "minhash-classes"
     )
-    def side(mark: str) -> list:
-        return [F.col("cls").alias(mark), F.col("n").alias(f"n_{mark}"), *(F.col("sig")[k].alias(f"{mark}{k}") for k in range(longs))]
 
     # Buckets with two classes or more, each row with its bucket's smallest class as hub.
     slots = classes.select("cls", F.posexplode("bands").alias("band", "key"))
     hubs = slots.groupBy("band", "key").agg(F.min("cls").alias("hub"), F.max("cls").alias("last")).where("hub <> last").select("band", "key", "hub")
     buckets = materialize(slots.join(hubs, ["band", "key"]), "minhash-buckets")
 
-    # Least corrected estimate worth confirming: 4.5 standard errors under the threshold, missed with probability 3e-6.
-    j, c = percent / 100, 2.0**-BITS
-    equal = j + (1 - j) * c
-    most = width - int(width * (equal - 4.5 * (equal * (1 - equal) / width) ** 0.5))
-    near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (_mismatches(longs) <= most)
-
-    def estimate(pairs: DataFrame) -> DataFrame:
-        return pairs.join(classes.select(*side("a")), "a").join(classes.select(*side("b")), "b").where(near).select("a", "b")
-
-    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
-        """The full shingle set of every wanted class, read again from one of its rows."""
-        need = materialize(wanted.join(classes.select("cls", "doc_id"), "cls"), f"{name}-wanted")
-        rows = docs.select("doc_id", "text").join(need.select(F.col("doc_id").alias("id")).distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-        return materialize(rows.mapInPandas(_set_reader(shingle), "cls binary, items array<long>").join(need, "cls", "left_semi").dropDuplicates(["cls"]), f"{name}-sets")
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """A text of every wanted class, and no text of another class."""
+        need = wanted.join(classes.select("cls", "doc_id", "key"), "cls").select(F.col("doc_id").alias("id"), F.col("key").alias("k"))
+        return docs.select("doc_id", "text").join(need, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("k")), "left_semi").select("text")
 
-    def confirm(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+    def confirm(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs whose full sets reach the threshold."""
+        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        sets = materialize(texts_of(ends).mapInPandas(_set_reader(shingle), "cls binary, items array<long>").dropDuplicates(["cls"]), f"{name}-sets")
         left = sets.select(F.col("cls").alias("a"), F.col("items").alias("items_a"))
         right = sets.select(F.col("cls").alias("b"), F.col("items").alias("items_b"))
         inter, union = F.col("inter"), F.size("items_a") + F.size("items_b") - F.col("inter")
@@ -179,42 +274,19 @@ def judge(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40,
         return materialize(both.where(inter * 100 >= union * percent).select("a", "b"), f"{name}-links")
 
     star = buckets.where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    pairs = materialize(estimate(star), "star-pairs")
-    links = confirm(pairs, sets_of(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct(), "star"), "star")
+    pairs = star.join(classes.select(*_side("a", longs)), "a").join(classes.select(*_side("b", longs)), "b").where(_near(width, percent)).select("a", "b")
+    links = confirm(materialize(pairs, "star-pairs"), "star")
     roots = components(links, "star")
 
-    # Second round: buckets that still hold several components.
-    placed = buckets.join(roots, "cls", "left").select("band", "key", "hub", "cls", F.coalesce("root", "cls").alias("root"))
-    sizes = placed.groupBy("band", "key", "root").agg(F.count("*").alias("members"))
-    open_ = sizes.groupBy("band", "key").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("band", "key", "main")
-    still = materialize(placed.join(open_, ["band", "key"]), "minhash-open")
-    # Their members' sets are joined exactly, by prefix and position: with every set in
-    # order of rarity, two sets at the threshold share a token within both prefixes, and
-    # what follows their first common token is long enough to reach it.
-    sets = sets_of(still.select("cls").distinct(), "rest")
-    items = sets.select("cls", F.size("items").alias("n"), F.explode("items").alias("item"))
-    counts = items.groupBy("item").agg(F.count("*").alias("df")).where("df > 1")
-    # Tokens of one set only come first; their number is what the others leave.
-    by_class = Window.partitionBy("cls")
-    ranked = items.join(counts, "item").withColumn("place", F.row_number().over(by_class.orderBy("df", "item")) + F.col("n") - F.count("*").over(by_class))
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    tokens = ranked.where(F.col("place") <= prefix).select("cls", "item", "place").join(roots, "cls", "left").join(classes.select("cls", "n", "sig"), "cls")
-    tokens = materialize(tokens.withColumn("root", F.coalesce("root", "cls")), "rest-tokens")
-    sizes = tokens.groupBy("item", "root").agg(F.count("*").alias("members"))
-    mains = sizes.groupBy("item").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("item", "main")
-    tokens = tokens.join(mains, "item")
-    x = tokens.where("root <> main").select("item", F.col("root").alias("root_a"), F.col("place").alias("place_a"), *side("a"))
-    y = tokens.select("item", F.col("root").alias("root_b"), F.col("main").alias("main_b"), F.col("place").alias("place_b"), *side("b"))
-    once = (F.col("root_a") != F.col("root_b")) & ((F.col("a") < F.col("b")) | (F.col("root_b") == F.col("main_b")))
-    reach = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
-    enough = reach * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    rest = x.join(y, "item").where(once & enough & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = materialize(rest, "rest-pairs")
-    more = confirm(rest, sets, "rest")
-    if not more.isEmpty():
-        roots = components(links.union(more), "all")
-
-    named = classes.join(roots, "cls", "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
+    # Second round: members of buckets that still hold several components.
+    placed = buckets.join(roots, "cls", "left").select("band", "key", "cls", F.coalesce("root", "cls").alias("root"))
+    open_ = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", "key")
+    still = materialize(placed.join(open_, ["band", "key"], "left_semi").select("cls", "root").distinct(), "minhash-open")
+    named = classes.select("cls", "doc_id").join(roots, "cls", "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
+    tops = _join_open(texts_of(still.select("cls")), still.join(classes.select("cls", "n"), "cls"), shingle, percent, confirm)
+    if tops is not None:
+        named = named.join(tops, "root", "left").select("cls", "doc_id", F.coalesce("top", "root").alias("root"))
+
     ids = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_class = named.join(ids, "root").select("cls", "root", "component_id")
     out = signed.select("doc_id", "key", "n_shingles", "cls").join(by_class, "cls", "left")

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: A word memo is emptied at this many entries, so that memory stays bounded.
-MEMO = 400_000
+MEMO = 100_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)

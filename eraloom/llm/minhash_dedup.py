@@ -44,15 +44,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eraloom.llm.text import WordHash, shingles
-from eraloom.plans.scratch import materialize
+from eraloom.plans.scratch import broadcast_if_small, materialize
 
 BITS = 4
 WIDE_BANDS = 120
 WIDE_BITS = 2
 #: Standard errors below the threshold at which an estimate still is confirmed: missed with probability 3e-6.
 SLACK = 4.5
-#: Rounds of star edges between components before all remaining pairs of them are tested.
-HUB_ROUNDS = 2
+#: More rounds of star edges between components before all remaining pairs of them are tested.
+HUB_ROUNDS = 1
 
 
 def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +114,7 @@ def _signer(shingle: int, bands: int, rows: int):
 
 
 def _wide_signer(shingle: int, rows: int):
-    """Like ``_signer``, with WIDE_BANDS bands of ``rows`` and WIDE_BITS bits, each class of a batch once."""
+    """Like ``_signer``, with WIDE_BANDS bands of ``rows`` (32 bits of their keys) and WIDE_BITS bits, each class of a batch once."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _functions(WIDE_BANDS * rows)
@@ -122,7 +122,7 @@ def _wide_signer(shingle: int, rows: int):
         for pdf in batches:
             found = {xxhash.xxh3_128_digest(s.tobytes()): s for s in (shingles(t, shingle, memo) for t in pdf["text"])}
             mins = [minima(s, a, b) for s in found.values()]
-            yield pd.DataFrame({"cls": list(found), "bands": [band_keys(m, rows) for m in mins], "sig": [pack(m, WIDE_BITS) for m in mins]})
+            yield pd.DataFrame({"cls": list(found), "bands": [np.array(band_keys(m, rows)).astype(np.int32) for m in mins], "sig": [pack(m, WIDE_BITS) for m in mins]})
 
     return sign
 
@@ -196,13 +196,12 @@ def _join_open(texts: DataFrame, members: DataFrame, shingle: int, percent: int,
     rows = wide_rows(percent)
     width, longs = WIDE_BANDS * rows, -(-WIDE_BANDS * rows * WIDE_BITS // 64)
     near = _near(width, percent, WIDE_BITS)
-    wide = texts.mapInPandas(_wide_signer(shingle, rows), "cls binary, bands array<long>, sig array<long>").dropDuplicates(["cls"])
+    wide = texts.mapInPandas(_wide_signer(shingle, rows), "cls binary, bands array<int>, sig array<long>").dropDuplicates(["cls"])
     wide = materialize(wide.join(members, "cls"), "wide")
-    slots = wide.select("cls", F.posexplode("bands").alias("band", "key"))
+    n_wide = wide.count()
+    slots = wide.select("cls", "root", F.posexplode("bands").alias("band", "key"))
     start, links, tops, turn = members.select("cls", "root"), None, None, 0
     while True:
-        placed = start if tops is None else start.join(tops, "root", "left").select("cls", F.coalesce("top", "root").alias("root"))
-        slots = slots.join(placed, "cls")
         hub = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), "cls"))["cls"].alias("hub")
         sizes = slots.groupBy("band", "key", "root").agg(F.count("*").alias("members"), hub)
         main = F.max_by(F.struct("root", "hub"), F.struct("members", "root"))
@@ -213,11 +212,13 @@ def _join_open(texts: DataFrame, members: DataFrame, shingle: int, percent: int,
             pairs = star.join(wide.select(*_side("a", longs)), "a").join(wide.select(*_side("b", longs)), "b").where(near).select("a", "b")
         else:
             # A pair with a side in the main component is found from its other side, any other pair from its smaller class.
-            signed = mixed.join(wide.select("cls", "n", "sig"), "cls")
-            x = signed.where("root <> main").select("band", "key", F.col("root").alias("root_a"), *_side("a", longs))
-            y = signed.select("band", "key", F.col("root").alias("root_b"), F.col("main").alias("main_b"), *_side("b", longs))
+            # Of the bands that two classes share, the first makes the pair.
+            signed = mixed.join(wide.select("cls", "n", "sig", "bands"), "cls")
+            x = signed.where("root <> main").select("band", "key", F.col("root").alias("root_a"), F.col("bands").alias("bands_a"), *_side("a", longs))
+            y = signed.select("band", "key", F.col("root").alias("root_b"), F.col("main").alias("main_b"), F.col("bands").alias("bands_b"), *_side("b", longs))
             once = (F.col("root_a") != F.col("root_b")) & ((F.col("a") < F.col("b")) | (F.col("root_b") == F.col("main_b")))
-            pairs = x.join(y, ["band", "key"]).where(once & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            first = F.array_position(F.zip_with("bands_a", "bands_b", lambda p, q: p == q), True) == x["band"] + 1
+            pairs = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & once & near & first).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = confirm(materialize(pairs, "wide-pairs"), "wide")
         none = new.isEmpty()
         if not none:
@@ -226,7 +227,8 @@ def _join_open(texts: DataFrame, members: DataFrame, shingle: int, percent: int,
             tops = components(ends.select(F.col("u").alias("a"), F.col("v").alias("b")).where("a <> b"), "wide").select(F.col("cls").alias("root"), F.col("root").alias("top"))
         if turn >= HUB_ROUNDS:
             return tops
-        slots, turn = mixed.select("cls", "band", "key"), HUB_ROUNDS if none else turn + 1
+        placed = start if tops is None else start.join(tops, "root", "left").select("cls", F.coalesce("top", "root").alias("root"))
+        slots, turn = mixed.select("cls", "band", "key").join(broadcast_if_small(placed, n_wide, 200_000), "cls"), HUB_ROUNDS if none else turn + 1
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:

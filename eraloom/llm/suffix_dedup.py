@@ -10,21 +10,24 @@ equal strings have equal anchors, always.
 
 1. Anchors held by a single document are dropped (they cannot share a string).
 2. Each remaining anchor gives its context, the bytes of all LENGTH-byte strings
-   whose minimizer it is. Equal contexts collapse to the smallest doc_id that has
-   one; larger ids are covered whole.
-3. Anchors with several different contexts go to the suffix sorter: contexts are
-   concatenated in bounded blocks, suffixes smaller than their successors are
-   sorted directly, all others are induced by bucket scans, and adjacent common
-   prefixes of LENGTH bytes or more group equal strings; each group's smallest
-   doc_id tells which strings fall. An anchor with more than ``MOST`` contexts
-   (the edge of a passage that very many documents share) is settled by grouping
-   the strings themselves, exactly as well, with partial aggregation.
+   whose minimizer it is, named by (anchor, hash). Equal contexts collapse to the
+   smallest doc_id that has one; larger ids are covered whole.
+3. Anchors with several different contexts go to the suffix sorter, for which the
+   bytes of one context of each kind are read again: contexts are concatenated in
+   bounded blocks, suffixes smaller than their successors are sorted directly, all
+   others are induced by bucket scans, and adjacent common prefixes of LENGTH bytes
+   or more group equal strings; each group's smallest doc_id tells which strings
+   fall. The contexts of an anchor with more than ``most`` of them (the edge of a
+   passage that very many documents share) are cut into their strings, dealt by
+   hash to as many sorter keys as that takes.
 4. Spans per document are merged and cut from the bytes.
 
-Anchors and contexts that a batch already holds in several documents are settled
-in the batch, one row of each goes on; a string held by a third of all documents
-so costs one row per batch. No text is collected; groups are bounded by a
-document or by MOST.
+Hot groups: anchors, contexts and strings that a batch already holds in several
+documents are settled in the batch, and one row of each goes on; so a string held
+by a third of all documents costs its key one row of a few numbers per batch. No
+text is collected; longer texts are taken in pieces of ``PIECE`` bytes, whose
+overlap gives every string to one piece; repeats inside one document (a long run
+of one byte) become one row.
 
 Defined cases: a null text is empty; texts under LENGTH bytes lose nothing; rows
 that repeat a doc_id are one document for the rule (a row's strings do not fall
@@ -48,10 +51,12 @@ from eraloom.llm.text import mix
 from eraloom.plans.scratch import materialize
 
 LENGTH = 50
-GRAM = 24
+GRAM = 20
 WINDOW = LENGTH - GRAM + 1
+#: Contexts of one anchor that meet under one key of the suffix sorter.
 MOST = 4_000
 BLOCK = 1 << 20
+PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C55
 _BYTES = np.random.default_rng(7).integers(1, 2**63, 256, np.uint64)
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -96,6 +101,9 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def contexts(at: np.ndarray, hashes: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last start of the LENGTH-byte strings whose minimizer is each anchor."""
+    if len(at) > 20_000:
+        parts = [contexts(at[k : k + 20_000], hashes[k : k + 20_000], least) for k in range(0, len(at), 20_000)]
+        return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
     starts = at[:, None] + np.arange(-WINDOW + 1, 1)
     ok = (starts >= 0) & (starts < len(least))
     ok &= least[np.clip(starts, 0, len(least) - 1)] == hashes[:, None]
@@ -199,11 +207,19 @@ def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def _pieces(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """Offset and bytes of pieces that give every LENGTH-byte string to one piece."""
+    for lo in range(0, max(len(data) - LENGTH + 1, 1), PIECE):
+        yield lo, data[lo : lo + PIECE + LENGTH - 1] if len(data) > PIECE else data
+
+
 def _emit_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        hashes, docs = [], []
-        for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-            h = np.unique(anchors(_bytes(text))[1])
+        hashes, docs, copies = [], [], {}
+        for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):  # of equal texts only the smallest document's counts
+            copies[text] = min(copies.get(text, doc), doc)
+        for text, doc in copies.items():
+            h = np.unique(np.concatenate([anchors(piece)[1] for _, piece in _pieces(_bytes(text))]))
             hashes.append(h)
             docs.append(np.full(len(h), doc, np.int64))
         if not hashes:
@@ -222,7 +238,7 @@ def _emit_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"key": key.view(np.int64), "anchor": np.concatenate([h[first], h[local]]).view(np.int64), "doc": np.concatenate([d[first], d[local]])})
 
 
-CONTEXT = "cid binary, anchor long, doc long, tk long, start int, size int, bytes binary, settled boolean"
+CONTEXT = "anchor long, cid long, doc long, tk long, start int, size int, reach int, settled boolean"
 
 
 def _emit_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,63 +246,94 @@ def _emit_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows, smallest = [], {}
         for doc, tk, text, shared in zip(pdf["doc_id"], pdf["tk"], pdf["text"], pdf["shared"], strict=True):
-            data = _bytes(text)
-            at, hashes, least = anchors(data)
-            wanted = np.isin(hashes, np.asarray(shared, np.int64).view(np.uint64))
-            at, hashes = at[wanted], hashes[wanted]
-            if not len(at):
-                continue
-            lo, hi = contexts(at, hashes, least)
-            for h, a, b in zip(hashes.view(np.int64).tolist(), lo.tolist(), (hi + LENGTH).tolist(), strict=True):
-                part = data[a:b]
-                cid = xxhash.xxh3_128_digest(part)
-                smallest[cid] = min(smallest.get(cid, doc), doc)
-                rows.append((cid, h, doc, tk, a, b - a, part, False))
+            wanted = np.unique(np.asarray(shared, np.int64)).view(np.uint64)
+            last: dict[tuple[int, int], list] = {}
+            for offset, data in _pieces(_bytes(text)):
+                at, hashes, least = anchors(data)
+                some = np.isin(hashes, wanted)
+                at, hashes = at[some], hashes[some]
+                if not len(at):
+                    continue
+                lo, hi = contexts(at, hashes, least)
+                for h, a, b in zip(hashes.view(np.int64).tolist(), lo.tolist(), (hi + LENGTH).tolist(), strict=True):
+                    name = (h, xxhash.xxh3_64_intdigest(data[a:b]) - 2**63)
+                    before = last.get(name)
+                    if before is not None and offset + a - before[4] - before[6] <= LENGTH:
+                        before[6] = offset + a - before[4]  # the same again, touching: spans of both are one
+                        continue
+                    smallest[name] = min(smallest.get(name, doc), doc)
+                    last[name] = row = [*name, doc, tk, offset + a, b - a, 0, False]
+                    rows.append(row)
         # A context that a smaller document of the batch holds too is covered whole;
         # such spans of a document that touch become one row.
-        out, last = [], None
+        out, end = [], None
         for r in rows:
-            if r[2] == smallest[r[0]]:
+            if r[2] == smallest[r[0], r[1]]:
                 out.append(r)
-                last = None
-            elif last is not None and last[2:4] == list(r[2:4]) and last[4] <= r[4] <= last[4] + last[5]:
-                last[5] = max(last[5], r[4] + r[5] - last[4])
+                end = None
+            elif end is not None and end[2:4] == r[2:4] and end[4] <= r[4] <= end[4] + end[5]:
+                end[5] = max(end[5], r[4] + r[5] + r[6] - end[4])
             else:
-                last = [None, None, *r[2:6], None, True]
-                out.append(last)
-        yield pd.DataFrame(out, columns=names).astype({"anchor": "Int64"})
+                end = [*r[:4], r[4], r[5] + r[6], 0, True]
+                out.append(end)
+        yield pd.DataFrame(out, columns=names)
+
+
+PART = "key long, anchor long, cid long, at int, doc long, bytes binary"
+
+
+def _read_parts(most: int):
+    """The bytes of wanted contexts; those of anchors with more than ``most`` contexts as single
+    strings. A string that a smaller document of the batch holds too is settled: no bytes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows, smallest = [], {}
+            for doc, text, wanted in zip(pdf["doc_id"], pdf["text"], pdf["wanted"], strict=True):
+                data = _bytes(text)
+                for w in wanted:
+                    part = data[w["start"] : w["start"] + w["size"]]
+                    if w["n"] <= most:
+                        rows.append([w["anchor"], w["anchor"], w["cid"], 0, doc, part])
+                        continue
+                    keys = -(-w["n"] // most)
+                    for k in range(len(part) - LENGTH + 1):
+                        string = part[k : k + LENGTH]
+                        smallest[string] = min(smallest.get(string, doc), doc)
+                        key = xxhash.xxh3_64_intdigest(w["anchor"].to_bytes(8, "little", signed=True), seed=xxhash.xxh3_64_intdigest(string) % keys) - 2**63
+                        rows.append([key, w["anchor"], w["cid"], k, doc, string])
+            for r in rows:
+                if r[4] > smallest.get(r[5], r[4]):
+                    r[5] = None
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in PART.split(", ")])
+
+    return run
 
 
-SPAN = "cid binary, lo int, hi int"
+SPAN = "anchor long, cid long, lo int, hi int"
 
 
 def _sort_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows arrive ordered by anchor; blocks end at an anchor's end."""
-    held: list[tuple[int, bytes, bytes, int]] = []
+    """Rows arrive ordered by key; blocks end at a key's end."""
+    held: list[tuple[int, int, int, int, bytes, int]] = []
     size = 0
 
     def flush() -> pd.DataFrame:
-        found = covered([x[2] for x in held], np.array([x[3] for x in held], np.int64))
-        return pd.DataFrame([(x[1], a, b) for x, spans in zip(held, found, strict=True) for a, b in spans], columns=["cid", "lo", "hi"])
+        found = covered([x[4] for x in held], np.array([x[5] for x in held], np.int64))
+        return pd.DataFrame([(x[1], x[2], x[3] + a, x[3] + b) for x, spans in zip(held, found, strict=True) for a, b in spans], columns=["anchor", "cid", "lo", "hi"])
 
     for pdf in batches:
-        for row in zip(pdf["anchor"], pdf["cid"], pdf["bytes"], pdf["doc"], strict=True):
+        for row in zip(*(pdf[c] for c in ("key", "anchor", "cid", "at", "bytes", "doc")), strict=True):
             if size > BLOCK and held[-1][0] != row[0]:
                 yield flush()
                 held.clear()
                 size = 0
             held.append(row)
-            size += len(row[2])
+            size += len(row[4])
     if held:
         yield flush()
 
 
-def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = [(xxhash.xxh3_128_digest(b[k : k + LENGTH]), cid, k, doc) for cid, b, doc in zip(pdf["cid"], pdf["bytes"], pdf["doc"], strict=True) for k in range(len(b) - LENGTH + 1)]
-        yield pd.DataFrame(rows, columns=["string", "cid", "lo", "doc"])
-
-
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
@@ -311,33 +358,31 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def removal_spans(docs: DataFrame, most: int = MOST) -> DataFrame:
     """(doc, tk, lo, hi), tk the hash of the text: byte spans of each document to remove, not merged."""
     named = docs.select("doc_id", F.xxhash64("text").alias("tk"), "text").where("doc_id is not null")
-    held = named.select("doc_id", "text").mapInPandas(_emit_anchors, "key long, anchor long, doc long").repartition("key")
-    # Keys hold few rows (one per batch for a common anchor), so one sorted window
-    # decides them; a join would run the anchors twice.
-    same = Window.partitionBy("key")
-    shared = held.withColumn("lo", F.min("doc").over(same)).withColumn("hi", F.max("doc").over(same)).where("lo < hi")
-    by_doc = shared.groupBy("doc").agg(F.collect_set("anchor").alias("shared"))
     # An exact copy of a smaller document falls whole; its contexts are not needed.
     digest = named.select("doc_id", "tk", F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("digest"))
     least = digest.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     copies = materialize(digest.join(least, "digest").where(F.col("doc_id") > F.col("first")).select(F.col("doc_id").alias("doc"), "tk", F.col("size").cast("int").alias("size")).distinct(), "copies")
+    # A key holds one row per batch for a common anchor, so one sorted window decides it;
+    # a join would run the anchors twice.
+    held = named.select("doc_id", "text").mapInPandas(_emit_anchors, "key long, anchor long, doc long").repartition("key")
+    same = Window.partitionBy("key")
+    shared = held.withColumn("lo", F.min("doc").over(same)).withColumn("hi", F.max("doc").over(same)).where("lo < hi")
+    by_doc = materialize(shared.groupBy("doc").agg(F.collect_list("anchor").alias("shared")), "shared-anchors")
     rest = named.join(copies.select(F.col("doc").alias("doc_id"), "tk"), ["doc_id", "tk"], "left_anti")
     found = rest.join(by_doc, F.col("doc_id") == F.col("doc")).select("doc_id", "tk", "text", "shared").mapInPandas(_emit_contexts, CONTEXT)
     found = materialize(found, "contexts")
-    each = found.where("not settled")
-    firsts = materialize(each.groupBy("cid").agg(F.min("doc").alias("first"), F.first("anchor").alias("anchor")), "context-firsts")
-    whole = each.select("cid", "doc", "tk", "start", "size").join(firsts.select("cid", "first"), "cid")
-    mixed = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    some = firsts.select("cid", "first", F.col("anchor").alias("a")).join(mixed, F.col("a") == F.col("anchor")).select("cid", "first", "n")
-    parts = each.select("cid", "anchor", "doc", "bytes").join(some, "cid").where("doc = first").dropDuplicates(["cid"])
-    parts = materialize(parts.select("cid", "anchor", "doc", "bytes", "n"), "context-parts")
-    sorted_ = parts.where(F.col("n") <= most).repartition("anchor").sortWithinPartitions("anchor", "doc", "cid").select("anchor", "cid", "bytes", "doc").mapInPandas(_sort_blocks, SPAN)
-    strings = parts.where(F.col("n") > most).select("cid", "bytes", "doc").mapInPandas(_strings, "string binary, cid binary, lo int, doc long")
-    least = strings.groupBy("string").agg(F.min("doc").alias("first"))
-    grouped = strings.join(least, "string").where("first < doc").select("cid", "lo", (F.col("lo") + LENGTH).alias("hi"))
-    inside = sorted_.union(grouped)
-    full = whole.where("doc > first").select("doc", "tk", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
-    part = whole.where("doc = first").join(inside, "cid").select("doc", "tk", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
+    # Here too a key has one row per batch, or per batch's smallest document.
+    first = F.min("doc").over(Window.partitionBy("anchor", "cid"))
+    each = materialize(found.where("not settled").drop("settled").withColumn("first", first), "context-firsts")
+    kinds = each.where("doc = first").groupBy("anchor", "cid").agg(F.min(F.struct("doc", "tk", "start", "size")).alias("w"))
+    kinds = materialize(kinds, "context-kinds")
+    mixed = kinds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    wanted = kinds.join(mixed, "anchor").groupBy(F.col("w.doc").alias("doc_id"), F.col("w.tk").alias("tk")).agg(F.collect_list(F.struct("anchor", "cid", "w.start", "w.size", "n")).alias("wanted"))
+    parts = materialize(named.join(wanted, ["doc_id", "tk"]).select("doc_id", "text", "wanted").mapInPandas(_read_parts(most), PART), "context-parts")
+    inside = parts.where("bytes is not null").repartition("key").sortWithinPartitions("key", "doc").mapInPandas(_sort_blocks, SPAN)
+    inside = inside.union(parts.where("bytes is null").select("anchor", "cid", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi")))
+    full = each.where("doc > first").select("doc", "tk", F.col("start").alias("lo"), (F.col("start") + F.col("size") + F.col("reach")).alias("hi"))
+    part = each.where("doc = first").join(inside, ["anchor", "cid"]).select("doc", "tk", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("reach") + F.col("hi")).alias("hi"))
     local = found.where("settled").select("doc", "tk", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
     twins = copies.where(F.col("size") >= LENGTH).select("doc", "tk", F.lit(0).alias("lo"), F.col("size").alias("hi"))
     return full.union(part).union(local).union(twins)

@@ -12,6 +12,10 @@ the vocabulary, so a text falls into independent units, and a bounded memo of
 unit encodings serves most of it. Work is one pass over the rows in Arrow
 batches: no shuffle, and a lost task is simply rerun.
 
+The encoder covers merge-type models that leave text as it is but for a word mark in
+front and for spaces. A model of another kind is refused: every encoder first encodes
+``PROBES`` as the library does, or raises. Models are shipped and cached by content.
+
 Defined cases: null and empty texts encode to the end id alone and decode to an
 empty string; repeated rows repeat their result; every text is encoded whole,
 whatever its length; other columns pass through ``encode`` untouched by name.
@@ -29,12 +33,15 @@ from operator import itemgetter
 import ahocorasick
 import pandas as pd
 import sentencepiece
-from pyspark import SparkFiles
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 MARK = "▁"
 _NUMBERS, _WORDS = itemgetter(0), itemgetter(1)
-MEMO = 500_000
+#: Memos are emptied at this many entries, so that memory stays bounded.
+MEMO = 100_000
+#: Texts that models with other normalization, prefixes, spaces or piece types encode differently.
+PROBES = ["Hello world", "ABC Straße ÉCOLE", "ﬁ ① Å é ｆｕｌｌ", " a  b   c ", "tab\tline\nend\r\n", "日本語 текст عربي 😀", "aaaaabbbbb 12345 don't", "\u00a0\u3000\u200bx", "internationalization misunderstandings", "\u2581x \u2581\u2581"]
 #: Texts of one decode call hold at most so many ids.
 DECODE_IDS = 2_000_000
 
@@ -66,6 +73,9 @@ class Encoder:
         self.units = re.compile(f"{MARK}+[{known}]*|[{known}]+|[^{known}{MARK}]+")
         self.plain, self.marked = Memo(self, ""), Memo(self, MARK)
         self.newline = self.plain["\n"]
+        for text in PROBES:
+            if self.encode(text)[:-1] != sp.encode(text):
+                raise ValueError("the model is not of the merge type, or normalizes its input")
 
     def merge(self, text: str) -> list[str]:
         """Merge by score, leftmost first: the definition, used on one or two pieces at a time."""
@@ -172,15 +182,14 @@ class Memo(dict):
 
 
 @functools.lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
+def _encoder(proto: bytes) -> Encoder:
     """One encoder for a worker process, so that its memos serve all its tasks."""
-    with open(path, "rb") as f:
-        return Encoder(f.read())
+    return Encoder(proto)
 
 
-def _digests(name: str):
+def _digests(model: Broadcast):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(SparkFiles.get(name))
+        encoder = _encoder(model.value)
         sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
         for pdf in batches:
             counts, hashes, decoded, waiting, held = [], [], [], [], 0
@@ -200,9 +209,9 @@ def _digests(name: str):
     return run
 
 
-def _ids(name: str, decode: bool):
+def _ids(model: Broadcast, decode: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(SparkFiles.get(name))
+        encoder = _encoder(model.value)
         for pdf in batches:
             rows = [encoder.encode(t) for t in pdf["text"]]
             out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": rows})
@@ -213,10 +222,12 @@ def _ids(name: str, decode: bool):
     return run
 
 
-def _ship(docs: DataFrame, model: str) -> str:
-    """Send the model file to all executors; returns its base name."""
-    docs.sparkSession.sparkContext.addFile(model)
-    return model.rsplit("/", 1)[-1]
+def _ship(docs: DataFrame, model: str) -> Broadcast:
+    """The model's bytes on all executors; a model that the encoder does not cover raises here."""
+    with open(model, "rb") as f:
+        proto = f.read()
+    Encoder(proto)
+    return docs.sparkSession.sparkContext.broadcast(proto)
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:

@@ -59,7 +59,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_and_index(_table(spark, sf_dir, "pages"))
+    return warc.archive_and_index(_table(spark, sf_dir, "pages")).drop("filename", "offset", "length")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

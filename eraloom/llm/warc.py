@@ -1,26 +1,30 @@
-"""WARC archives: write, read back, and merge their capture index.
+"""WARC writing and reading, and a globally ordered capture index.
 
-``write_archives`` turns pages into WARC/1.1 records. Of pages with equal payloads
-the one with the largest page_id is a response, the others are revisits that
-refer to it. Records are text rows whose line end is the record end, so Spark's
-own writer makes the archives: gzipped, in the shared folder, each of at most
-``records_per_file`` records so that a reader holds one archive at a time.
+``write_archives`` makes one WARC record per page. Of pages with equal payloads the
+one with the largest page_id is a response, the others are revisits that refer to
+it. Every record is a gzip member of its own, so that an archive can be read from any
+record's offset. Spark's text writer makes the files in the shared folder: a member's
+last byte is the high byte of its size, zero under 16 MiB (a longer record is followed
+by an empty member), and serves as the line end. A file holds ``records_per_file``
+records at most, and fewer where payloads are large, so that a reader holds little.
 
-``read_archives`` parses archives by their length fields, recomputes each
-payload's SHA-1, and gives one capture per record.
+``read_archives`` parses archives member by member by their length fields, recomputes
+each payload's SHA-1, and gives one capture per record with its file, offset and
+length; ``fetch`` gets payloads back by those alone.
 
 ``merge_index`` is an external merge: captures are sorted where they lie (runs),
-dealt by range of URL key and timestamp, and each range merges its pieces of the
-runs with a loser tree. Ranges follow each other, so the whole is ordered. The
-range key ends in the page id, so a host or URL with a third of all captures is
-spread over ranges.
+dealt by range of URL key and timestamp into ranges of about ``rows_per_range``
+captures, and each range merges its pieces of the runs with a loser tree. Ranges
+follow each other, so the whole is ordered. The range key ends in the page id, so a
+host or URL with a third of all captures is spread over ranges.
 
 Defined cases: a null html is an empty payload and a null url an empty one; line
 ends inside a URL are percent-encoded; rows that repeat a page_id with the same
-payload are all responses if that id is the largest, else all revisits; a null
+payload are all responses if that id is the largest, else all revisits; rows that
+repeat a page_id with different payloads are each judged by their own; a null
 page_id is written as "null" and comes back null, and is a response only if no
-other row has its payload; an empty table gives an empty archive and no rows.
-Extra columns are ignored.
+other row with an id has its payload; an empty table gives an empty archive and no
+rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -38,7 +43,11 @@ from eraloom.plans.scratch import materialize, scratch_path
 
 CRLF = "\r\n"
 END = CRLF + CRLF
-CAPTURE = "page_id long, url string, captured_at string, record_type string, refers_to long, payload_bytes long, payload_digest string"
+CAPTURE = "page_id long, url string, captured_at string, record_type string, refers_to long, payload_bytes long, payload_digest string, filename string, offset long, length long"
+#: Fixed value: the profile of a revisit record with an equal payload.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Bytes of payloads that one archive holds at most.
+ARCHIVE_BYTES = 1 << 28
 
 
 def base32_sha1(data: Column) -> Column:
@@ -55,14 +64,31 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), rest)
 
 
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each record as a gzip member without its last byte, which is zero."""
+    empty = gzip.compress(b"", mtime=0)
+    for pdf in batches:
+        out = []
+        for record in pdf["record"]:
+            data = record.encode("utf-8", "surrogatepass")
+            member = gzip.compress(data, 6, mtime=0)
+            out.append((member if len(data) < 1 << 24 else member + empty)[:-1])
+        yield pd.DataFrame({"member": out})
+
+
 def write_archives(pages: DataFrame, path: str, records_per_file: int = 2_000) -> None:
     """Write one WARC record per page under ``path``."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", F.coalesce(F.col("url"), F.lit("")).alias("url"), html.alias("html"), base32_sha1(html.cast("binary")).alias("digest"))
-    # Only ids and digests are grouped; a payload shared by very many pages is one counter per task.
-    shared = rows.groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    rows = rows.join(shared, "digest", "left")
-    revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
+    largest = pages.agg(F.max(F.octet_length("html"))).first()[0] or 1
+    # Payloads are not grouped, only ids and digests; revisits are told by page, so that a
+    # payload shared by very many pages makes no hot key for texts.
+    digests = materialize(rows.select("page_id", "digest"), "page-digests")
+    shared = digests.groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("copies")).where("copies > 1 and original is not null")
+    refs = digests.join(shared, "digest").where(~F.col("page_id").eqNullSafe(F.col("original")))
+    refs = refs.select(F.col("page_id").alias("page"), F.col("digest").alias("payload"), "original").distinct()
+    rows = rows.join(refs, F.col("page_id").eqNullSafe(F.col("page")) & (F.col("digest") == F.col("payload")), "left")
+    revisit = F.col("original").isNotNull()
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
     date = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     block = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length("html").cast("string"), F.lit(END), F.col("html"))
@@ -75,12 +101,14 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = 2_000) -
         "WARC-Date": date,
         "WARC-Payload-Digest": F.concat(F.lit("sha1:"), "digest"),
         "WARC-Refers-To": F.when(revisit, uri(F.col("original"))),
+        "WARC-Profile": F.when(revisit, PROFILE),
         "Content-Type": F.lit("application/http; msgtype=response"),
         "Content-Length": F.octet_length(block).cast("string"),
     }
     head = F.concat_ws(CRLF, F.lit("WARC/1.1"), *(F.concat(F.lit(f"{k}: "), v) for k, v in fields.items()))
-    record = F.concat(head, F.lit(END), block)
-    rows.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
+    members = rows.select(F.concat(head, F.lit(END), block, F.lit(END)).alias("record")).mapInPandas(_members, "member binary")
+    per_file = max(1, min(records_per_file, ARCHIVE_BYTES // largest))
+    members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", per_file).text(path)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -102,31 +130,75 @@ def _page(uri: str | None) -> int | None:
     return int(name) if name.lstrip("-").isdigit() else None
 
 
+def members(content: bytes, offset: int = 0) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and data of every gzip member from an offset on."""
+    view = memoryview(content)
+    while offset < len(content):
+        reader, at, data = zlib.decompressobj(31), offset, []
+        while not reader.eof:
+            data.append(reader.decompress(view[at : at + 65_536]))
+            at += 65_536
+        end = min(at, len(content)) - len(reader.unused_data)
+        yield offset, end - offset, b"".join(data)
+        offset = end
+
+
+def _payload(block: bytes) -> bytes:
+    return block[block.index(b"\r\n\r\n") + 4 :] if block else b""
+
+
 def _captures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [x.split()[0] for x in CAPTURE.split(", ")]
+    def frame(rows: list) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=[x.split()[0] for x in CAPTURE.split(", ")])
+        return out.astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes", "offset", "length")})
+
     for pdf in batches:
-        for content in pdf["content"]:
+        for path, content in zip(pdf["path"], pdf["content"], strict=True):
             rows = []
-            for fields, block in parse_records(gzip.decompress(content)):
-                row = [_page(fields["warc-record-id"]), fields["warc-target-uri"], fields["warc-date"], fields["warc-type"], _page(fields.get("warc-refers-to"))]
-                if fields["warc-type"] == "revisit":
-                    row += [None, None]
-                else:
-                    payload = block[block.index(b"\r\n\r\n") + 4 :]
-                    row += [len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()]
-                rows.append(row)
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})
+            for offset, length, data in members(content):
+                for fields, block in parse_records(data):
+                    row = [_page(fields["warc-record-id"]), fields["warc-target-uri"], fields["warc-date"], fields["warc-type"], _page(fields.get("warc-refers-to"))]
+                    if fields["warc-type"] == "revisit":
+                        row += [None, fields["warc-payload-digest"].removeprefix("sha1:")]
+                    else:
+                        payload = _payload(block)
+                        row += [len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()]
+                    rows.append([*row, path.rsplit("/", 1)[-1], offset, length])
+                if len(rows) >= 1_000:
+                    yield frame(rows)
+                    rows = []
+            yield frame(rows)
+
+
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One capture per record of the archives under ``path``; revisits get the
-    size and digest of the response they refer to."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content").mapInPandas(_captures, CAPTURE)
-    found = materialize(found, "captures")
-    originals = found.where("record_type = 'response' and page_id is not null").select(F.col("page_id").alias("original"), F.col("payload_bytes").alias("size"), F.col("payload_digest").alias("digest")).dropDuplicates(["original", "digest"])
-    out = found.join(originals, found["refers_to"] == originals["original"], "left")
-    return out.select("page_id", "url", "captured_at", "record_type", "refers_to", F.coalesce("payload_bytes", "size").alias("payload_bytes"), F.coalesce("payload_digest", "digest").alias("payload_digest"))
+    size of the response they refer to."""
+    found = materialize(_archives(spark, path).mapInPandas(_captures, CAPTURE), "captures")
+    sizes = found.where("record_type = 'response' and page_id is not null").select(F.col("page_id").alias("original"), F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("size")).distinct()
+    out = found.join(sizes, (found["refers_to"] == sizes["original"]) & (found["payload_digest"] == sizes["digest"]), "left")
+    return out.select(*(F.coalesce("payload_bytes", "size").alias(c) if c == "payload_bytes" else c for c in found.columns))
+
+
+def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for content, wanted in zip(pdf["content"], pdf["wanted"], strict=True):
+            rows = []
+            for w in wanted:
+                _, _, data = next(members(content[w["offset"] : w["offset"] + w["length"]]))
+                ((_, block),) = parse_records(data)
+                rows.append((w["page_id"], _payload(block)))
+            yield pd.DataFrame(rows, columns=["page_id", "payload"]).astype({"page_id": "Int64"})
+
+
+def fetch(captures: DataFrame, path: str) -> DataFrame:
+    """page_id and payload of captures, read by file, offset and length; a revisit's own record has none."""
+    wanted = captures.groupBy("filename").agg(F.collect_list(F.struct("page_id", "offset", "length")).alias("wanted"))
+    files = _archives(captures.sparkSession, path).withColumn("filename", F.substring_index("path", "/", -1))
+    return files.join(wanted, "filename").select("content", "wanted").mapInPandas(_fetch, "page_id long, payload binary")
 
 
 def merge_runs(runs: list[list]) -> Iterator:
@@ -169,11 +241,12 @@ def _merge(names: list[str]):
     return run
 
 
-def merge_index(captures: DataFrame) -> DataFrame:
+def merge_index(captures: DataFrame, rows_per_range: int = 100_000) -> DataFrame:
     """Captures with their url_key, in the order of (url_key, captured_at, page_id)."""
     keyed = captures.withColumn("url_key", url_key(F.col("url")))
     keyed = materialize(keyed.withColumn("run", F.spark_partition_id()).sortWithinPartitions("url_key", "captured_at", "page_id"), "runs")
-    dealt = keyed.repartitionByRange("url_key", "captured_at", "page_id")
+    ranges = max(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-keyed.count() // rows_per_range))
+    dealt = keyed.repartitionByRange(ranges, "url_key", "captured_at", "page_id")
     schema = keyed.drop("run").schema
     return dealt.mapInPandas(_merge(schema.names), schema)
 

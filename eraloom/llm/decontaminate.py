@@ -9,10 +9,11 @@ shingles do, so it is enough to look documents up by each window's rarest shingl
 2. each window's shingles are ordered by that frequency; the rarest is its prefix
    token, stored with its offset in the window. For exact containment (similarity
    1) the necessary prefix is one token long;
-3. documents' shingles join the prefix tokens; the position bound places the
-   window at ``position - offset``, the length bound drops windows that would
-   reach past either end;
-4. what remains is verified word by word against the window.
+3. documents' shingles, as positions and hashes only, join the prefix tokens; the
+   position bound places the window at ``position - offset``, the length bound drops
+   windows that would reach past either end;
+4. candidates meet their document's words, and what remains is verified word by word
+   over the item-sized window.
 
 The lookup side holds at most one row per benchmark word; it is broadcast only
 when its counted rows are under ``broadcast_rows``, else the same joins shuffle.
@@ -21,7 +22,7 @@ Overlapping hits are merged with a running maximum, so a word counts once.
 Defined cases: a null or wordless text has no words and is not contaminated;
 items that are null or wordless have no window and are never hit; an item whose
 words occur in a document only across its windows is hit where a window is.
-Repeated document rows repeat their result; item ids that repeat are listed once
+Texts are read whole, however long. Repeated document rows repeat their result; item ids that repeat are listed once
 each; a null item_id hits words but is not listed or counted among the items.
 Extra columns are ignored.
 """
@@ -68,30 +69,36 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingl
     n_parts = parts.count()
     # Shingle sizes in use: the full one, and shorter ones where whole items are shorter.
     sizes = sorted(r["k"] for r in parts.select("k").distinct().collect())
-    tokens = docs.select("doc_id", F.xxhash64("text").alias("key"), words(F.col("text")).alias("w"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    tokens = rows.select("doc_id", "key", words(F.col("text")).alias("w"))
+    filled = tokens.withColumn("size", F.size("w")).where("size > 0")
 
-    def shingles(df: DataFrame, *keep: str) -> DataFrame:
+    def hashes(k: int) -> Column:
+        """Hashes of the k-word shingles that start at each word; those that reach past the end match nothing."""
+        return F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda at: _key("w", at, k))
+
+    def shingles(*keep: str) -> DataFrame:
         """Position and token of every shingle of every size in use."""
-        found = df.where(F.size("w") > 0).select(*keep, F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("pos"))
-        if len(sizes) == 1:
-            return found.withColumn("token", _key("w", F.col("pos"), sizes[0]))
-        return found.withColumn("token", F.explode(F.array(*(_key("w", F.col("pos"), k) for k in sizes))))
+        if len(sizes) <= 1:
+            return filled.select(*keep, F.posexplode(hashes(sizes[0] if sizes else shingle)).alias("pos", "token"))
+        every = F.arrays_zip(*(hashes(k).alias(f"k{k}") for k in sizes))
+        return filled.select(*keep, F.posexplode(every).alias("pos", "t")).select(*keep, "pos", F.explode(F.array(*(F.col("t")[f"k{k}"] for k in sizes))).alias("token"))
 
     wanted = parts.select("token").distinct()
-    seen = shingles(tokens, "w").select("token").join(broadcast_if_small(wanted, n_parts, broadcast_rows), "token").groupBy("token").agg(F.count("*").alias("df"))
+    seen = shingles().select("token").join(broadcast_if_small(wanted, n_parts, broadcast_rows), "token").groupBy("token").agg(F.count("*").alias("df"))
     rank = Window.partitionBy("item_id", "win").orderBy("df", "offset")
     # A window with a shingle that no document holds occurs nowhere.
     ranked = parts.join(seen, "token", "left").withColumn("df", F.coalesce("df", F.lit(0))).withColumn("rank", F.row_number().over(rank))
     prefix = materialize(ranked.where("rank = 1 and df > 0").select("token", "offset", "n", "win", "item_id"), "window-prefixes")
-    probe = shingles(tokens, "doc_id", "key", "w")
+    probe = shingles("doc_id", "key", "size")
     start = F.col("pos") - F.col("offset")
-    hits = (
-        probe.join(broadcast_if_small(prefix, n_parts, broadcast_rows), "token")
-        .withColumn("start", start)
-        .where((F.col("start") >= 0) & (F.col("start") + F.col("n") <= F.size("w")))
-        .where(F.expr("slice(w, start + 1, n) = win"))
-        .select("doc_id", "key", "item_id", "start", (F.col("start") + F.col("n")).alias("stop"))
-    )
+    places = probe.join(broadcast_if_small(prefix, n_parts, broadcast_rows), "token").where((start >= 0) & (start + F.col("n") <= F.col("size")))
+    place = F.struct(start.alias("start"), "n", "win", "item_id")
+    places = places.groupBy(F.col("doc_id").alias("id"), F.col("key").alias("k")).agg(F.collect_list(place).alias("places"))
+    both = rows.join(places, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k")))
+    same = F.filter("places", lambda p: F.slice(F.col("w"), p["start"] + 1, p["n"]) == p["win"])
+    hits = both.select("doc_id", "key", words(F.col("text")).alias("w"), "places").select("doc_id", "key", F.explode(same).alias("p"))
+    hits = hits.select("doc_id", "key", "p.item_id", "p.start", (F.col("p.start") + F.col("p.n")).alias("stop")).distinct()
     return tokens.select("doc_id", "key", F.size("w").cast("long").alias("n_words")), hits
 
 

@@ -274,7 +274,7 @@ def _emit_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             elif end is not None and end[2:4] == r[2:4] and end[4] <= r[4] <= end[4] + end[5]:
                 end[5] = max(end[5], r[4] + r[5] + r[6] - end[4])
             else:
-                end = [*r[:4], r[4], r[5] + r[6], 0, True]
+                end = [r[3], r[4], *r[2:5], r[5] + r[6], 0, True]  # dealt by text, not by what is common
                 out.append(end)
         yield pd.DataFrame(out, columns=names)
 
@@ -370,14 +370,14 @@ def removal_spans(docs: DataFrame, most: int = MOST) -> DataFrame:
     by_doc = materialize(shared.groupBy("doc").agg(F.collect_list("anchor").alias("shared")), "shared-anchors")
     rest = named.join(copies.select(F.col("doc").alias("doc_id"), "tk"), ["doc_id", "tk"], "left_anti")
     found = rest.join(by_doc, F.col("doc_id") == F.col("doc")).select("doc_id", "tk", "text", "shared").mapInPandas(_emit_contexts, CONTEXT)
-    found = materialize(found, "contexts")
     # Here too a key has one row per batch, or per batch's smallest document.
-    first = F.min("doc").over(Window.partitionBy("anchor", "cid"))
-    each = materialize(found.where("not settled").drop("settled").withColumn("first", first), "context-firsts")
-    kinds = each.where("doc = first").groupBy("anchor", "cid").agg(F.min(F.struct("doc", "tk", "start", "size")).alias("w"))
-    kinds = materialize(kinds, "context-kinds")
+    kind = Window.partitionBy("anchor", "cid").orderBy("doc", "tk", "start")
+    found = found.withColumn("first", F.when(~F.col("settled"), F.first("doc").over(kind))).withColumn("speaks", F.row_number().over(kind) == 1)
+    found = materialize(found, "contexts")
+    each = found.where("not settled")
+    kinds = each.where("speaks").select("anchor", "cid", "doc", "tk", "start", "size")
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = kinds.join(mixed, "anchor").groupBy(F.col("w.doc").alias("doc_id"), F.col("w.tk").alias("tk")).agg(F.collect_list(F.struct("anchor", "cid", "w.start", "w.size", "n")).alias("wanted"))
+    wanted = kinds.join(mixed, "anchor").groupBy(F.col("doc").alias("doc_id"), "tk").agg(F.collect_list(F.struct("anchor", "cid", "start", "size", "n")).alias("wanted"))
     parts = materialize(named.join(wanted, ["doc_id", "tk"]).select("doc_id", "text", "wanted").mapInPandas(_read_parts(most), PART), "context-parts")
     inside = parts.where("bytes is not null").repartition("key").sortWithinPartitions("key", "doc").mapInPandas(_sort_blocks, SPAN)
     inside = inside.union(parts.where("bytes is null").select("anchor", "cid", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi")))

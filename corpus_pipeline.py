@@ -4,6 +4,10 @@ Verdicts belong to rows, not to ids: a row stays if its own text, named by doc_i
 the hash of the text, is judged clean, so null and repeated doc_ids shield nothing. Of
 near copies one row stays: the one of the smallest doc_id (rows without one come last),
 then of the smallest hash; repeats of that row go. Rows without words are no copies.
+Null and empty texts pass every stage as they are. Without labels (or with one label
+only) nothing counts as toxic, without benchmark items nothing as contaminated; an
+empty table stays empty. Texts are taken whole, and columns of documents come out
+unchanged but for redacted texts.
 """
 
 from __future__ import annotations

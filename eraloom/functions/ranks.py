@@ -26,13 +26,18 @@ def rank_01(value: str, by: list[str]) -> Column:
     return (average_rank(value, by) - 0.5) / group_size(by)
 
 
-def gauss_ranks(df: DataFrame, values: list[str], by: list[str], prefix: str = "g_") -> DataFrame:
-    """Normal quantile of each column's average rank, ``g_<value>``, under one exchange on ``by``.
+def gauss_ranks(df: DataFrame, values: list[str], by: list[str], prefix: str = "g_", by_range: bool = False) -> DataFrame:
+    """Normal quantile of each column's average rank, ``g_<value>``, under one exchange on ``by``;
+    ``by_range`` ranks groups that are too large for one task by ``average_rank_by_range``.
 
     The share and the quantile's tail variable are columns of their own, so that the
     polynomials read them instead of repeating the ranks.
     """
-    shares = df.select("*", *(rank_01(v, by).alias(f"__u_{v}") for v in values))
+    shares = df
+    for v in values if by_range else ():
+        shares = average_rank_by_range(shares, v, by, f"__u_{v}", share=True)
+    if not by_range:
+        shares = df.select("*", *(rank_01(v, by).alias(f"__u_{v}") for v in values))
     tails = shares.select("*", *(norm_tail(F.col(f"__u_{v}")).alias(f"__r_{v}") for v in values))
     share, tail = (lambda v: F.col(f"__u_{v}")), (lambda v: F.col(f"__r_{v}"))
     return tails.select(*df.columns, *(F.when(F.isnan(share(v)), share(v)).otherwise(norm_ppf(share(v), tail(v))).alias(f"{prefix}{v}") for v in values))
@@ -42,19 +47,26 @@ def center(value: str, by: list[str]) -> Column:
     return F.col(value) - F.avg(value).over(Window.partitionBy(*by))
 
 
-def average_rank_by_range(df: DataFrame, value: str, by: list[str], out: str = "avg_rank") -> DataFrame:
-    """``average_rank`` for groups too large for one task.
+def average_rank_by_range(df: DataFrame, value: str, by: list[str], out: str = "avg_rank", share: bool = False) -> DataFrame:
+    """``average_rank`` (or ``rank_01``) for groups too large for one task, with equal results.
 
     Rows are dealt by range of (group, value), so equal values share a task, ranked
     inside their range, and shifted by the number of the group's rows in earlier
-    ranges. The shifts are one row per range and group. NaN counts as the largest value.
+    ranges. The shifts are one row per range and group, and also tell a group's size
+    and whether it holds a NaN, which makes all its ranks NaN.
     """
     dealt = materialize(df.repartitionByRange(*by, value).withColumn("__range", F.spark_partition_id()), "ranges")
-    counts = dealt.groupBy("__range", *by).agg(F.count(F.lit(1)).alias("__rows"))
-    before = F.sum("__rows").over(Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
-    shifts = counts.select("__range", *by, F.coalesce(before, F.lit(0)).alias("__before"))
-    local = dealt.withColumn(out, average_rank(value, ["__range", *by]))
+    nan = F.max(F.coalesce(F.isnan(value), F.lit(False)))
+    counts = dealt.groupBy("__range", *by).agg(F.count(F.lit(1)).alias("__rows"), nan.alias("__nan"))
+    group = Window.partitionBy(*by)
+    before = F.sum("__rows").over(group.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    shifts = counts.select("__range", *by, F.coalesce(before, F.lit(0)).alias("__before"), F.sum("__rows").over(group).alias("__size"), F.max("__nan").over(group).alias("__broken"))
+    upto = Window.partitionBy("__range", *by).orderBy(value)
+    rank = (F.rank().over(upto) + F.count(F.lit(1)).over(upto.rangeBetween(Window.unboundedPreceding, Window.currentRow))) / 2
+    local = dealt.withColumn(out, rank)
     same = local["__range"] == shifts["__range"]
     for c in by:
         same = same & local[c].eqNullSafe(shifts[c])
-    return local.join(shifts, same).select(*(local[c] for c in df.columns), (local[out] + shifts["__before"]).alias(out))
+    rank = local[out] + shifts["__before"]
+    rank = (rank - 0.5) / shifts["__size"] if share else rank
+    return local.join(shifts, same).select(*(local[c] for c in df.columns), F.when(shifts["__broken"], F.lit(float("nan"))).otherwise(rank).alias(out))

@@ -64,7 +64,7 @@ def to_double(x: Column) -> Column:
 
 
 def to_int(x: Column) -> Column:
-    """Whole number, truncated from numbers, null from text that is not a whole number."""
+    """Whole number; null from text that is not one."""
     return x.try_cast("int")
 
 
@@ -76,12 +76,40 @@ def to_bool(x: Column) -> Column:
 
 def pick(record: Column, names: list[str]) -> Column:
     """Value of the first present key of a map with lower-case keys; a present null stops the search."""
-    out = F.lit(None).cast("string")
+    out = F.lit(None)
     for name in reversed(names):
         out = F.when(F.map_contains_key(record, name.lower()), F.element_at(record, F.lit(name.lower()))).otherwise(out)
     return out
 
 
+# Values of JSON records are structs (kind, text): the type of the value and its text.
+
+
+def json_value(v: Column) -> Column:
+    """A VARIANT value as its kind (text, number, flag, other; null for a null) and its text."""
+    kind = F.schema_of_variant(v)
+    known = F.when(kind == "STRING", "text").when(kind == "BOOLEAN", "flag").when(kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"), "number").when(kind != "VOID", "other")
+    return F.struct(known.alias("kind"), F.variant_get(v, "$", "string").alias("text"))
+
+
+def json_number(v: Column) -> Column:
+    """A number, from numbers, flags (0 or 1) and text that is one."""
+    flag = F.when(v["text"] == "true", F.lit(1.0)).otherwise(0.0)
+    return F.when(v["kind"].isin("text", "number"), F.trim(v["text"]).try_cast("double")).when(v["kind"] == "flag", flag)
+
+
+def json_whole(v: Column) -> Column:
+    """A whole number: truncated from numbers, from flags, and from text of a whole number."""
+    number = json_number(v)
+    cut = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).try_cast("int")
+    return F.when(v["kind"] == "text", F.trim(v["text"]).try_cast("int")).otherwise(cut)
+
+
+def json_text(v: Column) -> Column:
+    """Text; null if empty, null or not a plain value."""
+    return F.when((v["kind"] != "other") & (v["text"] != ""), v["text"])
+
+
 def missing_to_null(x: Column) -> Column:
     return F.nullif(x, F.lit(float("nan")))
 

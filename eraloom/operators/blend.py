@@ -28,7 +28,9 @@ def score_grid(oof: DataFrame, benches: list[str], points: DataFrame, w_corr: fl
 
     Gauss ranks, centred targets and the fit on benchmarks do not depend on the
     grid, so they are computed once per window; only the blend's own ranks are per
-    point. The grid is a few dozen configured rows and is broadcast as such.
+    point. Rows are dealt by (window, era) once, before they are multiplied by the grid,
+    and every rank and sum per point keeps that distribution. The grid is a few dozen
+    configured rows and the fit one row per window; both are broadcast as such.
     """
     group = ["window_id", era]
     base = oof.select(*group, "target", F.col("prediction").alias("p"), *benches, center("target", group).alias("t"))
@@ -36,7 +38,7 @@ def score_grid(oof: DataFrame, benches: list[str], points: DataFrame, w_corr: fl
     xs = [f"g_{b}" for b in benches]
     fit = fit_linear(base, "g", xs, ["window_id"])
     fitted = reduce(lambda acc, kx: acc + F.col("beta")[kx[0]] * F.col(kx[1]), enumerate(xs), F.col("intercept"))
-    rows = base.join(fit, "window_id").select(*group, "target", "t", "g", fitted.alias("fit"), "var_y", "cov_fit", "var_fit")
+    rows = base.repartition(*group).join(F.broadcast(fit), "window_id").select(*group, "target", "t", "g", fitted.alias("fit"), "var_y", "cov_fit", "var_fit")
     rows = rows.crossJoin(F.broadcast(points.withColumn("a", F.col("alpha").cast("double")).withColumn("p", F.col("prop").cast("double"))))
     sd = F.sqrt(F.greatest(F.col("var_y") - 2 * F.col("p") * F.col("cov_fit") + F.col("p") * F.col("p") * F.col("var_fit"), F.lit(0.0)))
     plain = F.col("g") - F.col("p") * F.col("fit")

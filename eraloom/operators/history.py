@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eraloom.functions.scalars import clip, pick, to_bool, to_double, to_int
+from eraloom.functions.scalars import clip, json_number, json_text, json_value, json_whole, pick, to_double
+from eraloom.plans.scratch import materialize
 
 #: Fixed format: the history's columns in order.
 HISTORY = (
@@ -17,20 +18,27 @@ HISTORY = (
 COLUMNS = [c.split()[0] for c in HISTORY.split(", ")]
 KEY = ["source", "model_name", "round_number", "fetched_at"]
 
-#: Accepted keys per field, in order of preference.
+#: Accepted keys per field, in lower case and order of preference.
 ALIASES = {
-    "round_number": ["roundNumber", "round_number", "round", "number"],
-    "model_name": ["modelName", "model_name", "model", "username"],
-    "corr20": ["v2_corr20", "corr20", "corr", "canon_corr", "cort20", "canon_cort20"],
-    "mmc20": ["mmc20", "mmc", "canon_mmc20", "canon_mmc"],
-    "bmc20": ["bmc20", "bmc", "canon_bmc20", "canon_bmc"],
-    "fnc": ["fnc", "fnc_v3", "fncv3"],
-    "payout": ["payout", "payoutSettled", "payoutPending"],
-    "stake": ["stake", "selectedStakeValue", "stakeValue"],
-    "resolved": ["resolved", "roundResolved", "is_resolved"],
-    "resolve_date": ["resolve_date", "roundResolveTime", "resolveDate"],
+    "round_number": ["roundnumber", "round_number", "round", "tournamentround", "tournament_round"],
+    "model_name": ["modelname", "model_name", "model"],
+    "corr20": ["corr20", "corr_20", "corr"],
+    "mmc20": ["mmc20", "mmc_20", "mmc"],
+    "bmc20": ["bmc20", "bmc_20", "bmc"],
+    "fnc": ["fnc", "fncv3", "fnc_v3"],
+    "payout": ["payout", "nmrpayout", "nmr_payout"],
+    "stake": ["stake", "stakevalue", "stake_value", "atrisk", "at_risk"],
+    "resolved": ["resolved", "isresolved", "is_resolved"],
+    "resolve": ["resolve", "resolvedate", "resolve_date", "resolved_at"],
+    "resolve_date": ["resolve", "resolvedate", "resolve_date", "resolved_at", "date"],
+}
+#: Names of intra-round values per field, in order of preference.
+INTRA = {
+    "corr20": ["v2_corr20", "corr", "canon_corr", "cort20", "canon_cort20"],
+    "bmc20": ["bmc", "canon_bmc"],
+    "mmc20": ["mmc", "canon_mmc"],
+    "fnc": ["fnc_v3", "canon_fnc_v3"],
 }
-INTRA_CORR = ["v2_corr20", "corr", "canon_corr", "cort20", "canon_cort20"]
 INTRA_ROUND = "array<struct<roundNumber:int,intraRoundSubmissionScores:array<struct<displayName:string,value:string,date:string,payoutPending:string,payoutSettled:string>>>>"
 
 
@@ -43,63 +51,75 @@ def conform(df: DataFrame) -> DataFrame:
 def flatten_records(snapshots: DataFrame, value: str = "value") -> DataFrame:
     """(every other column, record): each object at any depth of a VARIANT column.
 
-    Each level of nesting is one explode; the recursion runs inside Spark and ends
-    where no object or array is left.
+    Each level of nesting is one explode of the containers of the level before,
+    written to the shared folder, until a level holds none; rows are unlimited.
     """
-    spark = snapshots.sparkSession
-    keep = ", ".join(f"`{c}`" for c in snapshots.columns if c != value)
-    carry = f"{keep}, " * bool(keep)
-    snapshots.createOrReplaceTempView("__snapshots")
-    inner = ", ".join(f"r.`{c}`" for c in snapshots.columns if c != value)
-    return spark.sql(
-        f"""WITH RECURSIVE nodes AS (
-              SELECT {carry}`{value}` AS node FROM __snapshots
-              UNION ALL
-              SELECT {inner + ", " if inner else ""}e.value FROM nodes r, LATERAL variant_explode(r.node) e
-            )
-            SELECT {carry}node AS record FROM nodes WHERE schema_of_variant(node) LIKE 'OBJECT%'"""
-    )
+    keep = [c for c in snapshots.columns if c != value]
+    kind = F.schema_of_variant("record")
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    level = materialize(snapshots.select(*keep, F.col(value).alias("record")).where(nested), "json-level")
+    found = level
+    while True:
+        inside = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("record").outer())).select(*keep, F.col("value").alias("record"))
+        level = materialize(inside.where(nested), "json-level")
+        if level.isEmpty():
+            return found.where(kind.startswith("OBJECT"))
+        found = found.union(level)
 
 
 def as_map(record: Column) -> Column:
-    """An object as a map with lower-case keys and text values."""
-    plain = F.from_json(F.to_json(record), "map<string,string>")
-    return F.transform_keys(plain, lambda k, _: F.lower(k))
+    """An object as a map from lower-case keys to (kind, text) values; of keys that
+    differ only in case the last in order counts."""
+    entries = F.transform(F.map_entries(F.try_variant_get(record, "$", "map<string,variant>")), lambda e: F.struct(F.lower(e["key"]).alias("key"), json_value(e["value"]).alias("value")))
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"]))
+    return F.map_from_entries(last)
+
+
+def passed(date: Column, as_of: Column) -> Column:
+    """Whether an ISO date or time, in UTC unless it names a zone, is not after ``as_of``."""
+    zoned = F.when(date.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(date, F.lit("T00:00:00Z"))).when(date.rlike(r"(Z|[+-]\d{2}:?\d{2})$"), date).otherwise(F.concat(date, F.lit("Z")))
+    return F.coalesce(zoned.try_cast("timestamp") <= as_of, F.lit(False))
 
 
 def resolved_flag(record: Column, as_of: Column) -> Column:
-    """Explicit flag if present, else whether the resolve date has passed."""
-    flag, date = pick(record, ALIASES["resolved"]), pick(record, ALIASES["resolve_date"])
-    said = F.when(flag.isNotNull(), to_bool(flag) | (F.lower(F.trim(flag)) == "resolved"))
-    return F.coalesce(said, F.try_to_timestamp(date) <= as_of, F.lit(False))
+    """Explicit flag if there is one (text: 1, true, yes, resolved), else whether the resolve date has passed."""
+    flag = pick(record, ALIASES["resolved"])
+    said = F.when(flag["kind"] == "text", F.lower(F.trim(flag["text"])).isin("1", "true", "yes", "resolved")).when(flag["kind"].isin("flag", "number"), json_number(flag) != 0)
+    return F.coalesce(said, passed(json_text(pick(record, ALIASES["resolve"])), as_of))
 
 
 def primary_score(corr: Column, bmc: Column, mmc: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> Column:
     return w_corr * corr + w_bmc * F.coalesce(bmc, mmc)
 
 
+def usable(rows: DataFrame) -> DataFrame:
+    """History rows with a round and any of score, corr and payout."""
+    return conform(rows.where(F.col("round_number").isNotNull() & F.coalesce("primary_score", "corr20", "payout").isNotNull()))
+
+
 def normalize_records(records: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> DataFrame:
-    """History rows from (fetched_at, source, model_name, record map); rows without a
-    round or without any of score, corr and payout are dropped."""
+    """History rows from (fetched_at, source, model_name, record), record as ``as_map`` gives it;
+    a record's own source and model name count before its snapshot's."""
     r = F.col("record")
-    num = lambda name: to_double(pick(r, ALIASES[name])).alias(name)
+    num = lambda name: json_number(pick(r, ALIASES[name])).alias(name)
     out = records.select(
         "fetched_at",
-        "source",
-        F.coalesce(pick(r, ALIASES["model_name"]), "model_name").alias("model_name"),
-        to_int(pick(r, ALIASES["round_number"])).alias("round_number"),
+        F.coalesce(json_text(pick(r, ["source"])), "source").alias("source"),
+        F.coalesce(json_text(pick(r, ALIASES["model_name"])), "model_name").alias("model_name"),
+        json_whole(pick(r, ALIASES["round_number"])).alias("round_number"),
         resolved_flag(r, as_of).alias("resolved"),
         *map(num, ("corr20", "mmc20", "bmc20", "fnc", "payout", "stake")),
-        pick(r, ALIASES["resolve_date"]).alias("resolve_date"),
+        json_text(pick(r, ALIASES["resolve_date"])).alias("resolve_date"),
     ).withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc))
-    return conform(out.where(F.col("round_number").isNotNull() & F.coalesce("primary_score", "corr20", "payout").isNotNull()))
+    return usable(out)
 
 
-def intra_round_rows(nested: DataFrame, w_corr: float = 0.75, w_bmc: float = 2.25, aliases: list[str] = INTRA_CORR) -> DataFrame:
+def intra_round_rows(nested: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> DataFrame:
     """One history row per round from nested buckets (column ``rounds`` of type
     INTRA_ROUND, with fetched_at, source, model_name); the last bucket of a name wins,
-    payouts are the settled sum if any, else the pending sum."""
-    return bucket_rows(explode_buckets(nested), w_corr, w_bmc, aliases)
+    payouts are the settled sum if any, else the pending sum, the resolve date is the
+    last present one and decides whether the round is resolved."""
+    return bucket_rows(explode_buckets(nested), as_of, w_corr, w_bmc)
 
 
 def explode_buckets(nested: DataFrame) -> DataFrame:
@@ -109,18 +129,16 @@ def explode_buckets(nested: DataFrame) -> DataFrame:
     return one.select("fetched_at", "source", "model_name", F.col("round.roundNumber").alias("round_number"), "rpos", F.posexplode("round.intraRoundSubmissionScores").alias("pos", "b"))
 
 
-def bucket_rows(buckets: DataFrame, w_corr: float = 0.75, w_bmc: float = 2.25, aliases: list[str] = INTRA_CORR) -> DataFrame:
+def bucket_rows(buckets: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> DataFrame:
     """``intra_round_rows`` from flat buckets, in partial aggregates only; ``pos`` is of any
     type with an order."""
-    b = buckets.select("*", F.lower(F.trim("b.displayName")).alias("name"), to_double(F.col("b.value")).alias("v"))
+    b = buckets.select("*", F.lower(F.trim("b.displayName")).alias("name"), to_double(F.trim("b.value")).alias("v"), F.nullif(F.col("b.date"), F.lit("")).alias("day"))
     keys = ["fetched_at", "source", "model_name", "round_number", "rpos"]
-    names = {*aliases, *(a.lower() for k in ("mmc20", "bmc20", "fnc") for a in ALIASES[k])}
-    last = {n: F.max_by(F.when(F.col("name") == n, F.col("v")), F.when(F.col("name") == n, F.col("pos"))).alias(f"s_{n}") for n in sorted(names)}
-    settled, pending = (F.sum(to_double(F.col(f"b.payout{k}"))) for k in ("Settled", "Pending"))
-    wide = b.groupBy(*keys).agg(*last.values(), F.coalesce(settled, pending).alias("payout"), F.max_by("b.date", "pos").alias("resolve_date"), (F.count("b.payoutSettled") > 0).alias("resolved"))
-    first = lambda options: F.coalesce(*(F.col(f"s_{o.lower()}") for o in options), F.lit(None).cast("double"))
-    out = wide.select("*", first(aliases).alias("corr20"), *(first(ALIASES[k]).alias(k) for k in ("mmc20", "bmc20", "fnc")))
-    return conform(out.withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc)))
+    last = [F.max_by(F.when(F.col("name") == n, F.col("v")), F.when(F.col("name") == n, F.col("pos"))).alias(f"s_{n}") for n in dict.fromkeys(n for names in INTRA.values() for n in names)]
+    settled, pending = (F.sum(to_double(F.trim(f"b.payout{k}"))) for k in ("Settled", "Pending"))
+    wide = b.groupBy(*keys).agg(*last, F.coalesce(settled, pending).alias("payout"), F.max_by("day", F.when(F.col("day").isNotNull(), F.col("pos"))).alias("resolve_date"))
+    out = wide.select("*", passed(F.col("resolve_date"), as_of).alias("resolved"), *(F.coalesce(*(F.col(f"s_{n}") for n in names)).alias(k) for k, names in INTRA.items()))
+    return usable(out.withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc)))
 
 
 def keep_last(df: DataFrame, order: str, keys: list[str] = KEY) -> DataFrame:
@@ -169,7 +187,7 @@ class EvidenceConfig:
 def score_evidence(history: DataFrame, config: EvidenceConfig = EvidenceConfig(), by: list[str] = []) -> DataFrame:  # noqa: B006, B008
     """Evidence over the latest resolved rounds, for all models together or per ``by``:
     50, +20 with enough rounds, up to 15 for the mean, up to 10 for hits, up to -10
-    for losing rounds, -5 for a wide spread, kept within 0 and 100."""
+    for losing rounds, -5 for a wide spread, kept within 0 and 100; 0 without any round."""
     s = F.col("primary_score")
     stats = latest_rounds(history, config.lookback_rounds, by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.avg(s).alias("mean_score"), F.avg((s > 0).cast("double")).alias("hit_rate"), F.count_if(s < 0).alias("downside"), F.stddev_pop(s).alias("std_score")
@@ -184,7 +202,7 @@ def score_evidence(history: DataFrame, config: EvidenceConfig = EvidenceConfig()
         - F.least(F.lit(10.0), F.col("downside") / n * 10)
         - F.when(F.col("std_score") > 0.03, F.lit(5.0)).otherwise(0.0)
     )
-    score = F.when(F.col("n") == 0, F.lit(50.0)).otherwise(clip(points, 0.0, 100.0))
+    score = F.when(F.col("n") == 0, F.lit(0.0)).otherwise(clip(points, 0.0, 100.0))
     out = stats.withColumn("evidence", score)
     verdict = enough & (F.col("evidence") >= config.threshold)
     why = F.concat_ws("; ", F.format_string("%d resolved rounds", "n"), F.format_string("mean %.4f", F.coalesce("mean_score", F.lit(0.0))), F.format_string("hit rate %.2f", F.coalesce("hit_rate", F.lit(0.0))))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.ml import Model
@@ -35,13 +35,27 @@ class Params:
     select_best_by: str = "corr"
     features: list[str] = field(default_factory=list)
 
+    @classmethod
+    def resolve(cls, profile: str = "full", **settings) -> Params:
+        """A profile's values under explicit settings; None leaves the profile's value."""
+        if profile not in PROFILES:
+            raise ValueError(f"unknown training profile {profile!r}")
+        return cls(**PROFILES[profile] | {k: v for k, v in settings.items() if v is not None})
+
+
+#: Settings that differ from the defaults, by profile and purpose.
+PROFILES = {"full": {}, "balanced": {"rounds": 2500, "patience": 200}, "balanced_walkforward": {"rounds": 1800, "patience": 200}}
+#: Trees whose predictions one pass over the rows adds up.
+TREES = 50
+
 
 def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(df)
 
 
 def fit_gbt(train: DataFrame, valid: DataFrame, params: Params, seed: int) -> Model:
-    """Default ``fit_fn``; stopping is decided afterwards on the staged error curve."""
+    """Default ``fit_fn``. Equal data and seed give equal first trees whatever the rounds,
+    so ``fit_and_scan`` can ask for more rounds only while the error still falls."""
     depth = max(1, (params.num_leaves - 1).bit_length())
     gbt = GBTRegressor(
         labelCol="target", featuresCol="features", seed=seed, maxIter=params.rounds, stepSize=params.learning_rate, maxDepth=depth,
@@ -50,34 +64,54 @@ def fit_gbt(train: DataFrame, valid: DataFrame, params: Params, seed: int) -> Mo
     return gbt.fit(assemble(train, params.features))
 
 
-def staged_predictions(model: GBTRegressionModel, df: DataFrame, features: list[str], points: list[int]) -> DataFrame:
-    """``pred_<i>`` for each iteration i of ``points``: partial sums over the trees."""
-    rows, sums = assemble(df, features), []
-    for k, (tree, weight) in enumerate(zip(model.trees[: max(points)], model.treeWeights, strict=False)):
-        rows = tree.setPredictionCol(f"__t{k}").transform(rows)
-        sums.append(F.col(f"__t{k}") * weight)
-        rows = rows.drop(f"__t{k}_raw")
-    out = [reduce(lambda a, b: a + b, sums[:p]).alias(f"pred_{p}") for p in points]
-    return rows.select(*df.columns, *out)
+def staged_blocks(model: GBTRegressionModel, df: DataFrame, features: list[str], keep: list[str], last: int | None = None) -> Iterator[tuple[list[int], DataFrame]]:
+    """Iterations and their rows (``keep`` and ``sums``, the partial sums at each of them), TREES at a time.
+
+    Every block goes on from the sums of the one before, kept as a table with the
+    assembled features, so plans stay as short as a block however many trees there are.
+    """
+    last = len(model.trees) if last is None else min(last, len(model.trees))
+    rows = assemble(df, features).select(*keep, "features", F.lit(0.0).alias("__sum"))
+    for a in range(0, last, TREES):
+        iterations = list(range(a + 1, min(a + TREES, last) + 1))
+        for i in iterations:
+            rows = model.trees[i - 1].setPredictionCol(f"__t{i}").transform(rows)
+        parts = F.array(*(F.col(f"__t{i}") * model.treeWeights[i - 1] for i in iterations))
+        rows = rows.select(*keep, "features", "__sum", parts.alias("__parts"))
+        sums = F.aggregate("__parts", F.array("__sum"), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+        rows = materialize(rows.select(*keep, "features", F.slice(sums, 2, len(iterations)).alias("sums")), "staged")
+        yield iterations, rows.select(*keep, "sums")
+        rows = rows.select(*keep, "features", F.element_at("sums", -1).alias("__sum"))
+
 
+def staged_predictions(model: GBTRegressionModel, df: DataFrame, features: list[str], point: int) -> DataFrame:
+    """The rows with ``pred_<point>``, the sum of the first ``point`` trees."""
+    for iterations, rows in staged_blocks(model, df, features, df.columns, point):
+        if point in iterations:
+            return rows.select(*df.columns, F.element_at("sums", iterations.index(point) + 1).alias(f"pred_{point}"))
+    raise ValueError(f"the model has no {point} trees")
 
-def staged_long(staged: DataFrame, points: list[int], keep: list[str]) -> DataFrame:
-    return staged.unpivot(keep, [f"pred_{p}" for p in points], "name", "prediction").withColumn("iter", F.substring_index("name", "_", -1).cast("int")).drop("name")
+
+def staged_long(staged: DataFrame, iterations: list[int], keep: list[str], points: list[int]) -> DataFrame:
+    """One row per row and point: ``keep``, iter and prediction."""
+    long = staged.select(*keep, F.posexplode("sums").alias("iter", "prediction")).withColumn("iter", (F.col("iter") + iterations[0]).cast("int"))
+    return long if points == iterations else long.where(F.col("iter").isin(points))
 
 
 def rmse_curve(long: DataFrame) -> DataFrame:
     return long.groupBy("iter").agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("target"), F.lit(2)))).alias("rmse"))
 
 
-def stopping_round(curve: list[tuple[int, float]], patience: int) -> int:
-    """First round with no better error within the ``patience`` rounds after the best so far, else the last."""
+def stopping_round(curve: list[tuple[int, float]], patience: int) -> tuple[int, bool]:
+    """The round after ``patience`` rounds without a better error, or else the last;
+    and whether patience has run out."""
     best, at = float("inf"), 0
     for i, value in sorted(curve):
         if value < best:
             best, at = value, i
         elif i - at >= patience:
-            return i
-    return max(i for i, _ in curve)
+            return i, True
+    return max(i for i, _ in curve), False
 
 
 def corr_curve(long: DataFrame, era: str = "era_int") -> DataFrame:
@@ -93,25 +127,41 @@ def best_corr_iteration(curve: DataFrame) -> DataFrame:
 
 
 def fit_and_scan(train: DataFrame, valid: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_gbt, era: str = "era_int") -> tuple[Model, dict]:
-    """Fit, apply patience to the error curve, and choose the iteration by ``select_best_by``."""
-    model = fit_fn(train, valid, params, seed)
-    n = len(model.trees)
-    every = list(range(1, n + 1))
+    """Fit until patience runs out on the validation error, and choose the iteration by ``select_best_by``.
+
+    Spark ML cannot go on with a fitted ensemble, so rounds double from twice the patience
+    (one scan period at least) until patience runs out or ``rounds`` are reached; fits so
+    cost about twice the rounds in use, not all that are allowed.
+    """
     keep = [era, "target"]
-    staged = materialize(staged_predictions(model, valid.select(*keep, *params.features), params.features, every).select(*keep, *(f"pred_{p}" for p in every)), "staged")
-    curve = [(r["iter"], r["rmse"]) for r in rmse_curve(staged_long(staged, every, keep)).collect()]  # one row per round
-    stop = stopping_round(curve, params.patience)
-    best_rmse = min((r, i) for i, r in curve if i <= stop)
-    points = sorted({*range(params.scan_period, stop + 1, params.scan_period), stop})
-    found = best_corr_iteration(corr_curve(staged_long(staged, points, keep), era)).first()
+    rounds = min(params.rounds, max(2 * params.patience, params.scan_period))
+    rows = valid.select(*keep, *params.features)
+    while True:
+        model = fit_fn(train, valid, replace(params, rounds=rounds), seed)
+        errors: list[tuple[int, float]] = []
+        stop, over = 0, False
+        for iterations, staged in staged_blocks(model, rows, params.features, keep):
+            errors += [(r["iter"], r["rmse"]) for r in rmse_curve(staged_long(staged, iterations, keep, iterations)).collect()]  # one row per round
+            stop, over = stopping_round(errors, params.patience)
+            if over:
+                break
+        if over or rounds >= params.rounds or len(model.trees) < rounds:
+            break
+        rounds = min(2 * rounds, params.rounds)
+    best_rmse = min((r, i) for i, r in errors if i <= stop)
+    points = {*range(params.scan_period, stop + 1, params.scan_period), stop}
+    curve = None
+    for iterations, staged in staged_blocks(model, rows, params.features, keep, stop):
+        if some := [i for i in iterations if i in points]:
+            part = corr_curve(staged_long(staged, iterations, keep, some), era)
+            curve = part if curve is None else curve.union(part)
+    found = best_corr_iteration(curve).first()
     best = found["iter"] if params.select_best_by == "corr" else best_rmse[1]
     return model, {"best_iter": best, "best_corr": found["corr"], "best_rmse": best_rmse[0], "rounds": stop, "seed": seed}
 
 
 def fit_final(rows: DataFrame, params: Params, rounds: int, seed: int) -> Model:
     """Fit on all rows with a fixed number of rounds."""
-    from dataclasses import replace
-
     return fit_gbt(rows, rows, replace(params, rounds=rounds), seed)
 
 
@@ -135,19 +185,25 @@ def walk_forward(rows: DataFrame, windows: DataFrame, params: Params, seed: int,
     return report, summarize(report)
 
 
-def collect_oof(rows: DataFrame, windows: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_gbt, era: str = "era_int") -> DataFrame:
+def collect_oof(rows: DataFrame, windows: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_gbt, era: str = "era_int", min_rows: int = 512, min_eras: int = 8) -> DataFrame:
     """Out-of-fold predictions (window_id with the rows' columns and ``prediction``) at
     each window's best iteration, clamped to the trees that were fitted; validation is
-    limited to covered rows."""
+    limited to covered rows. Windows without training rows, or with fewer covered rows or
+    eras than asked for, are skipped before anything is fitted."""
     out = None
     for w in windows.orderBy("window_id").collect():
         train = train_rows(rows, w["train_end"], era)
         valid = rows.where(F.col(era).between(w["val_start"], w["val_end"]) & F.col("bench_present"))
+        covered = valid.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(era).alias("eras")).first()
+        if covered["n"] < max(min_rows, 1) or covered["eras"] < min_eras or train.isEmpty():
+            continue
         model, found = fit_and_scan(train, valid, params, seed, fit_fn, era)
         best = min(found["best_iter"], len(model.trees))
-        part = staged_predictions(model, valid, params.features, [best])
+        part = staged_predictions(model, valid, params.features, best)
         part = part.select(F.lit(w["window_id"]).alias("window_id"), *(c for c in valid.columns if c not in params.features), F.col(f"pred_{best}").cast("float").alias("prediction"))
         out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no window has enough covered rows")
     return out
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eraloom.functions.ranks import gauss_ranks, rank_01
+from eraloom.plans.scratch import materialize
 
 FLAT = 1e-12
 
@@ -26,7 +28,9 @@ def _solver(names: list[str]):
             rows = []
             for moments in pdf["moments"]:
                 m = np.asarray(moments, float)
-                mean_y, var_y, means, cxy, cxx = m[0], m[1], m[2 : 2 + k], m[2 + k : 2 + 2 * k], m[2 + 2 * k :].reshape(k, k)
+                mean_y, var_y, means, cxy, cxx = m[0], m[1], m[2 : 2 + k], m[2 + k : 2 + 2 * k], np.empty((k, k))
+                upper = np.triu_indices(k)
+                cxx[upper] = cxx.T[upper] = m[2 + 2 * k :]
                 beta = np.linalg.pinv(cxx, hermitian=True) @ cxy if k else np.empty(0)
                 rows.append((beta.tolist(), float(mean_y - means @ beta), float(var_y), float(cxy @ beta), float(beta @ cxx @ beta)))
             out = pd.DataFrame(rows, columns=["beta", "intercept", "var_y", "cov_fit", "var_fit"])
@@ -41,7 +45,7 @@ def fit_linear(df: DataFrame, y: str, xs: list[str], by: list[str] = []) -> Data
     Only one row of moments per group reaches Python; a rank-deficient design
     gets the least-norm solution.
     """
-    moments = [F.avg(y), F.var_pop(y), *(F.avg(x) for x in xs), *(F.covar_pop(x, y) for x in xs), *(F.covar_pop(a, b) for a in xs for b in xs)]
+    moments = [F.avg(y), F.var_pop(y), *(F.avg(x) for x in xs), *(F.covar_pop(x, y) for x in xs), *(F.covar_pop(a, b) for i, a in enumerate(xs) for b in xs[i:])]
     rows = df.groupBy(*by).agg(F.array(*moments).alias("moments"))
     rows = rows.where(F.get("moments", F.lit(0)).isNotNull())
     keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "moments")
@@ -53,10 +57,12 @@ def neutralize(df: DataFrame, y: str, xs: list[str], proportion: float = 1.0, ou
     """``y - proportion * fit`` over the population standard deviation of that,
     unless the deviation is under 1e-12. Groups are whole tables or ``by``.
 
-    The deviation follows from the fit's moments, so no second pass is needed.
+    Rows are written once, as both the fit and the residual read them; the deviation
+    follows from the fit's moments, so no third pass is needed.
     The broadcast side is one row, or one row per group of ``by`` (eras or
     windows), whose number the planner checks against its own limit.
     """
+    df = materialize(df, "neutralize-rows")
     fit = fit_linear(df, y, xs, by)
     variance = F.col("var_y") - 2 * proportion * F.col("cov_fit") + proportion**2 * F.col("var_fit")
     fit = fit.select(*(F.col(c).alias(f"__{c}") for c in by), "beta", "intercept", F.sqrt(F.greatest(variance, F.lit(0.0))).alias("sd"))
@@ -134,13 +140,22 @@ def blend(df: DataFrame, prediction: str, benches: list[str], alpha: float, prop
     return both.select(*keep, (alpha * g + (1 - alpha) * F.col("__resid")).cast("float").alias(out))
 
 
+def chosen_features(features: list[str], n: int, seed: int = 0) -> list[str]:
+    """At most n features, in their own order, by the seeded hashes that ``gates.choose_features`` uses."""
+    digest = lambda f: hashlib.sha256(f"{seed}:{f}".encode()).hexdigest()
+    picked = set(sorted(features, key=lambda f: (digest(f), f))[:n])
+    return [f for f in features if f in picked]
+
+
 def postprocess(df: DataFrame, config: PostprocessConfig, prediction: str = "prediction", era: str = "era_int", features: list[str] = [], out: str = "submission") -> DataFrame:  # noqa: B006
-    """Gauss rank, benchmark neutralization, blend, optional feature neutralization, final rank."""
+    """Gauss rank, benchmark neutralization, blend, optional neutralization against a
+    seeded choice of features, final rank."""
     keep = df.columns
     done = blend(df, prediction, list(config.bench_cols_used), config.blend_alpha, config.bench_neutralize_prop, era, "__score")
     score = "__score"
     if config.feature_neutralize_prop > 0 and config.feature_neutralize_n_features > 0 and features:
-        done, score = neutralize_per_era(done, "__score", features, config.feature_neutralize_prop, era, "__neutral"), "__neutral"
+        chosen = chosen_features(features, config.feature_neutralize_n_features, config.feature_neutralize_seed)
+        done, score = neutralize_per_era(done, "__score", chosen, config.feature_neutralize_prop, era, "__neutral"), "__neutral"
     if config.submission_transform == "rank_01":
         return done.select(*keep, rank_01(score, [era]).alias(out))
     return gauss_ranks(done, [score], [era]).select(*keep, F.col(f"g_{score}").alias(out))

@@ -10,7 +10,7 @@ MANIFEST = (
     "artifact string, model string, created_at string, dataset_version string, feature_set string, artifact_schema_version int, model_files array<string>, "
     "features array<string>, features_by_model map<string,array<string>>, transform string, blend_alpha double, bench_neutralize_prop double, bench_cols_used array<string>"
 )
-REQUIRED = ["dataset_version", "feature_set", "artifact_schema_version", "model_files"]
+REQUIRED = ["dataset_version", "feature_set", "artifact_schema_version"]
 
 
 def with_legacy_features(manifests: DataFrame, legacy: DataFrame) -> DataFrame:
@@ -25,32 +25,32 @@ def with_legacy_features(manifests: DataFrame, legacy: DataFrame) -> DataFrame:
 
 def audit(manifests: DataFrame, files: DataFrame, version: str | None = None, version_severity: str = "error") -> DataFrame:
     """violations(artifact, severity, rule, detail) of all artifacts at once;
-    ``files`` is the inventory (artifact, file)."""
+    ``files`` is the inventory (artifact, file). A column that the table lacks
+    counts as null in every row."""
+    fields = dict(f.split(" ", 1) for f in MANIFEST.split(", "))
+    manifests = manifests.select("*", *(F.lit(None).cast(t).alias(c) for c, t in fields.items() if c not in manifests.columns))
     rows = []
 
     def rule(df: DataFrame, name: str, detail, severity: str = "error"):
         rows.append(df.select("artifact", F.lit(severity).alias("severity"), F.lit(name).alias("rule"), detail.cast("string").alias("detail")))
 
+    def empty(c: str):
+        return F.size(F.coalesce(c, F.array().cast("array<string>"))) == 0
+
     for c in REQUIRED:
-        if c in manifests.columns:
-            rule(manifests.where(F.col(c).isNull()), "missing_key", F.lit(c))
+        rule(manifests.where(F.col(c).isNull()), "missing_key", F.lit(c))
     listed = manifests.select("artifact", F.explode_outer("model_files").alias("file"))
-    rule(manifests.where(F.size(F.coalesce("model_files", F.array().cast("array<string>"))) == 0), "no_models", F.lit("model_files"))
+    rule(manifests.where(empty("model_files")), "no_models", F.lit("model_files"))
     rule(listed.where(F.col("file").isNotNull()).join(files.select("artifact", "file"), ["artifact", "file"], "left_anti"), "missing_file", F.col("file"))
-    if "features" in manifests.columns:
-        rule(manifests.where(F.size(F.coalesce("features", F.array().cast("array<string>"))) == 0), "no_features", F.lit("features"))
-    if "features_by_model" in manifests.columns:
-        mapped = manifests.select("artifact", F.explode_outer("features_by_model").alias("file", "list")).where(F.size("list") > 0)
-        rule(listed.where(F.col("file").isNotNull()).join(mapped, ["artifact", "file"], "left_anti"), "unmapped_model", F.col("file"))
+    rule(manifests.where(empty("features")), "no_features", F.lit("features"))
+    mapped = manifests.select("artifact", F.explode_outer("features_by_model").alias("file", "list")).where(F.size("list") > 0)
+    rule(listed.where(F.col("file").isNotNull()).join(mapped, ["artifact", "file"], "left_anti"), "unmapped_model", F.col("file"))
     if version is not None:
-        rule(manifests.where(F.col("dataset_version") != version), "version_mismatch", F.col("dataset_version"), version_severity)
-    if "transform" in manifests.columns:
-        rule(manifests.where(~F.coalesce(F.col("transform").isin("rank_01", "gauss_rank"), F.lit(False))), "bad_transform", F.col("transform"))
+        rule(manifests.where(~F.col("dataset_version").eqNullSafe(F.lit(version))), "version_mismatch", F.coalesce("dataset_version", F.lit("none")), version_severity)
+    rule(manifests.where(~F.coalesce(F.col("transform").isin("rank_01", "gauss_rank"), F.lit(False))), "bad_transform", F.coalesce("transform", F.lit("none")))
     for c in ("blend_alpha", "bench_neutralize_prop"):
-        if c in manifests.columns:
-            rule(manifests.where(~F.coalesce(F.col(c).between(0, 1), F.lit(False))), "out_of_range", F.concat_ws("=", F.lit(c), F.col(c)))
-    if "bench_cols_used" in manifests.columns:
-        rule(manifests.where(F.size(F.coalesce("bench_cols_used", F.array().cast("array<string>"))) == 0), "no_benchmarks", F.lit("bench_cols_used"))
+        rule(manifests.where(~F.coalesce(F.col(c).between(0, 1), F.lit(False))), "out_of_range", F.concat_ws("=", F.lit(c), F.col(c)))
+    rule(manifests.where(empty("bench_cols_used")), "no_benchmarks", F.lit("bench_cols_used"))
     out = rows[0]
     for r in rows[1:]:
         out = out.union(r)

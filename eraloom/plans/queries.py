@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -272,7 +273,7 @@ def q25_json_fields(spark, d):
     e = _table(spark, d, "events").select("event_id", F.try_parse_json("props").alias("value"))
     rec = history.flatten_records(e).select("event_id", history.as_map(F.col("record")).alias("m"))
     k = scalars.pick(F.col("m"), ["K", "missing"])
-    return rec.select("event_id", scalars.to_int(k).alias("k_int"), scalars.to_double(k).alias("k_double"), scalars.to_bool(k).alias("k_bool"))
+    return rec.select("event_id", scalars.json_whole(k).alias("k_int"), scalars.json_number(k).alias("k_double"), F.coalesce(scalars.json_number(k) != 0, F.lit(False)).alias("k_bool"))
 
 
 def q26_pending_work(spark, d):
@@ -286,10 +287,12 @@ def q26_pending_work(spark, d):
 
 def _artifacts(spark, d):
     o = _table(spark, d, "orders")
+    file, names = F.concat(F.col("o_orderkey").cast("string"), F.lit("-1")), F.array(F.lit("f1"))
     m = o.select(
         F.col("o_orderkey").cast("string").alias("artifact"), (F.col("o_custkey") % 50).cast("string").alias("model"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("created_at"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string")).otherwise("v5").alias("dataset_version"), F.lit("all").alias("feature_set"), F.lit(1).alias("artifact_schema_version"),
-        F.array(F.concat(F.col("o_orderkey").cast("string"), F.lit("-1"))).alias("model_files"),
+        F.array(file).alias("model_files"), names.alias("features"), F.create_map(file, names).alias("features_by_model"), F.lit("rank_01").alias("transform"),
+        F.lit(0.5).alias("blend_alpha"), F.lit(1.0).alias("bench_neutralize_prop"), F.array(F.lit("bench_qty")).alias("bench_cols_used"),
     )
     files = _table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("artifact"), F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("file"))
     return m, files
@@ -332,14 +335,73 @@ def q32_stream_history(spark, d):
     return history_stream.latest_version(spark, target).select(*history.KEY, "primary_score", "ingest_seq")
 
 
+def eras_of_fixed_number(spark, d, n: int = 40) -> DataFrame:
+    """Embeddings as features in n eras whose size grows with the table; a tenth lacks benchmarks."""
+    f = features(spark, d).withColumn("era_int", (F.col("id").cast("long") % n + 1).cast("int"))
+    return f.withColumn("bench_present", F.col("id").cast("long") % 7 != 0)
+
+
 def q33_gbt_walkforward(spark, d):
-    f = features(spark, d, 8)
-    f = materialize(f, "gbt-rows")
-    params = modelling.Params(learning_rate=0.1, num_leaves=4, min_leaf=5, rounds=6, patience=3, scan_period=2, features=[f"feature_{k}" for k in range(8)])
+    f = materialize(eras_of_fixed_number(spark, d), "gbt-rows")
+    params = modelling.Params(learning_rate=0.1, num_leaves=4, min_leaf=5, rounds=6, patience=3, scan_period=2, features=[f"feature_{k}" for k in range(64)])
     report, _ = modelling.walk_forward(f, walkforward.build_windows(f, 8, 1), params, 42)
     return report
 
 
+class KnownTree:
+    """Stands for a fitted tree (or model) whose prediction is a weighted sum of features."""
+
+    def __init__(self, weights: dict[int, float]):
+        self.weights, self.out = weights, "prediction"
+
+    def setPredictionCol(self, name: str) -> KnownTree:  # noqa: N802
+        self.out = name
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        x = vector_to_array("features")
+        return df.withColumn(self.out, sum((F.get(x, F.lit(k)) * w for k, w in self.weights.items()), F.lit(0.0)))
+
+
+class KnownTrees:
+    """Stands for a fitted ensemble; what is left for Spark is scanning and selection."""
+
+    trees = [KnownTree({0: 1.0}), KnownTree({1: -1.0}), KnownTree({2: 1.0, 3: 0.5}), KnownTree({4: 2.0})]
+    treeWeights = [1.0, 0.5, 0.25, 0.5]  # noqa: N815
+
+
+def _known(train, valid, params, seed):
+    return KnownTrees()
+
+
+KNOWN = modelling.Params(rounds=4, patience=2, scan_period=2, features=[f"feature_{k}" for k in range(64)])
+
+
+def q40_walkforward_selection(spark, d):
+    """Windows, staged predictions, error and correlation curves, stopping and choice, with known trees."""
+    f = materialize(eras_of_fixed_number(spark, d), "gbt-rows")
+    report, _ = modelling.walk_forward(f, walkforward.build_windows(f, 8, 1), KNOWN, 1, _known)
+    return report.select("window_id", "best_iter", *r6("corr", "rmse"))
+
+
+def q41_oof(spark, d):
+    """Out-of-fold rows of windows with enough covered rows, at each window's best iteration."""
+    f = materialize(eras_of_fixed_number(spark, d), "gbt-rows")
+    f = f.where("era_int > 16 OR era_int % 3 = 0")  # the first window has too few eras
+    out = modelling.collect_oof(f, walkforward.build_windows(f, 8, 1), KNOWN, 1, _known, min_rows=10, min_eras=4)
+    return out.select("window_id", "id", (F.round(F.col("prediction").cast("double"), 5) + F.lit(0.0)).alias("prediction"))
+
+
+def q42_score_ensemble(spark, d):
+    """Two models, one with a feature list of its own and one with the union, and their mean."""
+    f = features(spark, d)
+    union = [f"feature_{k}" for k in range(64)]
+    mapping = spark.createDataFrame([("a", 1, "feature_9"), ("a", 0, "feature_5")], "model_file string, pos int, feature string")
+    lists = {r["model_file"]: r["features"] for r in modelling.features_of_models(spark.createDataFrame([("a",), ("b",)], "model_file string"), mapping, union).collect()}
+    models = {"a": (KnownTree({0: 1.0, 1: -2.0}), lists["a"]), "b": (KnownTree({63: 4.0}), lists["b"])}
+    return modelling.score_ensemble(f, models).select("id", (F.round(F.col("prediction").cast("double"), 5) + F.lit(0.0)).alias("prediction"))
+
+
 def q34_ensemble(spark, d):
     r = rows(spark, d).select("id", F.col("prediction").alias("p1"), (F.col("prediction") * 2).alias("p2"), (F.col("target") * 4).alias("p3"))
     out = neutralize.ensemble_mean(r, ["p1", "p2", "p3"])
@@ -361,14 +423,53 @@ def q37_coverage_by_era(spark, d):
     return align.coverage(aligned(spark, d), ["era_int"]).select("era_int", *r6("coverage"), "n_rows")
 
 
+AS_OF = "2024-01-20 00:00:00"
+
+
 def q38_intra_round(spark, d):
-    """Events as flat buckets: named values of each user and day in order of event_id."""
+    """Events as flat buckets: named values of each user and day in order of event_id.
+    Some buckets lack their date; a round is resolved if its last present date has passed."""
     e = _table(spark, d, "events")
-    name = F.when(F.col("event_type") == "click", "V2_CORR20").when(F.col("event_type") == "view", "bmc20").otherwise("other")
-    bucket = F.struct(name.alias("displayName"), F.round("value", 4).cast("string").alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("date"), F.lit(None).cast("string").alias("payoutPending"), F.when(F.col("event_id") % 2 == 0, F.lit("1.5")).alias("payoutSettled"))
+    kind = F.col("event_type")
+    name = F.when(kind == "click", "V2_CORR20").when(kind == "view", "bmc").when(kind == "error", " Canon_BMC ").when(kind == "signup", "canon_fnc_v3").otherwise("bmc20")
+    day = F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    bucket = F.struct(name.alias("displayName"), F.round("value", 4).cast("string").alias("value"), day.alias("date"), F.lit("0.5").alias("payoutPending"), F.when(F.col("event_id") % 4 == 0, F.lit("1.5")).alias("payoutSettled"))
     place = F.struct("event_id", bucket.alias("b"))
     flat = e.select(F.lit("2024-02-01").alias("fetched_at"), F.lit("intra").alias("source"), F.col("user_id").cast("string").alias("model_name"), F.dayofyear("ts").alias("round_number"), F.lit(0).alias("rpos"), place.alias("pos"), bucket.alias("b"))
-    return history.bucket_rows(flat).select("model_name", "round_number", *r6("corr20", "bmc20", "payout", "primary_score"), "resolved")
+    out = history.bucket_rows(flat, F.lit(AS_OF).cast("timestamp"))
+    return out.select("model_name", "round_number", *r6("corr20", "bmc20", "fnc", "payout", "primary_score"), "resolve_date", "resolved")
+
+
+def q39_nested_snapshots(spark, d):
+    """Events as nested JSON snapshots of four shapes, flattened and normalized."""
+    e = _table(spark, d, "events")
+    n, v = F.dayofyear("ts").cast("string"), F.round("value", 4).cast("string")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    shape = F.col("event_id") % 4
+    text = (
+        F.when(shape == 0, F.concat(F.lit('{"rounds":[{"tournamentRound":'), n, F.lit(',"corr_20":" '), v, F.lit('","mmc":'), v, F.lit(',"isResolved":"Resolved"},7]}')))
+        .when(shape == 1, F.concat(F.lit('{"a":{"b":[[{"ROUND":'), n, F.lit('.7,"corr":'), v, F.lit(',"bmc_20":'), v, F.lit(',"mmc":9,"date":"x","resolve":"'), day, F.lit('"}]]}}')))
+        .when(shape == 2, F.concat(F.lit('{"source":"own","round_number":"'), n, F.lit('","nmr_payout":'), v, F.lit(',"at_risk":true,"resolved":null,"resolved_at":"'), day, F.lit('T00:00:00Z","in":{"round":"1.5","payout":1}}')))
+        .otherwise(F.concat(F.lit('{"roundNumber":null,"round":'), n, F.lit(',"corr20":'), v, F.lit("}")))
+    )
+    snaps = e.select(F.lit("2024-02-01").alias("fetched_at"), F.lit("api").alias("source"), F.col("event_id").cast("string").alias("model_name"), F.parse_json(text).alias("value"))
+    records = history.flatten_records(snaps).select("fetched_at", "source", "model_name", history.as_map(F.col("record")).alias("record"))
+    out = history.normalize_records(records, F.lit(AS_OF).cast("timestamp"))
+    return out.select("model_name", "source", "round_number", "resolved", *r6("corr20", "mmc20", "bmc20", "payout", "stake", "primary_score"), "resolve_date")
+
+
+#: Eras of fixed number, windows of 8 eras with one purged, and the sums of known trees.
+SQL_KNOWN = """F AS (SELECT vec_id, CAST(vec_id % 40 + 1 AS INTEGER) AS era_int, vec_id % 7 <> 0 AS bench_present, label::DOUBLE AS target,
+  embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE + 0.5*embedding[4]::DOUBLE AS c, 2*embedding[5]::DOUBLE AS d FROM embeddings),
+ P AS (SELECT *, CAST((era_int - 1) // 8 AS INTEGER) AS window_id, a AS p1, a - 0.5*b AS p2, a - 0.5*b + 0.25*c AS p3, a - 0.5*b + 0.25*c + 0.5*d AS p4 FROM F WHERE era_int > 8),
+ V AS (SELECT * FROM P WHERE {only}),
+ L AS (SELECT window_id, era_int, target, i AS iter, CASE i WHEN 1 THEN p1 WHEN 2 THEN p2 WHEN 3 THEN p3 ELSE p4 END AS prediction FROM V, range(1, 5) r(i)),
+ E AS (SELECT window_id, iter, sqrt(avg(pow(prediction - target, 2))) AS rmse FROM L GROUP BY 1, 2),
+ R AS (SELECT window_id, max(rmse) FILTER (iter = 1) AS e1, max(rmse) FILTER (iter = 2) AS e2, max(rmse) FILTER (iter = 3) AS e3, max(rmse) FILTER (iter = 4) AS e4 FROM E GROUP BY 1),
+ T AS (SELECT *, CASE WHEN e1 <= e2 AND e1 <= e3 THEN 3 ELSE 4 END AS stop FROM R),
+ C AS (SELECT window_id, iter, avg(corr) AS corr FROM ({corr}) GROUP BY 1, 2),
+ B AS (SELECT window_id, CAST(arg_max(iter, corr) AS INTEGER) AS best_iter, max(corr) AS corr, any_value(CASE WHEN stop = 3 THEN least(e1, e2, e3) ELSE least(e1, e2, e3, e4) END) AS rmse
+   FROM C JOIN T USING (window_id) WHERE iter = stop OR iter = 2 GROUP BY 1)"""
 
 
 def _stats_sql(w_sql: str) -> str:
@@ -431,7 +532,21 @@ ORACLES: dict[str, str] = {
     "q35_live_alignment": f"{WITH_A} SELECT id, round(bench_qty, 6) AS bench_qty, round(bench_disc, 6) AS bench_disc, bench_present FROM A WHERE bench_present",
     "q36_benchmark_profile": f"WITH {SQL_BENCH} SELECT count(*) AS n_rows, 3 AS n_columns, count(DISTINCT id) AS n_ids FROM B",
     "q37_coverage_by_era": f"{WITH_A} SELECT era_int, round(avg(bench_present::INT), 6) AS coverage, count(*) AS n_rows FROM A GROUP BY 1",
-    "q38_intra_round": "WITH E AS (SELECT CAST(user_id AS VARCHAR) AS model_name, CAST(dayofyear(ts) AS INTEGER) AS round_number, event_id, event_type, round(value, 4) AS v FROM events) SELECT model_name, round_number, round(arg_max(v, event_id) FILTER (event_type = 'click'), 6) AS corr20, round(arg_max(v, event_id) FILTER (event_type = 'view'), 6) AS bmc20, round(1.5 * nullif(count(*) FILTER (event_id % 2 = 0), 0), 6) AS payout, round(0.75 * arg_max(v, event_id) FILTER (event_type = 'click') + 2.25 * arg_max(v, event_id) FILTER (event_type = 'view'), 6) AS primary_score, count(*) FILTER (event_id % 2 = 0) > 0 AS resolved FROM E GROUP BY 1, 2",
+    "q38_intra_round": """WITH E AS (SELECT CAST(user_id AS VARCHAR) AS model_name, CAST(dayofyear(ts) AS INTEGER) AS round_number, event_id, event_type, round(value, 4) AS v, CASE WHEN event_id % 3 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS day FROM events),
+      G AS (SELECT model_name, round_number, arg_max(v, event_id) FILTER (event_type = 'click') AS corr20,
+        coalesce(arg_max(v, event_id) FILTER (event_type = 'view'), arg_max(v, event_id) FILTER (event_type = 'error')) AS bmc20, arg_max(v, event_id) FILTER (event_type = 'signup') AS fnc,
+        CASE WHEN count(*) FILTER (event_id % 4 = 0) > 0 THEN 1.5 * count(*) FILTER (event_id % 4 = 0) ELSE 0.5 * count(*) END AS payout, arg_max(day, event_id) AS resolve_date FROM E GROUP BY 1, 2)
+      SELECT model_name, round_number, round(corr20, 6) AS corr20, round(bmc20, 6) AS bmc20, round(fnc, 6) AS fnc, round(payout, 6) AS payout, round(0.75 * corr20 + 2.25 * bmc20, 6) AS primary_score,
+        resolve_date, coalesce(CAST(resolve_date AS DATE) <= DATE '2024-01-20', false) AS resolved FROM G""",
+    "q39_nested_snapshots": """WITH E AS (SELECT CAST(event_id AS VARCHAR) AS model_name, event_id % 4 AS k, CAST(dayofyear(ts) AS INTEGER) AS n, round(value, 4) AS v, strftime(ts, '%Y-%m-%d') AS day FROM events)
+      SELECT model_name, CASE WHEN k = 2 THEN 'own' ELSE 'api' END AS source, n AS round_number, CASE WHEN k = 0 THEN true ELSE CAST(day AS DATE) <= DATE '2024-01-20' END AS resolved,
+        CASE WHEN k < 2 THEN v END AS corr20, CASE k WHEN 0 THEN v WHEN 1 THEN 9.0 END AS mmc20, CASE WHEN k = 1 THEN v END AS bmc20, CASE WHEN k = 2 THEN v END AS payout, CASE WHEN k = 2 THEN 1.0 END AS stake,
+        CASE WHEN k < 2 THEN round(3.0 * v, 6) END AS primary_score, CASE k WHEN 1 THEN day WHEN 2 THEN day || 'T00:00:00Z' END AS resolve_date FROM E WHERE k < 3""",
+    "q40_walkforward_selection": "WITH " + SQL_KNOWN.format(only="true", corr=sql_era_corr("L", "window_id, iter, era_int")) + " SELECT window_id, best_iter, round(corr, 6) + 0.0 AS corr, round(rmse, 6) AS rmse FROM B",
+    "q41_oof": "WITH "
+    + SQL_KNOWN.format(only="bench_present AND (era_int > 16 OR era_int % 3 = 0)", corr=sql_era_corr("L", "window_id, iter, era_int"))
+    + " SELECT window_id, CAST(vec_id AS VARCHAR) AS id, round(CAST(CAST(CASE best_iter WHEN 2 THEN p2 WHEN 3 THEN p3 ELSE p4 END AS FLOAT) AS DOUBLE), 5) + 0.0 AS prediction FROM V JOIN B USING (window_id) WHERE window_id > 1",
+    "q42_score_ensemble": "SELECT CAST(vec_id AS VARCHAR) AS id, round(CAST(CAST((embedding[6]::DOUBLE - 2*embedding[10]::DOUBLE + 4*embedding[64]::DOUBLE) / 2 AS FLOAT) AS DOUBLE), 5) + 0.0 AS prediction FROM embeddings",
 }
 ORACLES["q32_stream_history"] = ORACLES["q21_history_dedup"]
 

@@ -41,6 +41,7 @@ def write_report(df: DataFrame, folder: str, name: str) -> None:
 
 
 def write_model_features(df: DataFrame, path: str) -> None:
-    """(model_file, pos, feature) as one JSON object per model."""
+    """(model_file, pos, feature) as one JSON object, each model with its list; models are few."""
     lists = df.groupBy("model_file").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "feature"))), lambda x: x["feature"]).alias("features"))
-    lists.select(F.to_json(F.create_map("model_file", "features")).alias("value")).write.mode("overwrite").text(path)
+    whole = lists.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("model_file", "features"))))).alias("value"))
+    whole.write.mode("overwrite").text(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,16 +86,19 @@ def model_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def prepared_split(spark: SparkSession, path: str, features: list[str], **options) -> DataFrame:
-    """``read_split`` kept as a Parquet table, keyed by the columns, options and the
-    source's latest modification time; a changed source gives another key."""
-    stamp = spark.read.parquet(path).select(F.max("_metadata.file_modification_time").cast("string").alias("t"))
+    """``read_split`` kept as a Parquet table, keyed by the columns, options and the source's
+    files with their sizes and times; any changed, added or removed file gives another key.
+    A marker written after the table tells a whole copy from a broken one, which is replaced."""
+    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    stamp = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time")).alias("h"))
     text = "|".join([path, *features, *(f"{k}={v}" for k, v in sorted(options.items()))])
-    key = stamp.select(F.sha2(F.concat_ws("|", F.lit(text), "t"), 256).alias("k")).first()["k"]
+    key = stamp.select(F.sha2(F.concat_ws("|", F.lit(text), "n", "h"), 256).alias("k")).first()["k"]
     target = f"{shared_folder(spark)}/prepared-{key}"
     try:
-        return spark.read.parquet(target)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
+        spark.read.parquet(f"{target}-whole")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    read_split(spark, path, features, **options).write.mode("ignore").parquet(target)
+        read_split(spark, path, features, **options).write.mode("overwrite").parquet(target)
+        spark.range(1).write.mode("overwrite").parquet(f"{target}-whole")
     return spark.read.parquet(target)

@@ -9,28 +9,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eraloom.operators.history import KEY, keep_last, merge_history
-from eraloom.plans.scratch import scratch_path
 
 
-def ingest(spark: SparkSession, folder: str, schema: str, target: str, normalize: Callable[[DataFrame], DataFrame], keys: list[str] = KEY, fmt: str = "parquet", once: bool = True) -> StreamingQuery:
-    """Merge every new file of ``folder`` into the history versions under ``target``.
+def ingest(spark: SparkSession, folder: str, schema: str, target: str, normalize: Callable[[DataFrame], DataFrame], keys: list[str] = KEY, fmt: str = "parquet", once: bool = True, part: str = "round_number") -> StreamingQuery:
+    """Merge every new file of ``folder`` into the history under ``target``.
 
-    Each micro-batch writes a new version, ``target/v=<batch>``, from the version
-    before and the batch, so a replayed batch writes the same version again. State
-    lives in the table: late files are accepted, and the key makes order irrelevant.
+    Each micro-batch rewrites only the parts (rounds, one of the keys) that it touches,
+    into ``target/batch=<id>``; of a part, the newest batch that holds it is the state.
+    A replayed batch writes the same rows again. The stream's checkpoint lies beside the
+    batches, so that a restarted stream goes on with the next number and only with files
+    it has not seen. Late files are accepted, and the key makes order irrelevant.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         new = keep_last(normalize(batch), "ingest_seq", keys)
-        merged = new if batch_id == 0 else merge_history(spark.read.parquet(f"{target}/v={batch_id - 1}"), new, keys)
-        merged.write.mode("overwrite").parquet(f"{target}/v={batch_id}")
+        if batch_id > 0:
+            touched = new.select(F.col(part).alias("__part")).distinct()
+            old = _state(spark, target, part, batch_id).join(touched, F.col(part).eqNullSafe(F.col("__part")), "left_semi")
+            new = merge_history(old, new, keys)
+        new.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     writer = spark.readStream.schema(schema).format(fmt).load(folder).writeStream.foreachBatch(merge)
-    writer = writer.option("checkpointLocation", scratch_path(spark, "stream"))
+    writer = writer.option("checkpointLocation", f"{target}/_checkpoint")
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def latest_version(spark: SparkSession, target: str) -> DataFrame:
-    """The newest merged history."""
-    versions = spark.read.parquet(target)
-    return spark.read.parquet(f"{target}/v={versions.agg(F.max('v')).first()[0]}")
+def _state(spark: SparkSession, target: str, part: str, before: int | None = None) -> DataFrame:
+    rows = spark.read.parquet(target)
+    if before is not None:
+        rows = rows.where(F.col("batch") < before)
+    newest = rows.groupBy(F.col(part).alias("__part")).agg(F.max("batch").alias("__newest"))
+    current = rows.join(newest, F.col(part).eqNullSafe(F.col("__part")) & (F.col("batch") == F.col("__newest")))
+    return current.drop("batch", "__part", "__newest")
+
+
+def latest_version(spark: SparkSession, target: str, part: str = "round_number") -> DataFrame:
+    """The merged history of all batches so far."""
+    return _state(spark, target, part)

@@ -42,19 +42,34 @@ def test_merge_is_idempotent_and_new_rows_win(spark):
 
 
 def test_normalize_nested_snapshot(spark):
-    raw = '{"rounds":[{"roundNumber":7,"corr":"0.5","mmc":0.25,"resolved":"yes","deep":[{"round":8,"payout":2}]},{"roundNumber":9}]}'
+    raw = '{"rounds":[{"tournamentRound":7.9,"corr_20":"0.5","mmc":0.25,"resolved":"yes","deep":[{"round":8,"payout":2,"source":"own"}]},{"roundNumber":9},{"roundNumber":"9.5","corr":1},{"Round":5,"round":6,"corr":true,"resolve":"2023-12-31T23:00:00-02:00"}]}'
     snap = spark.createDataFrame([("2024", "api", "m", raw)], "fetched_at string, source string, model_name string, j string").select("fetched_at", "source", "model_name", F.parse_json("j").alias("value"))
     rec = history.flatten_records(snap).select("fetched_at", "source", "model_name", history.as_map(F.col("record")).alias("record"))
     got = {r["round_number"]: r for r in history.normalize_records(rec, F.lit("2024-01-01").cast("timestamp")).collect()}
-    assert sorted(got) == [7, 8]
+    assert sorted(got) == [6, 7, 8] and got[8]["source"] == "own" and got[7]["source"] == "api"
+    assert got[6]["corr20"] == 1.0 and not got[6]["resolved"]  # one hour after the time asked for
     assert got[7]["resolved"] and abs(got[7]["primary_score"] - (0.75 * 0.5 + 2.25 * 0.25)) < 1e-12 and got[8]["payout"] == 2.0
 
 
+def test_records_at_any_depth(spark):
+    """More levels and rows than a recursive query would take."""
+    deep = "[" * 110 + '{"round":1,"payout":1}' + "]" * 110
+    wide = "[" + ",".join('{"round":2,"payout":1}' for _ in range(50)) + "]"
+    snaps = spark.range(40).select(F.col("id").cast("string").alias("fetched_at"), F.lit("s").alias("source"), F.lit("m").alias("model_name"), F.parse_json(F.when(F.col("id") == 0, F.lit(deep[:0] + wide)).otherwise(F.lit(wide))).alias("value"))
+    assert history.flatten_records(snaps).count() == 2000
+    one = spark.range(1).select(F.parse_json(F.lit("[" * 5 + '{"a":{"b":[{}]}}' + "]" * 5)).alias("value"))
+    assert history.flatten_records(one).count() == 3
+
+
 def test_intra_round_last_bucket_wins(spark):
-    b = lambda n, v, settled=None: (n, v, "2024-01-01", "1.0", settled)
-    df = spark.createDataFrame([("t", "s", "m", [(3, [b("V2_CORR20 ", "0.1"), b("v2_corr20", "0.2"), b("bmc20", "0.4", "5.0"), b("corr20", "9")])])], f"fetched_at string, source string, model_name string, rounds {history.INTRA_ROUND}")
-    r = history.intra_round_rows(df).first()
-    assert (r["corr20"], r["bmc20"], r["payout"]) == (0.2, 0.4, 5.0)
+    b = lambda n, v, settled=None, date="2024-01-01": (n, v, date, "1.0", settled)
+    rounds = [(3, [b("V2_CORR20 ", "0.1"), b("v2_corr20", "0.2"), b("bmc", "0.4", "5.0"), b("corr20", "9"), b("canon_fnc_v3", "0.3", date="")]), (4, []), (5, [b("corr", None, date=None), b("canon_corr", "1", date="2030-01-01")])]
+    df = spark.createDataFrame([("t", "s", "m", rounds)], f"fetched_at string, source string, model_name string, rounds {history.INTRA_ROUND}")
+    got = {r["round_number"]: r for r in history.intra_round_rows(df, F.lit("2024-01-02").cast("timestamp")).collect()}
+    assert sorted(got) == [3, 5]
+    r = got[3]
+    assert (r["corr20"], r["bmc20"], r["fnc"], r["payout"], r["resolve_date"], r["resolved"]) == (0.2, 0.4, 0.3, 5.0, "2024-01-01", True)
+    assert (got[5]["corr20"], got[5]["payout"], got[5]["resolved"]) == (1.0, 2.0, False)
 
 
 def test_intra_round_query_gathers_no_lists(spark, tmp_path):
@@ -66,7 +81,7 @@ def test_intra_round_query_gathers_no_lists(spark, tmp_path):
     assert "collect_list" not in rows._jdf.queryExecution().optimizedPlan().toString()
     got = {r["model_name"]: (r["round_number"], r["corr20"], r["bmc20"], r["payout"], r["resolved"]) for r in rows.collect()}
     last = lambda user, kind: max((k, round(v, 4)) for k, u, t, v in events if (u, t) == (user, kind))[1]
-    paid = lambda user: 1.5 * sum(1 for k, u, _, _ in events if u == user and k % 2 == 0)
+    paid = lambda user: 1.5 * sum(1 for k, u, _, _ in events if u == user and k % 4 == 0)
     assert got == {str(u): (5, last(u, "click"), last(u, "view"), paid(u), True) for u in (1, 2)}
 
 
@@ -78,13 +93,72 @@ def test_csv_round_trip(spark, tmp_path):
 
 
 def test_registry(spark):
-    m = spark.createDataFrame([("a1", "x", "2024-01-01", "v5", "all", 1, ["m1"]), ("a2", "x", "2024-02-01", "v5", "all", 1, ["m1", "m2"]), ("a3", "y", "2024-01-01", None, "all", 1, [])], "artifact string, model string, created_at string, dataset_version string, feature_set string, artifact_schema_version int, model_files array<string>")
+    full = {"created_at": "2024-01-01", "dataset_version": "v5", "feature_set": "all", "artifact_schema_version": 1, "features": ["f"], "transform": "rank_01", "blend_alpha": 0.5, "bench_neutralize_prop": 1.0, "bench_cols_used": ["b"]}
+    rows = [
+        full | {"artifact": "a1", "model": "x", "model_files": ["m1"], "features_by_model": {"m1": ["f"]}},
+        full | {"artifact": "a2", "model": "x", "created_at": "2024-02-01", "model_files": ["m1", "m2"], "features_by_model": {"m1": ["f"], "m2": []}, "blend_alpha": 1.5},
+        full | {"artifact": "a3", "model": "y", "dataset_version": None, "model_files": [], "features_by_model": {}, "transform": "other"},
+    ]
+    m = spark.createDataFrame(rows, registry.MANIFEST)
     files = spark.createDataFrame([("a1", "m1"), ("a2", "m1")], "artifact string, file string")
     v = registry.audit(m, files, "v5")
-    assert sorted((r["artifact"], r["rule"]) for r in v.collect()) == [("a2", "missing_file"), ("a3", "missing_key"), ("a3", "no_models")]
+    assert sorted((r["artifact"], r["rule"]) for r in v.collect()) == [("a2", "missing_file"), ("a2", "out_of_range"), ("a2", "unmapped_model"), ("a3", "bad_transform"), ("a3", "missing_key"), ("a3", "no_models"), ("a3", "version_mismatch")]
     assert [tuple(r) for r in registry.promote(m, v).collect()] == [("x", "a1", "prod")]
 
 
+def test_columns_that_a_manifest_table_lacks_are_violations(spark):
+    m = spark.createDataFrame([("a1", "x", ["m1"])], "artifact string, model string, model_files array<string>")
+    v = registry.audit(m, spark.createDataFrame([("a1", "m1")], "artifact string, file string"), "v5")
+    assert sorted({r["rule"] for r in v.collect()}) == ["bad_transform", "missing_key", "no_benchmarks", "no_features", "out_of_range", "unmapped_model", "version_mismatch"]
+    assert sorted(r["detail"] for r in v.where("rule = 'missing_key'").collect()) == ["artifact_schema_version", "dataset_version", "feature_set"]
+
+
+def test_model_features_round_trip(spark, tmp_path):
+    rows = [(f"m{k}.txt", p, f"f{k}_{p}") for k in range(3) for p in range(k + 1)]
+    sinks.write_model_features(spark.createDataFrame(rows, "model_file string, pos int, feature string"), str(tmp_path / "map"))
+    assert sorted(map(tuple, splits.model_features(spark, str(tmp_path / "map")).collect())) == rows
+
+
+def test_prepared_split_follows_the_files(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "train")
+    spark.range(40).selectExpr("id AS feature_0", "'era1' AS era", "concat('r', id) AS id", "1D AS target").repartition(4).write.parquet(path)
+    assert splits.prepared_split(spark, path, ["feature_0"]).count() == 40
+    parts = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    os.remove(f"{path}/{parts[0]}")
+    spark.catalog.refreshByPath(path)
+    assert splits.prepared_split(spark, path, ["feature_0"]).count() == spark.read.parquet(path).count() < 40
+
+
+def test_sources_round_trip(spark, tmp_path):
+    live = spark.createDataFrame([("a", 1, 0.5), ("b", 2, 0.25)], "__index_level_0__ string, era int, feature_0 double")
+    live.write.parquet(str(tmp_path / "live"))
+    assert splits.read_live(spark, str(tmp_path / "live"), ["feature_0"]).columns == ["id", "era", "feature_0"]
+    with pytest.raises(Exception, match="lacks"):
+        splits.read_live(spark, str(tmp_path / "live"), ["feature_1"])
+    assert splits.read_benchmarks(spark, str(tmp_path / "live"), ["feature_0"]).columns == ["id", "feature_0"]
+    with pytest.raises(Exception, match="missing"):
+        splits.read_benchmarks(spark, str(tmp_path / "live"), ["other"])
+    (tmp_path / "features.json").write_text('{"feature_sets": {"small": ["f2", "f1"], "all": ["f1"]}}')
+    assert [tuple(r) for r in splits.feature_catalog(spark, str(tmp_path / "features.json"), "small").orderBy("pos").collect()] == [("small", 0, "f2"), ("small", 1, "f1")]
+    with pytest.raises(ValueError, match="unknown"):
+        splits.feature_catalog(spark, str(tmp_path / "features.json"), "none")
+    sinks.write_submission(live.selectExpr("__index_level_0__ AS id", "feature_0 AS prediction", "era"), str(tmp_path / "sub"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "sub")).columns == ["id", "prediction"]
+    oof = live.selectExpr("era AS window_id", "feature_0 AS prediction")
+    sinks.write_oof(oof, str(tmp_path / "oof"))
+    sinks.write_oof(oof.where("window_id = 2").selectExpr("window_id", "prediction * 2 AS prediction"), str(tmp_path / "oof"))
+    assert sorted((r["window_id"], r["prediction"]) for r in sinks.read_oof(spark, str(tmp_path / "oof")).collect()) == [(1, 0.5), (2, 0.5)]
+    assert sinks.read_oof(spark, str(tmp_path / "oof"), [1]).count() == 1
+    snaps = spark.createDataFrame([("2024-01-01T05:00:00Z", "x")], "fetched_at string, raw string")
+    sinks.write_snapshot(snaps, str(tmp_path / "raw"))
+    sinks.write_snapshot(snaps, str(tmp_path / "raw"))
+    assert spark.read.json(str(tmp_path / "raw")).where("fetch_date = '2024-01-01'").count() == 2
+    sinks.write_report(oof, str(tmp_path), "report")
+    assert spark.read.parquet(str(tmp_path / "report")).count() == 2
+
+
 def test_resume(spark):
     wanted = spark.createDataFrame([(1,), (2,)], "k int")
     done = spark.createDataFrame([(1, "s"), (2, "old")], "k int, signature string")
@@ -116,3 +190,17 @@ def test_stream_accepts_late_files(spark, tmp_path):
     history_stream.ingest(spark, source, ROWS, target, lambda df: df).awaitTermination()
     got = history_stream.latest_version(spark, target)
     assert sorted((r["round_number"], r["primary_score"]) for r in got.collect()) == [(1, 0.2), (2, 0.3)]
+
+
+def test_stream_goes_on_after_a_restart(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    files = [[("s", "m", 1, "t", True, 0.1, 1), ("s", "m", None, "t", True, 0.5, 2)], [("s", "m", 1, "t", True, 0.2, 3), ("s", "n", 2, "t", True, 0.3, 4)], [("s", "m", 2, "t", True, 0.4, 5), ("s", "n", None, "t", True, 0.6, 6)]]
+    state = {}
+    for rows in files:
+        spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("append").parquet(source)
+        history_stream.ingest(spark, source, ROWS, target, lambda df: df).awaitTermination()
+        state |= {(r[1], r[2]): r[5] for r in rows}
+        got = {(r["model_name"], r["round_number"]): r["primary_score"] for r in history_stream.latest_version(spark, target).collect()}
+        assert got == state
+    touched = spark.read.parquet(f"{target}/batch=1").select("round_number").distinct().collect()
+    assert sorted(r[0] for r in touched) == [1, 2]  # only rounds of the second file

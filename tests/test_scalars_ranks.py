@@ -55,3 +55,19 @@ def test_average_rank_ties_nan_and_range_variant(spark):
     bad = spark.createDataFrame([(1, 1.0), (1, float("nan")), (2, 5.0)], "e int, v double")
     got = {r["e"]: r["r"] for r in bad.select("e", ranks.average_rank("v", ["e"]).alias("r")).collect()}
     assert np.isnan(got[1]) and got[2] == 1.0
+
+
+def test_ranks_by_range_equal_plain_ranks(spark):
+    """Ties, nulls and NaN groups, whatever the ranges are."""
+    import math
+    import random
+
+    from eraloom.functions import ranks
+
+    rng = random.Random(3)
+    rows = [(k, k % 3, None if k % 41 == 0 else float("nan") if k == 50 else float(rng.randint(0, 30))) for k in range(400)]
+    df = spark.createDataFrame(rows, "id int, era_int int, x double").repartition(5)
+    shape = lambda v: None if v is None else "nan" if math.isnan(v) else round(v, 9)
+    seen = lambda d, c: {r["id"]: shape(r[c]) for r in d.collect()}
+    assert seen(ranks.average_rank_by_range(df, "x", ["era_int"]), "avg_rank") == seen(df.withColumn("avg_rank", ranks.average_rank("x", ["era_int"])), "avg_rank")
+    assert seen(ranks.gauss_ranks(df, ["x"], ["era_int"], by_range=True), "g_x") == seen(ranks.gauss_ranks(df, ["x"], ["era_int"]), "g_x")

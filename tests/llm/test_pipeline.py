@@ -71,3 +71,18 @@ def test_rows_are_judged_each_by_its_own_text(spark, folder):
     assert [r for r in left if not r[1]] == sorted([(None, None), (9, ""), (9, "")], key=repr)
     assert sorted((r[0], r[1].removesuffix(" more")) for r in left if r[0] is not None and r[1]) == sorted([(4, b), (7, c), (7, d)])
     assert sorted(r[1].removesuffix(" more") for r in left if r[0] is None and r[1]) == sorted([a, e])
+
+
+def test_empty_tables(spark, folder, tmp_path):
+    """Without documents nothing comes out; without labels and benchmark nothing is rejected for them."""
+    pytest.importorskip("public_tokenizers")
+    sf_dir, _, _ = folder
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    bare = str(tmp_path / "bare")
+    spark.createDataFrame([], schema).write.parquet(f"{bare}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{bare}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{bare}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, bare).count() == 0
+    docs = spark.createDataFrame([(1, "some clean words", "en", "s", 1), (None, None, None, None, None)], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert sorted(stage(spark, docs, bare).collect(), key=repr) == sorted(docs.collect(), key=repr), name

@@ -535,12 +535,12 @@ ORACLES: dict[str, str] = {
     "q38_intra_round": """WITH E AS (SELECT CAST(user_id AS VARCHAR) AS model_name, CAST(dayofyear(ts) AS INTEGER) AS round_number, event_id, event_type, round(value, 4) AS v, CASE WHEN event_id % 3 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS day FROM events),
       G AS (SELECT model_name, round_number, arg_max(v, event_id) FILTER (event_type = 'click') AS corr20,
         coalesce(arg_max(v, event_id) FILTER (event_type = 'view'), arg_max(v, event_id) FILTER (event_type = 'error')) AS bmc20, arg_max(v, event_id) FILTER (event_type = 'signup') AS fnc,
-        CASE WHEN count(*) FILTER (event_id % 4 = 0) > 0 THEN 1.5 * count(*) FILTER (event_id % 4 = 0) ELSE 0.5 * count(*) END AS payout, arg_max(day, event_id) AS resolve_date FROM E GROUP BY 1, 2)
+        CASE WHEN count(*) FILTER (event_id % 4 = 0) > 0 THEN 1.5::DOUBLE * count(*) FILTER (event_id % 4 = 0) ELSE 0.5::DOUBLE * count(*) END AS payout, arg_max(day, event_id) AS resolve_date FROM E GROUP BY 1, 2)
       SELECT model_name, round_number, round(corr20, 6) AS corr20, round(bmc20, 6) AS bmc20, round(fnc, 6) AS fnc, round(payout, 6) AS payout, round(0.75 * corr20 + 2.25 * bmc20, 6) AS primary_score,
         resolve_date, coalesce(CAST(resolve_date AS DATE) <= DATE '2024-01-20', false) AS resolved FROM G""",
     "q39_nested_snapshots": """WITH E AS (SELECT CAST(event_id AS VARCHAR) AS model_name, event_id % 4 AS k, CAST(dayofyear(ts) AS INTEGER) AS n, round(value, 4) AS v, strftime(ts, '%Y-%m-%d') AS day FROM events)
       SELECT model_name, CASE WHEN k = 2 THEN 'own' ELSE 'api' END AS source, n AS round_number, CASE WHEN k = 0 THEN true ELSE CAST(day AS DATE) <= DATE '2024-01-20' END AS resolved,
-        CASE WHEN k < 2 THEN v END AS corr20, CASE k WHEN 0 THEN v WHEN 1 THEN 9.0 END AS mmc20, CASE WHEN k = 1 THEN v END AS bmc20, CASE WHEN k = 2 THEN v END AS payout, CASE WHEN k = 2 THEN 1.0 END AS stake,
+        CASE WHEN k < 2 THEN v END AS corr20, CASE k WHEN 0 THEN v WHEN 1 THEN 9.0::DOUBLE END AS mmc20, CASE WHEN k = 1 THEN v END AS bmc20, CASE WHEN k = 2 THEN v END AS payout, CASE WHEN k = 2 THEN 1.0::DOUBLE END AS stake,
         CASE WHEN k < 2 THEN round(3.0 * v, 6) END AS primary_score, CASE k WHEN 1 THEN day WHEN 2 THEN day || 'T00:00:00Z' END AS resolve_date FROM E WHERE k < 3""",
     "q40_walkforward_selection": "WITH " + SQL_KNOWN.format(only="true", corr=sql_era_corr("L", "window_id, iter, era_int")) + " SELECT window_id, best_iter, round(corr, 6) + 0.0 AS corr, round(rmse, 6) AS rmse FROM B",
     "q41_oof": "WITH "

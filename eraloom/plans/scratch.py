@@ -29,18 +29,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Unlike a cached or locally checkpointed frame it survives lost executors,
     and several readers cost one computation. The shuffle files behind the table
-    are garbage from then on; a collection on the driver lets Spark's cleaner
-    remove them, so that disk holds one step's shuffles and not those of all.
+    are garbage from then on; with ``free``, for steps that shuffle much, a collection
+    on the driver lets Spark's cleaner remove them, so that disk holds one step's
+    shuffles and not those of all.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    spark.sparkContext._jvm.java.lang.System.gc()
+    if free:
+        spark.sparkContext._jvm.java.lang.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -367,18 +367,18 @@ def removal_spans(docs: DataFrame, most: int = MOST) -> DataFrame:
     held = named.select("doc_id", "text").mapInPandas(_emit_anchors, "key long, anchor long, doc long").repartition("key")
     same = Window.partitionBy("key")
     shared = held.withColumn("lo", F.min("doc").over(same)).withColumn("hi", F.max("doc").over(same)).where("lo < hi")
-    by_doc = materialize(shared.groupBy("doc").agg(F.collect_list("anchor").alias("shared")), "shared-anchors")
+    by_doc = materialize(shared.groupBy("doc").agg(F.collect_list("anchor").alias("shared")), "shared-anchors", free=True)
     rest = named.join(copies.select(F.col("doc").alias("doc_id"), "tk"), ["doc_id", "tk"], "left_anti")
     found = rest.join(by_doc, F.col("doc_id") == F.col("doc")).select("doc_id", "tk", "text", "shared").mapInPandas(_emit_contexts, CONTEXT)
     # Here too a key has one row per batch, or per batch's smallest document.
     kind = Window.partitionBy("anchor", "cid").orderBy("doc", "tk", "start")
     found = found.withColumn("first", F.when(~F.col("settled"), F.first("doc").over(kind))).withColumn("speaks", F.row_number().over(kind) == 1)
-    found = materialize(found, "contexts")
+    found = materialize(found, "contexts", free=True)
     each = found.where("not settled")
     kinds = each.where("speaks").select("anchor", "cid", "doc", "tk", "start", "size")
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     wanted = kinds.join(mixed, "anchor").groupBy(F.col("doc").alias("doc_id"), "tk").agg(F.collect_list(F.struct("anchor", "cid", "start", "size", "n")).alias("wanted"))
-    parts = materialize(named.join(wanted, ["doc_id", "tk"]).select("doc_id", "text", "wanted").mapInPandas(_read_parts(most), PART), "context-parts")
+    parts = materialize(named.join(wanted, ["doc_id", "tk"]).select("doc_id", "text", "wanted").mapInPandas(_read_parts(most), PART), "context-parts", free=True)
     inside = parts.where("bytes is not null").repartition("key").sortWithinPartitions("key", "doc").mapInPandas(_sort_blocks, SPAN)
     inside = inside.union(parts.where("bytes is null").select("anchor", "cid", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi")))
     full = each.where("doc > first").select("doc", "tk", F.col("start").alias("lo"), (F.col("start") + F.col("size") + F.col("reach")).alias("hi"))

@@ -38,8 +38,9 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 _NUMBERS, _WORDS = itemgetter(0), itemgetter(1)
-#: Memos are emptied at this many entries, so that memory stays bounded.
-MEMO = 100_000
+#: Memos are emptied at this many entries, and hold no part of over LONG characters, so that memory stays bounded.
+MEMO = 500_000
+LONG = 64
 #: Texts that models with other normalization, prefixes, spaces or piece types encode differently.
 PROBES = ["Hello world", "ABC Straße ÉCOLE", "ﬁ ① Å é ｆｕｌｌ", " a  b   c ", "tab\tline\nend\r\n", "日本語 текст عربي 😀", "aaaaabbbbb 12345 don't", "\u00a0\u3000\u200bx", "internationalization misunderstandings", "\u2581x \u2581\u2581"]
 #: Texts of one decode call hold at most so many ids.
@@ -177,7 +178,9 @@ class Memo(dict):
             self.clear()
         encoder = self.encoder
         ids = tuple(chain.from_iterable(map(encoder.unit, encoder.units.findall(self.prefix + part))))
-        found = self[part] = (ids, " ".join(map(str, ids)))
+        found = (ids, " ".join(map(str, ids)))
+        if len(part) <= LONG:
+            self[part] = found
         return found
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,7 @@ def materialize(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     if free:
+        time.sleep(1)  # the listeners' queues still hold the finished plan
         spark.sparkContext._jvm.java.lang.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

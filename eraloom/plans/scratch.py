@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's switch for removing a query's shuffle files when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -30,21 +32,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Unlike a cached or locally checkpointed frame it survives lost executors,
-    and several readers cost one computation. The shuffle files behind the table
-    are garbage from then on; with ``free``, for steps that shuffle much, a collection
-    on the driver lets Spark's cleaner remove them, so that disk holds one step's
-    shuffles and not those of all.
+    and several readers cost one computation. Spark removes the write's own shuffle
+    files at its end, so that disk holds one step's shuffles and not those of all.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    if free:
-        time.sleep(1)  # the listeners' queues still hold the finished plan
-        spark.sparkContext._jvm.java.lang.System.gc()
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,11 +6,9 @@ longest matches, greedily from left to right and across words; the language that
 needs the fewest phrases per character wins (all languages parse the same
 characters, so the counts compare directly).
 
-Automata are built one by one on the driver from a bounded sample of labelled rows
-(``docs_per_language`` whole texts of each language outside fold 0, drawn by a hash)
-and flattened into one hash table of transitions. A task parses the texts of a batch
-side by side, one character of each at a time, against all languages at once; the
-few longest go on one by one. One pass, no shuffle.
+Automata are built in each worker from a bounded sample of labelled rows
+(``docs_per_language`` whole texts of each language outside fold 0, drawn by a hash);
+a parse is one dictionary lookup per character and language. One pass, no shuffle.
 
 Defined cases: texts that are null or hold no letter are ``und`` with score 0;
 with no labelled row at all every text is; ties go to the language first in
@@ -32,9 +30,6 @@ from pyspark.sql import functions as F
 from eraloom.llm.sampling import fold, per_class
 
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
-#: Texts parsed side by side; when so few are left, they go on one by one.
-FEW = 12
-_MIX = 0x9E3779B97F4A7C15
 
 
 @functools.lru_cache(maxsize=1)
@@ -43,21 +38,22 @@ def _letter_table() -> np.ndarray:
     return np.fromiter((chr(k).isalpha() for k in range(0x110000)), bool, 0x110000)
 
 
-def letters(text: str | None) -> np.ndarray:
-    """Code points of the lower-cased letters of a text, other runs between them as one space."""
+def letters(text: str | None) -> str:
+    """The lower-cased letters of a text, other runs between them as one space."""
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     known = _letter_table()[points]
     if not known.any():
-        return np.empty(0, np.uint32)
+        return ""
     first, last = known.argmax(), len(known) - known[::-1].argmax()
     points, known = points[first:last], known[first:last]
     keep = known.copy()
     keep[1:] |= known[:-1]
-    return np.where(known, points, 32)[keep].astype(np.uint32)
+    return np.where(known, points, 32)[keep].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
 
 
-def suffix_automaton(text: str) -> list[dict[str, int]]:
-    """Transitions of the smallest automaton of all substrings; state 0 is the start."""
+def suffix_automaton(text: str) -> dict[str, dict]:
+    """The start of the smallest automaton of all substrings; a state maps each character
+    to the next state."""
     go: list[dict[str, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in text:
@@ -79,134 +75,46 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    return go
-
-
-class Parser:
-    """Phrase counts of texts against the automata of several languages.
-
-    The transitions of all automata lie in one open-addressed table; a key is
-    state * alphabet + character, with states numbered through. Character 0 is one
-    that no learned text has.
-    """
-
-    def __init__(self, training: tuple[tuple[str, str], ...]):
-        self.names = [name for name, _ in training]
-        points = np.unique(np.concatenate([np.frombuffer(text.encode("utf-32-le"), np.uint32) for _, text in training])) if training else np.empty(0, np.uint32)
-        self.points, self.alphabet = points, len(points) + 1
-        code = {chr(p): k + 1 for k, p in enumerate(points.tolist())}
-        keys, values, roots, base = [], [], [], 0
-        for _, text in training:
-            go = suffix_automaton(text)
-            for state, out in enumerate(go):
-                at = (base + state) * self.alphabet
-                keys.extend(at + code[c] for c in out)
-                values.extend(base + to for to in out.values())
-            roots.append(base)
-            base += len(go)
-        self.roots = np.array(roots, np.int64)
-        self.bits = max(4, (2 * len(keys)).bit_length())
-        self.keys, self.values = self._table(np.array(keys, np.int64), np.array(values, np.int32))
-        every = self.roots[:, None] * self.alphabet + np.arange(self.alphabet)
-        start = self.follow(every.ravel()).reshape(every.shape)
-        self.start = np.where(start < 0, self.roots[:, None], start)  # from the start, or back to it
-
-    def _slot(self, key: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return ((key.view(np.uint64) * np.uint64(_MIX)) >> np.uint64(64 - self.bits)).view(np.int64)
-
-    def _table(self, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        size = 1 << self.bits
-        table, targets = np.full(size, -1, np.int64), np.zeros(size, np.int32)
-        slot = self._slot(keys)
-        while len(keys):
-            free = np.flatnonzero(table[slot] < 0)
-            taken, at = np.unique(slot[free], return_index=True)
-            table[taken], targets[taken] = keys[free[at]], values[free[at]]
-            rest = np.ones(len(keys), bool)
-            rest[free[at]] = False
-            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & (size - 1)
-        return table, targets
-
-    def follow(self, key: np.ndarray) -> np.ndarray:
-        """The state each transition leads to, -1 where there is none."""
-        slot = self._slot(key)
-        found = self.keys[slot]
-        open_ = np.flatnonzero((found != key) & (found >= 0))
-        while len(open_):
-            slot[open_] = (slot[open_] + 1) & (len(self.keys) - 1)
-            found[open_] = self.keys[slot[open_]]
-            open_ = open_[(found[open_] != key[open_]) & (found[open_] >= 0)]
-        return np.where(found == key, self.values[slot], -1)
-
-    def _finish(self, chars: np.ndarray, state: int, root: int, start: list[int]) -> int:
-        """Phrases that the rest of one text adds in one language."""
-        keys, values, mask, shift, alphabet = memoryview(self.keys), memoryview(self.values), len(self.keys) - 1, 64 - self.bits, self.alphabet
-        count = 0
-        for c in chars.tolist():
-            key = state * alphabet + c
-            slot = (key * _MIX & 0xFFFFFFFFFFFFFFFF) >> shift
-            while (found := keys[slot]) != key and found >= 0:
-                slot = slot + 1 & mask
-            if found == key:
-                state = values[slot]
-                continue
-            count += state != root
-            state = start[c]
-            count += state == root
-        return count + (state != root)
-
-    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Number of longest matches of each text (code points) in each language; a
-        character that a language does not have is a phrase."""
-        n_langs = len(self.names)
-        order = sorted(range(len(texts)), key=lambda k: -len(texts[k]))
-        sizes = np.array([len(texts[k]) for k in order], np.int64)
-        flat = np.concatenate([texts[k] for k in order]) if order else np.empty(0, np.uint32)
-        at = np.minimum(np.searchsorted(self.points, flat), len(self.points) - 1)
-        flat = np.where(self.points[at] == flat, at + 1, 0)
-        begin = np.cumsum(sizes) - sizes
-        state = np.tile(self.roots, (len(order), 1))
-        count = np.zeros((len(order), n_langs), np.int64)
-        lang = np.arange(n_langs)
-        ends = len(order) - np.searchsorted(sizes[::-1], np.arange(sizes[0] + 1), "right") if len(order) else np.zeros(1, np.int64)
-        step = 0
-        while step < len(ends) and (m := int(ends[step])) > FEW:  # texts longer than ``step``
-            c = flat[begin[:m] + step]
-            now = state[:m]
-            following = self.follow((now * self.alphabet + c[:, None]).ravel()).reshape(m, n_langs)
-            miss = np.nonzero(following < 0)
-            if len(miss[0]):
-                roots = self.roots[miss[1]]
-                fresh = self.start[miss[1], c[miss[0]]]
-                count[miss] += (now[miss] != roots).astype(np.int64) + (fresh == roots)
-                following[miss] = fresh
-            state[:m] = following
-            step += 1
-        for k in range(len(order)):
-            for j in lang:
-                count[k, j] += self._finish(flat[begin[k] + min(step, sizes[k]) : begin[k] + sizes[k]], int(state[k, j]), int(self.roots[j]), self.start[j].tolist()) if sizes[k] > step else state[k, j] != self.roots[j]
-        out = np.empty_like(count)
-        out[order] = count
-        return out
-
-
-def _predictor(parser: Parser):
+    for state in go:
+        for c, to in state.items():
+            state[c] = go[to]
+    return go[0]
+
+
+def phrases(start: dict[str, dict], text: str) -> int:
+    """Number of longest matches in a greedy parse; an unseen character is a phrase."""
+    count, here = 0, start
+    for c in text:
+        following = here.get(c)
+        if following is None:
+            count += here is not start
+            following = start.get(c)
+            if following is None:
+                count += 1
+                following = start
+        here = following
+    return count + (here is not start)
+
+
+@functools.lru_cache(maxsize=1)
+def _automata(training: tuple[tuple[str, str], ...]) -> list[dict[str, dict]]:
+    return [suffix_automaton(text) for _, text in training]
+
+
+def _predictor(training: tuple[tuple[str, str], ...]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, automata = [name for name, _ in training], _automata(training)
         for pdf in batches:
-            langs, scores = ["und"] * len(pdf), [0.0] * len(pdf)
-            held, size = [], 0
-            for k, text in enumerate(pdf["text"]):
-                points = letters(text) if parser.names else ()
-                if len(points):
-                    held.append((k, points))
-                    size += len(points)
-                if held and (size > 1 << 24 or k == len(pdf) - 1):
-                    for (at, _), counts in zip(held, parser.phrases([p for _, p in held]), strict=True):
-                        best = int(counts.argmin())
-                        langs[at] = parser.names[best]
-                        scores[at] = float(1 / ((counts[best] / counts) ** 16).sum())
-                    held, size = [], 0
+            langs, scores = [], []
+            for text in pdf["text"]:
+                only = letters(text) if names else ""
+                if not only:
+                    langs.append("und"), scores.append(0.0)
+                    continue
+                counts = np.array([phrases(a, only) for a in automata])
+                best = int(counts.argmin())
+                langs.append(names[best])
+                scores.append(float(1 / ((counts[best] / counts) ** 16).sum()))
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "lang_pred": langs, "score": scores})
 
     return run
@@ -218,12 +126,12 @@ def training_text(docs: DataFrame, docs_per_language: int = 24) -> tuple[tuple[s
     labelled = docs.select("doc_id", "text", "lang").where((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     found: dict[str, list[str]] = {}
     for r in sorted(per_class(labelled, "lang", docs_per_language).collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"])):
-        found.setdefault(r["lang"], []).append(letters(r["text"]).tobytes().decode("utf-32-le", "surrogatepass"))
+        found.setdefault(r["lang"], []).append(letters(r["text"]))
     return tuple((k, "\n".join(found[k])) for k in sorted(found) if any(found[k]))
 
 
 def identify(docs: DataFrame, docs_per_language: int = 24) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row."""
-    parser = Parser(training_text(docs, docs_per_language))
+    training = training_text(docs, docs_per_language)
     rows = docs.select("doc_id", "text", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"))
-    return rows.mapInPandas(_predictor(parser), RESULT)
+    return rows.mapInPandas(_predictor(training), RESULT)

@@ -52,4 +52,28 @@ SELECT page_id, url, strftime(to_timestamp(1704067200 + page_id) AT TIME ZONE 'U
   array_to_string(list_reverse(string_split(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:]*)', 1), '.')), ',') || ')' || regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) AS url_key
 FROM R"""
 
-ORACLES = {"op1_secret_scan": SECRETS, "op3_decontaminate": DECONTAMINATION, "op10_warc": WARC}
+
+
+def _codes(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Every part against every entry; a squared distance less the part's own square decides, ties by index."""
+
+    def nearest(book: str, extra: str = "") -> str:
+        d = "list_dot_product(c, c) - 2 * list_dot_product(v, c)"
+        return f"SELECT vec_id, p, v{extra}, min(struct_pack(d := {d}, k := k)).k AS k FROM P JOIN {book} USING (p) GROUP BY vec_id, p, v{extra}"
+
+    steps = [
+        "V AS MATERIALIZED (SELECT vec_id, label, embedding AS e FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"P AS MATERIALIZED (SELECT vec_id, label, p, list_transform(e[p*len(e)//{parts}+1:(p+1)*len(e)//{parts}], lambda x: floor(1024*x::DOUBLE)) AS v FROM V, range({parts}) r(p))",
+        f"B0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, v AS c FROM P QUALIFY k < {entries})",
+    ]
+    for r in range(rounds):
+        steps.append(f"A{r} AS MATERIALIZED ({nearest(f'B{r}')})")
+        means = f"SELECT p, k, list(m ORDER BY j) AS m FROM (SELECT p, k, j, floor(sum(x)/count(*)) AS m FROM (SELECT p, k, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM A{r}) GROUP BY p, k, j) GROUP BY p, k"
+        steps.append(f"B{r + 1} AS MATERIALIZED (SELECT p, k, coalesce(m, c) AS c FROM B{r} LEFT JOIN ({means}) USING (p, k))")
+    steps.append(f"Z AS ({nearest(f'B{rounds}', ', label')})")
+    steps.append(f"E AS (SELECT vec_id, label, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(list_sum(list_transform(list_zip(v, c), lambda z: pow(z[1]-z[2], 2)))) AS BIGINT) AS error FROM Z JOIN B{rounds} USING (p, k) GROUP BY vec_id, label)")
+    steps.append(f"H AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY p, k)) AS codebooks_sha256 FROM B{rounds})")
+    return f"WITH {', '.join(steps)} SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM E, H"
+
+
+ORACLES = {"op11_vector_codes": _codes(), "op1_secret_scan": SECRETS, "op3_decontaminate": DECONTAMINATION, "op10_warc": WARC}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eraloom.llm import chat_format, decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, toxicity, vector_codes, warc
+from eraloom.llm import chat_format, decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, token_alignment, toxicity, vector_codes, warc
 from eraloom.llm.oracles import ORACLES as ORACLES
 
 
@@ -14,11 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_model() -> str:
+def tokenizer_model(name: str = "piece_bpe_32k.model") -> str:
     """Default model file of the tokenizer queries; operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_corpus(_table(spark, sf_dir, "documents"), tokenizer_model("byte_bpe_50k.json"), tokenizer_model())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_warc,
         op11_vector_codes,
+        op12_token_alignment,
     )
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eraloom.llm import chat_format, decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, token_alignment, toxicity, vector_codes, warc
+from eraloom.llm import chat_format, decontaminate, html_extract, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, token_alignment, toxicity, vector_codes, warc
 from eraloom.llm.oracles import ORACLES as ORACLES
 
 
@@ -70,6 +70,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_corpus(_table(spark, sf_dir, "documents"), tokenizer_model("byte_bpe_50k.json"), tokenizer_model())
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_warc,
         op11_vector_codes,
         op12_token_alignment,
+        op13_html_extraction,
     )
 }

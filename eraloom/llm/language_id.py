@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eraloom.llm.sampling import fold, per_class
+from eraloom.llm.text import map_rows
 
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -115,7 +116,7 @@ def _predictor(training: tuple[tuple[str, str], ...]):
                 best = int(counts.argmin())
                 langs.append(names[best])
                 scores.append(float(1 / ((counts[best] / counts) ** 16).sum()))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "lang_pred": langs, "score": scores})
+            yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
     return run
 
@@ -125,7 +126,8 @@ def training_text(docs: DataFrame, docs_per_language: int = 24) -> tuple[tuple[s
     of each language outside fold 0. A line end, which no parsed text has, parts texts."""
     labelled = docs.select("doc_id", "text", "lang").where((fold() != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     found: dict[str, list[str]] = {}
-    for r in sorted(per_class(labelled, "lang", docs_per_language).collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"])):
+    labelled = labelled.withColumn("key", F.xxhash64("text"))  # repeats of a row are learned once
+    for r in sorted(per_class(labelled, "lang", docs_per_language, ["doc_id", "key"]).dropDuplicates(["lang", "doc_id", "key"]).collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"])):
         found.setdefault(r["lang"], []).append(letters(r["text"]))
     return tuple((k, "\n".join(found[k])) for k in sorted(found) if any(found[k]))
 
@@ -134,4 +136,4 @@ def identify(docs: DataFrame, docs_per_language: int = 24) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row."""
     training = training_text(docs, docs_per_language)
     rows = docs.select("doc_id", "text", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"))
-    return rows.mapInPandas(_predictor(training), RESULT)
+    return map_rows(rows, ["doc_id", "held_out"], _predictor(training), RESULT)

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eraloom.llm.text import WordHash, shingles
+from eraloom.llm.text import WordHash, map_rows, shingles
 from eraloom.plans.scratch import broadcast_if_small, materialize
 
 BITS = 4
@@ -108,7 +108,7 @@ def _signer(shingle: int, bands: int, rows: int):
                 ids.append(xxhash.xxh3_128_digest(s.tobytes()))
                 keys.append(band_keys(m, rows))
                 packed.append(pack(m))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "key": pdf["key"], "n_shingles": n, "cls": ids, "bands": keys, "sig": packed})
+            yield pd.DataFrame({"n_shingles": n, "cls": ids, "bands": keys, "sig": packed})
 
     return sign
 
@@ -247,7 +247,7 @@ def judge(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40,
     component's own mark, null for an empty set) and component_id."""
     width, longs = bands * rows, -(-bands * rows * BITS // 64)
     signed = materialize(
-        docs.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInPandas(_signer(shingle, bands, rows), "doc_id long, key long, n_shingles long, cls binary, bands array<long>, sig array<long>"), "minhash"
+        map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("key")), ["doc_id", "key"], _signer(shingle, bands, rows), "doc_id long, key long, n_shingles long, cls binary, bands array<long>, sig array<long>"), "minhash"
     )
     # ``key`` names a text of the class, one of its smallest doc_id if it has any.
     text_of = F.coalesce(F.min_by("key", "doc_id"), F.min("key")).alias("key")

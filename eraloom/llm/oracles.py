@@ -35,19 +35,19 @@ def _kind(order: int) -> str:
 
 SECRETS = f"""
 WITH S AS ({" UNION ALL ".join(map(_kind, range(len(KINDS))))}),
-F AS (SELECT v, count(DISTINCT source) <= 1 AS live FROM S GROUP BY 1),
+F AS (SELECT v, count(DISTINCT source) <= 1 AND count(DISTINCT (source, doc_id)) <= 10 AS live, count(DISTINCT (source, doc_id)) AS n_repos FROM S GROUP BY 1),
 J AS (SELECT * FROM S JOIN F USING (v) WHERE live OR kind <> 'owned'),
 A AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   string_agg(kind || ':' || s || ':' || (s+size), ',' ORDER BY s, k) FILTER (kind <> 'owned') AS base, string_agg(kind || ':' || s || ':' || (s+size), ',' ORDER BY s, k) AS spans,
-  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_shared FROM J GROUP BY 1)
+  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_shared, max(n_repos) AS most_repos FROM J GROUP BY 1)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared FROM documents LEFT JOIN A USING (doc_id)"""
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared, coalesce(most_repos, 0) AS most_repos FROM documents LEFT JOIN A USING (doc_id)"""
 
 _DIGITS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * k + 1}, 5))::BIGINT >> {s}) & 31) + 1, 1)" for k in range(8) for s in (15, 10, 5, 0))
 WARC = f"""
 WITH P AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 R AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM P)
-SELECT page_id, url, strftime(to_timestamp(1704067200 + page_id) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS captured_at, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+SELECT page_id, url, strftime(to_timestamp(1704067200 + page_id % 2147483648) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS captured_at, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> last THEN last END AS refers_to, strlen(html) AS payload_bytes, {_DIGITS} AS payload_digest,
   array_to_string(list_reverse(string_split(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#:]*)', 1), '.')), ',') || ')' || regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)', 1) AS url_key
 FROM R"""

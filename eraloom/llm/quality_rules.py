@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eraloom.llm.text import WordHash, windows, word_hashes
+from eraloom.llm.text import WordHash, map_rows, windows, word_hashes
 
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
 #: A whole word without any letter.
@@ -143,9 +143,7 @@ def _cascade(tests: list[Callable[[Text], bool]], least_words: int, most_repeate
                 failed = t.n_words < least_words or 100 * t.n_repeat_words > most_repeated * t.n_words
                 kept = not failed and not (t.n_words and any(test(t) for test in tests))
                 rows.append((t.n_words, t.word_chars, t.n_symbols, t.n_dup_lines, t.n_repeat_words, failed, kept))
-            out = pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"])
-            out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy() if len(out) else [])
-            yield out
+            yield pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"])
 
     return run
 
@@ -153,4 +151,4 @@ def _cascade(tests: list[Callable[[Text], bool]], least_words: int, most_repeate
 def apply_rules(docs: DataFrame, sample_rows: int = 2_000, least_words: int = 20, most_repeated: int = 30, rules: Mapping[str, Callable[[Text], bool]] = RULES) -> DataFrame:
     """Counts and verdict for every row; ``most_repeated`` is a percentage of the words."""
     order = rule_order(docs, sample_rows, rules)
-    return docs.select("doc_id", "text").mapInPandas(_cascade([rules[name] for name in order], least_words, most_repeated), RESULT)
+    return map_rows(docs.select("doc_id", "text"), ["doc_id"], _cascade([rules[name] for name in order], least_words, most_repeated), RESULT)

@@ -3,8 +3,9 @@
 Base patterns find assignments, access keys and long hexadecimal runs in each
 text. The method then looks at every candidate value of the corpus, generic
 mixed tokens included, hashes it, and counts the distinct repositories and owners
-that hold it. A value that many owners hold is a widely copied example; one that
-stays with ``max_owners`` owners looks live. Live generic tokens are added to the
+that hold it. A value that many owners hold, or many repositories of one owner, is a widely
+copied example; one that stays with ``max_owners`` owners and ``max_repos`` repositories
+(counted once for each owner) looks live. Live generic tokens are added to the
 spans as kind ``owned``; base spans always stay and are counted as live or shared.
 
 Shape of the work: one pass of the patterns keeps the few texts with any
@@ -56,7 +57,7 @@ def _live_looking(value: Column) -> Column:
     return ~value.rlike("^[0-9a-f]+$") & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(value, ""))) >= 10)
 
 
-def find_secrets(docs: DataFrame, owner: str = "source", repo: str = "doc_id", max_owners: int = 1) -> DataFrame:
+def find_secrets(docs: DataFrame, owner: str = "source", repo: str = "doc_id", max_owners: int = 1, max_repos: int = 10) -> DataFrame:
     """Spans of all documents: doc_id, key (hash of the text), kind, start, stop,
     n_owners, n_repos and live. ``owner`` and ``repo`` name columns of ``docs``."""
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("key"), F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("owner"), F.coalesce(F.col(repo).cast("string"), F.lit("")).alias("repo"))
@@ -76,7 +77,7 @@ def find_secrets(docs: DataFrame, owner: str = "source", repo: str = "doc_id", m
     # Two levels, so that a value copied everywhere is counted from partial results.
     by_owner = held.groupBy("hash", "owner", "repo").agg(F.lit(1).alias("one")).groupBy("hash", "owner").agg(F.count("*").alias("repos"))
     frequency = by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
-    judged = spans.join(frequency, "hash").withColumn("live", F.col("n_owners") <= max_owners)
+    judged = spans.join(frequency, "hash").withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos))
     return judged.where(F.col("live") | (F.col("kind") != "owned")).select("doc_id", "key", "kind", "start", "stop", "n_owners", "n_repos", "live")
 
 
@@ -85,18 +86,19 @@ def _listed(spans: Column) -> Column:
 
 
 def summarize(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Per document row: counts by kind, the digest of the base spans and all spans as text."""
+    """Per document row: counts by kind, the digest of the base spans, all spans as text,
+    live and shared spans, and the most repositories that hold one of its values."""
     item = F.struct("start", F.array_position(F.array(*(F.lit(k[0]) for k in KINDS)), F.col("kind")).alias("order"), "stop", "kind")
     counts = [F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}") for k in BASE]
     lists = spans.groupBy(F.col("doc_id").alias("id"), F.col("key").alias("k")).agg(
-        *counts, F.array_sort(F.collect_list(item)).alias("all"), F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(~F.col("live"), 1)).alias("n_shared")
+        *counts, F.array_sort(F.collect_list(item)).alias("all"), F.count(F.when(F.col("live"), 1)).alias("n_live"), F.count(F.when(~F.col("live"), 1)).alias("n_shared"), F.max("n_repos").alias("most_repos")
     )
     rows = docs.select("doc_id", F.xxhash64("text").alias("key"))
     out = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("k")), "left")
     every = F.coalesce(F.col("all"), F.array().cast(lists.schema["all"].dataType))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     base = F.filter(every, lambda s: s["kind"].isin(BASE))
-    return out.select("doc_id", *(zero(f"n_{k}") for k in BASE), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(every).alias("spans"), zero("n_live"), zero("n_shared"))
+    return out.select("doc_id", *(zero(f"n_{k}") for k in BASE), F.sha2(_listed(base), 256).alias("base_sha256"), _listed(every).alias("spans"), zero("n_live"), zero("n_shared"), zero("most_repos"))
 
 
 def redact(docs: DataFrame, spans: DataFrame, mark: str = "[SECRET]") -> DataFrame:

@@ -36,6 +36,8 @@ import sentencepiece
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from eraloom.llm.text import map_rows
+
 MARK = "▁"
 _NUMBERS, _WORDS = itemgetter(0), itemgetter(1)
 #: Memos are emptied at this many entries, and hold no part of over LONG characters, so that memory stays bounded.
@@ -207,7 +209,7 @@ def _digests(model: Broadcast):
                     decoded += map(sha, encoder.sp.decode(waiting, num_threads=1))
                     waiting, held = [], 0
             decoded += map(sha, encoder.sp.decode(waiting, num_threads=1)) if waiting else []
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "n_tokens": counts, "ids_sha256": hashes, "decoded_sha256": decoded})
+            yield pd.DataFrame({"n_tokens": counts, "ids_sha256": hashes, "decoded_sha256": decoded})
 
     return run
 
@@ -217,7 +219,7 @@ def _ids(model: Broadcast, decode: bool):
         encoder = _encoder(model.value)
         for pdf in batches:
             rows = [encoder.encode(t) for t in pdf["text"]]
-            out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": rows})
+            out = pd.DataFrame({"ids": rows})
             if decode:
                 out["decoded"] = encoder.sp.decode(rows, num_threads=1) if rows else []
             yield out
@@ -235,14 +237,14 @@ def _ship(docs: DataFrame, model: str) -> Broadcast:
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id and the ids of each whole text, end id included."""
-    return docs.select("doc_id", "text").mapInPandas(_ids(_ship(docs, model), False), "doc_id long, ids array<int>")
+    return map_rows(docs.select("doc_id", "text"), ["doc_id"], _ids(_ship(docs, model), False), "doc_id long, ids array<int>")
 
 
 def encode_decode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, ids and the library's decoding of those ids."""
-    return docs.select("doc_id", "text").mapInPandas(_ids(_ship(docs, model), True), "doc_id long, ids array<int>, decoded string")
+    return map_rows(docs.select("doc_id", "text"), ["doc_id"], _ids(_ship(docs, model), True), "doc_id long, ids array<int>, decoded string")
 
 
 def round_trip_digests(docs: DataFrame, model: str) -> DataFrame:
     """Per row: doc_id, number of ids, SHA-256 of the ids and of the decoded text."""
-    return docs.select("doc_id", "text").mapInPandas(_digests(_ship(docs, model)), RESULT)
+    return map_rows(docs.select("doc_id", "text"), ["doc_id"], _digests(_ship(docs, model)), RESULT)

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eraloom.llm.text import mix
+from eraloom.llm.text import map_rows, mix
 from eraloom.plans.scratch import materialize
 
 LENGTH = 50
@@ -350,9 +350,7 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 at = last = hi
             kept.append(data[at:])
             rows.append((len(data), removed, runs, hashlib.sha256(b"".join(kept)).hexdigest()))
-        out = pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
-        out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy() if len(out) else [])
-        yield out
+        yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def removal_spans(docs: DataFrame, most: int = MOST) -> DataFrame:
@@ -392,4 +390,4 @@ def remove_repeats(docs: DataFrame, most: int = MOST) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     spans = removal_spans(docs, most).groupBy(F.col("doc").alias("doc_id"), "tk").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("tk"), "text")
-    return rows.join(spans, ["doc_id", "tk"], "left").select("doc_id", "text", "spans").mapInPandas(_cut, RESULT)
+    return map_rows(rows.join(spans, ["doc_id", "tk"], "left").select("doc_id", "text", "spans"), ["doc_id"], _cut, RESULT)

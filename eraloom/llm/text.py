@@ -1,9 +1,17 @@
-"""Word splitting and hashing used inside tasks."""
+"""Word splitting and hashing used inside tasks, and the way of rows into them."""
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 #: A word memo is emptied at this many entries, so that memory stays bounded.
 MEMO = 100_000
@@ -22,6 +30,27 @@ class WordHash(dict):
         return value
 
 
+def map_rows(rows: DataFrame, kept: list[str], run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``run`` over the other columns in pandas, one row out for each row in and one frame for each frame;
+    the ``kept`` columns go beside it in Arrow, so that a 64-bit id among nulls never is floating point."""
+    types = {f.name: to_arrow_type(f.dataType) for f in StructType.fromDDL(schema).fields}
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: deque[pa.RecordBatch] = deque()
+
+        def frames() -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                waiting.append(batch.select(kept))
+                yield batch.drop_columns(kept).to_pandas()
+
+        for out in run(frames()):
+            beside = waiting.popleft()
+            columns = [beside.column(c) if c in kept else pa.array(out[c], t, from_pandas=True) for c, t in types.items()]
+            yield pa.RecordBatch.from_arrays(columns, list(types))
+
+    return rows.mapInArrow(go, schema)
+
+
 def words(text: str | None) -> list[bytes]:
     """ASCII-lower-cased words: runs without space, tab, LF, VT, FF, CR."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()

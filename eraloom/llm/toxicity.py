@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eraloom.llm.sampling import fold, per_class
+from eraloom.llm.text import map_rows
 from eraloom.plans.scratch import broadcast_if_small, materialize
 
 DECAY = 0.6
@@ -244,10 +245,7 @@ def _scorer(model: Model | None):
                 new = list(set().union(*bags).difference(memo))
                 memo.update(zip(new, model.values(new).tolist(), strict=True))
                 scores += [model.probability(max(map(memo.__getitem__, b), default=model.floor)) for b in bags]
-            out = pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "score": scores})
-            out["predicted"] = (out["score"] >= 0.5).astype("int32")
-            out["key"] = pdf["key"]
-            yield out
+            yield pd.DataFrame({"score": scores, "predicted": [int(s >= 0.5) for s in scores]})
 
     return run
 
@@ -268,7 +266,7 @@ def judge(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_000) -> DataF
     """``score`` with each row's ``key``, the hash of its text."""
     model = train(docs, labels, sample_docs)
     rows = docs.select("doc_id", "text", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), F.xxhash64("text").alias("key"))
-    return rows.mapInPandas(_scorer(model), f"{RESULT}, key long")
+    return map_rows(rows, ["doc_id", "held_out", "key"], _scorer(model), f"{RESULT}, key long")
 
 
 def score(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_000) -> DataFrame:

@@ -22,7 +22,7 @@ Defined cases: a null html is an empty payload and a null url an empty one; line
 ends inside a URL are percent-encoded; rows that repeat a page_id with the same
 payload are all responses if that id is the largest, else all revisits; rows that
 repeat a page_id with different payloads are each judged by their own; a null
-page_id is written as "null" and comes back null, and is a response only if no
+page_id is written as "null", counts as 0 for its time and comes back null, and is a response only if no
 other row with an id has its payload; an empty table gives an empty archive and no
 rows. Extra columns are ignored.
 """
@@ -36,6 +36,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +45,11 @@ from eraloom.plans.scratch import materialize, scratch_path
 CRLF = "\r\n"
 END = CRLF + CRLF
 CAPTURE = "page_id long, url string, captured_at string, record_type string, refers_to long, payload_bytes long, payload_digest string, filename string, offset long, length long"
+FETCHED = "page_id long, payload binary"
 #: Fixed value: the profile of a revisit record with an equal payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: A page is captured so many seconds after the epoch as this and its id modulo 2**31 say.
+FIRST_SECOND = 1_704_067_200
 #: Bytes of payloads that one archive holds at most.
 ARCHIVE_BYTES = 1 << 28
 
@@ -90,7 +94,7 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = 2_000) -
     rows = rows.join(refs, F.col("page_id").eqNullSafe(F.col("page")) & (F.col("digest") == F.col("payload")), "left")
     revisit = F.col("original").isNotNull()
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
-    date = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    date = F.date_format(F.timestamp_seconds(F.lit(FIRST_SECOND) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(1 << 31))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     block = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.octet_length("html").cast("string"), F.lit(END), F.col("html"))
     block = F.when(revisit, F.lit("")).otherwise(block)
     uri = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
@@ -147,13 +151,17 @@ def _payload(block: bytes) -> bytes:
     return block[block.index(b"\r\n\r\n") + 4 :] if block else b""
 
 
-def _captures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def frame(rows: list) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=[x.split()[0] for x in CAPTURE.split(", ")])
-        return out.astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes", "offset", "length")})
+def _frame(rows: list, schema: str) -> pa.RecordBatch:
+    """Rows as Arrow, where ids beside nulls stay whole numbers."""
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+    names, types = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], list(names))
 
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"], strict=True):
+
+def _captures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, content in zip(*(batch.column(c).to_pylist() for c in ("path", "content")), strict=True):
             rows = []
             for offset, length, data in members(content):
                 for fields, block in parse_records(data):
@@ -165,9 +173,9 @@ def _captures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         row += [len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()]
                     rows.append([*row, path.rsplit("/", 1)[-1], offset, length])
                 if len(rows) >= 1_000:
-                    yield frame(rows)
+                    yield _frame(rows, CAPTURE)
                     rows = []
-            yield frame(rows)
+            yield _frame(rows, CAPTURE)
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:
@@ -177,28 +185,28 @@ def _archives(spark: SparkSession, path: str) -> DataFrame:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One capture per record of the archives under ``path``; revisits get the
     size of the response they refer to."""
-    found = materialize(_archives(spark, path).mapInPandas(_captures, CAPTURE), "captures")
+    found = materialize(_archives(spark, path).mapInArrow(_captures, CAPTURE), "captures")
     sizes = found.where("record_type = 'response' and page_id is not null").select(F.col("page_id").alias("original"), F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("size")).distinct()
     out = found.join(sizes, (found["refers_to"] == sizes["original"]) & (found["payload_digest"] == sizes["digest"]), "left")
     return out.select(*(F.coalesce("payload_bytes", "size").alias(c) if c == "payload_bytes" else c for c in found.columns))
 
 
-def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for content, wanted in zip(pdf["content"], pdf["wanted"], strict=True):
+def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for content, wanted in zip(*(batch.column(c).to_pylist() for c in ("content", "wanted")), strict=True):
             rows = []
             for w in wanted:
                 _, _, data = next(members(content[w["offset"] : w["offset"] + w["length"]]))
                 ((_, block),) = parse_records(data)
                 rows.append((w["page_id"], _payload(block)))
-            yield pd.DataFrame(rows, columns=["page_id", "payload"]).astype({"page_id": "Int64"})
+            yield _frame(rows, FETCHED)
 
 
 def fetch(captures: DataFrame, path: str) -> DataFrame:
     """page_id and payload of captures, read by file, offset and length; a revisit's own record has none."""
     wanted = captures.groupBy("filename").agg(F.collect_list(F.struct("page_id", "offset", "length")).alias("wanted"))
     files = _archives(captures.sparkSession, path).withColumn("filename", F.substring_index("path", "/", -1))
-    return files.join(wanted, "filename").select("content", "wanted").mapInPandas(_fetch, "page_id long, payload binary")
+    return files.join(wanted, "filename").select("content", "wanted").mapInArrow(_fetch, FETCHED)
 
 
 def merge_runs(runs: list[list]) -> Iterator:
@@ -224,19 +232,28 @@ def merge_runs(runs: list[list]) -> Iterator:
             node //= 2
 
 
+def ordered_runs(keys: list) -> list[list]:
+    """The sequence cut wherever a key is less than the one before."""
+    cuts = [k for k in range(1, len(keys)) if keys[k] < keys[k - 1]]
+    return [keys[a:b] for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True) if a < b]
+
+
 def _merge(names: list[str]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Merge the runs of one range. The pieces of a run arrive one after another, each in order; a piece that
+    is out of order with the one before is a run of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)  # the index rows of one range
         if not parts:
             return
-        pdf = pd.concat(parts, ignore_index=True)
-        runs, places = [], pdf.groupby("run", sort=True).indices
-        ids = pdf["page_id"].fillna(-(2**63)).astype("int64")
-        for at in places.values():
-            keys = list(zip(pdf["url_key"].iloc[at], pdf["captured_at"].iloc[at], ids.iloc[at], at.tolist(), strict=True))
-            runs.append(keys if all(x <= y for x, y in zip(keys, keys[1:])) else sorted(keys))  # noqa: B905
-        order = [x[3] for x in merge_runs(runs)]
-        yield pdf.iloc[order][names]
+        table = pa.Table.from_batches(parts)
+        ids = [-(2**63) if i is None else i for i in table["page_id"].to_pylist()]
+        found: dict[int, list] = {}
+        runs = table["run"].to_pylist()
+        for at, key in enumerate(zip(table["url_key"].to_pylist(), table["captured_at"].to_pylist(), ids, strict=True)):
+            found.setdefault(runs[at], []).append((*key, at))
+        order = [x[3] for x in merge_runs([r for _, keys in sorted(found.items()) for r in ordered_runs(keys)])]
+        yield from table.select(names).take(pa.array(order, pa.int64())).combine_chunks().to_batches()
 
     return run
 
@@ -248,7 +265,7 @@ def merge_index(captures: DataFrame, rows_per_range: int = 100_000) -> DataFrame
     ranges = max(int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-keyed.count() // rows_per_range))
     dealt = keyed.repartitionByRange(ranges, "url_key", "captured_at", "page_id")
     schema = keyed.drop("run").schema
-    return dealt.mapInPandas(_merge(schema.names), schema)
+    return dealt.mapInArrow(_merge(schema.names), schema)
 
 
 def archive_and_index(pages: DataFrame, records_per_file: int = 2_000) -> DataFrame:

@@ -51,8 +51,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = chosen.select(*(F.col("m")[c].alias(c) for c in ROW), F.lit(True).alias("one"))
     kept = kept.union(judged.where("root is null").select(*_marks(F.col("key")), F.lit(False)).distinct())
     rows = docs.select("*", *_marks(F.xxhash64("text"))).join(kept, ROW)
+    # Repeats of a kept row are many at most for texts with words; wordless rows, which may all be one key, need no rank.
     order = Window.partitionBy(*ROW).orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")))
-    return rows.withColumn("nth", F.row_number().over(order)).where("nth = 1 or not one").select(*docs.columns)
+    ranked = rows.where("one").withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    return ranked.select(*docs.columns).union(rows.where("not one").select(*docs.columns))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

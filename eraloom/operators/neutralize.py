@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eraloom.functions.ranks import gauss_ranks, rank_01
+from eraloom.functions.ranks import average_rank_by_range, gauss_ranks, rank_01
 from eraloom.plans.scratch import materialize
 
 FLAT = 1e-12
@@ -128,11 +128,11 @@ class PostprocessConfig:
         return cls(**known | {"bench_cols_used": tuple(data["bench_cols_used"])})
 
 
-def blend(df: DataFrame, prediction: str, benches: list[str], alpha: float, proportion: float, era: str = "era_int", out: str = "blended") -> DataFrame:
+def blend(df: DataFrame, prediction: str, benches: list[str], alpha: float, proportion: float, era: str = "era_int", out: str = "blended", by_range: bool = False) -> DataFrame:
     """``alpha * g + (1 - alpha) * resid``, g the Gauss-ranked prediction and resid g
     neutralized against Gauss-ranked benchmarks over all eras; g alone without benchmarks."""
     keep = df.columns
-    ranked = gauss_ranks(df, [prediction, *benches], [era], "__g_")
+    ranked = gauss_ranks(df, [prediction, *benches], [era], "__g_", by_range)
     g = F.col(f"__g_{prediction}")
     if not benches:
         return ranked.select(*keep, g.alias(out))
@@ -147,18 +147,20 @@ def chosen_features(features: list[str], n: int, seed: int = 0) -> list[str]:
     return [f for f in features if f in picked]
 
 
-def postprocess(df: DataFrame, config: PostprocessConfig, prediction: str = "prediction", era: str = "era_int", features: list[str] = [], out: str = "submission") -> DataFrame:  # noqa: B006
+def postprocess(df: DataFrame, config: PostprocessConfig, prediction: str = "prediction", era: str = "era_int", features: list[str] = [], out: str = "submission", by_range: bool = False) -> DataFrame:  # noqa: B006
     """Gauss rank, benchmark neutralization, blend, optional neutralization against a
-    seeded choice of features, final rank."""
+    seeded choice of features, final rank; ``by_range`` where an era outgrows a task."""
     keep = df.columns
-    done = blend(df, prediction, list(config.bench_cols_used), config.blend_alpha, config.bench_neutralize_prop, era, "__score")
+    done = blend(df, prediction, list(config.bench_cols_used), config.blend_alpha, config.bench_neutralize_prop, era, "__score", by_range)
     score = "__score"
     if config.feature_neutralize_prop > 0 and config.feature_neutralize_n_features > 0 and features:
         chosen = chosen_features(features, config.feature_neutralize_n_features, config.feature_neutralize_seed)
         done, score = neutralize_per_era(done, "__score", chosen, config.feature_neutralize_prop, era, "__neutral"), "__neutral"
+    if config.submission_transform == "rank_01" and by_range:
+        return average_rank_by_range(done, score, [era], out, share=True).select(*keep, out)
     if config.submission_transform == "rank_01":
         return done.select(*keep, rank_01(score, [era]).alias(out))
-    return gauss_ranks(done, [score], [era]).select(*keep, F.col(f"g_{score}").alias(out))
+    return gauss_ranks(done, [score], [era], by_range=by_range).select(*keep, F.col(f"g_{score}").alias(out))
 
 
 def ensemble_mean(df: DataFrame, predictions: list[str], out: str = "prediction") -> DataFrame:

@@ -128,11 +128,22 @@ def _sql_fit(source: str, y: str, by: str = "") -> str:
 SQL_RANKED = "G AS (" + sql_gauss("(SELECT *, target - avg(target) OVER (PARTITION BY era_int) AS t FROM A)", "era_int", ["prediction", *BENCHES]) + ")"
 WITH_A = f"WITH {SQL_ROWS}, {SQL_BENCH}, {SQL_ALIGNED}"
 SQL_RESID = "(g_prediction - {p}*(b0+b1*g_bench_qty+b2*g_bench_disc))/sqrt(vy-2*{p}*cf+{p}*{p}*vf)"
+#: Half of all eras joined to one.
+WITH_LARGE = f"WITH {SQL_ROWS}, {SQL_BENCH}, {SQL_ALIGNED.replace('A AS (', 'A0 AS (')}, A AS (SELECT * REPLACE (CASE WHEN era_int % 2 = 0 THEN 1000 ELSE era_int END AS era_int) FROM A0)"
+
+
+def _sql_postprocess(alpha: str, prop: str) -> str:
+    """Rank share of the blend, row by row."""
+    blended = f"CAST({alpha}*g_prediction+(1-{alpha})*{SQL_RESID.format(p=prop)} AS FLOAT)"
+    return f"{SQL_RANKED}, F AS ({_sql_fit('G', 'g_prediction')}), Z AS (SELECT id, era_int, {blended} AS s FROM G, F) SELECT id, era_int, round({sql_share('s', 'era_int')}, 6) AS submission FROM Z"
+
+
 SQL_WINDOWS = f"""W AS (SELECT CAST(row_number() OVER (ORDER BY c) AS INTEGER) AS window_id, mn AS train_start, CAST((c-1)*{CHUNK}+1-{PURGE}-1 AS INTEGER) AS train_end, CAST((c-1)*{CHUNK}+1-{PURGE} AS INTEGER) AS purge_start,
   CAST((c-1)*{CHUNK} AS INTEGER) AS purge_end, CAST((c-1)*{CHUNK}+1 AS INTEGER) AS val_start, CAST(c*{CHUNK} AS INTEGER) AS val_end
   FROM (SELECT min(era_int) AS mn, max(era_int) AS mx FROM R) , generate_series(2, 1000) AS s(c)
   WHERE c <= mx // {CHUNK} AND mn <= (c-1)*{CHUNK}+1-{PURGE}-1 AND EXISTS (SELECT 1 FROM R WHERE era_int BETWEEN (c-1)*{CHUNK}+1 AND c*{CHUNK}))"""
 SQL_OOF = f"OOF AS (SELECT A.*, window_id FROM A JOIN W ON era_int BETWEEN val_start AND val_end WHERE window_id > (SELECT max(window_id)-4 FROM W))"
+SQL_OOF_LARGE = SQL_OOF.replace("SELECT A.*, window_id", "SELECT A.* REPLACE (CASE WHEN A.era_int % 4 <> 0 THEN window_id * 1000 ELSE A.era_int END AS era_int), window_id")
 ALPHAS, PROPS = [0.0, 0.5, 1.0], [0.25, 0.5, 1.0]
 
 
@@ -204,8 +215,32 @@ def q12_bmc(spark, d):
 
 def q13_postprocess(spark, d):
     config = neutralize.PostprocessConfig(0.5, 0.5, tuple(BENCHES))
-    out = neutralize.postprocess(aligned(spark, d), config)
-    return out.groupBy("era_int").agg(F.min("submission").alias("low"), F.max("submission").alias("high"), F.avg("submission").alias("mean"), F.count(F.lit(1)).alias("n")).select("era_int", *r6("low", "high", "mean"), "n")
+    return neutralize.postprocess(aligned(spark, d), config).select("id", "era_int", *r6("submission"))
+
+
+def one_large_era(spark, d) -> DataFrame:
+    """The aligned rows with half of all eras joined to one."""
+    return aligned(spark, d).withColumn("era_int", F.when(F.col("era_int") % 2 == 0, 1000).otherwise(F.col("era_int")))
+
+
+def q43_large_era_corr(spark, d):
+    return metrics.era_corr(one_large_era(spark, d), ["era_int"], by_range=True).select("era_int", *r6("corr"))
+
+
+def q44_large_era_bmc(spark, d):
+    return metrics.bmc(one_large_era(spark, d), BENCHES, by_range=True).select(*r6("bmc"), "n_eras")
+
+
+def q45_large_era_postprocess(spark, d):
+    config = neutralize.PostprocessConfig(0.3, 0.75, tuple(BENCHES))
+    return neutralize.postprocess(one_large_era(spark, d), config, by_range=True).select("id", "era_int", *r6("submission"))
+
+
+def q46_large_era_grid(spark, d):
+    """The grid's windows, each with three quarters of its eras joined to one."""
+    oof = _oof(spark, d).withColumn("era_int", F.when(F.col("era_int") % 4 != 0, F.col("window_id") * 1000).otherwise(F.col("era_int")))
+    g = blend.summarize_grid(blend.score_grid(oof, BENCHES, blend.grid(spark, ALPHAS, PROPS), by_range=True))
+    return g.select(F.col("alpha").cast("double").alias("alpha"), F.col("prop").cast("double").alias("prop"), *((F.round(F.col(c), 4) + F.lit(0.0)).alias(c) for c in ("hit_rate", "mean_score", "mean_corr", "mean_bmc")))
 
 
 def q14_windows(spark, d):
@@ -509,7 +544,11 @@ ORACLES: dict[str, str] = {
     "q10_mean_corr": f"WITH {SQL_ROWS} SELECT round(avg(corr), 6) + 0.0 AS mean_corr, count(*) AS n_eras FROM ({sql_era_corr('R', 'era_int')})",
     "q11_neutralize": f"{WITH_A}, {SQL_RANKED}, F AS ({_sql_fit('G', 'g_prediction')}) SELECT id, round({SQL_RESID.format(p='0.5')}, 6) + 0.0 AS neutral FROM G, F",
     "q12_bmc": f"{WITH_A}, {SQL_RANKED}, F AS ({_sql_fit('G', 'g_prediction')}) SELECT round(avg(b), 6) + 0.0 AS bmc, count(*) AS n_eras FROM (SELECT era_int, avg({SQL_RESID.format(p='1.0')}*t) AS b FROM G, F GROUP BY 1)",
-    "q13_postprocess": f"{WITH_A}, {SQL_RANKED}, F AS ({_sql_fit('G', 'g_prediction')}), Z AS (SELECT era_int, CAST(0.5*g_prediction+0.5*{SQL_RESID.format(p='0.5')} AS FLOAT) AS s FROM G, F), Q AS (SELECT era_int, {sql_share('s', 'era_int')} AS u FROM Z) SELECT era_int, round(min(u), 6) AS low, round(max(u), 6) AS high, round(avg(u), 6) AS mean, count(*) AS n FROM Q GROUP BY 1",
+    "q13_postprocess": f"{WITH_A}, {_sql_postprocess('0.5', '0.5')}",
+    "q43_large_era_corr": f"{WITH_LARGE} SELECT era_int, round(corr, 6) + 0.0 AS corr FROM ({sql_era_corr('A', 'era_int')})",
+    "q44_large_era_bmc": f"{WITH_LARGE}, {SQL_RANKED}, F AS ({_sql_fit('G', 'g_prediction')}) SELECT round(avg(b), 6) + 0.0 AS bmc, count(*) AS n_eras FROM (SELECT era_int, avg({SQL_RESID.format(p='1.0')}*t) AS b FROM G, F GROUP BY 1)",
+    "q45_large_era_postprocess": f"{WITH_LARGE}, {_sql_postprocess('0.3', '0.75')}",
+    "q46_large_era_grid": f"{_GRID_SQL.replace(SQL_OOF, SQL_OOF_LARGE)} SELECT alpha, prop, round(hit_rate, 4) AS hit_rate, round(mean_score, 4) + 0.0 AS mean_score, round(mean_corr, 4) + 0.0 AS mean_corr, round(mean_bmc, 4) + 0.0 AS mean_bmc FROM T",
     "q14_windows": f"WITH {SQL_ROWS}, {SQL_WINDOWS} SELECT * FROM W",
     "q15_window_coverage": _stats_sql("SELECT window_id, covered_rows, covered_eras, CASE WHEN covered_rows < 512 THEN 'rows' WHEN covered_eras < 8 THEN 'eras' ELSE 'ok' END AS reason FROM (SELECT window_id, count(*) FILTER (bench_present) AS covered_rows, count(DISTINCT era_int) FILTER (bench_present) AS covered_eras FROM OOF GROUP BY 1)"),
     "q16_walkforward_summary": _stats_sql(f"SELECT round(avg(corr), 6) + 0.0 AS mean_corr, round(stddev_pop(corr), 6) AS std_corr, round(avg((corr > 0)::INT), 6) AS hit_rate, round(avg(corr)/stddev_pop(corr), 6) + 0.0 AS sharpe, CAST(trunc(median(window_id*100)) AS INTEGER) AS recommended_iters FROM (SELECT window_id, avg(corr) AS corr FROM ({sql_era_corr('OOF', 'window_id, era_int')}) GROUP BY 1)"),

@@ -85,9 +85,37 @@ def test_rank_deficient_design(frame, table):
     assert np.allclose([got[r[0]] for r in table], neutral(np.array([r[2] for r in table]), np.array([[r[4]] for r in table]), 1.0))
 
 
-def test_postprocess_stays_inside_bounds(frame):
-    out = neutralize.postprocess(frame, PostprocessConfig(0.4, 0.5, ("b1",))).agg(F.min("submission"), F.max("submission"), F.count("submission")).first()
-    assert 0 < out[0] < out[1] < 1 and out[2] == 200
+def chain(table, alpha, prop, transform="rank_01", columns=(4, 5)):
+    """The post-process chain row by row."""
+    g, x = _ranked(table, 2), np.column_stack([_ranked(table, c) for c in columns])
+    mixed = (alpha * g + (1 - alpha) * neutral(g, x, prop)).astype(np.float32)
+    eras = np.array([r[1] for r in table])
+    out = np.empty(len(table))
+    for e in np.unique(eras):
+        q = gauss(mixed[eras == e])
+        out[eras == e] = q if transform == "gauss_rank" else [NormalDist().cdf(v) for v in q]
+    return out
+
+
+@pytest.mark.parametrize("by_range", [False, True])
+@pytest.mark.parametrize(("alpha", "prop", "transform"), [(0.4, 0.5, "rank_01"), (0.0, 1.0, "gauss_rank"), (1.0, 0.3, "rank_01")])
+def test_postprocess_row_by_row(frame, table, alpha, prop, transform, by_range):
+    out = neutralize.postprocess(frame, PostprocessConfig(alpha, prop, ("b1", "b2"), transform), by_range=by_range)
+    got = {r["id"]: r["submission"] for r in out.collect()}
+    assert np.allclose([got[r[0]] for r in table], chain(table, alpha, prop, transform))
+    if alpha < 1:  # a wrong setting shows
+        assert not np.allclose([got[r[0]] for r in table], chain(table, 1.0, prop, transform))
+
+
+def test_metrics_by_range_equal_plain_ones(spark, frame):
+    """One era with most rows: the range form of every metric gives what the plain form gives."""
+    hot = frame.withColumn("era_int", F.when(F.col("era_int") < 4, 1).otherwise(2)).withColumn("prediction", F.round("prediction", 1))
+    same = lambda f: np.allclose(*(sorted(map(tuple, f(r).collect())) for r in (False, True)))
+    assert same(lambda r: metrics.era_corr(hot, ["era_int"], by_range=r))
+    assert same(lambda r: metrics.mean_corr(hot, by_range=r))
+    assert same(lambda r: metrics.bmc(hot, ["b1", "b2"], by_range=r))
+    assert same(lambda r: neutralize.blend(hot, "prediction", ["b1", "b2"], 0.4, 0.5, by_range=r).select(F.col("id").cast("int"), "blended"))
+    assert same(lambda r: blend.score_grid(hot, ["b1", "b2"], blend.grid(spark, [0.3, 1.0], [0.5]), by_range=r).select("grid_pos", "window_id", "corr", "bmc", "score"))
 
 
 def test_per_era_feature_neutralization_is_orthogonal(frame):

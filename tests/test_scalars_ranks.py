@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 from statistics import NormalDist
 
 import numpy as np
@@ -71,3 +73,29 @@ def test_ranks_by_range_equal_plain_ranks(spark):
     seen = lambda d, c: {r["id"]: shape(r[c]) for r in d.collect()}
     assert seen(ranks.average_rank_by_range(df, "x", ["era_int"]), "avg_rank") == seen(df.withColumn("avg_rank", ranks.average_rank("x", ["era_int"])), "avg_rank")
     assert seen(ranks.gauss_ranks(df, ["x"], ["era_int"], by_range=True), "g_x") == seen(ranks.gauss_ranks(df, ["x"], ["era_int"]), "g_x")
+
+
+def test_range_ranks_of_hot_groups_and_values(spark):
+    """One group with most rows, one value with half of them, nulls and a NaN group, over several columns."""
+    rng = random.Random(8)
+    value = lambda: rng.choice([1.5, 1.5, 1.5, rng.random(), None, -0.5, 2.0])
+    rows = [(k, "hot" if k % 5 else f"g{k % 3}", value(), float(rng.randint(0, 3)), 7.0) for k in range(3000)]
+    rows += [(4000 + k, "nan", math.nan if k == 3 else float(k), 1.0, 7.0) for k in range(20)] + [(5000, None, 1.0, None, 7.0), (5001, None, 0.5, 2.0, 7.0)]
+    df = spark.createDataFrame(rows, "id long, era string, a double, b double, c double").repartition(6)
+    columns = ["a", "b", "c"]
+    plain = df.select("id", *(ranks.rank_01(c, ["era"]).alias(f"__u_{c}") for c in columns))
+    seen = lambda d: sorted((tuple(None if v is None or v != v else round(v, 12) for v in r) for r in d.collect()))
+    spread = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        assert seen(ranks.shares_by_range(df, columns, ["era"]).select("id", *(f"__u_{c}" for c in columns))) == seen(plain)
+        for c in columns:
+            assert seen(ranks.average_rank_by_range(df, c, ["era"], "r", share=True).select("id", "r")) == seen(plain.select("id", f"__u_{c}"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", spread)
+
+
+def test_centred_values_by_range(spark):
+    df = spark.createDataFrame([(k, None if k % 7 == 0 else k % 4, float(k * k % 11)) for k in range(200)], "id int, era int, t double")
+    rows = lambda by_range: sorted((r["id"], round(r["c"], 12)) for r in ranks.centered(df, "t", ["era"], "c", by_range).collect())
+    assert rows(True) == rows(False)

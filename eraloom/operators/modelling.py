@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eraloom.operators.metrics import era_corr
 from eraloom.operators.resume import pending
+from eraloom.operators.trees import Ensemble, as_ensemble, flatten, predict, staged_at, staged_errors
 from eraloom.operators.walkforward import summarize, train_rows
-from eraloom.plans.scratch import materialize
+from eraloom.plans.scratch import materialize_at, remove, scratch_path
 
-FitFn = Callable[[DataFrame, DataFrame, "Params", int], Model]
+FitFn = Callable[[DataFrame, DataFrame, "Params", int], "Model | Ensemble"]
 
 
 @dataclass(frozen=True)
@@ -45,7 +47,7 @@ class Params:
 
 #: Settings that differ from the defaults, by profile and purpose.
 PROFILES = {"full": {}, "balanced": {"rounds": 2500, "patience": 200}, "balanced_walkforward": {"rounds": 1800, "patience": 200}}
-#: Trees whose predictions one pass over the rows adds up.
+#: Rounds between two writings of the margins.
 TREES = 50
 
 
@@ -53,53 +55,104 @@ def assemble(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(df)
 
 
+def depth_of(num_leaves: int) -> int:
+    """Depth of a level-wise tree that has room for so many leaves."""
+    return max(1, (num_leaves - 1).bit_length())
+
+
 def fit_gbt(train: DataFrame, valid: DataFrame, params: Params, seed: int) -> Model:
-    """Default ``fit_fn``. Equal data and seed give equal first trees whatever the rounds,
-    so ``fit_and_scan`` can ask for more rounds only while the error still falls."""
-    depth = max(1, (params.num_leaves - 1).bit_length())
+    """Spark's own ensemble with a fixed number of rounds; equal data and seed give equal first trees
+    whatever the rounds, so ``fit_and_scan`` can ask for more only while the error still falls."""
     gbt = GBTRegressor(
-        labelCol="target", featuresCol="features", seed=seed, maxIter=params.rounds, stepSize=params.learning_rate, maxDepth=depth,
+        labelCol="target", featuresCol="features", seed=seed, maxIter=params.rounds, stepSize=params.learning_rate, maxDepth=depth_of(params.num_leaves),
         featureSubsetStrategy=str(params.feature_fraction), subsamplingRate=params.bagging_fraction, minInstancesPerNode=params.min_leaf, checkpointInterval=-1,
     )
     return gbt.fit(assemble(train, params.features))
 
 
-def staged_blocks(model: GBTRegressionModel, df: DataFrame, features: list[str], keep: list[str], last: int | None = None) -> Iterator[tuple[list[int], DataFrame]]:
-    """Iterations and their rows (``keep`` and ``sums``, the partial sums at each of them), TREES at a time.
+def _share(*parts: object) -> float:
+    """A number in [0, 1) by hash."""
+    return int(hashlib.sha256(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) / 16**13
+
+
+def tree_features(features: list[str], fraction: float, seed: int) -> list[int]:
+    """Numbers of the features a tree may use, chosen by a seeded hash; at least one."""
+    n = max(1, round(fraction * len(features)))
+    return sorted(sorted(range(len(features)), key=lambda k: (_share(seed, features[k]), k))[:n])
 
-    Every block goes on from the sums of the one before, kept as a table with the
-    assembled features, so plans stay as short as a block however many trees there are.
+
+def fit_boosted(train: DataFrame, valid: DataFrame | None, params: Params, seed: int) -> Ensemble:
+    """Default ``fit_fn``: boosting that goes on tree by tree and stops when patience runs out.
+
+    Rows carry their margin, the sum of the trees so far, as a column. Each round fits one
+    Spark ML tree to the squared loss's negative gradient, adds it with the learning rate's
+    weight (the first tree fits the target itself), and asks for the validation error in one
+    pass, so no more trees are fitted than rounds are used. Features and rows of a round
+    are shares chosen by seeded hashes. Every TREES rounds the margins are written and the table before goes,
+    so that plans stay short and disk holds one copy. With full shares the trees are those of Spark's own ensemble.
     """
-    last = len(model.trees) if last is None else min(last, len(model.trees))
-    rows = assemble(df, features).select(*keep, "features", F.lit(0.0).alias("__sum"))
-    for a in range(0, last, TREES):
-        iterations = list(range(a + 1, min(a + TREES, last) + 1))
-        for i in iterations:
-            rows = model.trees[i - 1].setPredictionCol(f"__t{i}").transform(rows)
-        parts = F.array(*(F.col(f"__t{i}") * model.treeWeights[i - 1] for i in iterations))
-        rows = rows.select(*keep, "features", "__sum", parts.alias("__parts"))
-        sums = F.aggregate("__parts", F.array("__sum"), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
-        rows = materialize(rows.select(*keep, "features", F.slice(sums, 2, len(iterations)).alias("sums")), "staged")
-        yield iterations, rows.select(*keep, "sums")
-        rows = rows.select(*keep, "features", F.element_at("sums", -1).alias("__sum"))
-
-
-def staged_predictions(model: GBTRegressionModel, df: DataFrame, features: list[str], point: int) -> DataFrame:
+    spark, features = train.sparkSession, params.features
+    model = Ensemble(errors=None if valid is None else [])
+    bag = F.xxhash64(*features, "target")
+    tables = {"train": train.select(*features, "target", bag.alias("__bag"), F.lit(0.0).alias("__margin"))}
+    if valid is not None:
+        tables["valid"] = valid.select(*features, "target", F.lit(0.0).alias("__margin"))
+    paths: dict[str, str] = {}
+    since = Ensemble()
+
+    def write(name: str) -> None:
+        rows = tables[name]
+        if since.trees:
+            rest = [c for c in rows.columns if c != "__margin"]
+            rows = staged_at(rows, since, features, [len(since.trees)], rest, "__margin").select(*rest, F.get("sums", F.lit(0)).alias("__margin"))
+        before = paths.get(name)
+        paths[name] = scratch_path(spark, f"boosting-{name}")
+        tables[name] = materialize_at(rows, paths[name])
+        if before:
+            remove(spark, before)
+
+    for name in tables:
+        write(name)
+    try:
+        for m in range(params.rounds):
+            used = tree_features(features, params.feature_fraction, seed + m)
+            rows = tables["train"] if params.bagging_fraction >= 1 else tables["train"].where(F.pmod(F.xxhash64("__bag", F.lit(seed + m)), F.lit(1 << 20)) < int(params.bagging_fraction * (1 << 20)))
+            if since.trees:
+                rows = staged_at(rows, since, features, [len(since.trees)], [*features, "target"], "__margin").withColumn("__margin", F.get("sums", F.lit(0)))
+            y = F.col("target").cast("double")
+            label = y if m == 0 else 2 * (y - F.col("__margin"))
+            tree = DecisionTreeRegressor(labelCol="__label", featuresCol="features", seed=seed + m, maxDepth=depth_of(params.num_leaves), minInstancesPerNode=params.min_leaf)
+            found = flatten(tree.fit(assemble(rows.select(*features, label.alias("__label")), [features[k] for k in used])), used)
+            for part in (model, since):
+                part.trees.append(found)
+                part.treeWeights.append(1.0 if m == 0 else params.learning_rate)
+            if valid is not None:
+                model.errors.append((m + 1, staged_errors(tables["valid"], since, features, start="__margin").where(F.col("iter") == len(since.trees)).first()["rmse"]))
+                if stopping_round(model.errors, params.patience)[1]:
+                    break
+            if len(since.trees) >= TREES and m + 1 < params.rounds:
+                for name in tables:
+                    write(name)
+                since = Ensemble()
+        return model
+    finally:
+        for path in paths.values():
+            remove(spark, path)
+
+
+def staged_predictions(model, df: DataFrame, features: list[str], point: int) -> DataFrame:
     """The rows with ``pred_<point>``, the sum of the first ``point`` trees."""
-    for iterations, rows in staged_blocks(model, df, features, df.columns, point):
-        if point in iterations:
-            return rows.select(*df.columns, F.element_at("sums", iterations.index(point) + 1).alias(f"pred_{point}"))
-    raise ValueError(f"the model has no {point} trees")
+    whole = as_ensemble(model)
+    if not 0 < point <= len(whole.trees):
+        raise ValueError(f"the model has no {point} trees")
+    return predict(df, whole.first(point), features, f"pred_{point}")
 
 
-def staged_long(staged: DataFrame, iterations: list[int], keep: list[str], points: list[int]) -> DataFrame:
+def staged_long(model, df: DataFrame, features: list[str], keep: list[str], points: list[int]) -> DataFrame:
     """One row per row and point: ``keep``, iter and prediction."""
-    long = staged.select(*keep, F.posexplode("sums").alias("iter", "prediction")).withColumn("iter", (F.col("iter") + iterations[0]).cast("int"))
-    return long if points == iterations else long.where(F.col("iter").isin(points))
-
-
-def rmse_curve(long: DataFrame) -> DataFrame:
-    return long.groupBy("iter").agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("target"), F.lit(2)))).alias("rmse"))
+    rows = staged_at(df, as_ensemble(model), features, points, keep)
+    numbers = F.array(*map(F.lit, points))
+    return rows.select(*keep, F.posexplode("sums").alias("__k", "prediction")).withColumn("iter", F.get(numbers, F.col("__k")).cast("int")).drop("__k")
 
 
 def stopping_round(curve: list[tuple[int, float]], patience: int) -> tuple[int, bool]:
@@ -126,46 +179,37 @@ def best_corr_iteration(curve: DataFrame) -> DataFrame:
     return row.select(F.coalesce("i", "first").alias("iter"), F.coalesce("c", F.lit(float("-inf"))).alias("corr"))
 
 
-def fit_and_scan(train: DataFrame, valid: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_gbt, era: str = "era_int") -> tuple[Model, dict]:
+def fit_and_scan(train: DataFrame, valid: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_boosted, era: str = "era_int") -> tuple[Model, dict]:
     """Fit until patience runs out on the validation error, and choose the iteration by ``select_best_by``.
 
-    Spark ML cannot go on with a fitted ensemble, so rounds double from twice the patience
-    (one scan period at least) until patience runs out or ``rounds`` are reached; fits so
-    cost about twice the rounds in use, not all that are allowed.
+    A fit that has watched its own errors has stopped by itself. For others rounds double from
+    twice the patience (one scan period at least) until patience runs out or ``rounds`` are
+    reached, and the errors of all rounds are one pass over the validation rows.
     """
     keep = [era, "target"]
-    rounds = min(params.rounds, max(2 * params.patience, params.scan_period))
     rows = valid.select(*keep, *params.features)
+    rounds = params.rounds if fit_fn is fit_boosted else min(params.rounds, max(2 * params.patience, params.scan_period))
     while True:
-        model = fit_fn(train, valid, replace(params, rounds=rounds), seed)
-        errors: list[tuple[int, float]] = []
-        stop, over = 0, False
-        for iterations, staged in staged_blocks(model, rows, params.features, keep):
-            errors += [(r["iter"], r["rmse"]) for r in rmse_curve(staged_long(staged, iterations, keep, iterations)).collect()]  # one row per round
-            stop, over = stopping_round(errors, params.patience)
-            if over:
-                break
+        fitted = fit_fn(train, valid, replace(params, rounds=rounds), seed)
+        model = as_ensemble(fitted)
+        errors = model.errors or [(r["iter"], r["rmse"]) for r in staged_errors(rows, model, params.features).collect()]  # one row per round
+        stop, over = stopping_round(errors, params.patience)
         if over or rounds >= params.rounds or len(model.trees) < rounds:
             break
         rounds = min(2 * rounds, params.rounds)
     best_rmse = min((r, i) for i, r in errors if i <= stop)
-    points = {*range(params.scan_period, stop + 1, params.scan_period), stop}
-    curve = None
-    for iterations, staged in staged_blocks(model, rows, params.features, keep, stop):
-        if some := [i for i in iterations if i in points]:
-            part = corr_curve(staged_long(staged, iterations, keep, some), era)
-            curve = part if curve is None else curve.union(part)
-    found = best_corr_iteration(curve).first()
+    points = sorted({*range(params.scan_period, stop + 1, params.scan_period), stop})
+    found = best_corr_iteration(corr_curve(staged_long(model, rows, params.features, keep, points), era)).first()
     best = found["iter"] if params.select_best_by == "corr" else best_rmse[1]
-    return model, {"best_iter": best, "best_corr": found["corr"], "best_rmse": best_rmse[0], "rounds": stop, "seed": seed}
+    return fitted, {"best_iter": best, "best_corr": found["corr"], "best_rmse": best_rmse[0], "rounds": stop, "seed": seed}
 
 
 def fit_final(rows: DataFrame, params: Params, rounds: int, seed: int) -> Model:
     """Fit on all rows with a fixed number of rounds."""
-    return fit_gbt(rows, rows, replace(params, rounds=rounds), seed)
+    return fit_boosted(rows, None, replace(params, rounds=rounds), seed)
 
 
-def walk_forward(rows: DataFrame, windows: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_gbt, era: str = "era_int", done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def walk_forward(rows: DataFrame, windows: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_boosted, era: str = "era_int", done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Window rows and their summary. Windows are a few configured rows and drive the
     loop; each fit is a distributed job; windows in ``done`` are not fitted again."""
     spark = rows.sparkSession
@@ -185,7 +229,7 @@ def walk_forward(rows: DataFrame, windows: DataFrame, params: Params, seed: int,
     return report, summarize(report)
 
 
-def collect_oof(rows: DataFrame, windows: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_gbt, era: str = "era_int", min_rows: int = 512, min_eras: int = 8) -> DataFrame:
+def collect_oof(rows: DataFrame, windows: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_boosted, era: str = "era_int", min_rows: int = 512, min_eras: int = 8) -> DataFrame:
     """Out-of-fold predictions (window_id with the rows' columns and ``prediction``) at
     each window's best iteration, clamped to the trees that were fitted; validation is
     limited to covered rows. Windows without training rows, or with fewer covered rows or
@@ -198,7 +242,7 @@ def collect_oof(rows: DataFrame, windows: DataFrame, params: Params, seed: int,
         if covered["n"] < max(min_rows, 1) or covered["eras"] < min_eras or train.isEmpty():
             continue
         model, found = fit_and_scan(train, valid, params, seed, fit_fn, era)
-        best = min(found["best_iter"], len(model.trees))
+        best = min(found["best_iter"], len(as_ensemble(model).trees))
         part = staged_predictions(model, valid, params.features, best)
         part = part.select(F.lit(w["window_id"]).alias("window_id"), *(c for c in valid.columns if c not in params.features), F.col(f"pred_{best}").cast("float").alias("prediction"))
         out = part if out is None else out.unionByName(part)
@@ -207,7 +251,7 @@ def collect_oof(rows: DataFrame, windows: DataFrame, params: Params, seed: int,
     return out
 
 
-def train_ensemble(train: DataFrame, valid: DataFrame, params: Params, seeds: list[int], done: DataFrame | None = None, fit_fn: FitFn = fit_gbt) -> tuple[dict[int, Model], list[dict]]:
+def train_ensemble(train: DataFrame, valid: DataFrame, params: Params, seeds: list[int], done: DataFrame | None = None, fit_fn: FitFn = fit_boosted) -> tuple[dict[int, Model], list[dict]]:
     """One member per seed that has no finished result yet."""
     finished = set() if done is None else {r["seed"] for r in done.select("seed").distinct().collect()}
     models, members = {}, []
@@ -224,8 +268,7 @@ def score_ensemble(df: DataFrame, models: dict[str, tuple[Model, list[str]]], ou
     """Each model's prediction from its own features, then their mean as float."""
     rows, columns = df, []
     for k, (model, features) in enumerate(models.values()):
-        scored = model.setPredictionCol(f"__p{k}").transform(assemble(rows, features))
-        rows = scored.drop("features")
+        rows = predict(rows, as_ensemble(model), features, f"__p{k}")
         columns.append(f"__p{k}")
     mean = reduce(lambda a, b: a + b, map(F.col, columns)) / len(columns)
     return rows.select(*df.columns, mean.cast("float").alias(out))

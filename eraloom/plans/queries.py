@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eraloom.functions import ranks, scalars
-from eraloom.operators import align, blend, gates, history, metrics, modelling, neutralize, registry, resume, walkforward
+from eraloom.operators import align, blend, gates, history, metrics, modelling, neutralize, registry, resume, trees, walkforward
 from eraloom.plans.scratch import materialize, scratch_path
 from eraloom.sources import splits
 from eraloom.streaming import history_stream
@@ -387,15 +387,10 @@ class KnownTree:
     """Stands for a fitted tree (or model) whose prediction is a weighted sum of features."""
 
     def __init__(self, weights: dict[int, float]):
-        self.weights, self.out = weights, "prediction"
+        self.weights = weights
 
-    def setPredictionCol(self, name: str) -> KnownTree:  # noqa: N802
-        self.out = name
-        return self
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        x = vector_to_array("features")
-        return df.withColumn(self.out, sum((F.get(x, F.lit(k)) * w for k, w in self.weights.items()), F.lit(0.0)))
+    def values(self, x: np.ndarray) -> np.ndarray:
+        return sum((x[:, k] * w for k, w in self.weights.items()), np.zeros(len(x)))
 
 
 class KnownTrees:
@@ -437,6 +432,27 @@ def q42_score_ensemble(spark, d):
     return modelling.score_ensemble(f, models).select("id", (F.round(F.col("prediction").cast("double"), 5) + F.lit(0.0)).alias("prediction"))
 
 
+BOOSTED = modelling.Params(learning_rate=0.5, num_leaves=2, min_leaf=1, rounds=6, patience=6, scan_period=3, feature_fraction=1.0, bagging_fraction=1.0, features=["a", "b", "c"])
+
+
+def boosting_rows(spark, d) -> DataFrame:
+    """Orders with three coarse features and a target that leans on them."""
+    o = _table(spark, d, "orders")
+    key, month = F.col("o_orderkey"), (F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate")
+    a, b, c = F.col("o_custkey") % 4, month % 3, key % 5
+    y = 0.3 * a + F.when(b == 1, 0.8).otherwise(0.0) - F.when(c > 2, 0.55).otherwise(0.0) + (key * 7919 % 101) / 101.0
+    return o.select(month.alias("era_int"), a.cast("double").alias("a"), b.cast("double").alias("b"), c.cast("double").alias("c"), y.alias("target"))
+
+
+def q47_boosted_errors(spark, d):
+    """Validation errors of boosted trees, as the fit saw them and as one pass over the fitted trees gives them."""
+    rows = materialize(boosting_rows(spark, d), "boosting-rows")
+    train, valid = rows.where("era_int <= 50"), rows.where("era_int > 50")
+    model = modelling.fit_boosted(train, valid, BOOSTED, 1)
+    seen = spark.createDataFrame(model.errors, "iter int, seen double")
+    return trees.staged_errors(valid, model, BOOSTED.features).join(seen, "iter").select("iter", *r6("rmse", "seen"))
+
+
 def q34_ensemble(spark, d):
     r = rows(spark, d).select("id", F.col("prediction").alias("p1"), (F.col("prediction") * 2).alias("p2"), (F.col("target") * 4).alias("p3"))
     out = neutralize.ensemble_mean(r, ["p1", "p2", "p3"])
@@ -507,6 +523,23 @@ SQL_KNOWN = """F AS (SELECT vec_id, CAST(vec_id % 40 + 1 AS INTEGER) AS era_int,
    FROM C JOIN T USING (window_id) WHERE iter = stop OR iter = 2 GROUP BY 1)"""
 
 
+def _sql_boosted(rounds: int = 6, rate: float = 0.5) -> str:
+    """Stumps round by round: of all cuts the one with the largest sum of squared side sums over side sizes."""
+    steps = [
+        "R0 AS MATERIALIZED (SELECT *, 0.0::DOUBLE AS f FROM (SELECT CAST((year(o_orderdate)-1995)*12+month(o_orderdate) AS INTEGER) AS m, o_custkey % 4 AS a, ((year(o_orderdate)-1995)*12+month(o_orderdate)) % 3 AS b, o_orderkey % 5 AS c, o_orderkey AS k,"
+        " 0.3::DOUBLE*(o_custkey % 4) + CASE WHEN ((year(o_orderdate)-1995)*12+month(o_orderdate)) % 3 = 1 THEN 0.8::DOUBLE ELSE 0 END - CASE WHEN o_orderkey % 5 > 2 THEN 0.55::DOUBLE ELSE 0 END + (o_orderkey * 7919 % 101)/101.0::DOUBLE AS y FROM orders))",
+        "S AS MATERIALIZED (SELECT 'a' AS n, t + 0.5 AS t FROM range(3) r(t) UNION ALL SELECT 'b', t + 0.5 FROM range(2) r(t) UNION ALL SELECT 'c', t + 0.5 FROM range(4) r(t))",
+    ]
+    x = "CASE n WHEN 'a' THEN a WHEN 'b' THEN b ELSE c END"
+    for i in range(1, rounds + 1):
+        label = "y" if i == 1 else "2*(y-f)"
+        steps.append(f"C{i} AS MATERIALIZED (SELECT n, t, sum({label}) FILTER ({x} <= t) AS ls, count(*) FILTER ({x} <= t) AS ln, sum({label}) FILTER ({x} > t) AS rs, count(*) FILTER ({x} > t) AS rn FROM R{i - 1}, S WHERE m <= 50 GROUP BY n, t)")
+        steps.append(f"T{i} AS MATERIALIZED (SELECT * FROM C{i} ORDER BY ls*ls/ln + rs*rs/rn DESC LIMIT 1)")
+        steps.append(f"R{i} AS MATERIALIZED (SELECT R{i - 1}.* REPLACE (f + {1.0 if i == 1 else rate} * CASE WHEN {x} <= t THEN ls/ln ELSE rs/rn END AS f) FROM R{i - 1}, T{i})")
+    errors = " UNION ALL ".join(f"SELECT {i} AS iter, sqrt(avg(pow(f-y, 2))) AS rmse FROM R{i} WHERE m > 50" for i in range(1, rounds + 1))
+    return f"WITH {', '.join(steps)} SELECT CAST(iter AS INTEGER) AS iter, round(rmse, 6) AS rmse, round(rmse, 6) AS seen FROM ({errors})"
+
+
 def _stats_sql(w_sql: str) -> str:
     return f"{WITH_A}, {SQL_WINDOWS}, {SQL_OOF} {w_sql}"
 
@@ -587,6 +620,7 @@ ORACLES: dict[str, str] = {
     + " SELECT window_id, CAST(vec_id AS VARCHAR) AS id, round(CAST(CAST(CASE best_iter WHEN 2 THEN p2 WHEN 3 THEN p3 ELSE p4 END AS FLOAT) AS DOUBLE), 5) + 0.0 AS prediction FROM V JOIN B USING (window_id) WHERE window_id > 1",
     "q42_score_ensemble": "SELECT CAST(vec_id AS VARCHAR) AS id, round(CAST(CAST((embedding[6]::DOUBLE - 2*embedding[10]::DOUBLE + 4*embedding[64]::DOUBLE) / 2 AS FLOAT) AS DOUBLE), 5) + 0.0 AS prediction FROM embeddings",
 }
+ORACLES["q47_boosted_errors"] = _sql_boosted()
 ORACLES["q32_stream_history"] = ORACLES["q21_history_dedup"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for name, f in sorted(globals().items()) if name[0] == "q" and name[1:3].isdigit()}

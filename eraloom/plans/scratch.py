@@ -39,8 +39,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     and several readers cost one computation. Spark removes the write's own shuffle
     files at its end, so that disk holds one step's shuffles and not those of all.
     """
+    return materialize_at(df, scratch_path(df.sparkSession, name))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system that nothing reads any more."""
+    jvm = spark._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
+    """``materialize`` at a path that the caller removes."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from eraloom.operators import gates, modelling, neutralize, walkforward
+from eraloom.operators.trees import Ensemble as Ensemble_
+from eraloom.operators.trees import FlatTree
 from eraloom.plans.queries import KnownTree
 
 FEATURES = ["feature_0", "feature_1", "feature_2"]
@@ -72,6 +75,56 @@ def test_boosted_trees_equal_their_stages(rows):
     assert [t.toDebugString.split("\n", 1)[1] for t in more.trees[:4]] == [t.toDebugString.split("\n", 1)[1] for t in model.trees]
 
 
+@pytest.mark.parametrize("block", [50, 2])
+def test_boosting_in_steps_equals_the_whole_fit(rows, monkeypatch, block):
+    """With all features and rows the trees are those of Spark's ensemble, fitted one by one and no further than needed."""
+    monkeypatch.setattr(modelling, "TREES", block)
+    train, valid = rows.where("era_int <= 8"), rows.where("era_int > 8")
+    noisy = lambda df: df.withColumn("target", F.col("target") + F.col("feature_2") * F.col("era_int") / 60)
+    train, valid = noisy(train), noisy(valid)
+    params = modelling.Params(learning_rate=0.3, num_leaves=4, min_leaf=5, rounds=7, patience=7, feature_fraction=1.0, bagging_fraction=1.0, features=FEATURES)
+    whole = modelling.as_ensemble(modelling.fit_gbt(train, valid, params, 7))
+    steps = modelling.fit_boosted(train, valid, params, 7)
+    assert len(steps.trees) == len(steps.errors) == 7 and steps.treeWeights == whole.treeWeights
+    for a, b in zip(steps.trees, whole.trees, strict=True):
+        assert a.feature.tolist() == b.feature.tolist() and np.allclose(a.threshold, b.threshold) and np.allclose(a.value, b.value, atol=1e-9)
+    curve = dict(map(tuple, modelling.staged_errors(valid, whole, FEATURES).collect()))
+    assert all(abs(curve[i] - e) < 1e-9 for i, e in steps.errors)
+    by_hand = [r["e"] for k in range(1, 8) for r in modelling.staged_predictions(whole, valid, FEATURES, k).agg(F.sqrt(F.avg(F.pow(F.col(f"pred_{k}") - F.col("target"), F.lit(2)))).alias("e")).collect()]
+    assert np.allclose(by_hand, [curve[k] for k in range(1, 8)])
+
+
+def test_boosting_stops_with_patience_and_leaves_no_tables(spark, rows):
+    """Pure noise: the error rises at once, so that patience rounds after the best are the last fitted."""
+    import glob
+
+    noise = rows.select("era_int", (F.xxhash64("id") % 100 / 100.0).alias("target"), *FEATURES)
+    params = modelling.Params(learning_rate=1.0, num_leaves=8, min_leaf=1, rounds=40, patience=3, scan_period=2, feature_fraction=0.7, bagging_fraction=0.8, features=FEATURES)
+    model, found = modelling.fit_and_scan(noise.where("era_int <= 6"), noise.where("era_int > 6"), params, 3)
+    best = min(model.errors, key=lambda x: (x[1], x[0]))[0]
+    assert len(model.trees) == found["rounds"] == best + 3 < 40
+    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/boosting-*")
+    again, _ = modelling.fit_and_scan(noise.where("era_int <= 6").repartition(7), noise.where("era_int > 6"), params, 3)
+    assert [t.feature.tolist() for t in again.trees] == [t.feature.tolist() for t in model.trees]
+    assert len(modelling.fit_final(noise, params, 4, 3).trees) == 4
+
+
+def test_features_of_a_round():
+    chosen = [modelling.tree_features([f"f{k}" for k in range(20)], 0.3, s) for s in range(5)]
+    assert all(len(c) == 6 and c == sorted(c) for c in chosen) and len(set(map(tuple, chosen))) > 1
+    assert modelling.tree_features(["a", "b"], 0.01, 1) in ([0], [1])
+
+
+def test_staged_errors_of_missing_values(spark):
+    """Rows without a target count nowhere, a missing feature goes right, no rows give no error."""
+    tree = FlatTree(np.array([0, -1, -1]), np.array([0.5, 0, 0]), np.array([1, 0, 0]), np.array([2, 0, 0]), np.array([0.0, 1.0, 3.0]))
+    model = Ensemble_([tree, tree], [1.0, 0.5])
+    df = spark.createDataFrame([(0.0, 1.0), (1.0, 3.0), (None, 4.0), (1.0, None)], "a double, target double")
+    assert [round(r["rmse"], 9) for r in modelling.staged_errors(df, model, ["a"]).orderBy("iter").collect()] == [round((1 / 3) ** 0.5, 9), round(((0.5**2 + 1.5**2 + 0.5**2) / 3) ** 0.5, 9)]
+    assert [r["rmse"] for r in modelling.staged_errors(df.limit(0), model, ["a"]).collect()] in ([], [None, None])
+    assert [r["pred_2"] for r in modelling.staged_predictions(model, df, ["a"], 2).collect()] == [1.5, 4.5, 4.5, 4.5]
+
+
 def test_thin_windows_are_never_fitted(rows):
     fitted = []
 

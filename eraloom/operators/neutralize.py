@@ -10,11 +10,12 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eraloom.functions.ranks import average_rank_by_range, gauss_ranks, rank_01
-from eraloom.plans.scratch import materialize
+from eraloom.plans.scratch import broadcast_if_small, materialize
 
 FLAT = 1e-12
 
@@ -76,25 +77,99 @@ def neutralize(df: DataFrame, y: str, xs: list[str], proportion: float = 1.0, ou
     return both.select(*(df[c] for c in df.columns), F.when(F.col("sd") < FLAT, resid).otherwise(resid / F.when(F.col("sd") >= FLAT, F.col("sd"))).alias(out))
 
 
-def _era_lstsq(y: str, xs: list[str], proportion: float, out: str):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        design = np.column_stack([np.ones(len(pdf)), pdf[xs].to_numpy(float)])
-        target = pdf[y].to_numpy(float)
-        resid = target - proportion * (design @ np.linalg.lstsq(design, target, rcond=None)[0])
-        sd = resid.std()
-        return pdf.assign(**{out: resid if sd < FLAT else resid / sd})
+#: Rows that a task reduces at once, and triangles that are combined in one step.
+BLOCK, FAN = 4096, 64
+
+
+def _triangle(stack: np.ndarray) -> np.ndarray:
+    """The R factor of a block; as many rows as columns at most."""
+    return np.linalg.qr(stack, mode="r") if len(stack) > stack.shape[1] else stack
+
+
+def _reduce_blocks(era: str, columns: list[str], text: bool):
+    """Per task and era the triangle of [1, xs, y] and the number of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = len(columns) + 1
+        found: dict[object, list] = {}
+        for batch in batches:
+            table = np.column_stack([np.ones(batch.num_rows), *(batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns)])
+            codes = batch.column(era).dictionary_encode()
+            place = codes.indices.fill_null(len(codes.dictionary)).to_numpy(zero_copy_only=False)
+            for k in np.unique(place):
+                key = codes.dictionary[int(k)].as_py() if k < len(codes.dictionary) else None
+                held = found.setdefault(key, [np.empty((0, width)), 0])
+                rows = table[place == k]
+                held[1] += len(rows)
+                for at in range(0, len(rows), BLOCK):
+                    held[0] = _triangle(np.vstack([held[0], rows[at : at + BLOCK]]))
+        eras = list(found)
+        columns_out = [pa.array(eras, pa.string() if text else pa.int64()), pa.array([n for _, n in found.values()], pa.int64()), pa.array([r.reshape(-1).tolist() for r, _ in found.values()], pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(columns_out, ["era", "n", "r"])
+
+    return run
+
+
+def _combine(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Stacked triangles of one group as one triangle."""
+    width = int(pdf["width"].iloc[0])
+    stack = np.vstack([np.asarray(r, float).reshape(-1, width) for r in pdf["r"]])
+    return pd.DataFrame({"era": pdf["era"].iloc[:1], "n": [int(pdf["n"].sum())], "r": [_triangle(stack).reshape(-1)], "width": [width]})
+
+
+def _solve(proportion: float):
+    """Coefficients, and the deviation of the residual, from an era's triangle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for n, r, width in zip(pdf["n"], pdf["r"], pdf["width"], strict=True):
+                r = np.asarray(r, float).reshape(-1, width)
+                rest = np.concatenate([-proportion * np.linalg.lstsq(r[:, :-1], r[:, -1], rcond=np.finfo(float).eps * max(n, width - 1))[0], [1.0]])
+                # Lengths and products of columns are those of the rows, as both differ by a rotation.
+                resid = r @ rest
+                mean = float(r[:, 0] @ resid) / n
+                shifted = resid - mean * r[:, 0]
+                rows.append(((-rest[:-1]).tolist(), float(np.sqrt(shifted @ shifted / n))))
+            yield pd.concat([pdf[["era"]].reset_index(drop=True), pd.DataFrame(rows, columns=["beta", "sd"])], axis=1)
 
     return run
 
 
 def neutralize_per_era(df: DataFrame, y: str, xs: list[str], proportion: float = 1.0, era: str = "era_int", out: str = "neutral") -> DataFrame:
-    """Feature neutralization inside each era by orthogonal least squares.
+    """Feature neutralization inside each era by orthogonal least squares (least norm where features depend on each other).
 
-    An era's rows meet in one task, as the exact residual of a fit with as many
-    features as rows needs them; project to the needed columns first.
+    Tall-skinny QR: every task reduces its own rows of an era to a triangle as wide as the features,
+    triangles meet FAN at a time until an era has one, and coefficients and the residual's
+    deviation follow from that; a second pass over the rows gives residuals. An era may
+    lie in any number of tasks, and its rows are never gathered. Rows with a missing y or feature get a null
+    and take no part.
     """
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.groupBy(era).applyInPandas(_era_lstsq(y, xs, proportion, out), f"{fields}, `{out}` double")
+    df = materialize(df, "era-rows")
+    whole = reduce(lambda a, b: a & b, (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in [y, *xs]))
+    kind = df.schema[era].dataType.simpleString()
+    keyed = df.where(whole).select(F.col(era).cast("string" if kind == "string" else "long").alias("__era"), *xs, y)
+    key = "string" if kind == "string" else "long"
+    schema = f"era {key}, n long, r array<double>, width int"
+    parts = keyed.mapInArrow(_reduce_blocks("__era", [*xs, y], key == "string"), f"era {key}, n long, r array<double>").withColumn("width", F.lit(len(xs) + 2))
+    level = materialize(parts, "triangles")
+    most = level.groupBy("era").count().agg(F.max("count")).first()[0] or 0
+    while most > 1:
+        numbered = level.withColumn("bucket", F.floor((F.row_number().over(Window.partitionBy("era").orderBy("n", F.xxhash64("r"))) - 1) / FAN))
+        level = materialize(numbered.groupBy("era", "bucket").applyInPandas(_combine, schema), "triangles")
+        most = -(-most // FAN)
+    fits = level.mapInPandas(_solve(proportion), f"era {key}, beta array<double>, sd double")
+    fits = materialize(fits.select(F.col("era").alias("__era"), F.col("beta").alias("__beta"), F.col("sd").alias("__sd")), "era-fits")
+    fits = broadcast_if_small(fits, fits.count() * (len(xs) + 2), FIT_NUMBERS)
+    fitted = F.aggregate(F.zip_with(F.array(F.lit(1.0), *(F.col(x).cast("double") for x in xs)), "__beta", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    resid = F.col(y).cast("double") - fitted
+    value = F.when(F.col("__sd") < FLAT, resid).otherwise(resid / F.when(F.col("__sd") >= FLAT, F.col("__sd")))
+    both = df.join(fits, df[era].cast(key).eqNullSafe(F.col("__era")), "left")
+    return both.select(*(df[c] for c in df.columns), F.when(whole, value).alias(out))
+
+
+#: Numbers of all eras' coefficients that are broadcast at most (8 bytes each).
+FIT_NUMBERS = 2_000_000
 
 
 @dataclass(frozen=True)

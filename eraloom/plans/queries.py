@@ -352,6 +352,21 @@ def q30_feature_neutralize(spark, d):
     return out.select("id", "era_int", *r6("neutral"))
 
 
+def q48_era_fit(spark, d):
+    """Two features inside each era, half of all eras joined to one, row by row."""
+    return neutralize.neutralize_per_era(one_large_era(spark, d), "prediction", BENCHES, 0.5).select("id", "era_int", *r6("neutral"))
+
+
+def q49_era_fit_of_all_features(spark, d):
+    """What is left of the target after all 64 features: no product with any of them or with 1 remains, and the deviation is 1."""
+    f = features(spark, d).withColumn("era_int", (F.col("id").cast("long") % 4).cast("int"))
+    names = [c for c in f.columns if c.startswith("feature_")]
+    out = neutralize.neutralize_per_era(f, "target", names, 1.0)
+    products = out.groupBy("era_int").agg(F.avg("neutral").alias("one"), F.stddev_pop("neutral").alias("sd"), *(F.avg(F.col(c) * F.col("neutral")).alias(c) for c in names))
+    tall = products.unpivot(["era_int", "sd"], ["one", *names], "feature", "product")
+    return tall.select("era_int", "feature", *r6("product", "sd"))
+
+
 def q31_member_summary(spark, d):
     s = scores(spark, d).groupBy("model_name").agg(F.count(F.lit(1)).alias("n"), F.max("primary_score").alias("c"), F.avg("primary_score").alias("r"))
     raw = s.select(F.col("model_name").alias("seed"), F.concat(F.lit("m"), "model_name").alias("model_file"), F.col("n").alias("best_iteration"), F.col("r").alias("best_valid_rmse"), F.when(F.col("n") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("c")).alias("best_valid_corr"))
@@ -599,6 +614,8 @@ ORACLES: dict[str, str] = {
     "q28_promote": f"WITH {_ARTIFACT_SQL} SELECT model, artifact, 'prod' AS alias FROM M WHERE artifact NOT IN (SELECT artifact FROM V) QUALIFY row_number() OVER (PARTITION BY model ORDER BY created_at DESC, artifact DESC) = 1",
     "q29_feature_shards": "WITH N AS (SELECT DISTINCT 'feature_' || (generate_subscripts(embedding, 1)-1) AS feature FROM embeddings), O AS (SELECT feature, row_number() OVER (ORDER BY sha256('0:' || feature), feature)-1 AS rn, count(*) OVER () AS total FROM N), H AS (SELECT feature, least(rn // greatest(total // 3, 1), 2) AS shard, total FROM O), X AS (SELECT H.*, seed, k FROM H, (VALUES (42,0),(1337,1),(2026,2)) v(seed,k)) SELECT seed, feature FROM X QUALIFY row_number() OVER (PARTITION BY seed ORDER BY (shard = k)::INT DESC, sha256(seed || ':' || feature), feature) <= 24 OR total <= 24",
     "q30_feature_neutralize": "WITH E AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(vec_id // 25 + 1 AS INTEGER) AS era_int, label::DOUBLE AS y, embedding[1]::DOUBLE AS x FROM embeddings), F AS (SELECT era_int, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM E GROUP BY 1), R AS (SELECT id, era_int, y - 0.5*(a+b*x) AS r FROM E JOIN F USING (era_int)) SELECT id, era_int, round(r/stddev_pop(r) OVER (PARTITION BY era_int), 6) + 0.0 AS neutral FROM R",
+    "q48_era_fit": f"{WITH_LARGE}, F AS ({_sql_fit('A', 'prediction', 'era_int').replace('g_bench', 'bench')}) SELECT id, era_int, round((prediction - 0.5*(b0+b1*bench_qty+b2*bench_disc))/sqrt(vy-cf+0.25*vf), 6) + 0.0 AS neutral FROM A JOIN F USING (era_int)",
+    "q49_era_fit_of_all_features": "SELECT CAST(vec_id % 4 AS INTEGER) AS era_int, feature, 0.0::DOUBLE AS product, 1.0::DOUBLE AS sd FROM embeddings, (SELECT 'one' AS feature UNION ALL SELECT 'feature_' || k FROM range(64) r(k)) GROUP BY 1, 2",
     "q31_member_summary": f"WITH {SQL_SCORES}, M AS (SELECT CAST(model_name AS INTEGER) AS seed, count(*) AS n, avg(primary_score) AS r, CASE WHEN count(*) % 7 = 0 THEN NULL ELSE max(primary_score) END AS c FROM S GROUP BY 1) SELECT round(avg(n), 6) AS mean_best_iteration, round(avg(r), 6) + 0.0 AS mean_rmse, round(avg(c), 6) + 0.0 AS mean_corr, round(max(c), 6) + 0.0 AS max_corr, (SELECT seed FROM M WHERE c IS NOT NULL ORDER BY c DESC, seed LIMIT 1) AS best_seed, count(*) AS n_models, (SELECT count(DISTINCT event_type) FROM events) AS n_features FROM M",
     "q34_ensemble": f"WITH {SQL_ROWS} SELECT id, round(CAST(CAST((prediction + prediction*2 + target*4)/3 AS FLOAT) AS DOUBLE), 0) AS prediction FROM R",
     "q35_live_alignment": f"{WITH_A} SELECT id, round(bench_qty, 6) AS bench_qty, round(bench_disc, 6) AS bench_disc, bench_present FROM A WHERE bench_present",

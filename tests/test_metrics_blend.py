@@ -123,6 +123,36 @@ def test_per_era_feature_neutralization_is_orthogonal(frame):
     assert all(abs(r[1]) < 1e-9 for r in out.groupBy("era_int").agg(F.covar_pop("neutral", "b1")).collect())
 
 
+@pytest.mark.parametrize(("block", "fan"), [(4096, 64), (7, 2)])
+def test_per_era_fit_of_many_features_over_many_tasks(spark, monkeypatch, block, fan):
+    """64 features, one era in every task, one era of fewer rows than features, dependent features, a null era and missing values."""
+    monkeypatch.setattr(neutralize, "BLOCK", block)
+    monkeypatch.setattr(neutralize, "FAN", fan)
+    rng = np.random.default_rng(11)
+    names = [f"f{k}" for k in range(64)]
+    rows = []
+    for k in range(900):
+        era = 1 if k % 3 else 2 if k % 2 else None
+        x = rng.normal(size=64).round(3).tolist()
+        x[1] = x[0] * 2  # dependent
+        rows.append((k, era, float(rng.normal()) + x[5], *x))
+    rows += [(1000 + k, 3, float(rng.normal()), *rng.normal(size=64).tolist()) for k in range(20)] + [(2000, 1, None, *[0.0] * 64), (2001, 1, 1.0, *[float("nan")] * 64), (2002, 4, 5.0, *[1.0] * 64)]
+    df = spark.createDataFrame(rows, "id int, era_int int, y double, " + ", ".join(f"{n} double" for n in names)).repartition(11)
+    got = {r["id"]: r["neutral"] for r in neutralize.neutralize_per_era(df, "y", names, 0.7).collect()}
+    assert len(got) == len(rows) and got[2000] is None and got[2001] is None
+    for era in (1, 2, None, 3, 4):
+        own = [r for r in rows if r[1] == era and r[0] not in (2000, 2001)]
+        expected = neutral(np.array([r[2] for r in own]), np.array([r[3:] for r in own]), 0.7)
+        assert np.allclose([got[r[0]] for r in own], expected, atol=1e-7), era
+
+
+def test_per_era_fit_of_text_eras(frame):
+    named = frame.withColumn("era", F.concat(F.lit("era"), "era_int"))
+    rows = lambda d: sorted((r["id"], round(r["neutral"], 9)) for r in d.collect())
+    assert rows(neutralize.neutralize_per_era(named, "prediction", ["b1", "b2"], 0.5, "era")) == rows(neutralize.neutralize_per_era(frame, "prediction", ["b1", "b2"], 0.5))
+    assert neutralize.neutralize_per_era(frame.limit(0), "prediction", ["b1"]).count() == 0
+
+
 def test_config_checks():
     with pytest.raises(ValueError, match="transform"):
         PostprocessConfig(0.5, 0.5, ("b",), "other")

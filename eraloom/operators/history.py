@@ -141,19 +141,24 @@ def bucket_rows(buckets: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc:
     return usable(out.withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc)))
 
 
+def _ties(columns: list[str], keys: list[str]) -> list[Column]:
+    """An order among rows of equal standing: by all other history columns."""
+    return [F.desc_nulls_last(c) for c in COLUMNS if c in columns and c not in keys]
+
+
 def keep_last(df: DataFrame, order: str, keys: list[str] = KEY) -> DataFrame:
-    """The row of the largest ``order`` (ingest ordinal) for each key."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(order))
+    """The row of the largest ``order`` (ingest ordinal, null least) for each key; of equal ones the largest in the other columns."""
+    w = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(order), *_ties(df.columns, keys))
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
 def merge_history(old: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """Union in which new rows replace old ones of the same key. Rows may carry an
-    ``ingest_seq``; without it the order inside each side is by all columns."""
+    """Union in which new rows replace old ones of the same key. Where rows carry an
+    ``ingest_seq`` the larger one counts, on whichever side it is, and the side decides
+    among equal ones; without it the order inside each side is by all columns."""
     both = old.withColumn("__side", F.lit(0)).unionByName(new.withColumn("__side", F.lit(1)), allowMissingColumns=True)
-    seq = F.col("ingest_seq") if "ingest_seq" in both.columns else F.lit(0)
-    rest = [F.desc_nulls_last(c) for c in COLUMNS if c in both.columns and c not in keys]
-    w = Window.partitionBy(*keys).orderBy(F.desc("__side"), F.desc_nulls_last(seq), *rest)
+    seq = [F.desc_nulls_last("ingest_seq")] if "ingest_seq" in both.columns else []
+    w = Window.partitionBy(*keys).orderBy(*seq, F.desc("__side"), *_ties(both.columns, keys))
     return both.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__side")
 
 

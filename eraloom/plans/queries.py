@@ -376,12 +376,14 @@ def q31_member_summary(spark, d):
 
 
 def q32_stream_history(spark, d):
-    """Events as a stream of files: every file of the table's path is ingested once."""
+    """Events as a stream of files in mixed order, so that late files bring smaller ordinals; about nine batches, merged by threes."""
     source = scratch_path(spark, "snapshots")
-    scores(spark, d).write.parquet(source)
+    for k in (7, 2, 5, 0, 8, 3, 6, 1, 4):
+        scores(spark, d).where(F.col("ingest_seq") % 9 == k).write.mode("append").parquet(source)
+    files = len(spark.read.parquet(source).inputFiles())
     target = scratch_path(spark, "history")
     schema = scores(spark, d).schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    history_stream.ingest(spark, source, schema, target, lambda df: df).awaitTermination()
+    history_stream.ingest(spark, source, schema, target, lambda df: df, fan=3, files_per_batch=-(-files // 9)).awaitTermination()
     return history_stream.latest_version(spark, target).select(*history.KEY, "primary_score", "ingest_seq")
 
 

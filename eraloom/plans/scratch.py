@@ -49,6 +49,17 @@ def remove(spark: SparkSession, path: str) -> None:
     there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """Names of the folders in a folder of the shared file system, and whether a finished write has marked each."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    found = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
+    return [(p.getName(), fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))) for p in found]
+
+
 def materialize_at(df: DataFrame, path: str) -> DataFrame:
     """``materialize`` at a path that the caller removes."""
     spark = df.sparkSession

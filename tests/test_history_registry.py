@@ -198,9 +198,48 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
     state = {}
     for rows in files:
         spark.createDataFrame(rows, ROWS).coalesce(1).write.mode("append").parquet(source)
-        history_stream.ingest(spark, source, ROWS, target, lambda df: df).awaitTermination()
+        history_stream.ingest(spark, source, ROWS, target, lambda df: df, fan=2).awaitTermination()
         state |= {(r[1], r[2]): r[5] for r in rows}
         got = {(r["model_name"], r["round_number"]): r["primary_score"] for r in history_stream.latest_version(spark, target).collect()}
         assert got == state
-    touched = spark.read.parquet(f"{target}/batch=1").select("round_number").distinct().collect()
-    assert sorted(r[0] for r in touched) == [1, 2]  # only rounds of the second file
+    assert history_stream.segments(spark, target) == [(0, 0), (0, 1), (1, 1), (2, 2)]
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (2, 0, 3, 1), (1, 3, 0, 2)])
+def test_stream_equals_batch_in_any_order(spark, tmp_path, order):
+    """A late file never beats a larger ordinal; merges in between change nothing."""
+    rows = [[("s", "m", k % 3, "t", True, f * 0.1 + k, 10 * ((f * 7 + k * 3) % 5) + f) for k in range(4)] for f in range(4)]
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for f in order:
+        spark.createDataFrame(rows[f], ROWS).coalesce(1).write.mode("append").parquet(source)
+    history_stream.ingest(spark, source, ROWS, target, lambda df: df, fan=2, files_per_batch=1).awaitTermination()
+    assert (0, 3) in history_stream.segments(spark, target)
+    everything = spark.createDataFrame([r for f in rows for r in f], ROWS)
+    seen = lambda df: sorted(map(tuple, df.select("model_name", "round_number", "primary_score", "ingest_seq").collect()))
+    assert seen(history_stream.latest_version(spark, target)) == seen(history.keep_last(everything, "ingest_seq"))
+    one, other = (spark.createDataFrame([r for f in part for r in rows[f]], ROWS) for part in (order[:2], order[2:]))
+    assert seen(history.merge_history(one, other)) == seen(history.keep_last(everything, "ingest_seq"))
+
+
+def test_merges_read_each_row_a_few_times():
+    """Over 4,096 batches a batch reads nothing on most days, and each is rewritten once for each tier."""
+    spans, read = [], 0
+    for b in range(4096):
+        spans.append((b, b))
+        if span := history_stream.merge_span(b, 16):
+            parts = history_stream.cover(sorted(spans), *span)
+            assert parts[0][0] == span[0] and parts[-1][1] == b and all(x[1] + 1 == y[0] for x, y in zip(parts, parts[1:], strict=False))
+            read += sum(high - low + 1 for low, high in parts)
+            spans = [s for s in spans if not span[0] <= s[0]] + [span]
+        assert len(history_stream.cover(sorted(spans))) <= 3 * 15
+    assert read <= 3 * 4096
+
+
+def test_segments_of_broken_writes_do_not_count(spark, tmp_path):
+    target = str(tmp_path / "out")
+    row = lambda score, seq: spark.createDataFrame([("s", "m", 1, "t", True, score, seq)], ROWS)
+    row(0.1, 1).write.parquet(f"{target}/segment-0-0")
+    row(0.2, 2).write.parquet(f"{target}/segment-1-1")
+    row(9.9, 9).write.parquet(f"{target}/segment-0-1")
+    (tmp_path / "out" / "segment-0-1" / "_SUCCESS").unlink()
+    assert [r["primary_score"] for r in history_stream.latest_version(spark, target).collect()] == [0.2]

@@ -42,25 +42,30 @@ INTRA = {
 INTRA_ROUND = "array<struct<roundNumber:int,intraRoundSubmissionScores:array<struct<displayName:string,value:string,date:string,payoutPending:string,payoutSettled:string>>>>"
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """The history's columns in order, null where absent."""
+def conform(df: DataFrame, keep: list[str] = []) -> DataFrame:  # noqa: B006
+    """The history's columns in order, null where absent, and the columns ``keep``."""
     fields = [f.split() for f in HISTORY.split(", ")]
-    return df.select(*((F.col(n).cast(t) if n in df.columns else F.lit(None).cast(t)).alias(n) for n, t in fields))
+    return df.select(*((F.col(n).cast(t) if n in df.columns else F.lit(None).cast(t)).alias(n) for n, t in fields), *keep)
 
 
-def flatten_records(snapshots: DataFrame, value: str = "value") -> DataFrame:
-    """(every other column, record): each object at any depth of a VARIANT column.
+def flatten_records(snapshots: DataFrame, value: str = "value", place: str | None = None) -> DataFrame:
+    """(every other column, record): each object at any depth of a VARIANT column. ``place`` names a
+    column for an object's path of positions; in its order an object comes before what
+    it holds, and members of an object go by key, as a VARIANT keeps them.
 
     Each level of nesting is one explode of the containers of the level before,
     written to the shared folder, until a level holds none; rows are unlimited.
     """
     keep = [c for c in snapshots.columns if c != value]
+    if place:
+        snapshots = snapshots.withColumn(place, F.array().cast("array<int>"))
+    path = [F.concat(place, F.array("pos")).alias(place)] if place else []
     kind = F.schema_of_variant("record")
     nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    level = materialize(snapshots.select(*keep, F.col(value).alias("record")).where(nested), "json-level")
+    level = materialize(snapshots.select(*keep, *([place] if place else []), F.col(value).alias("record")).where(nested), "json-level")
     found = level
     while True:
-        inside = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("record").outer())).select(*keep, F.col("value").alias("record"))
+        inside = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("record").outer())).select(*keep, *path, F.col("value").alias("record"))
         level = materialize(inside.where(nested), "json-level")
         if level.isEmpty():
             return found.where(kind.startswith("OBJECT"))
@@ -92,12 +97,12 @@ def primary_score(corr: Column, bmc: Column, mmc: Column, w_corr: float = 0.75,
     return w_corr * corr + w_bmc * F.coalesce(bmc, mmc)
 
 
-def usable(rows: DataFrame) -> DataFrame:
+def usable(rows: DataFrame, keep: list[str] = []) -> DataFrame:  # noqa: B006
     """History rows with a round and any of score, corr and payout."""
-    return conform(rows.where(F.col("round_number").isNotNull() & F.coalesce("primary_score", "corr20", "payout").isNotNull()))
+    return conform(rows.where(F.col("round_number").isNotNull() & F.coalesce("primary_score", "corr20", "payout").isNotNull()), keep)
 
 
-def normalize_records(records: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> DataFrame:
+def normalize_records(records: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25, keep: list[str] = []) -> DataFrame:  # noqa: B006
     """History rows from (fetched_at, source, model_name, record), record as ``as_map`` gives it;
     a record's own source and model name count before its snapshot's."""
     r = F.col("record")
@@ -110,8 +115,9 @@ def normalize_records(records: DataFrame, as_of: Column, w_corr: float = 0.75, w
         resolved_flag(r, as_of).alias("resolved"),
         *map(num, ("corr20", "mmc20", "bmc20", "fnc", "payout", "stake")),
         json_text(pick(r, ALIASES["resolve_date"])).alias("resolve_date"),
+        *keep,
     ).withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc))
-    return usable(out)
+    return usable(out, keep)
 
 
 def intra_round_rows(nested: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> DataFrame:
@@ -129,16 +135,55 @@ def explode_buckets(nested: DataFrame) -> DataFrame:
     return one.select("fetched_at", "source", "model_name", F.col("round.roundNumber").alias("round_number"), "rpos", F.posexplode("round.intraRoundSubmissionScores").alias("pos", "b"))
 
 
-def bucket_rows(buckets: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> DataFrame:
+def bucket_rows(buckets: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25, keep: list[str] = []) -> DataFrame:  # noqa: B006
     """``intra_round_rows`` from flat buckets, in partial aggregates only; ``pos`` is of any
     type with an order."""
     b = buckets.select("*", F.lower(F.trim("b.displayName")).alias("name"), to_double(F.trim("b.value")).alias("v"), F.nullif(F.col("b.date"), F.lit("")).alias("day"))
-    keys = ["fetched_at", "source", "model_name", "round_number", "rpos"]
+    keys = list(dict.fromkeys(["fetched_at", "source", "model_name", "round_number", "rpos", *keep]))
     last = [F.max_by(F.when(F.col("name") == n, F.col("v")), F.when(F.col("name") == n, F.col("pos"))).alias(f"s_{n}") for n in dict.fromkeys(n for names in INTRA.values() for n in names)]
     settled, pending = (F.sum(to_double(F.trim(f"b.payout{k}"))) for k in ("Settled", "Pending"))
     wide = b.groupBy(*keys).agg(*last, F.coalesce(settled, pending).alias("payout"), F.max_by("day", F.when(F.col("day").isNotNull(), F.col("pos"))).alias("resolve_date"))
     out = wide.select("*", passed(F.col("resolve_date"), as_of).alias("resolved"), *(F.coalesce(*(F.col(f"s_{n}") for n in names)).alias(k) for k, names in INTRA.items()))
-    return usable(out.withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc)))
+    return usable(out.withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc)), keep)
+
+
+#: Fixed value: the method whose payload holds rounds of named scores.
+INTRA_METHOD = "intra_round_scores"
+
+
+def payload_buckets(payloads: DataFrame) -> DataFrame:
+    """Flat buckets (see ``explode_buckets``) of the intra-round method's VARIANT payloads;
+    what is no round, no list of scores or no score object is passed over."""
+    kind = lambda c: F.schema_of_variant(c)
+    lists = payloads.where((F.col("source") == INTRA_METHOD) & kind("value").startswith("ARRAY"))
+    keep = ["fetched_at", "source", "model_name", "mpos"]
+    tvf = payloads.sparkSession.tvf
+    rounds = lists.lateralJoin(tvf.variant_explode(F.col("value").outer()).select(F.col("pos").alias("rpos"), F.col("value").alias("round"))).select(*keep, "rpos", "round").where(kind("round").startswith("OBJECT"))
+    scores = F.try_variant_get("round", "$.intraRoundSubmissionScores", "array<variant>")
+    number = json_whole(json_value(F.try_variant_get("round", "$.roundNumber", "variant")))
+    rounds = rounds.select(*keep, "rpos", "round", number.alias("round_number"))
+    items = rounds.select(*keep, "rpos", "round_number", F.posexplode(scores).alias("pos", "item")).where(kind("item").startswith("OBJECT"))
+    at = lambda name: json_value(F.try_variant_get("item", f"$.{name}", "variant"))
+    text = lambda name: json_text(at(name)).alias(name)
+    digits = lambda name: json_number(at(name)).cast("string").alias(name)
+    return items.select(*keep, "rpos", "round_number", "pos", F.struct(text("displayName"), digits("value"), text("date"), digits("payoutPending"), digits("payoutSettled")).alias("b"))
+
+
+def normalize_payloads(payloads: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> DataFrame:
+    """History rows of fetched payloads (fetched_at, model_name, source, mpos, ok, value): the
+    method's name is the source and mpos its place in the fetch, value a VARIANT.
+
+    Payloads without ``ok`` count nowhere. A payload of the intra-round method gives its rounds first,
+    then every payload gives each object it holds; of rows with one key the last in this order stays.
+    """
+    good = materialize(payloads.where("ok").select("fetched_at", "source", "model_name", "mpos", "value"), "payloads")
+    records = flatten_records(good, place="place").select("fetched_at", "source", "model_name", "mpos", "place", as_map(F.col("record")).alias("record"))
+    flat = normalize_records(records, as_of, w_corr, w_bmc, ["mpos", "place"]).withColumn("kind", F.lit(1))
+    intra = bucket_rows(payload_buckets(good), as_of, w_corr, w_bmc, ["mpos", "rpos"])
+    intra = intra.select(*COLUMNS, "mpos", F.array(F.col("rpos").cast("int")).alias("place"), F.lit(0).alias("kind"))
+    both = flat.unionByName(intra)
+    last = both.groupBy(*KEY).agg(F.max_by(F.struct(*COLUMNS), F.struct("mpos", "kind", "place")).alias("row"))
+    return last.select("row.*")
 
 
 def _ties(columns: list[str], keys: list[str]) -> list[Column]:

@@ -26,7 +26,8 @@ def with_legacy_features(manifests: DataFrame, legacy: DataFrame) -> DataFrame:
 def audit(manifests: DataFrame, files: DataFrame, version: str | None = None, version_severity: str = "error") -> DataFrame:
     """violations(artifact, severity, rule, detail) of all artifacts at once;
     ``files`` is the inventory (artifact, file). A column that the table lacks
-    counts as null in every row."""
+    counts as null in every row. Model files are named without white space around them;
+    a null or blank entry is a violation."""
     fields = dict(f.split(" ", 1) for f in MANIFEST.split(", "))
     manifests = manifests.select("*", *(F.lit(None).cast(t).alias(c) for c, t in fields.items() if c not in manifests.columns))
     rows = []
@@ -39,12 +40,15 @@ def audit(manifests: DataFrame, files: DataFrame, version: str | None = None, ve
 
     for c in REQUIRED:
         rule(manifests.where(F.col(c).isNull()), "missing_key", F.lit(c))
-    listed = manifests.select("artifact", F.explode_outer("model_files").alias("file"))
+    entries = manifests.select("artifact", F.posexplode("model_files").alias("pos", "file")).withColumn("file", F.regexp_replace("file", r"^\s+|\s+$", ""))
+    blank = F.col("file").isNull() | (F.col("file") == "")
+    listed = entries.where(~blank).select("artifact", "file")
     rule(manifests.where(empty("model_files")), "no_models", F.lit("model_files"))
-    rule(listed.where(F.col("file").isNotNull()).join(files.select("artifact", "file"), ["artifact", "file"], "left_anti"), "missing_file", F.col("file"))
+    rule(entries.where(blank), "bad_model_file", F.concat(F.lit("model_files:"), "pos"))
+    rule(listed.join(files.select("artifact", "file"), ["artifact", "file"], "left_anti"), "missing_file", F.col("file"))
     rule(manifests.where(empty("features")), "no_features", F.lit("features"))
     mapped = manifests.select("artifact", F.explode_outer("features_by_model").alias("file", "list")).where(F.size("list") > 0)
-    rule(listed.where(F.col("file").isNotNull()).join(mapped, ["artifact", "file"], "left_anti"), "unmapped_model", F.col("file"))
+    rule(listed.join(mapped, ["artifact", "file"], "left_anti"), "unmapped_model", F.col("file"))
     if version is not None:
         rule(manifests.where(~F.col("dataset_version").eqNullSafe(F.lit(version))), "version_mismatch", F.coalesce("dataset_version", F.lit("none")), version_severity)
     rule(manifests.where(~F.coalesce(F.col("transform").isin("rank_01", "gauss_rank"), F.lit(False))), "bad_transform", F.coalesce("transform", F.lit("none")))

@@ -337,6 +337,30 @@ def q27_registry_audit(spark, d):
     return registry.audit(*_artifacts(spark, d))
 
 
+def _faulty_artifacts(spark, d):
+    """Manifests of which every twelfth kind breaks one rule, and the files that are there."""
+    m, files = _artifacts(spark, d)
+    case = F.col("artifact").cast("long") % 13
+    at = lambda k, other, c: F.when(case == k, other).otherwise(F.col(c)).alias(c)
+    null = F.lit(None)
+    m = m.withColumn("dataset_version", F.lit("v5")).select(
+        "artifact", "model", "created_at",
+        F.when(case == 1, F.lit("v4")).when(case == 2, null).otherwise(F.col("dataset_version")).alias("dataset_version"), at(3, null, "feature_set"), at(4, null, "artifact_schema_version"),
+        F.when(case == 5, F.array(null.cast("string"), F.get("model_files", F.lit(0)))).when(case == 6, F.array(F.concat(F.lit(" "), F.get("model_files", F.lit(0)), F.lit(" ")), F.lit("  "))).when(case == 7, F.array().cast("array<string>")).otherwise(F.col("model_files")).alias("model_files"),
+        at(8, F.array().cast("array<string>"), "features"), at(9, F.create_map(F.lit("other"), F.array(F.lit("f1"))), "features_by_model"), at(10, F.lit("softmax"), "transform"),
+        at(11, F.lit(1.5), "blend_alpha"), at(12, F.lit(-0.5), "bench_neutralize_prop"), at(0, null, "bench_cols_used"),
+    )
+    return m, files
+
+
+def q50_registry_rules(spark, d):
+    """Every rule of the audit, with the version as a warning, and whether the artifact may still be promoted."""
+    m, files = _faulty_artifacts(spark, d)
+    found = materialize(registry.audit(m, files, "v5", "warn"), "violations")
+    sound = registry.promote(m.withColumn("model", F.col("artifact")), found).select("artifact", F.lit(True).alias("sound"))
+    return found.join(sound, "artifact", "left").select("artifact", "severity", "rule", "detail", F.coalesce("sound", F.lit(False)).alias("sound"))
+
+
 def q28_promote(spark, d):
     m, files = _artifacts(spark, d)
     return registry.promote(m, registry.audit(m, files))
@@ -526,6 +550,26 @@ def q39_nested_snapshots(spark, d):
     return out.select("model_name", "source", "round_number", "resolved", *r6("corr20", "mmc20", "bmc20", "payout", "stake", "primary_score"), "resolve_date")
 
 
+def q51_payloads(spark, d):
+    """Events as fetched payloads of three methods, a fifth of them failed: rounds of named scores
+    (a later bucket of a round wins, a bucket's own numbers win over its scores), nested records, records that name another source."""
+    e = _table(spark, d, "events")
+    n, v, day = F.dayofyear("ts").cast("string"), F.round("value", 4).cast("string"), F.date_format("ts", "yyyy-MM-dd")
+    shape = F.col("event_id") % 3
+    bucket = lambda items, more="": F.concat(F.lit('{"roundNumber":'), n, F.lit(',"intraRoundSubmissionScores":['), *items, F.lit("]"), F.lit(more), F.lit("}"))
+    first = bucket([F.lit('{"displayName":"v2_corr20","value":'), v, F.lit(',"date":"2023-01-01","payoutPending":"0.5"},7')])
+    second = [F.lit('{"displayName":" BMC","value":"0.25","payoutSettled":2},{"displayName":"V2_CORR20","value":"'), v, F.lit('","date":"'), day, F.lit('"}')]
+    text = (
+        F.when(shape == 0, F.concat(F.lit("["), first, F.lit(","), F.when(F.col("event_id") % 2 == 0, bucket(second, ',"corr":5')).otherwise(bucket(second)), F.lit(",8]")))
+        .when(shape == 1, F.concat(F.lit('{"a":{"b":[{"round":'), n, F.lit(',"corr":1},{"round":'), n, F.lit(',"corr":'), v, F.lit("}]}}")))
+        .otherwise(F.concat(F.lit('[{"round":'), n, F.lit(',"source":"own","payout":'), v, F.lit("},{}]")))
+    )
+    method = F.when(shape == 0, history.INTRA_METHOD).when(shape == 1, "daily_user_performances").otherwise("round_model_performances")
+    payloads = e.select(F.lit("2024-02-01").alias("fetched_at"), F.col("event_id").cast("string").alias("model_name"), method.alias("source"), shape.cast("int").alias("mpos"), (F.col("event_id") % 5 != 0).alias("ok"), F.parse_json(text).alias("value"))
+    out = history.normalize_payloads(payloads, F.lit(AS_OF).cast("timestamp"))
+    return out.select("model_name", "source", "round_number", "resolved", *r6("corr20", "bmc20", "payout", "primary_score"), "resolve_date")
+
+
 #: Eras of fixed number, windows of 8 eras with one purged, and the sums of known trees.
 SQL_KNOWN = """F AS (SELECT vec_id, CAST(vec_id % 40 + 1 AS INTEGER) AS era_int, vec_id % 7 <> 0 AS bench_present, label::DOUBLE AS target,
   embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE + 0.5*embedding[4]::DOUBLE AS c, 2*embedding[5]::DOUBLE AS d FROM embeddings),
@@ -613,6 +657,23 @@ ORACLES: dict[str, str] = {
     "q25_json_fields": "SELECT event_id, TRY_CAST(props->>'$.k' AS INTEGER) AS k_int, TRY_CAST(props->>'$.k' AS DOUBLE) AS k_double, coalesce(TRY_CAST(props->>'$.k' AS DOUBLE) <> 0, false) AS k_bool FROM events",
     "q26_pending_work": f"WITH {SQL_ROWS}, {SQL_WINDOWS} SELECT window_id, CAST(g AS INTEGER) AS grid_pos FROM W, generate_series(0, 8) AS s(g) WHERE NOT ((window_id + g) % 3 = 0 AND window_id <> 1)",
     "q27_registry_audit": f"WITH {_ARTIFACT_SQL} SELECT * FROM V",
+    "q50_registry_rules": """WITH M AS (SELECT CAST(o_orderkey AS VARCHAR) AS artifact, o_orderkey % 13 AS k, o_orderkey || '-1' AS f, o_orderkey || '-1' IN (SELECT l_orderkey || '-' || l_linenumber FROM lineitem) AS there FROM orders),
+      V AS (SELECT artifact, 'warn' AS severity, 'version_mismatch' AS rule, CASE k WHEN 1 THEN 'v4' ELSE 'none' END AS detail FROM M WHERE k IN (1, 2)
+      UNION ALL SELECT artifact, 'error', 'missing_key', CASE k WHEN 2 THEN 'dataset_version' WHEN 3 THEN 'feature_set' ELSE 'artifact_schema_version' END FROM M WHERE k IN (2, 3, 4)
+      UNION ALL SELECT artifact, 'error', 'bad_model_file', CASE k WHEN 5 THEN 'model_files:0' ELSE 'model_files:1' END FROM M WHERE k IN (5, 6)
+      UNION ALL SELECT artifact, 'error', 'no_models', 'model_files' FROM M WHERE k = 7
+      UNION ALL SELECT artifact, 'error', 'missing_file', f FROM M WHERE k <> 7 AND NOT there
+      UNION ALL SELECT artifact, 'error', 'no_features', 'features' FROM M WHERE k = 8
+      UNION ALL SELECT artifact, 'error', 'unmapped_model', f FROM M WHERE k = 9
+      UNION ALL SELECT artifact, 'error', 'bad_transform', 'softmax' FROM M WHERE k = 10
+      UNION ALL SELECT artifact, 'error', 'out_of_range', CASE k WHEN 11 THEN 'blend_alpha=1.5' ELSE 'bench_neutralize_prop=-0.5' END FROM M WHERE k IN (11, 12)
+      UNION ALL SELECT artifact, 'error', 'no_benchmarks', 'bench_cols_used' FROM M WHERE k = 0)
+      SELECT *, artifact NOT IN (SELECT artifact FROM V WHERE severity = 'error') AS sound FROM V""",
+    "q51_payloads": """WITH E AS (SELECT event_id, CAST(event_id AS VARCHAR) AS model_name, event_id % 3 AS k, CAST(dayofyear(ts) AS INTEGER) AS n, round(value, 4) AS v, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE event_id % 5 <> 0)
+      SELECT model_name, CASE k WHEN 0 THEN 'intra_round_scores' WHEN 1 THEN 'daily_user_performances' ELSE 'own' END AS source, n AS round_number,
+        k = 0 AND event_id % 2 <> 0 AND CAST(day AS DATE) <= DATE '2024-01-20' AS resolved, CASE WHEN k = 0 AND event_id % 2 = 0 THEN 5.0::DOUBLE WHEN k < 2 THEN v END AS corr20,
+        CASE WHEN k = 0 AND event_id % 2 <> 0 THEN 0.25::DOUBLE END AS bmc20, CASE WHEN k = 0 AND event_id % 2 <> 0 THEN 2.0::DOUBLE WHEN k = 2 THEN v END AS payout,
+        CASE WHEN k = 0 AND event_id % 2 <> 0 THEN round(0.75*v + 2.25*0.25::DOUBLE, 6) END AS primary_score, CASE WHEN k = 0 AND event_id % 2 <> 0 THEN day END AS resolve_date FROM E""",
     "q28_promote": f"WITH {_ARTIFACT_SQL} SELECT model, artifact, 'prod' AS alias FROM M WHERE artifact NOT IN (SELECT artifact FROM V) QUALIFY row_number() OVER (PARTITION BY model ORDER BY created_at DESC, artifact DESC) = 1",
     "q29_feature_shards": "WITH N AS (SELECT DISTINCT 'feature_' || (generate_subscripts(embedding, 1)-1) AS feature FROM embeddings), O AS (SELECT feature, row_number() OVER (ORDER BY sha256('0:' || feature), feature)-1 AS rn, count(*) OVER () AS total FROM N), H AS (SELECT feature, least(rn // greatest(total // 3, 1), 2) AS shard, total FROM O), X AS (SELECT H.*, seed, k FROM H, (VALUES (42,0),(1337,1),(2026,2)) v(seed,k)) SELECT seed, feature FROM X QUALIFY row_number() OVER (PARTITION BY seed ORDER BY (shard = k)::INT DESC, sha256(seed || ':' || feature), feature) <= 24 OR total <= 24",
     "q30_feature_neutralize": "WITH E AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(vec_id // 25 + 1 AS INTEGER) AS era_int, label::DOUBLE AS y, embedding[1]::DOUBLE AS x FROM embeddings), F AS (SELECT era_int, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM E GROUP BY 1), R AS (SELECT id, era_int, y - 0.5*(a+b*x) AS r FROM E JOIN F USING (era_int)) SELECT id, era_int, round(r/stddev_pop(r) OVER (PARTITION BY era_int), 6) + 0.0 AS neutral FROM R",

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +108,62 @@ def test_registry(spark):
     assert [tuple(r) for r in registry.promote(m, v).collect()] == [("x", "a1", "prod")]
 
 
+@pytest.mark.parametrize("entries", [[None], ["m1", None], ["m1", ""], ["  "], [" m1 ", "\t"]])
+def test_blank_model_files_block_promotion(spark, entries):
+    full = {"artifact": "a", "model": "x", "created_at": "t", "dataset_version": "v5", "feature_set": "all", "artifact_schema_version": 1, "features": ["f"], "transform": "rank_01", "blend_alpha": 0.5, "bench_neutralize_prop": 1.0, "bench_cols_used": ["b"]}
+    m = spark.createDataFrame([full | {"model_files": entries, "features_by_model": {"m1": ["f"]}}], registry.MANIFEST)
+    v = registry.audit(m, spark.createDataFrame([("a", "m1")], "artifact string, file string"))
+    assert {r["rule"] for r in v.collect()} == {"bad_model_file"} and registry.promote(m, v).count() == 0
+    trimmed = m.withColumn("model_files", F.array(F.lit(" m1 ")))
+    assert registry.audit(trimmed, spark.createDataFrame([("a", "m1")], "artifact string, file string")).count() == 0
+
+
+def plain_payloads(payloads):
+    """The order in which rows of a fetch replace each other, as a walk over plain objects."""
+    rows = {}
+    for name, payload in payloads:
+        if not payload["ok"]:
+            continue
+        found = []
+        if name == history.INTRA_METHOD and isinstance(payload["value"], list):
+            for b in payload["value"]:
+                if isinstance(b, dict) and isinstance(b.get("scores_"), list):
+                    found.append((b["roundNumber"], {x["displayName"]: x["value"] for x in b["scores_"]}.get("corr")))
+
+        def walk(node, found=found):
+            if isinstance(node, dict):
+                found.append((node.get("roundNumber"), node.get("corr")))
+                for k in sorted(node):
+                    walk(node[k], found)
+            elif isinstance(node, list):
+                for x in node:
+                    walk(x, found)
+
+        walk(payload["value"])
+        for n, corr in found:
+            if n is not None and corr is not None:
+                rows[name, n] = corr
+    return rows
+
+
+def test_payloads_of_one_fetch(spark):
+    """Failed methods count nowhere, rounds come before records, the last of a key stays; odd shapes are passed over."""
+    bucket = lambda n, score, **more: {"roundNumber": n, "scores_": [{"displayName": "corr", "value": score}], **more}
+    payloads = [
+        ("daily", {"ok": True, "value": {"z": [{"roundNumber": 1, "corr": 0.1}, {"roundNumber": 1, "corr": 0.2}], "a": {"roundNumber": 1, "corr": 0.3, "in": [{"roundNumber": 2, "corr": 0.4}]}}}),
+        ("weekly", {"ok": False, "value": [{"roundNumber": 1, "corr": 0.9}]}),
+        (history.INTRA_METHOD, {"ok": True, "value": [bucket(1, 0.5), bucket(1, 0.6), bucket(2, 0.7, corr=0.8), bucket(3, 0.9), 5, [bucket(4, 1.0)], {"roundNumber": 6}, None]}),
+        ("none", {"ok": True, "value": None}),
+        ("text", {"ok": True, "value": "x"}),
+    ]
+    raw = [("t", "m", name, k, p["ok"], json.dumps(p["value"]).replace("scores_", "intraRoundSubmissionScores")) for k, (name, p) in enumerate(payloads)]
+    df = spark.createDataFrame(raw, "fetched_at string, model_name string, source string, mpos int, ok boolean, j string").select("*", F.parse_json("j").alias("value"))
+    got = {(r["source"], r["round_number"]): r["corr20"] for r in history.normalize_payloads(df, F.lit("2024-01-01").cast("timestamp")).collect()}
+    expected = plain_payloads(payloads)
+    assert got == expected and got["daily", 1] == 0.2 and got[history.INTRA_METHOD, 2] == 0.8 and (history.INTRA_METHOD, 4) not in got
+    assert history.normalize_payloads(df.limit(0), F.lit("2024-01-01").cast("timestamp")).count() == 0
+
+
 def test_columns_that_a_manifest_table_lacks_are_violations(spark):
     m = spark.createDataFrame([("a1", "x", ["m1"])], "artifact string, model string, model_files array<string>")
     v = registry.audit(m, spark.createDataFrame([("a1", "m1")], "artifact string, file string"), "v5")

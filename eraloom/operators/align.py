@@ -133,15 +133,76 @@ def union_benchmarks(train: DataFrame, valid: DataFrame) -> DataFrame:
 
 def align_splits(train: DataFrame, valid: DataFrame, bench_train: DataFrame, bench_valid: DataFrame, id_col: str = "id", **limits) -> dict[str, Alignment]:
     """Train (partial coverage allowed), validation (full) and all rows together;
-    they must agree on the kept columns."""
-    found = {
-        "train": align_benchmarks(train, bench_train, id_col, allow_partial=True, **limits),
-        "validation": align_benchmarks(valid, bench_valid, id_col, **limits),
-        "all": align_benchmarks(union_splits(train, valid), union_benchmarks(bench_train, bench_valid), id_col, allow_partial=True, **limits),
-    }
-    if len({tuple(a.columns) for a in found.values()}) > 1:
-        raise AlignmentError(f"splits kept different columns: { {k: a.columns for k, a in found.items()} }")
-    return found
+    they must agree on the kept columns. All checks come from one profile of all tables (``profile_splits``)."""
+    columns = bench_columns(bench_train, id_col)
+    kept = check_splits(profile_splits(train, valid, bench_train, bench_valid, id_col), columns, **limits)
+    dropped = [c for c in columns if c not in kept]
+    pairs = {"train": (train, bench_train), "validation": (valid, bench_valid), "all": (union_splits(train, valid), union_benchmarks(bench_train, bench_valid))}
+    return {name: Alignment(join_benchmarks(main, bench, id_col, kept), kept, dropped) for name, (main, bench) in pairs.items()}
+
+
+def profile_splits(train: DataFrame, valid: DataFrame, bench_train: DataFrame, bench_valid: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row for each of train, validation and all: rows, covered and missing ones, coverage, the null
+    share of every benchmark column over covered rows, and repeated benchmark ids.
+
+    Every table is read once: both benchmark tables become one row per id with its number in each
+    split, one join covers all rows, and GROUPING SETS add up each split and the whole. A
+    split's rows look only at its own benchmarks, the whole at both.
+    """
+    columns = bench_columns(bench_train, id_col)
+    union_benchmarks(bench_train, bench_valid)  # equal schemas
+    both = bench_train.withColumn("__own", F.lit("train")).union(bench_valid.withColumn("__own", F.lit("validation")))
+    own = {s: F.col("__own") == s for s in ("train", "validation")}
+    ids = both.groupBy(F.col(id_col).cast("string").alias("__id")).agg(
+        *(F.count_if(is_own).alias(f"__n_{s}") for s, is_own in own.items()),
+        *(F.max(F.when(is_own, F.col(c).isNull())).alias(f"__{c}_{s}") for c in columns for s, is_own in own.items()),
+    )
+    main = union_splits(train.select(F.col(id_col).cast("string").alias("__main")), valid.select(F.col(id_col).cast("string").alias("__main")))
+    rows = main.join(ids, F.col("__main") == F.col("__id"), "full")
+    # A benchmark id without a row still counts where it repeats; it belongs to the split that holds it.
+    seen = F.coalesce("split", F.when(F.col("__n_train") > 0, "train").otherwise("validation"))
+    n = {s: F.coalesce(f"__n_{s}", F.lit(0)) for s in own}
+    mine = F.when(F.col("split") == "train", n["train"]).when(F.col("split") == "validation", n["validation"])
+    null = lambda c, s: F.coalesce(F.col(f"__{c}_{s}"), F.lit(False))
+    mine_null = lambda c: F.when(F.col("split") == "train", null(c, "train")).otherwise(null(c, "validation"))
+    flat = rows.select(
+        seen.alias("split"), F.col("split").isNotNull().alias("row"), (mine > 0).alias("own"), (n["train"] + n["validation"] > 0).alias("any"),
+        F.when(seen == "train", n["train"] > 1).otherwise(n["validation"] > 1).alias("twice"), (n["train"] + n["validation"] > 1).alias("twice_any"),
+        *(mine_null(c).alias(f"own_{c}") for c in columns), *((null(c, "train") | null(c, "validation")).alias(f"any_{c}") for c in columns),
+    )
+    each = F.grouping("split") == 0
+    row = F.col("row")
+    covered = F.when(each, F.count_if(row & F.col("own"))).otherwise(F.count_if(row & F.col("any")))
+    nulls = [F.try_divide(F.when(each, F.count_if(row & F.col("own") & F.col(f"own_{c}"))).otherwise(F.count_if(row & F.col("any") & F.col(f"any_{c}"))), covered).alias(f"null_ratio_{c}") for c in columns]
+    out = flat.groupingSets([["split"], []], "split").agg(
+        F.count_if(row).alias("n_rows"), covered.alias("n_covered"), F.when(each, F.count_if("twice")).otherwise(F.count_if("twice_any")).alias("n_repeated"), *nulls
+    )
+    return out.select(F.coalesce("split", F.lit("all")).alias("split"), "n_rows", "n_covered", (F.col("n_rows") - F.col("n_covered")).alias("n_missing"), F.try_divide("n_covered", "n_rows").alias("coverage"), "n_repeated", *(f"null_ratio_{c}" for c in columns))
+
+
+def check_splits(profile: DataFrame, columns: list[str], max_null_ratio: float = 0.0, min_columns: int = 1) -> list[str]:
+    """The benchmark columns that train, validation and all keep alike, from their three profile rows. Errors as in
+    ``align_benchmarks``: repeated ids, validation rows without benchmarks, a split that is not covered, too few columns,
+    nulls left, columns that differ between splits."""
+    kept = {}
+    for r in profile.collect():  # three rows
+        name = r["split"]
+        if not r["n_rows"]:
+            raise AlignmentError(f"{name} rows are empty")
+        if r["n_repeated"]:
+            raise AlignmentError(f"benchmark ids repeat in {name}: duplicate_count={r['n_repeated']}")
+        if name == "validation" and r["n_missing"]:
+            raise AlignmentError(f"benchmark ids are missing: missing_count={r['n_missing']}")
+        if not r["n_covered"]:
+            raise AlignmentError(f"no row of {name} is covered by benchmarks")
+        kept[name] = [c for c in columns if r[f"null_ratio_{c}"] <= max_null_ratio]
+        if len(kept[name]) < min_columns:
+            raise AlignmentError(f"dropping sparse columns removed too many columns: {len(kept[name])} left, {min_columns} needed")
+        if any(r[f"null_ratio_{c}"] > 0 for c in kept[name]):
+            raise AlignmentError(f"benchmark nulls remain in {name}")
+    if len(set(map(tuple, kept.values()))) > 1:
+        raise AlignmentError(f"splits kept different columns: {kept}")
+    return kept["all"]
 
 
 def coverage(rows: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006

@@ -22,10 +22,38 @@ class GateLimits:
     sample_seed: int = 0
 
 
+#: Rows that one task may order to break off a sample, and hexadecimal digits of the hash that one count tells apart.
+ORDERED, DIGITS = 10_000, 4
+
+
 def sample_rows(df: DataFrame, n: int, seed: int = 0, id_col: str = "id") -> DataFrame:
-    """n rows without replacement in the order of a seeded hash of the id: the same
-    rows under any partitioning. Spark keeps only n rows per task on the way."""
-    return df.orderBy(F.sha2(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")), 256), id_col).limit(n)
+    """n rows without replacement in the order of a seeded hash of the id: the same rows under any partitioning.
+
+    Nothing is sorted: counts of hash prefixes (65,536 at most) tell the prefix at which n is reached;
+    all rows under it are in, and of the prefix itself only the rest that is wanted is
+    ordered, after as many further digits as make that rest small. Rows that share a whole hash,
+    repeats of an id, are as good as each other.
+    """
+    if n <= 0:
+        return df.limit(0)
+    key = F.sha2(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string")), 256)
+    keys, prefix, left = df.select(key.alias("k")), "", n
+    while True:
+        counts = keys.where(F.col("k").startswith(prefix)).groupBy(F.substring("k", 1, len(prefix) + DIGITS).alias("p")).count()
+        for p, count in sorted(tuple(r) for r in counts.collect()):
+            if count > left:
+                prefix = p
+                break
+            left -= count
+        else:
+            return df.where(key < prefix + "g") if prefix else df  # all rows are wanted
+        if left <= ORDERED or len(prefix) >= 64:
+            break
+    rows = df.withColumn("__key", key)
+    below = rows.where(F.col("__key") < prefix).drop("__key")
+    edge = rows.where(F.col("__key").startswith(prefix))
+    edge = edge.limit(left) if left > ORDERED else edge.orderBy("__key", id_col).limit(left)
+    return below.union(edge.drop("__key"))
 
 
 def choose_features(catalog: DataFrame, n: int, seed: int = 0) -> DataFrame:

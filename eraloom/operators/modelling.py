@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
@@ -17,7 +17,7 @@ from eraloom.operators.metrics import era_corr
 from eraloom.operators.resume import pending
 from eraloom.operators.trees import Ensemble, as_ensemble, flatten, predict, staged_at, staged_errors
 from eraloom.operators.walkforward import summarize, train_rows
-from eraloom.plans.scratch import materialize_at, remove, scratch_path
+from eraloom.plans.scratch import materialize_at, remove, scratch_path, side_by_side
 
 FitFn = Callable[[DataFrame, DataFrame, "Params", int], "Model | Ensemble"]
 
@@ -209,18 +209,21 @@ def fit_final(rows: DataFrame, params: Params, rounds: int, seed: int) -> Model:
     return fit_boosted(rows, None, replace(params, rounds=rounds), seed)
 
 
-def walk_forward(rows: DataFrame, windows: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_boosted, era: str = "era_int", done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def walk_forward(rows: DataFrame, windows: DataFrame, params: Params, seed: int, fit_fn: FitFn = fit_boosted, era: str = "era_int", done: DataFrame | None = None, at_once: int = 1) -> tuple[DataFrame, DataFrame]:
     """Window rows and their summary. Windows are a few configured rows and drive the
-    loop; each fit is a distributed job; windows in ``done`` are not fitted again."""
+    loop; each fit is a distributed job, ``at_once`` of them side by side; windows in ``done`` are not fitted again."""
     spark = rows.sparkSession
     todo = windows if done is None else pending(windows, done, ["window_id"])
-    out = []
-    for w in todo.orderBy("window_id").collect():
+
+    def one(w) -> tuple | None:
         train, valid = train_rows(rows, w["train_end"], era), rows.where(F.col(era).between(w["val_start"], w["val_end"]))
         if train.isEmpty() or valid.isEmpty():
-            continue
+            return None
         _, found = fit_and_scan(train, valid, params, seed, fit_fn, era)
-        out.append((w["window_id"], int(found["best_iter"]), float(found["best_corr"]), float(found["best_rmse"])))
+        return w["window_id"], int(found["best_iter"]), float(found["best_corr"]), float(found["best_rmse"])
+
+    fits = side_by_side(spark, [partial(one, w) for w in todo.orderBy("window_id").collect()], at_once)
+    out = [f for f in fits if f is not None]
     if not out and (done is None or done.isEmpty()):
         raise ValueError("no usable walk-forward window")
     report = spark.createDataFrame(out, "window_id int, best_iter int, corr double, rmse double")
@@ -251,14 +254,12 @@ def collect_oof(rows: DataFrame, windows: DataFrame, params: Params, seed: int,
     return out
 
 
-def train_ensemble(train: DataFrame, valid: DataFrame, params: Params, seeds: list[int], done: DataFrame | None = None, fit_fn: FitFn = fit_boosted) -> tuple[dict[int, Model], list[dict]]:
-    """One member per seed that has no finished result yet."""
+def train_ensemble(train: DataFrame, valid: DataFrame, params: Params, seeds: list[int], done: DataFrame | None = None, fit_fn: FitFn = fit_boosted, at_once: int = 1) -> tuple[dict[int, Model], list[dict]]:
+    """One member per seed that has no finished result yet, ``at_once`` fitted side by side."""
     finished = set() if done is None else {r["seed"] for r in done.select("seed").distinct().collect()}
-    models, members = {}, []
-    for seed in seeds:
-        if seed not in finished:
-            models[seed], found = fit_and_scan(train, valid, params, seed, fit_fn)
-            members.append(found)
+    todo = [s for s in dict.fromkeys(seeds) if s not in finished]
+    fits = side_by_side(train.sparkSession, [partial(fit_and_scan, train, valid, params, s, fit_fn) for s in todo], at_once)
+    models, members = {s: model for s, (model, _) in zip(todo, fits, strict=True)}, [found for _, found in fits]
     if {*finished, *models} < set(seeds):
         raise ValueError("some seeds did not finish")
     return models, members

@@ -48,7 +48,12 @@ def fit_linear(df: DataFrame, y: str, xs: list[str], by: list[str] = []) -> Data
     """
     moments = [F.avg(y), F.var_pop(y), *(F.avg(x) for x in xs), *(F.covar_pop(x, y) for x in xs), *(F.covar_pop(a, b) for i, a in enumerate(xs) for b in xs[i:])]
     rows = df.groupBy(*by).agg(F.array(*moments).alias("moments"))
-    rows = rows.where(F.get("moments", F.lit(0)).isNotNull())
+    return solve_moments(rows.where(F.get("moments", F.lit(0)).isNotNull()), xs)
+
+
+def solve_moments(rows: DataFrame, xs: list[str]) -> DataFrame:
+    """``fit_linear`` from rows that hold the moments of a group: mean and variance of y, means of
+    xs, their covariances with y, and the upper triangle of their covariances."""
     keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "moments")
     schema = f"{keys}, " * bool(keys) + "beta array<double>, intercept double, var_y double, cov_fit double, var_fit double"
     return rows.mapInPandas(_solver(xs), schema)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eraloom.functions.scalars import feature_list_hash
+
 MODES = ("auto", "fresh", "strict")
 #: Fields of a member row, whether required, and the default otherwise.
 MEMBER = {
@@ -48,6 +50,31 @@ def normalize_members(rows: DataFrame) -> DataFrame:
     return whole.select(*(F.col(n) if need else F.coalesce(n, F.lit(d).cast(t)).alias(n) for n, (t, need, d) in MEMBER.items()))
 
 
+def feature_lists(mapping: DataFrame) -> DataFrame:
+    """(features_key, features, features_hash) from (features_key, pos, feature): each list in order and its hash."""
+    lists = mapping.groupBy("features_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "feature"))), lambda x: x["feature"]).alias("features"))
+    return lists.withColumn("features_hash", feature_list_hash(F.col("features")))
+
+
+def feature_union(mapping: DataFrame) -> DataFrame:
+    """(pos, feature): the distinct features of all lists in order of name, numbered without one task sorting them by hand:
+    names are as many as a catalog has."""
+    names = mapping.select("feature").distinct()
+    return names.select((F.row_number().over(Window.orderBy("feature")) - 1).alias("pos"), "feature")
+
+
+def check_member_features(members: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Members with ``problem``: ``no_features`` where their key has no list, ``hash`` or ``count`` where the list
+    is not the one they were fitted on (an empty hash or a count of 0 asks nothing), else null. A member
+    without a key goes by its model file."""
+    key = F.coalesce(F.nullif("features_key", F.lit("")), F.col("model_file"))
+    lists = feature_lists(mapping).select(F.col("features_key").alias("__key"), "features", F.col("features_hash").alias("__hash"))
+    both = members.join(lists, key == F.col("__key"), "left")
+    problem = F.when(F.col("features").isNull(), "no_features").when((F.col("features_hash") != "") & (F.col("features_hash") != F.col("__hash")), "hash")
+    problem = problem.when((F.col("n_features_used") > 0) & (F.col("n_features_used") != F.size("features")), "count")
+    return both.select(*members.columns, problem.alias("problem"))
+
+
 def summarize_members(members: DataFrame, features: DataFrame) -> DataFrame:
     """Means, best correlation and seed, number of members and of distinct features.
     NaN spreads in the error's mean and is left out of correlations."""

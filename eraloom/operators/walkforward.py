@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,32 @@ def train_rows(rows: DataFrame, train_end: int, era: str = "era_int") -> DataFra
     return rows.where(F.col(era) <= train_end)
 
 
+def expanding_fits(rows: DataFrame, windows: DataFrame, y: str, xs: list[str], era: str = "era_int") -> DataFrame:
+    """(window_id, n, intercept, beta): least squares of y on [1, xs] over each window's training range.
+
+    Training ranges contain each other, so a row is read once: it belongs to the first
+    window whose range holds it, moments are summed per window, and running sums over the windows give
+    the moments of the whole ranges. Windows are few and broadcast. Rows with a missing value take no part.
+    """
+    from eraloom.operators.neutralize import solve_moments
+
+    spans = windows.select("window_id", F.col("train_start").alias("__start"), F.col("train_end").alias("__end"), F.coalesce(F.lag("train_end").over(Window.orderBy("window_id")), F.col("train_start") - 1).alias("__before"))
+    whole = reduce(lambda a, b: a & b, (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in [y, *xs]))
+    mine = rows.where(whole).select(era, *(F.col(c).cast("double").alias(c) for c in [y, *xs])).join(F.broadcast(spans), (F.col(era) > F.col("__before")) & (F.col(era) <= F.col("__end")) & (F.col(era) >= F.col("__start")))
+    terms = [y, *xs]
+    products = [(a, b) for i, a in enumerate(terms) for b in terms[i:]]
+    sums = mine.groupBy("window_id").agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(f"s_{c}") for c in terms), *(F.sum(F.col(a) * F.col(b)).alias(f"p_{a}_{b}") for a, b in products))
+    sums = windows.select("window_id").join(sums, "window_id", "left")
+    upto = Window.orderBy("window_id").rowsBetween(Window.unboundedPreceding, 0)
+    names = ["n", *(f"s_{c}" for c in terms), *(f"p_{a}_{b}" for a, b in products)]
+    run = sums.select("window_id", *(F.coalesce(F.sum(c).over(upto), F.lit(0)).cast("double").alias(c) for c in names)).where("n > 0")
+    mean = lambda c: F.col(f"s_{c}") / F.col("n")
+    cov = lambda a, b: F.col(f"p_{a}_{b}") / F.col("n") - mean(a) * mean(b)
+    moments = F.array(mean(y), cov(y, y), *(mean(x) for x in xs), *(cov(y, x) for x in xs), *(cov(a, b) for i, a in enumerate(xs) for b in xs[i:]))
+    fits = solve_moments(run.select("window_id", F.col("n").cast("long").alias("n"), moments.alias("moments")), xs)
+    return fits.select("window_id", "n", "intercept", "beta")
+
+
 def window_coverage(rows: DataFrame, min_rows: int = 512, min_eras: int = 8, era: str = "era_int") -> DataFrame:
     """Covered rows and eras of each window, and why a window is skipped."""
     covered = F.col("bench_present")

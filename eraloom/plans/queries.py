@@ -8,6 +8,7 @@ are benchmarks; embeddings are features; events are score history.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from eraloom.functions import ranks, scalars
 from eraloom.operators import align, blend, gates, history, metrics, modelling, neutralize, registry, resume, trees, walkforward
 from eraloom.plans.scratch import materialize, scratch_path
-from eraloom.sources import splits
+from eraloom.sources import sinks, splits
 from eraloom.streaming import history_stream
 
 BENCHES = ["bench_qty", "bench_disc"]
@@ -108,6 +109,7 @@ def sql_power(x: str) -> str:
     return f"sign({x})*pow(abs({x}),1.5)"
 
 
+SQL_MAPPING = "M AS (SELECT DISTINCT k, j, 'feature_' || j AS f FROM (SELECT unnest(range(len(embedding))) AS j FROM embeddings), range(5) r(k) WHERE (j + k) % 3 = 0)"
 SQL_CORR = "coalesce(covar_pop(a,b)/nullif(stddev_pop(a)*stddev_pop(b),0),0)"
 
 
@@ -570,6 +572,103 @@ def q51_payloads(spark, d):
     return out.select("model_name", "source", "round_number", "resolved", *r6("corr20", "bmc20", "payout", "primary_score"), "resolve_date")
 
 
+def _split_tables(spark, d) -> list[DataFrame]:
+    """Train, validation and their benchmarks: some ids in both benchmark tables, some values missing."""
+    r, b, n = rows(spark, d).select("id", "era_int"), benchmarks(spark, d), F.col("id").cast("long")
+    b = b.withColumn("bench_disc", F.when(n % 11 != 0, F.col("bench_disc")))
+    return [r.where("era_int <= 40"), r.where("era_int > 40"), b.where(n % 3 != 0), b.where((n % 3 == 0) | (n % 7 == 0))]
+
+
+def q52_split_profile(spark, d):
+    """Rows, coverage, missing and repeated ids and null shares of three splits, every table read once."""
+    out = align.profile_splits(*_split_tables(spark, d))
+    return out.select("split", "n_rows", "n_covered", "n_missing", *r6("coverage"), "n_repeated", *r6("null_ratio_bench_qty", "null_ratio_bench_disc"))
+
+
+def q53_expanding_fits(spark, d):
+    """A linear model for every window's training range, from one pass over the rows."""
+    a = aligned(spark, d)
+    fits = walkforward.expanding_fits(a, walkforward.build_windows(a, CHUNK, PURGE), "prediction", BENCHES)
+    r3 = lambda c: F.round(c, 3) + F.lit(0.0)
+    return fits.select("window_id", "n", r3(F.col("intercept")).alias("intercept"), *(r3(F.get("beta", F.lit(k))).alias(c) for k, c in enumerate(BENCHES)))
+
+
+def q54_round_trips(spark, d):
+    """Every writer read back by its reader: (sink, n, total) of what came back."""
+    at = lambda name: scratch_path(spark, name)
+    a, b = materialize(aligned(spark, d), "round-trip"), benchmarks(spark, d)
+    found = []
+
+    def back(sink: str, df: DataFrame, total) -> None:
+        found.append(df.agg(F.lit(sink).alias("sink"), F.count(F.lit(1)).alias("n"), F.round(F.sum(total.cast("double")), 3).alias("total")))
+
+    path = at("split")
+    a.withColumn("target", F.when(F.col("era_int") % 5 != 0, F.col("target"))).write.parquet(path)
+    back("split", splits.read_split(spark, path, ["bench_qty"], era_col="era_int"), F.col("bench_qty") + F.col("target"))
+    gates.require_columns(splits.prepared_split(spark, path, ["bench_qty"], era_col="era_int"), ["id", "bench_qty"], "the prepared split")
+    back("prepared", splits.prepared_split(spark, path, ["bench_qty"], era_col="era_int"), F.col("bench_qty"))
+    back("live", splits.read_live(spark, path, ["bench_disc"], "era_int"), F.round("bench_disc", 6))
+    path = at("benchmarks")
+    b.withColumnRenamed("id", "__index_level_0__").write.parquet(path)
+    back("benchmarks", splits.read_benchmarks(spark, path, ["bench_qty"]), F.col("bench_qty") + F.length("id"))
+    path = at("submission")
+    sinks.write_submission(a, path)
+    back("submission", spark.read.option("header", True).schema("id string, prediction double").csv(path), F.col("prediction") + F.length("id"))
+    h = scores(spark, d).select("*", F.to_date("fetched_at").cast("string").alias("resolve_date"))
+    path = at("snapshot")
+    sinks.write_snapshot(h.select("fetched_at", "source", "primary_score"), path)
+    back("snapshot", spark.read.schema("fetched_at string, source string, primary_score double, fetch_date string").json(path), F.col("primary_score") + F.substring("fetch_date", 9, 2).cast("int"))
+    for fmt in ("parquet", "csv"):
+        path = at(f"history-{fmt}")
+        sinks.write_history(h, path, fmt)
+        back(f"history {fmt}", sinks.read_history(spark, path, fmt), F.col("primary_score") + F.col("round_number") + F.col("resolved").cast("int"))
+    path = at("oof")
+    sinks.write_oof(_oof(spark, d).select("window_id", "id", "prediction"), path)
+    back("oof", sinks.read_oof(spark, path), F.col("prediction") + F.col("window_id"))
+    back("oof of two", sinks.read_oof(spark, path, [3, 4]), F.col("prediction"))
+    folder = at("reports")
+    sinks.write_report(align.coverage(a, ["era_int"]), folder, "coverage")
+    back("report", spark.read.parquet(f"{folder}/coverage"), F.col("n_rows") + F.col("era_int"))
+    mapping, path = _feature_mapping(spark, d), at("features")
+    sinks.write_model_features(mapping.withColumnRenamed("features_key", "model_file"), path)
+    back("model features", splits.model_features(spark, path), F.col("pos") + F.length("model_file"))
+    path = at("catalog")
+    sets = mapping.groupBy("features_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "feature"))), lambda x: x["feature"]).alias("list"))
+    catalog = sets.agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct("features_key", "list"))).alias("feature_sets"))).alias("value"))
+    catalog.write.text(path)
+    back("catalog", splits.feature_catalog(spark, path, "m1"), F.col("pos") + F.length("feature"))
+    return reduce(DataFrame.union, found)
+
+
+def q55_row_sample(spark, d):
+    """A seeded sample of 2,000 rows, which is the operator's purpose."""
+    return gates.sample_rows(rows(spark, d), 2_000, 7).select("id", "era_int")
+
+
+def _feature_mapping(spark, d) -> DataFrame:
+    """Feature lists of five models over the embedding's positions."""
+    e = _table(spark, d, "embeddings")
+    j = e.select(F.explode(F.sequence(F.lit(0), F.size("embedding") - 1)).alias("j")).distinct()
+    each = j.crossJoin(F.broadcast(spark.range(5).withColumnRenamed("id", "k"))).where((F.col("j") + F.col("k")) % 3 == 0)  # five models
+    return each.select(F.concat(F.lit("m"), "k").alias("features_key"), F.col("j").cast("int").alias("pos"), F.concat(F.lit("feature_"), "j").alias("feature"))
+
+
+def q56_member_features(spark, d):
+    """Members against the lists they name: right, wrong hash, wrong number, no list, and nothing asked."""
+    mapping = _feature_mapping(spark, d)
+    lists = resume.feature_lists(mapping)
+    k = F.substring("features_key", 2, 1).cast("int")
+    members = lists.select(
+        k.alias("seed"), F.when(k == 2, "lost").otherwise(F.col("features_key")).alias("model_file"), F.lit(3).alias("best_iteration"), F.lit("").alias("features_key"),
+        F.when(k == 1, F.lit("0" * 16)).when(k == 4, F.lit("")).otherwise(F.col("features_hash")).alias("features_hash"), F.when(k == 3, 7).otherwise(F.size("features")).alias("n_features_used"),
+    )
+    return resume.check_member_features(resume.normalize_members(members), mapping).select("seed", "model_file", "features_hash", "n_features_used", "problem")
+
+
+def q57_feature_union(spark, d):
+    return resume.feature_union(_feature_mapping(spark, d).where("features_key IN ('m0', 'm1', 'm3')"))
+
+
 #: Eras of fixed number, windows of 8 eras with one purged, and the sums of known trees.
 SQL_KNOWN = """F AS (SELECT vec_id, CAST(vec_id % 40 + 1 AS INTEGER) AS era_int, vec_id % 7 <> 0 AS bench_present, label::DOUBLE AS target,
   embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE + 0.5*embedding[4]::DOUBLE AS c, 2*embedding[5]::DOUBLE AS d FROM embeddings),
@@ -679,6 +778,24 @@ ORACLES: dict[str, str] = {
     "q30_feature_neutralize": "WITH E AS (SELECT CAST(vec_id AS VARCHAR) AS id, CAST(vec_id // 25 + 1 AS INTEGER) AS era_int, label::DOUBLE AS y, embedding[1]::DOUBLE AS x FROM embeddings), F AS (SELECT era_int, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM E GROUP BY 1), R AS (SELECT id, era_int, y - 0.5*(a+b*x) AS r FROM E JOIN F USING (era_int)) SELECT id, era_int, round(r/stddev_pop(r) OVER (PARTITION BY era_int), 6) + 0.0 AS neutral FROM R",
     "q48_era_fit": f"{WITH_LARGE}, F AS ({_sql_fit('A', 'prediction', 'era_int').replace('g_bench', 'bench')}) SELECT id, era_int, round((prediction - 0.5*(b0+b1*bench_qty+b2*bench_disc))/sqrt(vy-cf+0.25*vf), 6) + 0.0 AS neutral FROM A JOIN F USING (era_int)",
     "q49_era_fit_of_all_features": "SELECT CAST(vec_id % 4 AS INTEGER) AS era_int, feature, 0.0::DOUBLE AS product, 1.0::DOUBLE AS sd FROM embeddings, (SELECT 'one' AS feature UNION ALL SELECT 'feature_' || k FROM range(64) r(k)) GROUP BY 1, 2",
+    "q52_split_profile": f"""WITH {SQL_ROWS}, {SQL_BENCH}, N AS (SELECT id, bench_qty, CASE WHEN id::BIGINT % 11 <> 0 THEN bench_disc END AS bench_disc FROM B), T AS (SELECT * FROM N WHERE id::BIGINT % 3 <> 0), V AS (SELECT * FROM N WHERE id::BIGINT % 3 = 0 OR id::BIGINT % 7 = 0),
+      J AS (SELECT 'train' AS split, R.id, T.id AS b, bench_qty, bench_disc FROM R LEFT JOIN T USING (id) WHERE era_int <= 40 UNION ALL SELECT 'validation', R.id, V.id, bench_qty, bench_disc FROM R LEFT JOIN V USING (id) WHERE era_int > 40
+        UNION ALL SELECT 'all', R.id, N.id, bench_qty, bench_disc FROM R LEFT JOIN N ON R.id = N.id)
+      SELECT split, count(*) AS n_rows, count(b) AS n_covered, count(*) - count(b) AS n_missing, round(count(b) / count(*), 6) AS coverage,
+        CASE WHEN split = 'all' THEN (SELECT count(*) FROM T JOIN V USING (id)) ELSE 0 END AS n_repeated, round(count(*) FILTER (b IS NOT NULL AND bench_qty IS NULL) / count(b), 6) AS null_ratio_bench_qty, round(count(*) FILTER (b IS NOT NULL AND bench_disc IS NULL) / count(b), 6) AS null_ratio_bench_disc FROM J GROUP BY split""",
+    "q53_expanding_fits": f"{WITH_A}, {SQL_WINDOWS}, X AS (SELECT A.*, window_id FROM A JOIN W ON era_int BETWEEN train_start AND train_end), F AS ({_sql_fit('X', 'prediction', 'window_id').replace('g_bench', 'bench')}) SELECT window_id, (SELECT count(*) FROM X WHERE X.window_id = F.window_id) AS n, round(b0, 3) + 0.0 AS intercept, round(b1, 3) + 0.0 AS bench_qty, round(b2, 3) + 0.0 AS bench_disc FROM F",
+    "q54_round_trips": f"""{WITH_A}, {SQL_WINDOWS}, {SQL_OOF}, {SQL_SCORES}, M AS (SELECT DISTINCT 'm' || k AS m, j, 'feature_' || j AS f FROM (SELECT unnest(range(len(embedding))) AS j FROM embeddings), range(5) r(k) WHERE (j + k) % 3 = 0),
+      Z AS (SELECT * FROM A WHERE era_int % 5 <> 0)
+      SELECT sink, n, round(total, 3) AS total FROM (SELECT 'split' AS sink, count(*) AS n, sum(bench_qty + target::FLOAT::DOUBLE) AS total FROM Z UNION ALL SELECT 'prepared', count(*), sum(bench_qty) FROM Z
+      UNION ALL SELECT 'live', count(*), sum(round(bench_disc, 6)) FROM A UNION ALL SELECT 'benchmarks', count(*), sum(bench_qty + length(id)) FROM B UNION ALL SELECT 'submission', count(*), sum(prediction + length(id)) FROM A
+      UNION ALL SELECT 'snapshot', count(*), sum(primary_score + CAST(substr(fetched_at, 9, 2) AS INTEGER)) FROM S UNION ALL SELECT 'history ' || x, count(*), sum(primary_score + round_number + resolved::INT) FROM S, (VALUES ('parquet'), ('csv')) v(x) GROUP BY x
+      UNION ALL SELECT 'oof', count(*), sum(prediction + window_id) FROM OOF UNION ALL SELECT 'oof of two', count(*), sum(prediction) FROM OOF WHERE window_id IN (3, 4) UNION ALL SELECT 'report', count(*), sum(n + era_int) FROM (SELECT era_int, count(*) AS n FROM A GROUP BY 1)
+      UNION ALL SELECT 'model features', count(*), sum(p + length(m)) FROM (SELECT m, row_number() OVER (PARTITION BY m ORDER BY j) - 1 AS p FROM M) UNION ALL SELECT 'catalog', count(*), sum(p + length(f)) FROM (SELECT f, row_number() OVER (ORDER BY j) - 1 AS p FROM M WHERE m = 'm1'))""",
+    "q55_row_sample": f"WITH {SQL_ROWS} SELECT id, era_int FROM R ORDER BY sha256('7:' || id), id LIMIT 2000",
+    "q56_member_features": f"""WITH {SQL_MAPPING}, L AS (SELECT k, substr(sha256(string_agg(f, chr(10) ORDER BY j)), 1, 16) AS h, count(*) AS n FROM M GROUP BY k)
+      SELECT CAST(k AS INTEGER) AS seed, CASE k WHEN 2 THEN 'lost' ELSE 'm' || k END AS model_file, CASE k WHEN 1 THEN repeat('0', 16) WHEN 4 THEN '' ELSE h END AS features_hash, CAST(CASE k WHEN 3 THEN 7 ELSE n END AS INTEGER) AS n_features_used,
+        CASE k WHEN 1 THEN 'hash' WHEN 2 THEN 'no_features' WHEN 3 THEN 'count' END AS problem FROM L""",
+    "q57_feature_union": f"WITH {SQL_MAPPING} SELECT CAST(row_number() OVER (ORDER BY f) - 1 AS INTEGER) AS pos, f AS feature FROM (SELECT DISTINCT f FROM M WHERE k IN (0, 1, 3))",
     "q31_member_summary": f"WITH {SQL_SCORES}, M AS (SELECT CAST(model_name AS INTEGER) AS seed, count(*) AS n, avg(primary_score) AS r, CASE WHEN count(*) % 7 = 0 THEN NULL ELSE max(primary_score) END AS c FROM S GROUP BY 1) SELECT round(avg(n), 6) AS mean_best_iteration, round(avg(r), 6) + 0.0 AS mean_rmse, round(avg(c), 6) + 0.0 AS mean_corr, round(max(c), 6) + 0.0 AS max_corr, (SELECT seed FROM M WHERE c IS NOT NULL ORDER BY c DESC, seed LIMIT 1) AS best_seed, count(*) AS n_models, (SELECT count(DISTINCT event_type) FROM events) AS n_features FROM M",
     "q34_ensemble": f"WITH {SQL_ROWS} SELECT id, round(CAST(CAST((prediction + prediction*2 + target*4)/3 AS FLOAT) AS DOUBLE), 0) AS prediction FROM R",
     "q35_live_alignment": f"{WITH_A} SELECT id, round(bench_qty, 6) AS bench_qty, round(bench_disc, 6) AS bench_disc, bench_present FROM A WHERE bench_present",

@@ -3,15 +3,62 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: Spark's switch for removing a query's shuffle files when the query ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_switch = threading.Lock()
+_writers: dict[int, tuple[int, str]] = {}
+
+
+@contextmanager
+def _cleaning(spark: SparkSession) -> Iterator[None]:
+    """The switch on while any thread writes, and as it was when the last one ends."""
+    me = id(spark)
+    with _switch:
+        n, before = _writers.get(me, (0, ""))
+        if not n:
+            before = spark.conf.get(_CLEANUP, "false")
+            spark.conf.set(_CLEANUP, "true")
+        _writers[me] = (n + 1, before)
+    try:
+        yield
+    finally:
+        with _switch:
+            n, before = _writers.pop(me)
+            if n > 1:
+                _writers[me] = (n - 1, before)
+            else:
+                spark.conf.set(_CLEANUP, before)
+
+
+def side_by_side(spark: SparkSession, tasks: list[Callable[[], T]], at_once: int) -> list[T]:
+    """Results of independent driver tasks in order, ``at_once`` of them at a time, each in a pool
+    of its own for the FAIR scheduler; the first error is raised."""
+    if at_once <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+
+    def pooled(k: int, task: Callable[[], T]) -> T:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"side-{k}")
+        return task()
+
+    with ThreadPoolExecutor(max_workers=at_once) as threads:
+        return [f.result() for f in [threads.submit(inheritable_thread_target(spark)(pooled), k, t) for k, t in enumerate(tasks)]]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -63,12 +110,8 @@ def folders(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
 def materialize_at(df: DataFrame, path: str) -> DataFrame:
     """``materialize`` at a path that the caller removes."""
     spark = df.sparkSession
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    with _cleaning(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 T = TypeVar("T")
 
+#: Paths of the tables that the innermost ``scratch_scope`` has seen written.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 #: Spark's switch for removing a query's shuffle files when the query ends.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -56,7 +60,7 @@ def side_by_side(spark: SparkSession, tasks: list[Callable[[], T]], at_once: int
         return task()
 
     with ThreadPoolExecutor(max_workers=at_once) as threads:
-        return [f.result() for f in [threads.submit(inheritable_thread_target(spark)(pooled), k, t) for k, t in enumerate(tasks)]]
+        return [f.result() for f in [threads.submit(copy_context().run, inheritable_thread_target(spark)(pooled), k, t) for k, t in enumerate(tasks)]]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -110,9 +114,37 @@ def folders(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
 def materialize_at(df: DataFrame, path: str) -> DataFrame:
     """``materialize`` at a path that the caller removes."""
     spark = df.sparkSession
+    if (seen := _written.get()) is not None:
+        seen.append(path)
     with _cleaning(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that are written inside go at the end, but for those of frames given to the
+    yielded function: for a step whose result is itself written there, so that a finished
+    step leaves its result and nothing else. A frame that still reads another of these tables must not outlive the scope."""
+    paths: list[str] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df.scratch_path)
+        return df
+
+    before = _written.set(paths)
+    try:
+        yield keep
+    finally:
+        _written.reset(before)
+        if (outer := _written.get()) is not None:
+            outer.extend(kept)
+        for path in paths:
+            if path not in kept:
+                remove(spark, path)
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:

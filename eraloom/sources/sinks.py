@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eraloom.operators.history import HISTORY, conform
+from eraloom.sources.published import current, publish
 
 
 def write_submission(df: DataFrame, path: str) -> None:
@@ -18,12 +19,14 @@ def write_snapshot(df: DataFrame, path: str, fetched_at: str = "fetched_at") ->
 
 
 def write_history(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Fixed columns in order; CSV keeps a header."""
-    conform(df).write.mode("overwrite").option("header", True).format(fmt).save(path)
+    """Fixed columns in order as the next version of the history; CSV keeps a header. A history may be
+    written from what was read of it, and a failed write leaves the one before."""
+    publish(conform(df), path, fmt, header=True)
 
 
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return conform(spark.read.schema(HISTORY).option("header", True).format(fmt).load(path))
+    """The newest version that ``write_history`` has finished."""
+    return conform(spark.read.schema(HISTORY).option("header", True).format(fmt).load(current(spark, path)))
 
 
 def write_oof(df: DataFrame, path: str) -> None:

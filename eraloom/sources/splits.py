@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eraloom.operators.errors import DriftGuardError
-from eraloom.plans.scratch import shared_folder
+from eraloom.plans.scratch import folders, remove, shared_folder
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -88,17 +87,17 @@ def model_features(spark: SparkSession, path: str) -> DataFrame:
 def prepared_split(spark: SparkSession, path: str, features: list[str], **options) -> DataFrame:
     """``read_split`` kept as a Parquet table, keyed by the columns, options and the source's
     files with their sizes and times; any changed, added or removed file gives another key.
-    A marker written after the table tells a whole copy from a broken one, which is replaced."""
+    Broken copies do not count, and the copies made before for the same columns and options go."""
     files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
     stamp = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("file_path", "file_size", "file_modification_time")).alias("h"))
     text = "|".join([path, *features, *(f"{k}={v}" for k, v in sorted(options.items()))])
-    key = stamp.select(F.sha2(F.concat_ws("|", F.lit(text), "n", "h"), 256).alias("k")).first()["k"]
-    target = f"{shared_folder(spark)}/prepared-{key}"
-    try:
-        spark.read.parquet(f"{target}-whole")
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    found = stamp.select(F.sha2(F.lit(text), 256).alias("what"), F.sha2(F.concat_ws("|", "n", "h"), 256).alias("files")).first()
+    root = f"{shared_folder(spark)}/prepared-{found['what']}"
+    target = f"{root}/{found['files']}"
+    there = dict(folders(spark, root))
+    if not there.get(found["files"]):
         read_split(spark, path, features, **options).write.mode("overwrite").parquet(target)
-        spark.range(1).write.mode("overwrite").parquet(f"{target}-whole")
+        for old in there:
+            if old != found["files"]:
+                remove(spark, f"{root}/{old}")
     return spark.read.parquet(target)

@@ -12,6 +12,7 @@ from eraloom.operators import align, gates, modelling, resume, walkforward
 from eraloom.operators.errors import AlignmentError
 from eraloom.plans import scratch
 from eraloom.plans.queries import KnownTree
+from eraloom.sources import published, splits
 
 
 @pytest.mark.parametrize(("ordered", "digits"), [(10_000, 4), (3, 1), (0, 2)])
@@ -132,3 +133,47 @@ def test_member_features(spark):
     df = spark.createDataFrame(members, "seed int, model_file string, best_iteration int, features_key string, features_hash string, n_features_used int")
     got = {r["seed"]: r["problem"] for r in resume.check_member_features(resume.normalize_members(df), mapping).collect()}
     assert got == {1: None, 2: "hash", 3: "count", 4: "no_features", 5: None}
+
+
+def test_published_versions(spark, tmp_path):
+    """A failed write leaves the version before; a history is rewritten from itself; old versions go."""
+    path = str(tmp_path / "table")
+    rows = lambda v: spark.range(3).select((F.col("id") + v).alias("x"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        published.current(spark, path)
+    published.publish(rows(0), path)
+    with pytest.raises(Exception):  # noqa: B017
+        published.publish(rows(5).select(F.raise_error(F.lit("broken")).alias("x")), path)
+    seen = lambda: sorted(r["x"] for r in spark.read.parquet(published.current(spark, path)).collect())
+    assert seen() == [0, 1, 2] and len(published.versions(spark, path)) == 1
+    for k in range(4):
+        published.publish(spark.read.parquet(published.current(spark, path)).select((F.col("x") + 1).alias("x")), path)
+        assert seen() == [k + 1, k + 2, k + 3]
+    assert [n for n, _ in published.versions(spark, path)] == [3, 4]
+
+
+def test_a_scope_leaves_only_what_is_kept(spark):
+    import os
+
+    with scratch.scratch_scope(spark) as outer:
+        with scratch.scratch_scope(spark) as keep:
+            one = scratch.materialize(spark.range(5), "one")
+            two = keep(scratch.materialize(one.where("id > 1"), "two"))
+            side = scratch.side_by_side(spark, [lambda k=k: scratch.materialize(spark.range(k), "side") for k in (1, 2)], 2)
+        assert not os.path.exists(one.scratch_path) and two.count() == 3 and not any(os.path.exists(s.scratch_path) for s in side)
+        three = outer(scratch.materialize(two, "three"))
+    assert not os.path.exists(two.scratch_path) and three.count() == 3
+
+
+def test_prepared_copies_of_old_files_go(spark, tmp_path):
+    import glob
+
+    path, root = str(tmp_path / "t"), spark.conf.get("spark.checkpoint.dir")
+    make = lambda: spark.range(4).selectExpr("id AS feature_0", "'era1' AS era", "string(id) AS id", "1D AS target").write.mode("append").parquet(path)
+    make()
+    before = set(glob.glob(f"{root}/prepared-*/*"))
+    assert splits.prepared_split(spark, path, ["feature_0"]).count() == 4
+    make()
+    spark.catalog.refreshByPath(path)
+    assert splits.prepared_split(spark, path, ["feature_0"]).count() == 8
+    assert len(set(glob.glob(f"{root}/prepared-*/*")) - before) == 1

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from eraloom.llm import decontaminate, minhash_dedup, secret_scan, sentencepiece_codec, toxicity
 from eraloom.llm.queries import tokenizer_model
-from eraloom.plans.scratch import materialize
+from eraloom.plans.scratch import materialize, scratch_scope
 
 
 #: A row's id and text as columns that are never null, so that joins and windows on them share one exchange.
@@ -89,5 +89,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scratch_scope(spark) as keep:  # a finished stage leaves its result alone
+            docs = keep(materialize(stage(spark, docs, sf_dir), name))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -669,6 +669,37 @@ def q57_feature_union(spark, d):
     return resume.feature_union(_feature_mapping(spark, d).where("features_key IN ('m0', 'm1', 'm3')"))
 
 
+def q58_prediction_stats(spark, d):
+    """Smallest, largest and deviation of ranked predictions, which the gates look at."""
+    a = rows(spark, d).select("id", ranks.rank_01("prediction", ["era_int"]).alias("prediction"))
+    return gates.prediction_stats(a).select(*r6("min", "max", "std"))
+
+
+def q59_feature_choice(spark, d):
+    catalog = _table(spark, d, "embeddings").select(F.explode(F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda k: F.concat(F.lit("feature_"), k.cast("string")))).alias("feature")).distinct()
+    return gates.choose_features(catalog, 24, 1337)
+
+
+def q60_scan_points(spark, d):
+    """Iterations that a scan of every window would look at, had it as many rounds as eras to train on."""
+    w = walkforward.build_windows(rows(spark, d), CHUNK, PURGE)
+    return w.select("window_id", F.explode(scalars.scan_points(F.col("train_end"), 7)).alias("iter"))
+
+
+def q61_sparse_columns(spark, d):
+    """Checked alignment with partial coverage: a sparse column goes, the rest has no hole."""
+    b = benchmarks(spark, d).withColumn("bench_sparse", F.when(F.col("id").cast("long") % 5 != 0, F.col("bench_qty")))
+    found = align.align_benchmarks(rows(spark, d), b, allow_partial=True)
+    return found.rows.select("id", *r6(*found.columns), "bench_present", F.lit(",".join(found.dropped)).alias("dropped"))
+
+
+def q62_final_fit(spark, d):
+    """Trees fitted on all rows with a fixed number of rounds, and their predictions row by row."""
+    data = materialize(boosting_rows(spark, d), "boosting-rows")
+    model = modelling.fit_final(data, BOOSTED, 4, 1)
+    return trees.predict(data, model, BOOSTED.features, "prediction").groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 6).alias("prediction"))
+
+
 #: Eras of fixed number, windows of 8 eras with one purged, and the sums of known trees.
 SQL_KNOWN = """F AS (SELECT vec_id, CAST(vec_id % 40 + 1 AS INTEGER) AS era_int, vec_id % 7 <> 0 AS bench_present, label::DOUBLE AS target,
   embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE + 0.5*embedding[4]::DOUBLE AS c, 2*embedding[5]::DOUBLE AS d FROM embeddings),
@@ -683,7 +714,7 @@ SQL_KNOWN = """F AS (SELECT vec_id, CAST(vec_id % 40 + 1 AS INTEGER) AS era_int,
    FROM C JOIN T USING (window_id) WHERE iter = stop OR iter = 2 GROUP BY 1)"""
 
 
-def _sql_boosted(rounds: int = 6, rate: float = 0.5) -> str:
+def _sql_boosted(rounds: int = 6, rate: float = 0.5, train: str = "m <= 50", result: str = "") -> str:
     """Stumps round by round: of all cuts the one with the largest sum of squared side sums over side sizes."""
     steps = [
         "R0 AS MATERIALIZED (SELECT *, 0.0::DOUBLE AS f FROM (SELECT CAST((year(o_orderdate)-1995)*12+month(o_orderdate) AS INTEGER) AS m, o_custkey % 4 AS a, ((year(o_orderdate)-1995)*12+month(o_orderdate)) % 3 AS b, o_orderkey % 5 AS c, o_orderkey AS k,"
@@ -693,10 +724,12 @@ def _sql_boosted(rounds: int = 6, rate: float = 0.5) -> str:
     x = "CASE n WHEN 'a' THEN a WHEN 'b' THEN b ELSE c END"
     for i in range(1, rounds + 1):
         label = "y" if i == 1 else "2*(y-f)"
-        steps.append(f"C{i} AS MATERIALIZED (SELECT n, t, sum({label}) FILTER ({x} <= t) AS ls, count(*) FILTER ({x} <= t) AS ln, sum({label}) FILTER ({x} > t) AS rs, count(*) FILTER ({x} > t) AS rn FROM R{i - 1}, S WHERE m <= 50 GROUP BY n, t)")
+        steps.append(f"C{i} AS MATERIALIZED (SELECT n, t, sum({label}) FILTER ({x} <= t) AS ls, count(*) FILTER ({x} <= t) AS ln, sum({label}) FILTER ({x} > t) AS rs, count(*) FILTER ({x} > t) AS rn FROM R{i - 1}, S WHERE {train} GROUP BY n, t)")
         steps.append(f"T{i} AS MATERIALIZED (SELECT * FROM C{i} ORDER BY ls*ls/ln + rs*rs/rn DESC LIMIT 1)")
         steps.append(f"R{i} AS MATERIALIZED (SELECT R{i - 1}.* REPLACE (f + {1.0 if i == 1 else rate} * CASE WHEN {x} <= t THEN ls/ln ELSE rs/rn END AS f) FROM R{i - 1}, T{i})")
     errors = " UNION ALL ".join(f"SELECT {i} AS iter, sqrt(avg(pow(f-y, 2))) AS rmse FROM R{i} WHERE m > 50" for i in range(1, rounds + 1))
+    if result:
+        return f"WITH {', '.join(steps)} {result}"
     return f"WITH {', '.join(steps)} SELECT CAST(iter AS INTEGER) AS iter, round(rmse, 6) AS rmse, round(rmse, 6) AS seen FROM ({errors})"
 
 
@@ -796,6 +829,10 @@ ORACLES: dict[str, str] = {
       SELECT CAST(k AS INTEGER) AS seed, CASE k WHEN 2 THEN 'lost' ELSE 'm' || k END AS model_file, CASE k WHEN 1 THEN repeat('0', 16) WHEN 4 THEN '' ELSE h END AS features_hash, CAST(CASE k WHEN 3 THEN 7 ELSE n END AS INTEGER) AS n_features_used,
         CASE k WHEN 1 THEN 'hash' WHEN 2 THEN 'no_features' WHEN 3 THEN 'count' END AS problem FROM L""",
     "q57_feature_union": f"WITH {SQL_MAPPING} SELECT CAST(row_number() OVER (ORDER BY f) - 1 AS INTEGER) AS pos, f AS feature FROM (SELECT DISTINCT f FROM M WHERE k IN (0, 1, 3))",
+    "q58_prediction_stats": f"WITH {SQL_ROWS} SELECT round(min(u), 6) AS min, round(max(u), 6) AS max, round(stddev_pop(u), 6) AS std FROM (SELECT {sql_share('prediction', 'era_int')} AS u FROM R)",
+    "q59_feature_choice": "SELECT feature FROM (SELECT DISTINCT 'feature_' || (generate_subscripts(embedding, 1)-1) AS feature FROM embeddings) ORDER BY sha256('1337:' || feature), feature LIMIT 24",
+    "q60_scan_points": f"WITH {SQL_ROWS}, {SQL_WINDOWS} SELECT DISTINCT window_id, CAST(i AS INTEGER) AS iter FROM W, range(1, 2000) r(i) WHERE (i % 7 = 0 AND i <= train_end) OR i = train_end",
+    "q61_sparse_columns": f"{WITH_A} SELECT id, round(bench_qty, 6) AS bench_qty, round(bench_disc, 6) AS bench_disc, bench_present, 'bench_sparse' AS dropped FROM A",
     "q31_member_summary": f"WITH {SQL_SCORES}, M AS (SELECT CAST(model_name AS INTEGER) AS seed, count(*) AS n, avg(primary_score) AS r, CASE WHEN count(*) % 7 = 0 THEN NULL ELSE max(primary_score) END AS c FROM S GROUP BY 1) SELECT round(avg(n), 6) AS mean_best_iteration, round(avg(r), 6) + 0.0 AS mean_rmse, round(avg(c), 6) + 0.0 AS mean_corr, round(max(c), 6) + 0.0 AS max_corr, (SELECT seed FROM M WHERE c IS NOT NULL ORDER BY c DESC, seed LIMIT 1) AS best_seed, count(*) AS n_models, (SELECT count(DISTINCT event_type) FROM events) AS n_features FROM M",
     "q34_ensemble": f"WITH {SQL_ROWS} SELECT id, round(CAST(CAST((prediction + prediction*2 + target*4)/3 AS FLOAT) AS DOUBLE), 0) AS prediction FROM R",
     "q35_live_alignment": f"{WITH_A} SELECT id, round(bench_qty, 6) AS bench_qty, round(bench_disc, 6) AS bench_disc, bench_present FROM A WHERE bench_present",
@@ -818,6 +855,7 @@ ORACLES: dict[str, str] = {
     "q42_score_ensemble": "SELECT CAST(vec_id AS VARCHAR) AS id, round(CAST(CAST((embedding[6]::DOUBLE - 2*embedding[10]::DOUBLE + 4*embedding[64]::DOUBLE) / 2 AS FLOAT) AS DOUBLE), 5) + 0.0 AS prediction FROM embeddings",
 }
 ORACLES["q47_boosted_errors"] = _sql_boosted()
+ORACLES["q62_final_fit"] = _sql_boosted(4, train="true", result="SELECT a::DOUBLE AS a, b::DOUBLE AS b, c::DOUBLE AS c, count(*) AS n, round(avg(f), 6) AS prediction FROM R4 GROUP BY 1, 2, 3")
 ORACLES["q32_stream_history"] = ORACLES["q21_history_dedup"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for name, f in sorted(globals().items()) if name[0] == "q" and name[1:3].isdigit()}

@@ -200,7 +200,9 @@ def fit(rows: list[tuple[str, int]], landmarks: int = 192, rounds: int = 4, witn
     values, vectors = np.linalg.eigh(kernel(marks, marks).astype(float))
     keep = values > 1e-3
     root = (vectors[:, keep] / np.sqrt(values[keep])).astype(np.float32)
-    z = kernel(words, marks) @ root
+    z = np.empty((len(words), root.shape[1]), np.float32)
+    for k in range(0, len(words), 8_192):  # kernel values of all words at once would double the memory
+        z[k : k + 8_192] = kernel(words[k : k + 8_192], marks) @ root
     negative = np.flatnonzero(clean)
     # Witnesses are words that mark toxic documents and occur in two at least, if any do.
     hopeful = long & (toxic > 1) & (gain > 0)

@@ -34,6 +34,7 @@ import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
+from typing import Any
 
 import pandas as pd
 import pyarrow as pa
@@ -134,7 +135,7 @@ def _page(uri: str | None) -> int | None:
     return int(name) if name.lstrip("-").isdigit() else None
 
 
-def members(content: bytes, offset: int = 0) -> Iterator[tuple[int, int, bytes]]:
+def members(content: bytes | memoryview, offset: int = 0) -> Iterator[tuple[int, int, bytes]]:
     """Offset, length and data of every gzip member from an offset on."""
     view = memoryview(content)
     while offset < len(content):
@@ -159,9 +160,15 @@ def _frame(rows: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], list(names))
 
 
+def _files(batch: pa.RecordBatch, beside: str) -> Iterator[tuple[Any, memoryview]]:
+    """Each archive with another column's value, one at a time and without a copy of its bytes."""
+    for k in range(batch.num_rows):
+        yield batch.column(beside)[k].as_py(), memoryview(batch.column("content")[k].as_buffer())
+
+
 def _captures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path, content in zip(*(batch.column(c).to_pylist() for c in ("path", "content")), strict=True):
+        for path, content in _files(batch, "path"):
             rows = []
             for offset, length, data in members(content):
                 for fields, block in parse_records(data):
@@ -193,7 +200,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for content, wanted in zip(*(batch.column(c).to_pylist() for c in ("content", "wanted")), strict=True):
+        for wanted, content in _files(batch, "wanted"):
             rows = []
             for w in wanted:
                 _, _, data = next(members(content[w["offset"] : w["offset"] + w["length"]]))
@@ -247,13 +254,13 @@ def _merge(names: list[str]):
         if not parts:
             return
         table = pa.Table.from_batches(parts)
+        del parts
         ids = [-(2**63) if i is None else i for i in table["page_id"].to_pylist()]
         found: dict[int, list] = {}
-        runs = table["run"].to_pylist()
-        for at, key in enumerate(zip(table["url_key"].to_pylist(), table["captured_at"].to_pylist(), ids, strict=True)):
-            found.setdefault(runs[at], []).append((*key, at))
+        for at, (run_, *key) in enumerate(zip(*(table[c].to_pylist() for c in ("run", "url_key", "captured_at")), ids, strict=True)):
+            found.setdefault(run_, []).append((*key, at))
         order = [x[3] for x in merge_runs([r for _, keys in sorted(found.items()) for r in ordered_runs(keys)])]
-        yield from table.select(names).take(pa.array(order, pa.int64())).combine_chunks().to_batches()
+        yield from table.select(names).take(pa.array(order, pa.int64())).to_batches(max_chunksize=10_000)
 
     return run
 

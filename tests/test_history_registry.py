@@ -263,7 +263,7 @@ def test_stream_goes_on_after_a_restart(spark, tmp_path):
     assert history_stream.segments(spark, target) == [(0, 0), (0, 1), (1, 1), (2, 2)]
 
 
-@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (2, 0, 3, 1), (1, 3, 0, 2)])
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (2, 0, 3, 1)])
 def test_stream_equals_batch_in_any_order(spark, tmp_path, order):
     """A late file never beats a larger ordinal; merges in between change nothing."""
     rows = [[("s", "m", k % 3, "t", True, f * 0.1 + k, 10 * ((f * 7 + k * 3) % 5) + f) for k in range(4)] for f in range(4)]

@@ -105,20 +105,23 @@ def kernel(left: list[str], right: list[str]) -> np.ndarray:
     return out
 
 
-def _machine(z: np.ndarray, y: np.ndarray, c: np.ndarray) -> np.ndarray:
+def _machine(z: np.ndarray, y: np.ndarray, c: np.ndarray, rows: np.ndarray | None = None) -> np.ndarray:
     """Squared-hinge support vector machine by Newton steps; the last weight is the bias.
 
     Least ``|w|**2 / 2 + sum(c * max(0, 1 - y * f)**2) / 2`` with a bias that is
-    hardly penalized; sums run over blocks of rows.
+    hardly penalized; sums run over blocks of rows. ``rows`` names the rows of z that
+    y and c are for, which are never copied as a whole.
     """
+    rows = np.arange(len(z)) if rows is None else rows
     size = z.shape[1] + 1
     w = np.zeros(size)
     ridge = np.eye(size)
     ridge[-1, -1] = 1e-3
     for _ in range(30):
         left, right, some = ridge.copy(), np.zeros(size), False
-        for k in range(0, len(z), 4_096):
-            part = np.hstack([z[k : k + 4_096], np.ones((len(z[k : k + 4_096]), 1))])
+        for k in range(0, len(rows), 4_096):
+            part = z[rows[k : k + 4_096]].astype(float)
+            part = np.hstack([part, np.ones((len(part), 1))])
             inside = y[k : k + 4_096] * (part @ w) < 1
             s, cost = part[inside], c[k : k + 4_096][inside]
             left += s.T @ (s * cost[:, None])
@@ -218,8 +221,8 @@ def fit(rows: list[tuple[str, int]], landmarks: int = 192, rounds: int = 4, witn
         floor = max(np.quantile(best, 0.05), 0.0)
         picks = [k for b in members for k in sorted({k for w in b for k in w.tolist() if worth[k] > floor}, key=lambda k: (-worth[k], words[k]))[:witnesses]]
         hot, counts = np.unique(picks or [int(np.where(hopeful, worth, -np.inf).argmax())], return_counts=True)
-        w = _machine(np.vstack([z[hot], z[negative]]), np.r_[np.ones(len(hot)), -np.ones(len(negative))], np.r_[counts * (n0 / n1), clean[negative].astype(float)])
-        worth = z @ w[:-1] + w[-1]
+        w = _machine(z, np.r_[np.ones(len(hot)), -np.ones(len(negative))], np.r_[counts * (n0 / n1), clean[negative].astype(float)], np.r_[hot, negative])
+        worth = np.concatenate([z[k : k + 8_192] @ w[:-1] for k in range(0, len(z), 8_192)]) + w[-1]
     alpha = root @ w[:-1]
     word, key, value = subsequences(marks)
     keys, at = np.unique(key, return_inverse=True)

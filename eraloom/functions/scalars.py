@@ -85,11 +85,14 @@ def pick(record: Column, names: list[str]) -> Column:
 # Values of JSON records are structs (kind, text): the type of the value and its text.
 
 
+def kind_of(schema: Column) -> Column:
+    """text, number, flag or other, from the schema of a VARIANT value; null for a null."""
+    return F.when(schema == "STRING", "text").when(schema == "BOOLEAN", "flag").when(schema.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"), "number").when(schema != "VOID", "other")
+
+
 def json_value(v: Column) -> Column:
     """A VARIANT value as its kind (text, number, flag, other; null for a null) and its text."""
-    kind = F.schema_of_variant(v)
-    known = F.when(kind == "STRING", "text").when(kind == "BOOLEAN", "flag").when(kind.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"), "number").when(kind != "VOID", "other")
-    return F.struct(known.alias("kind"), F.variant_get(v, "$", "string").alias("text"))
+    return F.struct(kind_of(F.schema_of_variant(v)).alias("kind"), F.variant_get(v, "$", "string").alias("text"))
 
 
 def json_number(v: Column) -> Column:

@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eraloom.functions.scalars import clip, json_number, json_text, json_value, json_whole, pick, to_double
-from eraloom.plans.scratch import materialize
+from eraloom.functions.scalars import clip, json_number, json_text, json_value, json_whole, kind_of, pick, to_double
+from eraloom.plans.scratch import materialize, once
 
 #: Fixed format: the history's columns in order.
 HISTORY = (
@@ -60,24 +60,40 @@ def flatten_records(snapshots: DataFrame, value: str = "value", place: str | Non
     if place:
         snapshots = snapshots.withColumn(place, F.array().cast("array<int>"))
     path = [F.concat(place, F.array("pos")).alias(place)] if place else []
-    kind = F.schema_of_variant("record")
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    level = materialize(snapshots.select(*keep, *([place] if place else []), F.col(value).alias("record")).where(nested), "json-level")
+    columns = [*keep, *([place] if place else [])]
+
+    def containers(df: DataFrame) -> DataFrame:
+        """The objects and arrays, told apart once for the filter, the next level and the result."""
+        kind = F.substring(F.schema_of_variant("record"), 1, 5)
+        told = once(once(df).select(*columns, "record", kind.alias("__kind"))).where(F.col("__kind").isin("OBJEC", "ARRAY"))
+        return materialize(told.select(*columns, "record", (F.col("__kind") == "OBJEC").alias("__object")), "json-level")
+
+    level = containers(snapshots.select(*columns, F.col(value).alias("record")))
     found = level
     while True:
         inside = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("record").outer())).select(*keep, *path, F.col("value").alias("record"))
-        level = materialize(inside.where(nested), "json-level")
+        level = containers(inside)
         if level.isEmpty():
-            return found.where(kind.startswith("OBJECT"))
+            return found.where("__object").drop("__object")
         found = found.union(level)
 
 
 def as_map(record: Column) -> Column:
     """An object as a map from lower-case keys to (kind, text) values; of keys that
-    differ only in case the last in order counts."""
-    entries = F.transform(F.map_entries(F.try_variant_get(record, "$", "map<string,variant>")), lambda e: F.struct(F.lower(e["key"]).alias("key"), json_value(e["value"]).alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"]))
-    return F.map_from_entries(last)
+    differ only in case the last in order counts.
+
+    Each step is an element of a list that the next one walks, so that the values are read once,
+    and not once for every place that names them.
+    """
+    entries = F.map_entries(F.try_variant_get(record, "$", "map<string,variant>"))
+    read = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), F.schema_of_variant(e["value"]).alias("kind"), F.variant_get(e["value"], "$", "string").alias("text")))
+    named = F.transform(read, lambda e: F.struct(e["key"].alias("key"), F.struct(kind_of(e["kind"]).alias("kind"), e["text"].alias("text")).alias("value")))
+
+    def last(es: Column) -> Column:
+        alone = F.size(F.array_distinct(F.transform(es, lambda e: e["key"]))) == F.size(es)
+        return F.when(alone, es).otherwise(F.filter(es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.size(es)), lambda x: x["key"] == e["key"])))
+
+    return F.get(F.transform(F.array(named), lambda es: F.map_from_entries(last(es))), F.lit(0))
 
 
 def passed(date: Column, as_of: Column) -> Column:
@@ -86,11 +102,10 @@ def passed(date: Column, as_of: Column) -> Column:
     return F.coalesce(zoned.try_cast("timestamp") <= as_of, F.lit(False))
 
 
-def resolved_flag(record: Column, as_of: Column) -> Column:
+def resolved_flag(flag: Column, date: Column, as_of: Column) -> Column:
     """Explicit flag if there is one (text: 1, true, yes, resolved), else whether the resolve date has passed."""
-    flag = pick(record, ALIASES["resolved"])
     said = F.when(flag["kind"] == "text", F.lower(F.trim(flag["text"])).isin("1", "true", "yes", "resolved")).when(flag["kind"].isin("flag", "number"), json_number(flag) != 0)
-    return F.coalesce(said, passed(json_text(pick(record, ALIASES["resolve"])), as_of))
+    return F.coalesce(said, passed(json_text(date), as_of))
 
 
 def primary_score(corr: Column, bmc: Column, mmc: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> Column:
@@ -105,19 +120,20 @@ def usable(rows: DataFrame, keep: list[str] = []) -> DataFrame:  # noqa: B006
 def normalize_records(records: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25, keep: list[str] = []) -> DataFrame:  # noqa: B006
     """History rows from (fetched_at, source, model_name, record), record as ``as_map`` gives it;
     a record's own source and model name count before its snapshot's."""
-    r = F.col("record")
-    num = lambda name: json_number(pick(r, ALIASES[name])).alias(name)
-    out = records.select(
-        "fetched_at",
-        F.coalesce(json_text(pick(r, ["source"])), "source").alias("source"),
-        F.coalesce(json_text(pick(r, ALIASES["model_name"])), "model_name").alias("model_name"),
-        json_whole(pick(r, ALIASES["round_number"])).alias("round_number"),
-        resolved_flag(r, as_of).alias("resolved"),
-        *map(num, ("corr20", "mmc20", "bmc20", "fnc", "payout", "stake")),
-        json_text(pick(r, ALIASES["resolve_date"])).alias("resolve_date"),
-        *keep,
-    ).withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc))
-    return usable(out, keep)
+    names = {**ALIASES, "own_source": ["source"]}
+    # Steps over a list of one: a field's record is read once, and a filter stays above the generator
+    # instead of repeating the fields below it.
+    picked = F.transform(F.array("record"), lambda r: F.struct(*(pick(r, keys).alias(name) for name, keys in names.items())))
+    fields = lambda p: F.struct(
+        F.coalesce(json_text(p["own_source"]), "source").alias("source"),
+        F.coalesce(json_text(p["model_name"]), "model_name").alias("model_name"),
+        json_whole(p["round_number"]).alias("round_number"),
+        resolved_flag(p["resolved"], p["resolve"], as_of).alias("resolved"),
+        *(json_number(p[name]).alias(name) for name in ("corr20", "mmc20", "bmc20", "fnc", "payout", "stake")),
+        json_text(p["resolve_date"]).alias("resolve_date"),
+    )
+    out = records.select("fetched_at", *keep, F.inline(F.transform(picked, fields)))
+    return usable(out.withColumn("primary_score", primary_score(F.col("corr20"), F.col("bmc20"), F.col("mmc20"), w_corr, w_bmc)), keep)
 
 
 def intra_round_rows(nested: DataFrame, as_of: Column, w_corr: float = 0.75, w_bmc: float = 2.25) -> DataFrame:

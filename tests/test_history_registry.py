@@ -301,3 +301,13 @@ def test_segments_of_broken_writes_do_not_count(spark, tmp_path):
     row(9.9, 9).write.parquet(f"{target}/segment-0-1")
     (tmp_path / "out" / "segment-0-1" / "_SUCCESS").unlink()
     assert [r["primary_score"] for r in history_stream.latest_version(spark, target).collect()] == [0.2]
+
+
+def test_records_are_read_once_whatever_names_their_fields(spark):
+    """A filter on the fields used to repeat the whole reading of the record for each mention: 260 times."""
+    snap = spark.createDataFrame([("t", "api", "m", '{"Corr":1,"corr":"2.5","round":3,"in":[{"round":"x"}]}')], "fetched_at string, source string, model_name string, j string").select("fetched_at", "source", "model_name", F.parse_json("j").alias("value"))
+    rec = history.flatten_records(snap).select("fetched_at", "source", "model_name", history.as_map(F.col("record")).alias("record"))
+    out = history.normalize_records(rec, F.lit("2024-01-01").cast("timestamp"))
+    assert [(r["round_number"], r["corr20"]) for r in out.collect()] == [(3, 2.5)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("map_from_entries") <= len(plan.split("Relation [")) - 1

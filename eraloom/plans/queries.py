@@ -555,7 +555,7 @@ def q39_nested_snapshots(spark, d):
 def q51_payloads(spark, d):
     """Events as fetched payloads of three methods, a fifth of them failed: rounds of named scores
     (a later bucket of a round wins, a bucket's own numbers win over its scores), nested records, records that name another source."""
-    e = _table(spark, d, "events")
+    e = _table(spark, d, "events").repartition("event_id")
     n, v, day = F.dayofyear("ts").cast("string"), F.round("value", 4).cast("string"), F.date_format("ts", "yyyy-MM-dd")
     shape = F.col("event_id") % 3
     bucket = lambda items, more="": F.concat(F.lit('{"roundNumber":'), n, F.lit(',"intraRoundSubmissionScores":['), *items, F.lit("]"), F.lit(more), F.lit("}"))

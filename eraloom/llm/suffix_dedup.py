@@ -110,16 +110,43 @@ def contexts(at: np.ndarray, hashes: np.ndarray, least: np.ndarray) -> tuple[np.
     return starts[np.arange(len(at)), ok.argmax(1)], starts[np.arange(len(at)), WINDOW - 1 - ok[:, ::-1].argmax(1)]
 
 
-def _words(text: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
-    """Eight bytes of each suffix from ``step`` on, as one big-endian number; zeros past the end."""
+def _words(text: np.ndarray) -> np.ndarray:
+    """Eight bytes from every position on, as one big-endian number; zeros past the end (to 56 bytes beyond)."""
     padded = np.concatenate([text, np.zeros(72, np.uint8)])
-    out = np.zeros(len(at), np.uint64)
+    out = np.zeros(len(text) + 64, np.uint64)
     for k in range(8):
-        out = (out << np.uint64(8)) | padded[np.minimum(at + step + k, len(text) + 8)]
+        out = (out << np.uint64(8)) | padded[k : k + len(out)]
     return out
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
+def _dense(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``x`` and each value's place among the different values."""
+    order = np.argsort(x)
+    place = np.empty(len(x), np.uint64)
+    place[order] = np.cumsum(np.diff(x[order], prepend=x[order[:1]]) != 0, dtype=np.uint64)
+    return order, place
+
+
+def _sorted_directly(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``at`` in order of the 56 bytes from there on. Words become their places among the words of
+    the block, as many of which as fit share one number, until one is left to sort."""
+    _, place = _dense(words)
+    columns = [place[at + s] for s in range(0, 56, 8)]
+    bits = len(words).bit_length()
+    fit = 63 // bits
+    while True:
+        packed = []
+        for k in range(0, len(columns), fit):
+            out = columns[k]
+            for c in columns[k + 1 : k + fit]:
+                out = (out << np.uint64(bits)) | c
+            packed.append(out)
+        if len(packed) == 1:
+            return at[np.argsort(packed[0])]
+        columns = [_dense(c)[1] for c in packed]
+
+
+def suffix_array(text: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
     """Suffixes in order of their first LENGTH bytes at least, by two-stage sorting.
 
     Suffixes smaller than their successors are sorted directly (to 56 bytes);
@@ -131,13 +158,15 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     if not n:
         return np.empty(0, np.int64)
     change = np.flatnonzero(text[:-1] != text[1:])
-    where = np.searchsorted(change, np.arange(n))
+    before = np.zeros(n, np.int64)
+    before[change + 1] = 1
+    where = np.cumsum(before)
     next_change = np.append(change, n - 1)[np.minimum(where, len(change))]
     smaller = np.zeros(n, bool)
     inner = next_change < n - 1
     smaller[inner] = text[next_change[inner]] < text[next_change[inner] + 1]
     direct = np.flatnonzero(smaller)
-    direct = direct[np.lexsort([_words(text, direct, s) for s in range(48, -1, -8)])]
+    direct = _sorted_directly(_words(text) if words is None else words, direct)
     direct_first = text[direct]
     bounds = np.searchsorted(direct_first, np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -164,18 +193,17 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, words: np.ndarray | None = None) -> np.ndarray:
     """Length of the common prefix of each suffix and the next in order, at most 56."""
-    out = np.zeros(max(len(order) - 1, 0), np.int64)
-    alive = np.ones(len(out), bool)
+    words = _words(text) if words is None else words
+    out = np.full(max(len(order) - 1, 0), 56, np.int64)
+    alive = np.arange(len(out))
     for step in range(0, 56, 8):
-        w = _words(text, order, step)
-        d = w[:-1] ^ w[1:]
-        equal = np.full(len(d), 8)
-        for k in range(8):
-            equal[(d >> np.uint64(8 * (7 - k))) & np.uint64(255) != 0] = np.minimum(equal[(d >> np.uint64(8 * (7 - k))) & np.uint64(255) != 0], k)
-        out += np.where(alive, equal, 0)
-        alive &= equal == 8
+        d = words[order[alive] + step] ^ words[order[alive + 1] + step]
+        ends = d != 0
+        last = d[ends]
+        out[alive[ends]] = step + sum(((last < np.uint64(1 << 8 * k)).astype(np.int64) for k in range(1, 8)), np.zeros(len(last), np.int64))
+        alive = alive[~ends]
     return out
 
 
@@ -185,12 +213,13 @@ def covered(parts: list[bytes], docs: np.ndarray) -> list[list[tuple[int, int]]]
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     begin = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(parts)), sizes)
-    order = suffix_array(text)
+    words = _words(text)
+    order = suffix_array(text, words)
     order = order[order + LENGTH <= (begin + sizes)[owner[order]]]
     found: list[list[tuple[int, int]]] = [[] for _ in parts]
     if not len(order):
         return found
-    group = np.concatenate([[0], np.cumsum(common_prefixes(text, order) < LENGTH)])
+    group = np.concatenate([[0], np.cumsum(common_prefixes(text, order, words) < LENGTH)])
     heads = np.flatnonzero(np.diff(group, prepend=-1))
     smallest = np.minimum.reduceat(docs[owner[order]], heads)[group]
     hit = np.sort(order[smallest < docs[owner[order]]])
@@ -246,11 +275,11 @@ def _emit_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows, smallest = [], {}
         for doc, tk, text, shared in zip(pdf["doc_id"], pdf["tk"], pdf["text"], pdf["shared"], strict=True):
-            wanted = np.unique(np.asarray(shared, np.int64)).view(np.uint64)
+            wanted = np.sort(np.asarray(shared, np.int64).view(np.uint64))  # one at least
             last: dict[tuple[int, int], list] = {}
             for offset, data in _pieces(_bytes(text)):
                 at, hashes, least = anchors(data)
-                some = np.isin(hashes, wanted)
+                some = wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes
                 at, hashes = at[some], hashes[some]
                 if not len(at):
                     continue

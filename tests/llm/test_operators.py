@@ -184,6 +184,21 @@ def test_repeats_in_runs_and_long_texts(spark):
     assert b"".join(p[: suffix_dedup.PIECE] for _, p in suffix_dedup._pieces(data)) == data
 
 
+def test_a_block_reads_its_words_once(monkeypatch):
+    """The sorter used to gather the bytes of all suffixes anew for each of 14 steps."""
+    made, words = [], suffix_dedup._words
+    monkeypatch.setattr(suffix_dedup, "_words", lambda *args: made.append(1) or words(*args))
+    rng = random.Random(3)
+    parts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(40, 90))) for _ in range(30)]
+    parts += [parts[0][:60] + b"a", b"b" + parts[1][-55:]]
+    docs = np.array([rng.randint(0, 9) for _ in parts])
+    found = suffix_dedup.covered(parts, docs)
+    assert len(made) == 1
+    for part, doc, spans in zip(parts, docs, found, strict=True):
+        hit = {k + j for k in range(len(part) - 49) for j in range(50) if any(part[k : k + 50] in p and d < doc for p, d in zip(parts, docs, strict=True))}
+        assert hit == {j for lo, hi in spans for j in range(lo, hi)}
+
+
 def test_suffix_array_against_sorting():
     rng = np.random.default_rng(1)
     for _ in range(150):

@@ -28,7 +28,6 @@ import hashlib
 import re
 from collections.abc import Iterator
 from itertools import chain
-from operator import itemgetter
 
 import ahocorasick
 import pandas as pd
@@ -39,14 +38,14 @@ from pyspark.sql import DataFrame
 from eraloom.llm.text import map_rows
 
 MARK = "▁"
-_NUMBERS, _WORDS = itemgetter(0), itemgetter(1)
-#: Memos are emptied at this many entries, and hold no part of over LONG characters, so that memory stays bounded.
-MEMO = 500_000
+#: Memos are emptied at this many entries, and hold no part of over LONG characters, so that memory stays bounded:
+#: a worker keeps them beside the executor's heap as long as it lives, so an entry is one string or one number.
+MEMO = 300_000
 LONG = 64
 #: Texts that models with other normalization, prefixes, spaces or piece types encode differently.
 PROBES = ["Hello world", "ABC Straße ÉCOLE", "ﬁ ① Å é ｆｕｌｌ", " a  b   c ", "tab\tline\nend\r\n", "日本語 текст عربي 😀", "aaaaabbbbb 12345 don't", "\u00a0\u3000\u200bx", "internationalization misunderstandings", "\u2581x \u2581\u2581"]
-#: Texts of one decode call hold at most so many ids.
-DECODE_IDS = 2_000_000
+#: Texts of one decode call hold about so many ids.
+DECODE_IDS = 100_000
 
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -67,11 +66,11 @@ class Encoder:
                 self.score[piece], self.ids[piece] = sp.get_score(i), i
         self.chars = {c for c in self.ids if len(c) == 1}
         self.matcher = ahocorasick.Automaton()
-        for piece in self.ids:  # a piece that does not re-merge to itself occurs in no encoding
+        for piece, i in self.ids.items():  # a piece that does not re-merge to itself occurs in no encoding
             if self.merge(piece) == [piece]:
-                self.matcher.add_word(piece, len(piece) - 1)
+                self.matcher.add_word(piece, (len(piece) - 1, i))
         self.matcher.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         known = "".join(sorted(map(re.escape, self.chars - {MARK})))
         self.units = re.compile(f"{MARK}+[{known}]*|[{known}]+|[^{known}{MARK}]+")
         self.plain, self.marked = Memo(self, ""), Memo(self, MARK)
@@ -93,34 +92,34 @@ class Encoder:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def apart(self, left: str, right: str) -> bool:
+    def apart(self, left: int, right: int) -> bool:
         """Whether two neighbours survive re-merging their concatenation."""
-        ok = self.pairs.get((left, right))
+        ok = self.pairs.get(left << 32 | right)
         if ok is None:
             if len(self.pairs) >= MEMO:
                 self.pairs.clear()
-            ok = self.pairs[left, right] = self.merge(left + right) == [left, right]
+            pair = [self.sp.id_to_piece(left), self.sp.id_to_piece(right)]
+            ok = self.pairs[left << 32 | right] = self.merge("".join(pair)) == pair
         return ok
 
-    def pieces(self, unit: str) -> list[str]:
-        """The merge encoding of a unit made of vocabulary characters."""
+    def pieces(self, unit: str) -> list[int]:
+        """Ids of the merge encoding of a unit made of vocabulary characters."""
         n = len(unit)
-        ends: list[list[int]] = [[] for _ in unit]  # match ends by start, shortest first
-        for last, back in self.matcher.iter(unit):
-            ends[last - back].append(last + 1)
+        ends: list[list[tuple[int, int]]] = [[] for _ in unit]  # match ends and ids by start, shortest first
+        for last, (back, i) in self.matcher.iter(unit):
+            ends[last - back].append((last + 1, i))
         known, failed = self.pairs.get, 0  # bit p: no encoding goes through position p
-        out: list[str] = []
+        out: list[int] = []
         steps: list[tuple[int, int]] = []  # start of each piece, number of shorter matches left
         at, left = 0, len(ends[0])
         while at < n:
             options = ends[at]
             while left:
                 left -= 1
-                end = options[left]
+                end, piece = options[left]
                 if failed >> end & 1:
                     continue
-                piece = unit[at:end]
-                if out and not ((ok := known((out[-1], piece))) or ok is None and self.apart(out[-1], piece)):
+                if out and not ((ok := known(out[-1] << 32 | piece)) or ok is None and self.apart(out[-1], piece)):
                     continue
                 out.append(piece)
                 steps.append((at, left))
@@ -130,7 +129,7 @@ class Encoder:
             else:
                 failed |= 1 << at
                 if not out:
-                    return self.merge(unit)
+                    return list(map(self.ids.__getitem__, self.merge(unit)))
                 out.pop()
                 at, left = steps.pop()
         return out
@@ -138,13 +137,13 @@ class Encoder:
     def unit(self, unit: str) -> tuple[int, ...]:
         """Ids of one unit."""
         if unit[0] in self.chars:
-            return tuple(map(self.ids.__getitem__, self.pieces(unit)))
+            return tuple(self.pieces(unit))
         if self.fallback:
             return tuple(map(self.bytes.__getitem__, unit.encode()))
         return (self.sp.unk_id(),) * len(unit)
 
-    def parts(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        """Ids of a text's parts, as numbers and as words, in order and without the end id.
+    def parts(self, text: str) -> list[str]:
+        """Ids of a text's parts, each as decimals joined by spaces, in order and without the end id.
 
         Parts are cut at single spaces and line ends; where spaces come in runs
         they belong to one unit, and the text is cut into units instead.
@@ -164,23 +163,26 @@ class Encoder:
             out += map(marked, rest)
         return out
 
+    def listed(self, text: str | None) -> str:
+        """Ids of a whole text, end id included, as decimals joined by spaces."""
+        return " ".join([*self.parts(text or ""), str(self.end)])
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text, end id included."""
-        return [*chain.from_iterable(map(_NUMBERS, self.parts(text or ""))), self.end]
+        return list(map(int, self.listed(text).split(" ")))
 
 
 class Memo(dict):
-    """Bounded memo from a part to its ids, as numbers and as words."""
+    """Bounded memo from a part to its ids, as decimals joined by spaces."""
 
     def __init__(self, encoder: Encoder, prefix: str):
         self.encoder, self.prefix = encoder, prefix
 
-    def __missing__(self, part: str) -> tuple[tuple[int, ...], str]:
+    def __missing__(self, part: str) -> str:
         if len(self) >= MEMO:
             self.clear()
         encoder = self.encoder
-        ids = tuple(chain.from_iterable(map(encoder.unit, encoder.units.findall(self.prefix + part))))
-        found = (ids, " ".join(map(str, ids)))
+        found = " ".join(map(str, chain.from_iterable(map(encoder.unit, encoder.units.findall(self.prefix + part)))))
         if len(part) <= LONG:
             self[part] = found
         return found
@@ -199,10 +201,10 @@ def _digests(model: Broadcast):
         for pdf in batches:
             counts, hashes, decoded, waiting, held = [], [], [], [], 0
             for text in pdf["text"]:
-                found = encoder.parts(text or "")
-                ids = [*chain.from_iterable(map(_NUMBERS, found)), encoder.end]
+                found = encoder.listed(text)
+                ids = list(map(int, found.split(" ")))
                 counts.append(len(ids))
-                hashes.append(sha(" ".join([*map(_WORDS, found), str(encoder.end)])))
+                hashes.append(sha(found))
                 waiting.append(ids)
                 held += counts[-1]
                 if held >= DECODE_IDS:

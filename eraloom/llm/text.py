@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 #: A word memo is emptied at this many entries, so that memory stays bounded.
 MEMO = 100_000
+#: Rows that are Python objects at once: a worker keeps the memory of its largest frame for later stages.
+FRAME = 1_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -40,8 +42,10 @@ def map_rows(rows: DataFrame, kept: list[str], run: Callable[[Iterator[pd.DataFr
 
         def frames() -> Iterator[pd.DataFrame]:
             for batch in batches:
-                waiting.append(batch.select(kept))
-                yield batch.drop_columns(kept).to_pandas()
+                for k in range(0, batch.num_rows, FRAME):
+                    part = batch.slice(k, FRAME)
+                    waiting.append(part.select(kept))
+                    yield part.drop_columns(kept).to_pandas()
 
         for out in run(frames()):
             beside = waiting.popleft()

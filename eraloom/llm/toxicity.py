@@ -162,8 +162,8 @@ class Model:
 
     def values(self, words: list[str]) -> np.ndarray:
         out = []
-        for k in range(0, len(words), 10_000):
-            part = words[k : k + 10_000]
+        for k in range(0, len(words), 1_000):  # the subsequences of more words would stay in the worker's memory
+            part = words[k : k + 1_000]
             word, key, value = subsequences(part)
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             known = self.keys[at] == key

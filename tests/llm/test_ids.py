@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eraloom.llm import decontaminate, language_id, minhash_dedup, quality_rules, secret_scan, sentencepiece_codec, suffix_dedup, toxicity, warc
 from eraloom.llm.queries import tokenizer_model
+from eraloom.llm.text import map_rows
 
 IDS = [2**53 + 1, 2**53 + 3, None, 2**63 - 1, 2**63 - 3, -(2**63) + 1, None, 7]
 
@@ -77,3 +79,14 @@ def test_value_in_many_repositories_of_one_owner(spark):
     assert got[3]["spans"] == "" and got[50]["spans"] == "owned:0:22" and got[50]["most_repos"] == 1 and got[51]["n_live"] == 1
     got = {r["doc_id"]: r for r in secret_scan.summarize(docs, secret_scan.find_secrets(docs, max_repos=41)).collect()}
     assert got[3]["spans"] == "owned:4:26" and got[3]["most_repos"] == 41
+
+
+def test_rows_come_in_small_frames(spark):
+    def sizes(frames):
+        for f in frames:
+            yield pd.DataFrame({"n": [len(f)] * len(f)})
+
+    rows = spark.range(2_500).coalesce(1).selectExpr("id", "cast(id as string) as text")
+    got = sorted((r["id"], r["n"]) for r in map_rows(rows, ["id"], sizes, "id long, n long").collect())
+    assert [i for i, _ in got] == list(range(2_500))
+    assert {n for _, n in got} == {1_000, 500}

@@ -237,6 +237,40 @@ def test_sentencepiece_odd_strings(model):
         assert e.encode(t)[:-1] == e.sp.encode(t), t
 
 
+def test_sentencepiece_memos_stay_small(model):
+    import tracemalloc
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(9)) for _ in range(20_000)]
+    with open(model, "rb") as f:
+        e = sentencepiece_codec.Encoder(f.read())
+    tracemalloc.start()
+    try:
+        for k in range(0, len(words), 100):
+            e.encode(" ".join(words[k : k + 100]))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held / (len(e.marked) + len(e.plain) + len(e.pairs)) < 130  # bytes an entry, 183 before
+    assert sentencepiece_codec.MEMO <= 300_000
+
+
+def test_toxicity_scores_many_words_in_little_memory():
+    import tracemalloc
+
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(9)) for _ in range(10_000)]
+    m = toxicity.Model(np.arange(10), np.ones(10), 0.0, 1.0, 0.0)
+    tracemalloc.start()
+    try:
+        whole = m.values(words)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20e6
+    assert whole.tolist() == [m.values([w])[0] for w in words[:50]] + whole.tolist()[50:]
+
+
 def test_chat_repair_is_cheapest():
     rng = random.Random(3)
     for _ in range(200):

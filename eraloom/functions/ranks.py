@@ -28,17 +28,17 @@ def rank_01(value: str, by: list[str]) -> Column:
     return (average_rank(value, by) - 0.5) / group_size(by)
 
 
-def gauss_ranks(df: DataFrame, values: list[str], by: list[str], prefix: str = "g_", by_range: bool = False) -> DataFrame:
+def gauss_ranks(df: DataFrame, values: list[str], by: list[str], prefix: str = "g_", by_range: bool = False, row: str | None = None) -> DataFrame:
     """Normal quantile of each column's average rank, ``g_<value>``, under one exchange on ``by``;
-    ``by_range`` ranks groups that are too large for one task by ``shares_by_range``.
+    ``by_range`` ranks groups that are too large for one task by ``shares_by_range``, with ``row`` as there.
 
     The share and the quantile's tail variable are columns of their own, so that the
     polynomials read them instead of repeating the ranks.
     """
-    shares = shares_by_range(df, values, by) if by_range else df.select("*", *(rank_01(v, by).alias(f"__u_{v}") for v in values))
+    shares = shares_by_range(df, values, by, row) if by_range else df.select("*", *(rank_01(v, by).alias(f"__u_{v}") for v in values))
     tails = shares.select("*", *(norm_tail(F.col(f"__u_{v}")).alias(f"__r_{v}") for v in values))
     share, tail = (lambda v: F.col(f"__u_{v}")), (lambda v: F.col(f"__r_{v}"))
-    return tails.select(*df.columns, *(F.when(F.isnan(share(v)), share(v)).otherwise(norm_ppf(share(v), tail(v))).alias(f"{prefix}{v}") for v in values))
+    return tails.select(*(c for c in df.columns if c != row), *(F.when(F.isnan(share(v)), share(v)).otherwise(norm_ppf(share(v), tail(v))).alias(f"{prefix}{v}") for v in values))
 
 
 def center(value: str, by: list[str]) -> Column:
@@ -65,8 +65,8 @@ def _same(by: list[str], df: DataFrame) -> Column:
     return reduce(lambda a, b: a & b, (df[c].eqNullSafe(F.col(f"__{c}")) for c in by))
 
 
-def _ranks_in_ranges(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
-    """``rows``, which are numbered by __row, with __rank, __size and __broken: the average rank in the group, its rows, and whether it holds a NaN.
+def _ranks_in_ranges(rows: DataFrame, value: str, by: list[str], number: str = "__row") -> DataFrame:
+    """``rows``, which are numbered by __row (or by ``number``, which is left out then), with __rank, __size and __broken: the average rank in the group, its rows, and whether it holds a NaN.
 
     Rows are dealt by range of (group, value, salt), so that neither a group nor a
     single value has to fit a task. A range ranks its own rows; rows of the group in earlier
@@ -74,8 +74,8 @@ def _ranks_in_ranges(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
     other ranges, so these are counted again over all pieces that begin or end with
     them. Pieces are one row for each range and group.
     """
-    salt = F.pmod(F.xxhash64("__row"), F.lit(SALTS))
-    dealt = rows.withColumn("__salt", salt).repartitionByRange(*by, value, "__salt").drop("__salt")
+    salt = F.pmod(F.xxhash64(number), F.lit(SALTS))
+    dealt = rows.withColumn("__salt", salt).repartitionByRange(*by, value, "__salt").drop("__salt", *[number] * (number != "__row"))
     dealt = materialize(dealt.withColumn("__range", F.spark_partition_id()), "ranges")
     piece = ["__range", *by]
     v = F.col(value)
@@ -99,7 +99,7 @@ def _ranks_in_ranges(rows: DataFrame, value: str, by: list[str]) -> DataFrame:
     mine = F.get(F.filter("edges", lambda e: e["v"].eqNullSafe(v)), F.lit(0))
     smaller = F.col("__before") + F.col("__less") - F.coalesce(mine["earlier"], F.lit(0))
     rank = smaller + (F.coalesce(mine["all"], F.col("__equal")) + 1) / 2
-    return both.select(*rows.columns, F.when(F.col("__broken"), F.lit(float("nan"))).otherwise(rank).alias("__rank"), "__size")
+    return both.select(*(c for c in dealt.columns if c != "__range"), F.when(F.col("__broken"), F.lit(float("nan"))).otherwise(rank).alias("__rank"), "__size")
 
 
 def _fit(small: DataFrame) -> DataFrame:
@@ -108,10 +108,11 @@ def _fit(small: DataFrame) -> DataFrame:
     return broadcast_if_small(small, small.count(), GROUPS)
 
 
-def average_rank_by_range(df: DataFrame, value: str, by: list[str], out: str = "avg_rank", share: bool = False) -> DataFrame:
-    """``average_rank`` (or ``rank_01``) for groups too large for one task, with equal results."""
+def average_rank_by_range(df: DataFrame, value: str, by: list[str], out: str = "avg_rank", share: bool = False, row: str | None = None) -> DataFrame:
+    """``average_rank`` (or ``rank_01``) for groups too large for one task, with equal results; ``row`` as in ``shares_by_range``."""
     rank = (F.col("__rank") - 0.5) / F.col("__size") if share else F.col("__rank")
-    return _ranks_in_ranges(_numbered(df), value, by).select(*df.columns, rank.alias(out))
+    ranked = _ranks_in_ranges(df, value, by, row) if row else _ranks_in_ranges(_numbered(df), value, by)
+    return ranked.select(*(c for c in df.columns if c != row), rank.alias(out))
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -119,15 +120,18 @@ def _numbered(df: DataFrame) -> DataFrame:
     return materialize(df.withColumn("__row", F.monotonically_increasing_id()), "range-rows")
 
 
-def shares_by_range(df: DataFrame, values: list[str], by: list[str]) -> DataFrame:
+def shares_by_range(df: DataFrame, values: list[str], by: list[str], row: str | None = None) -> DataFrame:
     """``rank_01`` of every value as ``__u_<value>``, for groups too large for one task.
 
+    ``row`` names a column that numbers the rows of a group, where they are derived row by row
+    from a written table: with one value they are not written again to be numbered. The column is left out.
+
     Several columns are dealt in one exchange: rows are numbered and unpivoted to (row, group,
     column, value), ranked within (group, column), and folded back by row.
     """
     if len(values) == 1:
-        return average_rank_by_range(df, values[0], by, f"__u_{values[0]}", share=True)
-    rows = _numbered(df)
+        return average_rank_by_range(df, values[0], by, f"__u_{values[0]}", share=True, row=row)
+    rows = _numbered(df.drop(row) if row else df)
     cells = F.array(*(F.struct(F.lit(k).alias("c"), F.col(v).cast("double").alias("v")) for k, v in enumerate(values)))
     long = rows.select("__row", *by, F.explode(cells).alias("cell")).select("__row", *by, F.col("cell.c").alias("__col"), F.col("cell.v").alias("__value"))
     ranked = _ranks_in_ranges(long, "__value", [*by, "__col"])

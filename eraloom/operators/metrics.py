@@ -19,7 +19,12 @@ def era_corr(df: DataFrame, by: list[str], prediction: str = "prediction", targe
     to the signed power 1.5, correlated; 0 where either side is constant.
     ``by_range`` is for groups that outgrow a task: nothing gathers or sorts a group."""
     parts = centered(df.select(*by, F.col(prediction).alias("p"), F.col(target).alias("y")), "y", by, "t", by_range).select(*by, "p", "t")
-    parts = gauss_ranks(parts, ["p"], by, by_range=by_range).select(*by, signed_power(F.col("g_p")).alias("a"), signed_power(F.col("t")).alias("b"))
+    return centered_corr(parts, by, by_range)
+
+
+def centered_corr(parts: DataFrame, by: list[str], by_range: bool = False, row: str | None = None) -> DataFrame:
+    """``era_corr`` of predictions ``p`` and targets ``t`` that are centred already; ``row`` as in ``shares_by_range``."""
+    parts = gauss_ranks(parts, ["p"], by, by_range=by_range, row=row).select(*by, signed_power(F.col("g_p")).alias("a"), signed_power(F.col("t")).alias("b"))
     return parts.groupBy(*by).agg(F.coalesce(correlation("a", "b"), F.lit(0.0)).alias("corr"))
 
 

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eraloom.operators import align, gates, modelling, resume, walkforward
+from eraloom.functions import ranks
+from eraloom.operators import align, blend, gates, modelling, resume, walkforward
 from eraloom.operators.errors import AlignmentError
 from eraloom.plans import scratch
 from eraloom.plans.queries import KnownTree
@@ -177,3 +178,25 @@ def test_prepared_copies_of_old_files_go(spark, tmp_path):
     spark.catalog.refreshByPath(path)
     assert splits.prepared_split(spark, path, ["feature_0"]).count() == 8
     assert len(set(glob.glob(f"{root}/prepared-*/*")) - before) == 1
+
+
+def test_the_grid_by_range_numbers_rows_once(spark, monkeypatch):
+    """Rows times points are dealt from the written rows, and equal the plain form."""
+    written = []
+
+    def record(df, name):
+        written.append(name)
+        return scratch.materialize(df, name)
+
+    monkeypatch.setattr(ranks, "materialize", record)
+    rows = spark.range(600).selectExpr("int(id % 2) as window_id", "int(id % 4) as era_int", "(id * 37) % 101 / 7.0 as prediction", "(id % 5) / 4.0 as target", "double((id * 53) % 97) as b1", "double((id * 29) % 11) as b2")
+    points = blend.grid(spark, [0.0, 0.5, 1.0], [0.25, 1.0])
+    score = lambda by_range: sorted(map(tuple, blend.score_grid(rows, ["b1", "b2"], points, by_range=by_range).select("alpha", "prop", "window_id", "corr", "bmc", "score", "hit").collect()))
+    plain = score(False)
+    written.clear()
+    ranged = score(True)
+    assert written.count("range-rows") == 1 and written.count("group-means") == 1
+    assert len(plain) == len(ranged) == 12
+    for a, b in zip(plain, ranged):
+        assert a[:3] == b[:3] and a[6] == b[6]
+        assert np.allclose(a[3:6], b[3:6], atol=1e-12)

@@ -35,7 +35,7 @@ doc_id has a null component and its rows are kept. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -53,6 +53,8 @@ WIDE_BITS = 2
 SLACK = 4.5
 #: More rounds of star edges between components before all remaining pairs of them are tested.
 HUB_ROUNDS = 1
+#: Linked nodes up to which their labels are broadcast (about 2 MB).
+FEW = 20_000
 
 
 def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +116,7 @@ def _signer(shingle: int, bands: int, rows: int):
 
 
 def _wide_signer(shingle: int, rows: int):
-    """Like ``_signer``, with WIDE_BANDS bands of ``rows`` (32 bits of their keys) and WIDE_BITS bits, each class of a batch once."""
+    """Like ``_signer``, with WIDE_BANDS bands of ``rows`` (32 bits of their keys) and WIDE_BITS bits, each class of a batch once, beside its set."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _functions(WIDE_BANDS * rows)
@@ -122,7 +124,8 @@ def _wide_signer(shingle: int, rows: int):
         for pdf in batches:
             found = {xxhash.xxh3_128_digest(s.tobytes()): s for s in (shingles(t, shingle, memo) for t in pdf["text"])}
             mins = [minima(s, a, b) for s in found.values()]
-            yield pd.DataFrame({"cls": list(found), "bands": [np.array(band_keys(m, rows)).astype(np.int32) for m in mins], "sig": [pack(m, WIDE_BITS) for m in mins]})
+            bands, sigs = [np.array(band_keys(m, rows)).astype(np.int32) for m in mins], [pack(m, WIDE_BITS) for m in mins]
+            yield pd.DataFrame({"cls": list(found), "bands": bands, "sig": sigs, "items": [s.view(np.int64) for s in found.values()]})
 
     return sign
 
@@ -170,64 +173,80 @@ def _near(width: int, percent: int, bits: int = BITS) -> Column:
     return sizes & (_mismatches(-(-width * bits // 64), bits) <= most_mismatches(width, percent, bits))
 
 
+def _star(rows: DataFrame, *more: str) -> DataFrame:
+    """Distinct edges (a, b) of every row's hub and class, dealt by class as the join on ``b`` needs them."""
+    return rows.select(F.col("hub").alias("a"), F.col("cls").alias("b"), *more).repartition("b").distinct()
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """Connected components of ``edges(a, b)`` as (cls, root), for linked nodes only.
+    """Connected components of a written table ``edges(a, b)`` as (cls, root), for linked nodes only.
 
-    Labels start at each node's smallest neighbour or itself, then every round
-    takes the smallest label around and follows one pointer, so chains shorten
-    by half. Each round's table is written to the shared folder.
+    Labels start at each node's smallest neighbour or itself. While an edge has
+    two labels, a round takes the smallest label around and follows one pointer,
+    so chains shorten by half. Each round's table is written to the shared folder;
+    labels of few nodes are broadcast.
     """
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), f"{name}-edges")
+    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
     labels = materialize(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")).withColumnRenamed("a", "cls"), f"{name}-labels")
+    n = labels.count()
     while True:
+        labels = broadcast_if_small(labels, n, FEW)
+        apart = edges.join(labels.select(F.col("cls").alias("a"), F.col("root").alias("u")), "a").join(labels.select(F.col("cls").alias("b"), F.col("root").alias("v")), "b").where("u <> v")
+        if apart.isEmpty():
+            return labels
         around = both.join(labels.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.min("root").alias("seen"))
-        hooked = labels.join(around, "cls").select("cls", F.col("root").alias("old"), F.least("root", "seen").alias("root"))
+        hooked = labels.join(around, "cls").select("cls", F.least("root", "seen").alias("root"))
         parents = labels.select(F.col("cls").alias("root"), F.col("root").alias("up"))
-        jumped = hooked.join(parents, "root", "left").select("cls", "old", F.coalesce(F.least("root", "up"), "root").alias("root"))
-        jumped = materialize(jumped, f"{name}-labels")
-        labels = jumped.select("cls", "root")
-        if jumped.where("root <> old").isEmpty():
-            return labels
+        labels = materialize(hooked.join(parents, "root", "left").select("cls", F.coalesce(F.least("root", "up"), "root").alias("root")), f"{name}-labels")
 
 
-def _join_open(texts: DataFrame, members: DataFrame, shingle: int, percent: int, confirm: Callable[[DataFrame, str], DataFrame]) -> DataFrame | None:
-    """(root, top) for components that links of the second round join, None without any.
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, name: str) -> DataFrame:
+    """The ``pairs(a, b, ...)`` whose full ``sets(cls, items)`` reach the threshold."""
+    left = sets.select(F.col("cls").alias("a"), F.col("items").alias("items_a"))
+    right = sets.select(F.col("cls").alias("b"), F.col("items").alias("items_b"))
+    inter, union = F.col("inter"), F.size("items_a") + F.size("items_b") - F.col("inter")
+    both = pairs.join(right, "b").join(left, "a").withColumn("inter", F.size(F.array_intersect("items_a", "items_b")))
+    return materialize(both.where(inter * 100 >= union * percent).select(pairs.columns), f"{name}-links")
+
+
+def _join_open(texts: DataFrame, members: DataFrame, shingle: int, percent: int) -> list[DataFrame]:
+    """Tables (root, top) to apply in turn: components that links of the second round join.
     ``members(cls, root, n)`` are the classes of ``texts`` and their components so far."""
     rows = wide_rows(percent)
     width, longs = WIDE_BANDS * rows, -(-WIDE_BANDS * rows * WIDE_BITS // 64)
     near = _near(width, percent, WIDE_BITS)
-    wide = texts.mapInPandas(_wide_signer(shingle, rows), "cls binary, bands array<int>, sig array<long>").dropDuplicates(["cls"])
+    wide = texts.mapInPandas(_wide_signer(shingle, rows), "cls binary, bands array<int>, sig array<long>, items array<long>").dropDuplicates(["cls"])
     wide = materialize(wide.join(members, "cls"), "wide")
     n_wide = wide.count()
     slots = wide.select("cls", "root", F.posexplode("bands").alias("band", "key"))
-    start, links, tops, turn = members.select("cls", "root"), None, None, 0
+    placed, tops, turn = members.select("cls", "root"), [], 0
     while True:
         hub = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("order"), "cls"))["cls"].alias("hub")
         sizes = slots.groupBy("band", "key", "root").agg(F.count("*").alias("members"), hub)
         main = F.max_by(F.struct("root", "hub"), F.struct("members", "root"))
         mains = sizes.groupBy("band", "key").agg(main.alias("m"), F.count("*").alias("parts")).where("parts > 1").select("band", "key", F.col("m")["root"].alias("main"), F.col("m")["hub"].alias("hub"))
         mixed = materialize(slots.join(mains, ["band", "key"]), "wide-buckets")
+        # Pairs go with their components, ``u`` of a and ``v`` of b.
         if turn < HUB_ROUNDS:
-            star = mixed.where("root <> main").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-            pairs = star.join(wide.select(*_side("a", longs)), "a").join(wide.select(*_side("b", longs)), "b").where(near).select("a", "b")
+            star = _star(mixed.where("root <> main").withColumnsRenamed({"main": "u", "root": "v"}), "u", "v")
+            pairs = star.join(wide.select(*_side("b", longs)), "b").join(wide.select(*_side("a", longs)), "a").where(near).select("a", "b", "u", "v")
         else:
             # A pair with a side in the main component is found from its other side, any other pair from its smaller class.
-            # Of the bands that two classes share, the first makes the pair.
+            # Of the bands that two classes share, the first makes the pair, so that it is made once.
             signed = mixed.join(wide.select("cls", "n", "sig", "bands"), "cls")
-            x = signed.where("root <> main").select("band", "key", F.col("root").alias("root_a"), F.col("bands").alias("bands_a"), *_side("a", longs))
-            y = signed.select("band", "key", F.col("root").alias("root_b"), F.col("main").alias("main_b"), F.col("bands").alias("bands_b"), *_side("b", longs))
-            once = (F.col("root_a") != F.col("root_b")) & ((F.col("a") < F.col("b")) | (F.col("root_b") == F.col("main_b")))
+            x = signed.where("root <> main").select("band", "key", F.col("root").alias("u"), F.col("bands").alias("bands_a"), *_side("a", longs))
+            y = signed.select("band", "key", F.col("root").alias("v"), F.col("main").alias("main_b"), F.col("bands").alias("bands_b"), *_side("b", longs))
+            once = (F.col("u") != F.col("v")) & ((F.col("a") < F.col("b")) | (F.col("v") == F.col("main_b")))
             first = F.array_position(F.zip_with("bands_a", "bands_b", lambda p, q: p == q), True) == x["band"] + 1
-            pairs = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & once & near & first).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = confirm(materialize(pairs, "wide-pairs"), "wide")
-        none = new.isEmpty()
+            pairs = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & once & near & first).select("a", "b", "u", "v")
+        links = _confirm(materialize(pairs, "wide-pairs"), wide.select("cls", "items"), percent, "wide")
+        none = links.isEmpty()
         if not none:
-            links = new if links is None else links.union(new)
-            ends = links.join(start.select(F.col("cls").alias("a"), F.col("root").alias("u")), "a").join(start.select(F.col("cls").alias("b"), F.col("root").alias("v")), "b")
-            tops = components(ends.select(F.col("u").alias("a"), F.col("v").alias("b")).where("a <> b"), "wide").select(F.col("cls").alias("root"), F.col("root").alias("top"))
+            tops.append(components(links.select(F.col("u").alias("a"), F.col("v").alias("b")), "wide").select(F.col("cls").alias("root"), F.col("root").alias("top")))
         if turn >= HUB_ROUNDS:
             return tops
-        placed = start if tops is None else start.join(tops, "root", "left").select("cls", F.coalesce("top", "root").alias("root"))
+        if not none:
+            placed = placed.join(tops[-1], "root", "left").select("cls", F.coalesce("top", "root").alias("root"))
         slots, turn = mixed.select("cls", "band", "key").join(broadcast_if_small(placed, n_wide, 200_000), "cls"), HUB_ROUNDS if none else turn + 1
 
 
@@ -265,28 +284,18 @@ def judge(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 40,
         need = wanted.join(classes.select("cls", "doc_id", "key"), "cls").select(F.col("doc_id").alias("id"), F.col("key").alias("k"))
         return docs.select("doc_id", "text").join(need, F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("k")), "left_semi").select("text")
 
-    def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs whose full sets reach the threshold."""
-        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
-        sets = materialize(texts_of(ends).mapInPandas(_set_reader(shingle), "cls binary, items array<long>").dropDuplicates(["cls"]), f"{name}-sets")
-        left = sets.select(F.col("cls").alias("a"), F.col("items").alias("items_a"))
-        right = sets.select(F.col("cls").alias("b"), F.col("items").alias("items_b"))
-        inter, union = F.col("inter"), F.size("items_a") + F.size("items_b") - F.col("inter")
-        both = pairs.join(right, "b").join(left, "a").withColumn("inter", F.size(F.array_intersect("items_a", "items_b")))
-        return materialize(both.where(inter * 100 >= union * percent).select("a", "b"), f"{name}-links")
-
-    star = buckets.where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
-    pairs = star.join(classes.select(*_side("a", longs)), "a").join(classes.select(*_side("b", longs)), "b").where(_near(width, percent)).select("a", "b")
-    links = confirm(materialize(pairs, "star-pairs"), "star")
-    roots = components(links, "star")
+    star = _star(buckets.where("cls <> hub"))
+    pairs = materialize(star.join(classes.select(*_side("b", longs)), "b").join(classes.select(*_side("a", longs)), "a").where(_near(width, percent)).select("a", "b"), "star-pairs")
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    sets = materialize(texts_of(ends).mapInPandas(_set_reader(shingle), "cls binary, items array<long>").dropDuplicates(["cls"]), "star-sets")
+    roots = components(_confirm(pairs, sets, percent, "star"), "star")
 
     # Second round: members of buckets that still hold several components.
     placed = buckets.join(roots, "cls", "left").select("band", "key", "cls", F.coalesce("root", "cls").alias("root"))
     open_ = placed.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band", "key")
     still = materialize(placed.join(open_, ["band", "key"], "left_semi").select("cls", "root").distinct(), "minhash-open")
     named = classes.select("cls", "doc_id").join(roots, "cls", "left").select("cls", "doc_id", F.coalesce("root", "cls").alias("root"))
-    tops = _join_open(texts_of(still.select("cls")), still.join(classes.select("cls", "n"), "cls"), shingle, percent, confirm)
-    if tops is not None:
+    for tops in _join_open(texts_of(still.select("cls")), still.join(classes.select("cls", "n"), "cls"), shingle, percent):
         named = named.join(tops, "root", "left").select("cls", "doc_id", F.coalesce("top", "root").alias("root"))
 
     ids = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))

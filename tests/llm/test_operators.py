@@ -76,6 +76,23 @@ def test_pairs_grow_with_the_group(spark, monkeypatch):
     assert made[1] < 3 * made[0]
 
 
+@pytest.mark.parametrize("few", [0, 20_000])  # labels shuffled and broadcast
+def test_components_are_written_once_when_first_labels_hold(spark, monkeypatch, few):
+    """Each written table costs a task for each partition: where all first labels hold, no more are written."""
+    made, plain = [], minhash_dedup.materialize
+    monkeypatch.setattr(minhash_dedup, "materialize", lambda df, name: made.append(name) or plain(df, name))
+    monkeypatch.setattr(minhash_dedup, "FEW", few, raising=False)
+    star = [(b"a", b"%02d" % k) for k in range(40)] + [(b"00", b"%02d" % k) for k in range(1, 40)]
+    steps = random.Random(7).sample(range(12), 12)
+    chain = [(b"c%02d" % p, b"c%02d" % q) for p, q in zip(steps, steps[1:])]
+    for edges, root, most in ((star, b"00", 1), (chain, b"c00", 12)):
+        made.clear()
+        written = plain(spark.createDataFrame(edges, "a binary, b binary"), "edges")
+        got = {bytes(r["cls"]): bytes(r["root"]) for r in minhash_dedup.components(written, "test").collect()}
+        assert got == {n: root for e in edges for n in e}
+        assert len(made) <= most
+
+
 def test_near_duplicates_keep_one_of_each_group(docs):
     rows = minhash_dedup.near_duplicates(docs).collect()
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)

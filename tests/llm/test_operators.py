@@ -201,6 +201,36 @@ def test_repeats_in_runs_and_long_texts(spark):
     assert b"".join(p[: suffix_dedup.PIECE] for _, p in suffix_dedup._pieces(data)) == data
 
 
+def test_repeats_exchange_few_rows(spark):
+    """Each anchor of a text used to be a row of its own in the exchanges: a row for every 16 bytes."""
+    rng = random.Random(8)
+    shared = [prose(rng, 100) for _ in range(40)]
+    rows = [(k, prose(rng, 200) + rng.choice(shared) + prose(rng, 200)) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    store, jvm = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm
+
+    def written():
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+    before = written()
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert written() - before < 10 * len(rows) < sum(len(t) for _, t in rows) / 16
+    assert by(got) == by(brute.removals(rows))
+
+
+def test_only_suffixes_that_begin_a_string_are_sorted(monkeypatch):
+    """The sorter used to sort the last 49 bytes of every context too."""
+    sorted_, plain = [], suffix_dedup._sorted_directly
+    monkeypatch.setattr(suffix_dedup, "_sorted_directly", lambda words, at: sorted_.append(len(at)) or plain(words, at))
+    rng = random.Random(5)
+    parts = [bytes(rng.choice(b"abcd") for _ in range(54)) for _ in range(100)]
+    parts += [b"d" + p[:53] for p in parts[:20]]
+    found = suffix_dedup.covered(parts, np.arange(len(parts)))
+    assert sum(sorted_) < sum(map(len, parts)) / 6
+    assert found == [[]] * 100 + [[(1, 54)]] * 20
+
+
 def test_a_block_reads_its_words_once(monkeypatch):
     """The sorter used to gather the bytes of all suffixes anew for each of 14 steps."""
     made, words = [], suffix_dedup._words

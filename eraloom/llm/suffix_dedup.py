@@ -100,8 +100,13 @@ def _runs(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarr
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     up, down = _powers(1 << max(18, len(raw).bit_length()))
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTES[raw] * down[: len(raw)], out=sums[1:])
-    grams = mix((sums[GRAM:] - sums[:-GRAM]) * up[: len(raw) - GRAM + 1])
+    scaled = np.take(_BYTES, raw)
+    scaled *= down[: len(raw)]
+    np.cumsum(scaled, out=sums[1:])
+    grams = sums[GRAM:] - sums[:-GRAM]
+    grams *= up[: len(grams)]
+    grams ^= grams >> np.uint64(32)
+    grams *= np.uint64(_BASE)
     least = _sliding(grams, WINDOW, np.minimum)
     # The anchor moves on where a smaller hash comes in, and behind a string that begins with it.
     new = np.ones(n, bool)
@@ -313,7 +318,7 @@ def _pack(kinds: dict[str, str], columns: Arrays, cuts: np.ndarray) -> list[byte
         there.append(used)
         planes += [x.view(np.uint8).reshape(n, -1)[:, k] for k in np.flatnonzero(used)]
     head, planes = np.packbits(np.concatenate(there)).tobytes(), np.stack(planes)
-    return [head + planes[:, a:b].tobytes() for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), n], strict=True)]
+    return [head + planes[:, a:b].copy().data for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), n], strict=True)]
 
 
 def _unpack(kinds: dict[str, str], packed: list[bytes]) -> Arrays:

@@ -30,7 +30,9 @@ whole arrays.
 
 Hot groups: contexts and strings that a batch already holds in several
 documents are settled in the batch, and one of each goes on; so a string held
-by a third of all documents costs its key a few numbers per batch. No
+by a third of all documents costs its key a few numbers per batch. An anchor that
+very many documents of a batch hold under different names gets one row that says so;
+its contexts are cut into their strings everywhere, without its verdict. No
 text is collected; longer texts are taken in pieces of ``PIECE`` bytes, whose
 overlap gives every string to one piece; touching repeats inside one document (a long
 run of one byte) become one.
@@ -65,7 +67,9 @@ BLOCK = 1 << 20
 PIECE = 1 << 20
 #: Bytes of whole texts that are hashed at once, and contexts or bytes that a task holds before they go on.
 CHUNK = 1 << 17
-HELD = 1 << 20
+#: An anchor is crowded where more documents of a batch hold it than this, and than a sixteenth of them.
+CROWD = 32
+HELD = 1 << 19
 _BASE = 0x9E3779B97F4A7C55
 _BYTES = np.random.default_rng(7).integers(1, 2**63, 256, np.uint64)
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -407,9 +411,18 @@ def _contexts(data: np.ndarray, bounds: np.ndarray) -> Iterator[Arrays]:
         k = to
 
 
-def _emit(bits: int, targets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+#: What a crowded anchor has instead of a number of names: all that hold it cut their contexts into strings.
+CROWDED = 2**31 - 1
+
+
+def _group(bucket: np.ndarray | int, key: np.ndarray) -> np.ndarray:
+    return key.astype(np.uint64) | (np.uint64(bucket) << np.uint64(32))
+
+
+def _emit(bits: int, targets: int, crowd: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Contexts to the buckets of their anchors; to those of documents (below zero) the spans that a smaller
-    document of the batch settles."""
+    document of the batch settles, and contexts of crowded anchors, for all of which one row of size 0
+    goes to the anchor."""
 
     def out(held: list[Arrays], doc: np.ndarray, tag: np.ndarray) -> Iterator[pa.RecordBatch]:
         x = _join(held)
@@ -423,14 +436,31 @@ def _emit(bits: int, targets: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
         own = np.flatnonzero(settled)
         row, lo, hi = _merge(x["row"][own], x["pos"][own], x["pos"][own].astype(np.int64) + x["size"][own] + x["reach"][own])
         nothing = np.zeros(len(row), np.int64)
-        yield _moved(*_settled({"doc": doc[row], "tag": tag[row], "pos": lo, "size": nothing, "reach": hi - lo, "name": nothing, "group": nothing, "n": nothing}, targets))
+        answers = {"doc": doc[row], "tag": tag[row], "pos": lo, "size": nothing, "reach": hi - lo, "name": nothing, "group": nothing, "n": nothing}
         on = np.flatnonzero(~settled)
-        bucket = (x["anchor"][on] >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
-        by = np.argsort(bucket, kind="stable")
-        on, cuts = on[by], _cuts(bucket := bucket[by])
-        columns = _take(x, on) | {"doc": d[on], "tag": tag[x["row"][on]]}
-        columns["key"] = columns["anchor"].astype(np.uint32)
-        yield _moved(bucket[cuts], _pack(PLACE, columns, cuts))
+        bucket, key = x["anchor"][on] >> np.uint64(64 - bits), x["anchor"][on].astype(np.uint32)
+        by = np.sort((x["anchor"][on] >> np.uint64(24) << np.uint64(24)) | np.arange(len(on), dtype=np.uint64)).astype(np.int64) & 0xFFFFFF
+        anchor, row = x["anchor"][on][by], x["row"][on][by]
+        cuts = _cuts(anchor)
+        new = np.ones(len(by), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+        many = np.add.reduceat(new, cuts, dtype=np.int64) > max(crowd, (x["row"][-1] - x["row"][0] + 1) // 16)
+        columns = _take(x, on) | {"doc": d[on], "tag": tag[x["row"][on]], "key": key}
+        if many.any():
+            of = by[np.repeat(many, np.diff(np.append(cuts, len(by))))]
+            crowded = _take(columns, of) | {"group": _group(bucket[of], key[of]), "n": np.full(len(of), CROWDED)}
+            answers = _join([answers, crowded | {"pos": crowded["pos"].astype(np.int64)}])
+            kept = np.ones(len(on), bool)
+            kept[of] = False
+            kept[heads := by[cuts[many]]] = True
+            for c in ("name", "pos", "size", "reach"):
+                columns[c][heads] = 0
+            columns, bucket = _take(columns, np.flatnonzero(kept)), bucket[kept]
+        yield _moved(*_settled(answers, targets))
+        bucket = bucket.astype(np.uint16 if bits <= 16 else np.uint32)
+        order = np.argsort(bucket, kind="stable")
+        cuts = _cuts(bucket := bucket[order])
+        yield _moved(bucket[cuts], _pack(PLACE, _take(columns, order), cuts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -472,14 +502,16 @@ def _judged(x: Arrays, bucket: int) -> Arrays:
     kinds = np.flatnonzero(new)
     sizes = np.diff(np.append(keys, n))
     shared = np.minimum.reduceat(x["doc"], keys) < np.maximum.reduceat(x["doc"], keys)
-    names = np.repeat(np.where(shared, np.add.reduceat(new.astype(np.int64), keys), 0), sizes)
+    real = x["size"] > 0
+    names = np.where(shared, np.add.reduceat(new & real, keys, dtype=np.int64), 0)
+    names = np.repeat(np.where(np.logical_and.reduceat(real, keys), names, CROWDED), sizes)
     whole = x["doc"] > np.repeat(x["doc"][kinds], np.diff(np.append(kinds, n)))
-    x["group"] = np.where(whole, np.uint64(0), x["key"] | np.uint64(bucket << 32))
+    x["group"] = np.where(whole, np.uint64(0), _group(bucket, x["key"]))
     x["n"] = np.where(whole, 0, names).astype(np.int32)
     x["name"] = np.where(whole, np.uint64(0), x["name"])
     x["reach"] = np.where(whole, x["reach"] + x["size"], x["reach"])
     x["size"] = np.where(whole, np.uint8(0), x["size"])
-    return _take(x, np.flatnonzero(whole | (names > 1)))
+    return _take(x, np.flatnonzero(real & (whole | (names > 1))))
 
 
 def _judge(targets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -736,7 +768,7 @@ def _packed_spans(docs: DataFrame, most: int) -> tuple[DataFrame, int]:
     # Only where ids repeat does a row have to be told from others of its id.
     repeated = not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
     tagged = texts.select("doc_id", (F.col("tk") if repeated else F.lit(0).cast("long")).alias("tag"), "text")
-    places = tagged.mapInArrow(_emit(bits, targets), MOVED).repartition("bucket").sortWithinPartitions("bucket")
+    places = tagged.mapInArrow(_emit(bits, targets, min(CROWD, most)), MOVED).repartition("bucket").sortWithinPartitions("bucket")
     answers = materialize(places.mapInArrow(_judge(targets), MOVED), "repeat-answers")
     read = materialize(_beside(answers, texts, targets).mapInArrow(_read(bits, targets, most), READ), "repeat-parts")
     parts = read.where("kind = 1").select("bucket", "data", "bytes", "spots").repartition("bucket").sortWithinPartitions("bucket")
